@@ -17,22 +17,24 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, bounded_batches, chunks, fresh, text_or_empty
+from .common import Memo, SpaceUnits, bounded_batches, chunks, fresh, text_or_empty
 
-CACHE_WORDS = 600_000
+CACHE_WORDS, CACHE_PARTS = 1_000_000, 500_000
 LONG_WORD = 512
 WORDS_PER_QUERY = 50_000
 
 _ENCODE = """
+CREATE OR REPLACE TEMP TABLE ids AS
 WITH RECURSIVE step(word, pos, id, n) AS (
     SELECT word, pos, id, 0 FROM start
   UNION ALL
@@ -51,11 +53,12 @@ WITH RECURSIVE step(word, pos, id, n) AS (
         WHERE gone.word IS NULL
     )
 ), last AS (SELECT word, max(n) AS n FROM step GROUP BY word)
-SELECT s.word, list(s.id ORDER BY s.pos) AS ids FROM step s JOIN last l ON l.word = s.word AND l.n = s.n GROUP BY s.word
+SELECT s.word, s.pos, s.id FROM step s JOIN last l ON l.word = s.word AND l.n = s.n
 """
 
 _DECODE = """
-SELECT i.word, string_agg(v.hex, '' ORDER BY i.pos) AS hex FROM ids i JOIN vocab v ON v.id = i.id GROUP BY i.word
+SELECT i.word, string_agg(i.id::VARCHAR, ' ' ORDER BY i.pos) AS decimal, string_agg(v.hex, '' ORDER BY i.pos) AS hex
+FROM ids i JOIN vocab v ON v.id = i.id GROUP BY i.word
 """
 
 
@@ -69,14 +72,15 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        self.tokens = {i: t for t, i in self.ranks.items()}
         self.cut = regex.compile(pattern).findall
         self.memo = Memo(CACHE_WORDS)
+        self.parts = SpaceUnits(CACHE_PARTS, self._learn)
+        self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "preserve_insertion_order": "false"})
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         a, b, r = zip(*merges, strict=True) if merges else ((), (), ())
         self._table("merges", {"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "rank": pa.array(r, pa.int32())})
-        self._table("vocab", {"id": pa.array(list(self.tokens), pa.int32()), "hex": pa.array([t.hex() for t in self.tokens.values()])})
+        self._table("vocab", {"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in self.ranks])})
 
     def _table(self, name: str, columns: dict) -> None:
         given = pa.table(columns)  # noqa: F841  read by DuckDB from this frame
@@ -107,46 +111,51 @@ class Codec:
                 offer(before[i])
         return [self.ranks[p] for p, ok in zip(part, alive, strict=True) if ok]
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each of these distinct words."""
-        out: list[tuple[int, ...]] = [()] * len(words)
-        word, pos, ids = [], [], []
-        for i, w in enumerate(words):
-            data = w.encode()
-            if len(data) > LONG_WORD:
-                out[i] = tuple(self._long(data))
-            elif data in self.ranks and len(data) == 1:
-                out[i] = (self.ranks[data],)
-            else:
-                word += [i] * len(data)
-                pos += range(len(data))
-                ids += [self.ranks[data[k : k + 1]] for k in range(len(data))]
-        if word:
-            self._table("start", {"word": pa.array(word, pa.int32()), "pos": pa.array(pos, pa.int32()), "id": pa.array(ids, pa.int32())})
-            for i, found in self.db.execute(_ENCODE).fetchall():
-                out[i] = tuple(found)
+    def _encode(self, words: list[str]) -> None:
+        """Fill the table ``ids`` (word number, position, id) for these words."""
+        raw = [w.encode() for w in words]
+        long = [i for i, d in enumerate(raw) if len(d) > LONG_WORD]
+        size = np.fromiter((len(d) if len(d) <= LONG_WORD else 0 for d in raw), dtype=np.int64, count=len(raw))
+        data = np.frombuffer(b"".join([d for d in raw if len(d) <= LONG_WORD]), dtype=np.uint8)
+        pos = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
+        self._table("start", {"word": np.repeat(np.arange(len(raw)), size).astype(np.int32), "pos": pos.astype(np.int32), "id": self.byte_ids[data]})
+        self.db.execute(_ENCODE)
+        for i in long:
+            ids = self._long(raw[i])
+            self._table("more", {"word": np.full(len(ids), i, dtype=np.int32), "pos": np.arange(len(ids), dtype=np.int32), "id": np.array(ids, dtype=np.int32)})
+            self.db.execute("INSERT INTO ids SELECT * FROM more")
+
+    def _decoded(self, n: int) -> list[tuple[bytes, bytes]]:
+        """Of the words in the table ``ids``: decimal ids joined by a space, and the bytes that they decode to."""
+        out = [(b"", b"")] * n
+        for w, decimal, data in self.db.execute(_DECODE).fetchall():
+            out[w] = (decimal.encode(), bytes.fromhex(data))
         return out
 
-    def decode_words(self, words: list[tuple[int, ...]]) -> list[bytes]:
+    def decode_words(self, words: list[list[int]]) -> list[bytes]:
         """Bytes of each sequence of ids."""
-        out = [b""] * len(words)
-        flat = [(i, k, t) for i, w in enumerate(words) for k, t in enumerate(w)]
-        if flat:
-            i, k, t = zip(*flat, strict=True)
-            self._table("ids", {"word": pa.array(i, pa.int32()), "pos": pa.array(k, pa.int32()), "id": pa.array(t, pa.int32())})
-            for w, text in self.db.execute(_DECODE).fetchall():
-                out[w] = bytes.fromhex(text)
-        return out
-
-    def learn(self, words: Iterable[str]) -> dict[str, tuple[int, bytes, bytes]]:
-        """For these words at least: number of ids, their decimal form, and the bytes decoded from them."""
-        new = self.memo.missing(words)
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        pos = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        ids = np.fromiter((i for w in words for i in w), dtype=np.int32, count=int(size.sum()))
+        self._table("ids", {"word": np.repeat(np.arange(len(words)), size).astype(np.int32), "pos": pos.astype(np.int32), "id": ids})
+        return [data for _, data in self._decoded(len(words))]
+
+    def _learn(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Of parts of texts: decimal ids joined by a space, and the bytes decoded from the ids."""
+        cut = [self.cut(p) for p in parts]
+        new = self.memo.missing({w for ws in cut for w in ws})
+        known = self.memo.now
         for lo in range(0, len(new), WORDS_PER_QUERY):
             some = new[lo : lo + WORDS_PER_QUERY]
-            ids = self.encode_words(some)
-            for w, i, data in zip(some, ids, self.decode_words(ids), strict=True):
-                self.memo.now[w] = (len(i), " ".join(map(str, i)).encode(), data)
-        return self.memo.now
+            self._encode(some)
+            known.update(zip(some, self._decoded(len(some)), strict=True))
+        return [(b" ".join([known[w][0] for w in ws]), b"".join([known[w][1] for w in ws])) for ws in cut]
+
+    def read(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Of each text: decimal ids joined by a space, and the bytes decoded from the ids."""
+        for parts in self.parts.read(texts):
+            ids, data = zip(*parts, strict=True) if parts else ((), ())
+            yield b" ".join(ids), b"".join(data)
 
 
 @lru_cache(maxsize=2)
@@ -154,22 +163,15 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _cut(c: Codec, texts: pa.Array) -> tuple[list[list[str]], dict[str, tuple[int, bytes, bytes]]]:
-    cut = [c.cut(t or "") for t in texts.to_pylist()]
-    return cut, c.learn({w for words in cut for w in words})
-
-
 def _digests(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in chunks(batches, "text", 4 << 20):
             counts, ids, decoded = [], [], []
-            cut, known = _cut(c, batch.column(1))
-            for words in cut:
-                found = [known[w] for w in words]
-                counts.append(sum([x[0] for x in found]))
-                ids.append(hashlib.sha256(b" ".join([x[1] for x in found])).hexdigest())
-                decoded.append(hashlib.sha256(b"".join([x[2] for x in found])).hexdigest())
+            for decimal, data in c.read(batch.column(1).to_pylist()):
+                counts.append(decimal.count(b" ") + 1 if decimal else 0)
+                ids.append(hashlib.sha256(decimal).hexdigest())
+                decoded.append(hashlib.sha256(data).hexdigest())
             yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)], names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
@@ -187,8 +189,7 @@ def _encoder(path: str, pattern: str, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in chunks(batches, "text", 4 << 20):
-            cut, known = _cut(c, batch.column(at))
-            ids = pa.array([[int(i) for w in words for i in known[w][1].split()] for words in cut], pa.list_(pa.int32()))
+            ids = pa.array([list(map(int, x.split())) for x, _ in c.read(batch.column(at).to_pylist())], pa.list_(pa.int32()))
             yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
     return run
@@ -210,7 +211,7 @@ def _decoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in batches:
-            sequences = [tuple(x or ()) for x in batch.column(1).to_pylist()]
+            sequences = [x or [] for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(c.decode_words(sequences), pa.binary())], names=["key", "bytes"])
 
     return run

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontam, exact_dedup, langid, simhash, token_count, url_filter
+from . import bpe_codec, decontam, exact_dedup, langid, simhash, token_count, token_shards, url_filter
 from .sql import ORACLES
 
 OVER_LIMIT = 4096
@@ -23,6 +23,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "url_verdict.host", "url_verdict.path", "url_verdict.rule", "url_verdict.verdict")
@@ -54,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_token_shards": op2_token_shards,
     "op3_url_filter": op3_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
