@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontam, exact_dedup, langid, simhash, token_count, token_shards, url_filter
+from . import bpe_codec, decontam, exact_dedup, langid, license_scan, simhash, token_count, token_shards, url_filter, warc
 from .sql import ORACLES
 
 OVER_LIMIT = 4096
@@ -32,6 +32,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "url_verdict.host", "url_verdict.path", "url_verdict.rule", "url_verdict.verdict")
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages")), "page_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,10 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.fit(docs))
@@ -60,9 +68,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_shards": op2_token_shards,
     "op3_url_filter": op3_url_filter,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }

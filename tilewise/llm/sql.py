@@ -1,8 +1,15 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from .license_scan import TEMPLATES
+
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _templates() -> str:
+    return ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+
+
 ORACLES: dict[str, str] = {
     "op3_url_filter": r"""
         WITH p AS (
@@ -27,4 +34,30 @@ ORACLES: dict[str, str] = {
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op8_license_scan": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents
+        ), b AS (
+            SELECT doc_id, w, text,
+                   list_filter(range(len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
+                   list_filter(range(len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+                   list_filter(range(len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl FROM d
+        ), t AS (
+            SELECT label, list_distinct(regexp_extract_all({_LOWER.format("body")}, '{_WORD}')) AS tokens FROM (VALUES {_templates()}) v(n, label, body)
+        ), l AS (
+            SELECT DISTINCT doc_id, regexp_extract_all({_LOWER.format("line")}, '{_WORD}') AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+        ), m AS (
+            SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS containment FROM l, t
+            WHERE len(list_intersect(words, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)
+        ), g AS (
+            SELECT doc_id, list(label) AS labels, max(containment) AS best FROM m GROUP BY doc_id
+        ), base AS (
+            SELECT doc_id, len(w) AS n_words, list_concat(mit, apache, gpl) AS places,
+                   list_filter([CASE WHEN len(mit) > 0 THEN 'mit' END, CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END], lambda x: x IS NOT NULL) AS labels FROM b
+        )
+        SELECT base.doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+               coalesce(list_aggregate(list_sort(base.labels), 'string_agg', ','), '') AS base_labels,
+               coalesce(list_aggregate(list_sort(list_distinct(list_concat(base.labels, coalesce(g.labels, [])))), 'string_agg', ','), '') AS labels,
+               CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+        FROM base LEFT JOIN g USING (doc_id)""",
 }
