@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -93,6 +94,11 @@ def join_back(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: i
     return in_hot.unionByName(in_cold)
 
 
+def rare_gc() -> None:
+    """Let a worker with large memos look for reference cycles less often; it makes none of its own."""
+    gc.set_threshold(200_000, 50, 100)
+
+
 class Memo:
     """Results by key, for at most ``limit`` keys: what was not used for a while goes, common keys stay."""
 

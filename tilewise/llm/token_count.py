@@ -6,11 +6,11 @@ longest piece that ends there and is compatible with the last token before it. A
 prefix that the text read so far ends with, the last token at the place where that prefix begins and the number of
 tokens since; a transition carries by how much the token count changes.
 
-No piece has the space mark behind another character, so that a space mark after one always brings the transducer back
-to one state. Texts are cut there into chunks whose state maps are constant: counts of the chunks follow from one run
-of the transducer for each distinct chunk, and the prefix sums of the counts along a batch give the count of every
-document. A chunk of more than ``CHUNK_CHARS`` characters is cut again, and the maps (entry state to exit state and
-count) of its parts are composed.
+Two neighbouring characters that stand together in no piece bring the transducer back to one state: no token crosses
+them. Texts are cut there (first into units before space marks, which follow no other character in any piece) into
+chunks whose state maps are constant: one run of the transducer counts each distinct chunk, and the prefix sums of the
+counts along a batch give the count of every document. A chunk of more than ``CHUNK_CHARS`` characters is cut again,
+and the maps (entry state to exit state and count) of its parts are composed.
 
 Defined results: null and empty texts have 0 tokens; repeated rows count alike; texts of any length are read whole; an
 empty table gives an empty result.
@@ -29,12 +29,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, bounded_batches, chunks, text_or_empty
+from .common import Memo, bounded_batches, chunks, rare_gc, text_or_empty
 
 SPACE = "▁"
 CHUNK_CHARS = 64
-CACHE_CHUNKS = 600_000
-CACHE_STATES = 200_000
+CACHE_UNITS, CACHE_CHUNKS = 500_000, 1_400_000
+CACHE_STATES = 150_000
 #: A state: for each live start of a piece (nearest last), the characters since, the last token there, tokens since.
 State = tuple[tuple[str, str, int], ...]
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -51,7 +51,11 @@ class Transducer:
         inner = [p for p in self.score if SPACE in p.lstrip(SPACE)]
         if inner or m.encode("a  b") == m.encode("a b"):
             raise ValueError("the model joins or drops spaces in ways that chunks cannot follow")
-        self.pieces = {p for p in self.score if len(p) == 1 or self._merge(p) == [p]}
+        self.order = {p: -x for p, x in self.score.items() if len(p) > 1}
+        made = {p: self._merge(p) for p in self.score}
+        self.pieces = {p for p, (parts, _) in made.items() if parts == [p]}
+        self.split = {p: made[p][1] for p in self.pieces if len(p) > 1}
+        self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.prefixes = {p[:i] for p in self.pieces for i in range(1, len(p) + 1)}
         self.fits = lru_cache(maxsize=300_000)(self._fits)
         self.reset()
@@ -63,28 +67,38 @@ class Transducer:
         self.edges: list[dict[str, tuple[int, int]]] = [{}]
         self.maps: dict[tuple[int, str], tuple[int, int]] = {}
 
-    def _merge(self, text: str) -> list[str]:
-        """The encoding by its definition: the adjacent pair of the best score, leftmost first. For compilation only."""
-        parts = list(text)
+    def _merge(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """The encoding by its definition, the adjacent pair of the best score first, and the last pair that merged."""
+        parts, last = list(text), None
         while len(parts) > 1:
             best = max(((self.score[parts[i] + parts[i + 1]], -i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self.score), default=None)
             if best is None:
                 break
             i = -best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+            last = (parts[i], parts[i + 1])
+            parts[i : i + 2] = ["".join(last)]
+        return parts, last
 
     def _fits(self, a: str, b: str) -> bool:
-        return self._merge(a + b) == [a, b]
-
-    def step(self, state: int, ch: str) -> tuple[int, int]:
-        """(next state, change of the token count) on one character."""
-        found = self.edges[state].get(ch)
-        if found is None:
-            found = self.edges[state][ch] = self._step(self.listed[state], ch)
-        return found
+        """Whether the encoding of a + b is [a, b]: no merge across the seam comes before those within a and b.
+
+        The merges that made a and b are undone from the last one back, so that at every time the two tokens at the
+        seam are known. Among equal scores the left one is merged first.
+        """
+        before = float("inf")
+        while True:
+            if (r := self.order.get(a + b)) is not None and r < before:
+                return False
+            split_a, split_b = self.split.get(a), self.split.get(b)
+            if split_b is not None and (split_a is None or self.order[b] >= self.order[a]):
+                before, b = self.order[b] + 0.5, split_b[0]
+            elif split_a is not None:
+                before, a = self.order[a], split_a[1]
+            else:
+                return True
 
     def _step(self, live: State, ch: str) -> tuple[int, int]:
+        """(next state, change of the token count) on one character."""
         if ch not in self.pieces:  # unknown: one byte token for each byte, and nothing joins over it
             return 0, len(ch.encode())
         last, tokens = "", 0
@@ -104,19 +118,29 @@ class Transducer:
 
     def chunk_map(self, state: int, chunk: str) -> tuple[int, int]:
         """The map of a chunk at an entry state: exit state and tokens."""
-        count = 0
+        count, edges = 0, self.edges
         for ch in chunk:
-            state, change = self.step(state, ch)
+            found = edges[state].get(ch)
+            if found is None:
+                found = edges[state][ch] = self._step(self.listed[state], ch)
+            state, change = found
             count += change
         return state, count
 
-    def count_unit(self, unit: str) -> int:
-        """Tokens of a unit that is read from the first state: maps of its parts, composed left to right."""
-        if len(unit) <= CHUNK_CHARS:
-            return self.chunk_map(0, unit)[1]
+    def chunks_of(self, unit: str) -> list[str]:
+        """The unit cut between characters that stand together in no piece: nothing joins there, nor looks over it."""
+        if unit.lstrip(SPACE).isalpha():  # mostly whole; a cut is never needed
+            return [unit]
+        at = [0, *(i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.pairs), len(unit)]
+        return [unit[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def count_chunk(self, chunk: str) -> int:
+        """Tokens of a chunk that is read from the first state: maps of its parts, composed left to right."""
+        if len(chunk) <= CHUNK_CHARS:
+            return self.chunk_map(0, chunk)[1]
         state, total = 0, 0
-        for lo in range(0, len(unit), CHUNK_CHARS):
-            key = (state, unit[lo : lo + CHUNK_CHARS])
+        for lo in range(0, len(chunk), CHUNK_CHARS):
+            key = (state, chunk[lo : lo + CHUNK_CHARS])
             if key not in self.maps:
                 self.maps[key] = self.chunk_map(*key)
             state, count = self.maps[key]
@@ -126,10 +150,10 @@ class Transducer:
 
 class Counter:
     def __init__(self, path: str):
-        self.machine, self.memo = Transducer(path), Memo(CACHE_CHUNKS)
+        self.machine, self.memo, self.chunks = Transducer(path), Memo(CACHE_UNITS), Memo(CACHE_CHUNKS)
 
     def units(self, text: str) -> list[str]:
-        """Chunks between returns to the first state; sentencepiece puts one space mark before a non-empty text."""
+        """Units between returns to the first state; sentencepiece puts one space mark before a non-empty text."""
         return _UNITS.findall((SPACE + text).replace(" ", SPACE)) if text else []
 
     def count(self, texts: list[str]) -> np.ndarray:
@@ -138,8 +162,12 @@ class Counter:
         if len(self.machine.listed) > CACHE_STATES or len(self.machine.maps) > CACHE_STATES:
             self.machine.reset()
         known = self.memo.now
-        for u in new:
-            known[u] = self.machine.count_unit(u)
+        cut_new = [self.machine.chunks_of(u) for u in new]
+        of_chunk = self.chunks
+        for x in of_chunk.missing({x for xs in cut_new for x in xs}):
+            of_chunk.now[x] = self.machine.count_chunk(x)
+        for u, xs in zip(new, cut_new, strict=True):
+            known[u] = sum(map(of_chunk.now.__getitem__, xs))
         sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
         flat = np.fromiter((known[u] for us in cut for u in us), dtype=np.int64, count=int(sizes.sum()))
         scan = np.concatenate([[0], np.cumsum(flat)])
@@ -155,6 +183,7 @@ def counter(path: str) -> Counter:
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
+        rare_gc()
         for batch in chunks(batches, "text", 4 << 20):
             text = batch.column(1)
             size = pc.binary_length(text).cast(pa.int64())
