@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, SpaceUnits, bounded_batches, chunks, fresh, text_or_empty
+from .common import Memo, SpaceUnits, bounded_batches, chunks, rare_gc, text_or_empty
 
 CACHE_WORDS, CACHE_PARTS = 1_000_000, 500_000
 LONG_WORD = 512
@@ -166,6 +166,7 @@ def codec(path: str, pattern: str) -> Codec:
 def _digests(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        rare_gc()
         for batch in chunks(batches, "text", 4 << 20):
             counts, ids, decoded = [], [], []
             for decimal, data in c.read(batch.column(1).to_pylist()):
@@ -185,31 +186,33 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc
     return out.withColumnRenamed("key", key)
 
 
-def _encoder(path: str, pattern: str, at: int):
+def _both(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        rare_gc()
         for batch in chunks(batches, "text", 4 << 20):
-            ids = pa.array([list(map(int, x.split())) for x, _ in c.read(batch.column(at).to_pylist())], pa.list_(pa.int32()))
-            yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
+            ids, decoded = [], []
+            for decimal, data in c.read(batch.column(1).to_pylist()):
+                ids.append(np.array(decimal.split(), dtype=np.int32))
+                decoded.append(data)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, dtype=np.int32)))
+            yield pa.record_batch([batch.column(0), lists, pa.array(np.diff(ends).astype(np.int64)), pa.array(decoded, pa.binary()).cast(pa.string())], names=["key", "ids", "n_tokens", "decoded"])
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with an array<int> column of token ids; null texts have none."""
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, ids, n_tokens, decoded (the text that the ids decode to; null texts give an empty one)."""
     bounded_batches(docs.sparkSession)
-    plain = [f"c{i}" for i in range(len(docs.columns))]
-    at = docs.columns.index(text)
-    rows = docs.toDF(*plain).withColumn("text", text_or_empty(plain[at]))
-    schema = ", ".join([*(f"{c} {f.dataType.simpleString()}" for c, f in zip(rows.columns, rows.schema.fields, strict=True)), "ids array<int>"])
-    done = rows.mapInArrow(_encoder(path, pattern, len(plain)), schema).drop("text")
-    (name,) = fresh(docs, out)
-    return done.toDF(*docs.columns, name)
+    rows = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
+    return rows.mapInArrow(_both(path, pattern), f"key {docs.schema[key].dataType.simpleString()}, ids array<int>, n_tokens long, decoded string").withColumnRenamed("key", key)
 
 
 def _decoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
+        rare_gc()
         for batch in batches:
             sequences = [x or [] for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(c.decode_words(sequences), pa.binary())], names=["key", "bytes"])
