@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, SpaceUnits, bounded_batches, chunks, scratch_path, text_or_empty
+from .common import Memo, SpaceUnits, bounded_batches, chunks, rare_gc, scratch_path, text_or_empty
 
 MAGIC, VERSION = b"TWRP", 1
 SHARD_IDS = 2_000_000
@@ -231,6 +231,7 @@ class Shard:
 def _pack_batches(path: str, pattern: str, end: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern, end)
+        rare_gc()
         part = TaskContext.get().partitionId()
         keys: list[int | None] = []
         held: list[bytes] = []
