@@ -9,32 +9,63 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.identity import HEX_SHA256, file_identity
 from ..functions.quantize import quantize_texts
 
-#: Numbers are taken from the text as it stands: a JSON reader would turn them into doubles.
-_ANNOTATION = "id bigint, image_id bigint, category_id int, precedence int, iscrowd int"
+def _parsed(rows: DataFrame, value: str, items: str, schema: T.StructType, carry: list[str]) -> DataFrame:
+    """One row per element of the array ``items`` of JSON texts: ``carry`` columns, ``nth`` and the fields of ``schema``.
+
+    Spark's JSON reader turns numbers into doubles on the way to text, so numbers are kept as they stand here: string
+    fields get the digits of the source.
+    """
+    out = T.StructType([rows.schema[c] for c in carry] + [T.StructField("nth", T.IntegerType())] + list(schema.fields))
+
+    def cast(v, kind):
+        if v is None:
+            return None
+        if isinstance(kind, T.ArrayType):
+            return [None if e is None else str(e) for e in v] if isinstance(v, list) else []
+        try:
+            return str(v) if isinstance(kind, T.StringType) else int(v)
+        except ValueError:
+            return None
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(value)).to_pylist()
+            for i, text in enumerate(texts):
+                whole = json.loads(text, parse_float=str, parse_int=str, parse_constant=str)
+                found = whole.get(items) or []
+                for lo in range(0, len(found), 20_000):
+                    some = found[lo : lo + 20_000]
+                    kept = [pa.array(batch.column(batch.schema.get_field_index(c)).slice(i, 1).to_pylist() * len(some), batch.schema.field(c).type) for c in carry]
+                    fields = [pa.array([cast(e.get(f.name), f.dataType) for e in some], to_arrow_type(f.dataType)) for f in schema.fields]
+                    yield pa.record_batch([*kept, pa.array(range(lo, lo + len(some)), pa.int32()), *fields], names=out.names)
+
+    return rows.select(value, *carry).mapInArrow(run, out)
+
+
+def _fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
 
 def annotation_documents(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """images, categories and annotations of documents with one JSON object a file; ordinals are 0-based per file.
 
-    Boxes keep their number texts, in ``bbox_text``; ``box`` is the exact quantization of those.
+    Boxes keep their number texts, in ``bbox``; ``box`` is the exact quantization of those.
     """
     docs = spark.read.text(path, wholetext=True).withColumn("source_file", file_identity(F.col("_metadata.file_path")))
-    image = "array<struct<id:bigint,file_name:string,width:int,height:int>>"
-    parsed = docs.select("source_file", F.from_json("value", f"images {image}, categories array<struct<id:int,name:string>>, annotations array<string>").alias("d"))
-    notes = parsed.select("source_file", F.posexplode("d.annotations").alias("ordinal", "raw"))
-    # [^]]* cannot leave the array: a box holds numbers only.
-    inner = F.regexp_extract("raw", r'"bbox"\s*:\s*\[([^\]]*)\]', 1)
-    texts = F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(inner, ","), lambda s: F.trim(F.regexp_replace(s, '"', ""))))
-    notes = notes.select("source_file", "ordinal", F.from_json("raw", _ANNOTATION).alias("a"), texts.alias("bbox_text"))
-    notes = notes.select("source_file", "ordinal", "a.*", "bbox_text").withColumn("q", quantize_texts(F.col("bbox_text")))
+    whole, number, text = T.LongType(), T.IntegerType(), T.StringType()
+    images = _parsed(docs, "value", "images", _fields(id=whole, file_name=text, width=number, height=number), ["source_file"])
+    notes = _parsed(docs, "value", "annotations", _fields(id=whole, image_id=whole, category_id=number, precedence=number, iscrowd=number, bbox=T.ArrayType(text)), ["source_file"])
+    notes = notes.withColumn("q", quantize_texts(F.col("bbox")))
     return {
-        "images": parsed.select("source_file", F.posexplode("d.images").alias("ordinal", "i")).select("source_file", "ordinal", "i.*").withColumn("identity", file_identity(F.col("file_name"))),
-        "categories": parsed.select("source_file", F.explode("d.categories").alias("c")).select("source_file", "c.*"),
-        "annotations": notes.select("*", "q.box", "q.reason").drop("q"),
+        "images": images.withColumnRenamed("nth", "ordinal").withColumn("identity", file_identity(F.col("file_name"))),
+        "categories": _parsed(docs, "value", "categories", _fields(id=number, name=text), ["source_file"]).drop("nth"),
+        "annotations": notes.withColumnRenamed("nth", "ordinal").select("*", "q.box", "q.reason").drop("q"),
     }
 
 
@@ -78,10 +109,11 @@ def page_results(spark: SparkSession, path: str) -> DataFrame:
 
     register(spark)
     rows = spark.read.format("numbered_lines").option("path", path).load()
-    page = rows.select("source_file", F.col("line").alias("prediction_jsonl_line"), "record", F.from_json("value", "page_id string, status string, predictions array<string>").alias("p"))
-    flat = page.select("source_file", "prediction_jsonl_line", "record", "p.page_id", "p.status", F.posexplode_outer("p.predictions").alias("nth", "raw"))
-    text = lambda n: F.regexp_extract("raw", rf'"{n}"\s*:\s*"?([^,"}}]+)"?', 1)
-    return flat.select("source_file", "prediction_jsonl_line", "page_id", "status", "nth", F.get_json_object("raw", "$.prediction_index").cast("int").alias("rank"), F.get_json_object("raw", "$.query_index").cast("int").alias("query"), F.get_json_object("raw", "$.label").cast("int").alias("label"), text("score").alias("score"), *[text(c).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    page = rows.select("source_file", F.col("line").alias("prediction_jsonl_line"), "value", F.get_json_object("value", "$.page_id").alias("page_id"), F.get_json_object("value", "$.status").alias("status"))
+    number, text = T.IntegerType(), T.StringType()
+    fields = _fields(prediction_index=number, query_index=number, label=number, score=text, x0=text, y0=text, x1=text, y1=text)
+    flat = _parsed(page, "value", "predictions", fields, ["source_file", "prediction_jsonl_line", "page_id", "status"])
+    return flat.withColumnsRenamed({"prediction_index": "rank", "query_index": "query"})
 
 
 def footprints_geojson(spark: SparkSession, path: str, member: str | None = None) -> DataFrame:
