@@ -28,21 +28,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, SpaceUnits, bounded_batches, chunks, rare_gc, scratch_path, text_or_empty
+from .common import bounded_batches, chunks, rare_gc, scratch_path, text_or_empty
+from .pieces import PieceTable
 
 MAGIC, VERSION = b"TWRP", 1
 SHARD_IDS = 2_000_000
 BASE = 50257
 MAX_RULES = 65536 - BASE  # symbols then fit in two bytes
 MIN_COUNT = 8
-ROUNDS = 8
+ROUNDS = 5
 ACCESS_EVERY = 1024
-CACHE_WORDS, CACHE_PARTS = 1_000_000, 500_000
+CACHE_WORDS = 3_000_000
 WORDS_PER_CALL = 20_000
 _HASH_BITS = 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -57,26 +57,37 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.cut = regex.compile(pattern).findall
-        self.memo = Memo(CACHE_WORDS)
-        self.parts = SpaceUnits(CACHE_PARTS, self._learn)
-        self.end = np.array([end], dtype="<u4").tobytes()
-
-    def _learn(self, parts: list[str]) -> list[bytes]:
-        cut = [self.cut(p) for p in parts]
-        new = self.memo.missing({w for ws in cut for w in ws})
-        known = self.memo.now
-        for lo in range(0, len(new), WORDS_PER_CALL):
-            some = new[lo : lo + WORDS_PER_CALL]
-            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(found.ids, dtype="<u4").tobytes()
-            ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some)))).tolist()
-            known.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
-        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
+        self.end = end
+        self.pieces = PieceTable(CACHE_WORDS, self._learn, self._forget, pattern)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids, self.used, self.ends, self.n = np.empty(1 << 20, dtype=np.uint32), 0, np.zeros(1 << 20, dtype=np.int64), 0
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids and the end id, as little-endian unsigned 32-bit integers."""
-        return [b"".join([*parts, self.end]) for parts in self.parts.read(texts)]
+    def _learn(self, pieces: list[str]) -> None:
+        """Append the ids of new pieces; arrays double when they are full."""
+        for lo in range(0, len(pieces), WORDS_PER_CALL):
+            some = pieces[lo : lo + WORDS_PER_CALL]
+            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, dtype=np.uint32)
+            counts = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some))
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            while self.n + len(some) >= len(self.ends):
+                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.ends[self.n + 1 : self.n + 1 + len(some)] = self.used + np.cumsum(counts)
+            self.used, self.n = self.used + len(ids), self.n + len(some)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, an end id after each; ids of each text with its end id)."""
+        numbers, pieces = self.pieces.read(texts)
+        begin = self.ends[numbers]
+        size = self.ends[numbers + 1] - begin
+        after = np.cumsum(size)
+        ids = self.ids[np.repeat(begin - (after - size), size) + np.arange(int(size.sum()))]
+        last = np.concatenate([[0], after])[np.cumsum(pieces)]
+        return np.insert(ids, last, self.end), np.diff(last, prepend=0) + 1
 
 
 @lru_cache(maxsize=2)
@@ -165,7 +176,9 @@ def expand(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int =
 
 
 def pack(keys: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
-    """One shard's bytes. ``ends``: where each document ends in ``ids``."""
+    """One shard's bytes. ``ends``: where each document ends in ``ids``, which are below ``BASE``."""
+    if len(ids) and int(ids.max()) >= BASE:
+        raise ValueError("an id is outside the vocabulary")
     rules, lengths, seq = grammar(ids)
     size = np.concatenate([np.ones(BASE, dtype=np.int64), lengths])[seq]
     access = (np.cumsum(size) - size)[::ACCESS_EVERY]
@@ -234,24 +247,29 @@ def _pack_batches(path: str, pattern: str, end: int, shard_ids: int):
         rare_gc()
         part = TaskContext.get().partitionId()
         keys: list[int | None] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        counts: list[int] = []
         size = number = start = 0
 
         def close() -> pa.RecordBatch:
-            ends = np.cumsum(np.fromiter(map(len, held), dtype=np.int64, count=len(held))) // 4
-            blob = pack(keys, ends, np.frombuffer(b"".join(held), dtype="<u4"))
+            blob = pack(keys, np.cumsum(counts), np.concatenate(held))
             return pa.record_batch([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()), pa.array([size], pa.int64()), pa.array([blob], pa.binary())], names=["part", "number", "start_in_part", "n_ids", "shard"])
 
         for batch in chunks(batches, "text", 4 << 20):
-            for key, ids in zip(batch.column(0).to_pylist(), e.encode(batch.column(1).to_pylist()), strict=True):
-                n = len(ids) // 4
-                if held and size + n > shard_ids:
+            ids, sizes = e.encode(batch.column(1).to_pylist())
+            at = 0  # ids of this batch that are already in a shard's list
+            to = 0
+            for key, n in zip(batch.column(0).to_pylist(), sizes.tolist(), strict=True):
+                if counts and size + n > shard_ids:
+                    held.append(ids[at:to])
                     yield close()
-                    number, start, keys, held, size = number + 1, start + size, [], [], 0
+                    number, start, keys, held, counts, size, at = number + 1, start + size, [], [], [], 0, to
                 keys.append(key)
-                held.append(ids)
+                counts.append(n)
                 size += n
-        if held:
+                to += n
+            held.append(ids[at:to])
+        if counts:
             yield close()
 
     return run
