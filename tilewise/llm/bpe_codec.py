@@ -23,15 +23,15 @@ from functools import lru_cache
 import duckdb
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, SpaceUnits, bounded_batches, chunks, rare_gc, text_or_empty
+from .common import bounded_batches, chunks, own_worker, rare_gc, text_or_empty
+from .pieces import PieceTable
 
-CACHE_WORDS, CACHE_PARTS = 1_000_000, 500_000
+CACHE_WORDS = 1_500_000
 LONG_WORD = 512
-WORDS_PER_QUERY = 50_000
+WORDS_PER_QUERY = 20_000
 
 _ENCODE = """
 CREATE OR REPLACE TEMP TABLE ids AS
@@ -72,11 +72,11 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        self.cut = regex.compile(pattern).findall
-        self.memo = Memo(CACHE_WORDS)
-        self.parts = SpaceUnits(CACHE_PARTS, self._learn)
+        self.decimal: list[bytes] = []
+        self.data: list[bytes] = []
+        self.pieces = PieceTable(CACHE_WORDS, self._learn, self._forget, pattern)
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "preserve_insertion_order": "false"})
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "300MB", "preserve_insertion_order": "false", "allocator_flush_threshold": "16MB"})
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         a, b, r = zip(*merges, strict=True) if merges else ((), (), ())
         self._table("merges", {"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "rank": pa.array(r, pa.int32())})
@@ -140,33 +140,43 @@ class Codec:
         self._table("ids", {"word": np.repeat(np.arange(len(words)), size).astype(np.int32), "pos": pos.astype(np.int32), "id": ids})
         return [data for _, data in self._decoded(len(words))]
 
-    def _learn(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Of parts of texts: decimal ids joined by a space, and the bytes decoded from the ids."""
-        cut = [self.cut(p) for p in parts]
-        new = self.memo.missing({w for ws in cut for w in ws})
-        known = self.memo.now
-        for lo in range(0, len(new), WORDS_PER_QUERY):
-            some = new[lo : lo + WORDS_PER_QUERY]
+    def _learn(self, words: list[str]) -> None:
+        """Decimal ids joined by a space, and the bytes decoded from the ids, of new pieces."""
+        for lo in range(0, len(words), WORDS_PER_QUERY):
+            some = words[lo : lo + WORDS_PER_QUERY]
             self._encode(some)
-            known.update(zip(some, self._decoded(len(some)), strict=True))
-        return [(b" ".join([known[w][0] for w in ws]), b"".join([known[w][1] for w in ws])) for ws in cut]
+            for decimal, data in self._decoded(len(some)):
+                self.decimal.append(decimal)
+                self.data.append(data)
+
+    def _forget(self) -> None:
+        self.decimal.clear()
+        self.data.clear()
 
     def read(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Of each text: decimal ids joined by a space, and the bytes decoded from the ids."""
-        for parts in self.parts.read(texts):
-            ids, data = zip(*parts, strict=True) if parts else ((), ())
-            yield b" ".join(ids), b"".join(data)
+        numbers, sizes = self.pieces.read(texts)
+        every, at = numbers.tolist(), 0
+        for n in sizes.tolist():
+            own = every[at : at + n]
+            at += n
+            yield b" ".join(map(self.decimal.__getitem__, own)), b"".join(map(self.data.__getitem__, own))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def _worker_codec(path: str, pattern: str) -> Codec:
+    own_worker("bpe", codec.cache_clear)
+    rare_gc()
+    return codec(path, pattern)
+
+
 def _digests(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        rare_gc()
+        c = _worker_codec(path, pattern)
         for batch in chunks(batches, "text", 4 << 20):
             counts, ids, decoded = [], [], []
             for decimal, data in c.read(batch.column(1).to_pylist()):
@@ -188,8 +198,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc
 
 def _both(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        rare_gc()
+        c = _worker_codec(path, pattern)
         for batch in chunks(batches, "text", 4 << 20):
             ids, decoded = [], []
             for decimal, data in c.read(batch.column(1).to_pylist()):
@@ -211,8 +220,7 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_
 
 def _decoder(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        rare_gc()
+        c = _worker_codec(path, pattern)
         for batch in batches:
             sequences = [x or [] for x in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(c.decode_words(sequences), pa.binary())], names=["key", "bytes"])

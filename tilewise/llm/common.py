@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -99,6 +101,24 @@ def rare_gc() -> None:
     gc.set_threshold(200_000, 50, 100)
 
 
+_release: dict[str, Callable[[], None]] = {}
+
+
+def own_worker(name: str, release: Callable[[], None] | None = None) -> None:
+    """Called as an operator's task begins: frees what other operators keep in this worker, which serves them in turn.
+
+    ``release`` empties this operator's own caches once another one takes the worker over.
+    """
+    others = [k for k in _release if k != name]
+    for k in others:
+        _release.pop(k)()
+    if others:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+    _release[name] = release or (lambda: None)
+
+
 class Memo:
     """Results by key, for at most ``limit`` keys: what was not used for a while goes, common keys stay."""
 
@@ -117,40 +137,3 @@ class Memo:
                 else:
                     out.append(k)
         return out
-
-
-class SpaceUnits:
-    """Values of the parts of texts between spaces, for patterns that no match crosses.
-
-    A byte-level BPE pattern never matches from a non-space on to a space, so a text may be cut before every space that
-    follows a non-space: each part is then cut by the pattern as it would be within the whole text. ``learn`` gives the
-    values of parts; those of at most ``limit`` parts are kept.
-    """
-
-    def __init__(self, limit: int, learn):
-        self.memo, self.learn = Memo(limit), learn
-
-    def read(self, texts: list[str]) -> list[list]:
-        """For each text, the values of its parts in order."""
-        split = [t.split(" ") if t else [] for t in texts]
-        new = self.memo.missing({p for parts in split for p in parts[1:]})
-        known = self.memo.now
-        safe = [p for p in new if p and not p[-1].isspace()]
-        known.update(dict.fromkeys(new))
-        known.update(zip(safe, self.learn([" " + p for p in safe]), strict=True))
-        tails = [list(map(known.__getitem__, parts[1:])) for parts in split]
-        odd = [self._joined(parts) if None in tail else [p for p in parts[:1] if p] for parts, tail in zip(split, tails, strict=True)]
-        once = list({u for units in odd for u in units})
-        value = dict(zip(once, self.learn(once), strict=True))
-        return [[value[u] for u in units] if None in tail else [*(value[u] for u in units), *tail] for units, tail in zip(odd, tails, strict=True)]
-
-    @staticmethod
-    def _joined(parts: list[str]) -> list[str]:
-        """The parts of a text with spaces after other white space, cut only where that is safe."""
-        out = [parts[0]]
-        for p in parts[1:]:
-            if out[-1] and not out[-1][-1].isspace():
-                out.append(" " + p)
-            else:
-                out[-1] += " " + p
-        return [p for p in out if p]

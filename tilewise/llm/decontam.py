@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, bounded_batches, chunks, text_or_empty
+from .common import WORD, bounded_batches, chunks, own_worker, text_or_empty
 
 WINDOW = 10
 SAMPLE_EVERY = 32
@@ -291,6 +291,7 @@ def _each_block(blocks: list) -> Iterator[Phrases]:
 
 def _shards(batches: Iterator[pa.RecordBatch], column: str, blocks: list) -> Iterator[tuple[pa.RecordBatch, ShardHits, np.ndarray]]:
     """(rows, hits of the different texts, text number of each row); small batches are searched together."""
+    own_worker("decontamination")
     held: list[pa.RecordBatch] = []
     size = 0
 

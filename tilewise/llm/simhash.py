@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, fresh, join_back, text_or_empty, written
+from .common import bounded_batches, chunks, fresh, join_back, own_worker, text_or_empty, written
 
 SHINGLE = 4
 SEED = 42
@@ -61,6 +61,7 @@ def _majority(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own_worker("fingerprints")
     for batch in chunks(batches, "text", 2 << 20):
         per_doc = [shingle_hashes(t) for t in batch.column(1).to_pylist()]
         counts = np.array([len(h) for h in per_doc], dtype=np.int64)

@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, bounded_batches, chunks, rare_gc, text_or_empty
+from .common import Memo, bounded_batches, chunks, own_worker, rare_gc, text_or_empty
 
 SPACE = "▁"
 CHUNK_CHARS = 64
@@ -175,13 +175,14 @@ class Counter:
         return scan[ends] - scan[ends - sizes]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def counter(path: str) -> Counter:
     return Counter(path)
 
 
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("token counts", counter.cache_clear)
         c = counter(path)
         rare_gc()
         for batch in chunks(batches, "text", 4 << 20):

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, rare_gc, scratch_path, text_or_empty
+from .common import bounded_batches, chunks, own_worker, rare_gc, scratch_path, text_or_empty
 from .pieces import PieceTable
 
 MAGIC, VERSION = b"TWRP", 1
@@ -90,7 +90,7 @@ class Encoder:
         return np.insert(ids, last, self.end), np.diff(last, prepend=0) + 1
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str, pattern: str, end: int) -> Encoder:
     return Encoder(path, pattern, end)
 
@@ -243,6 +243,7 @@ class Shard:
 
 def _pack_batches(path: str, pattern: str, end: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("token shards", encoder.cache_clear)
         e = encoder(path, pattern, end)
         rare_gc()
         part = TaskContext.get().partitionId()
