@@ -10,7 +10,39 @@ def _templates() -> str:
     return ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
 
 
+def _next_words() -> str:
+    return ", ".join(f"lead(word, {k}) OVER w AS w{k}" for k in range(1, 10))
+
+
+def _windows_at() -> str:
+    """The n words from each place on, for n from 1 to 10."""
+    parts = [f"SELECT rid, i, {n} AS n, concat_ws(' ', {', '.join(['word', *(f'w{k}' for k in range(1, n))])}) AS words FROM placed WHERE {'true' if n == 1 else f'w{n - 1} IS NOT NULL'} AND {n} IN (SELECT n FROM win)" for n in range(1, 11)]
+    return " UNION ALL ".join(parts)
+
+
 ORACLES: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH b AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM benchmark
+        ), cut AS (
+            SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0
+        ), win AS (
+            SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i : i + 9], ' ') AS words FROM cut
+        ), d AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents
+        ), flat AS (
+            SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+        ), placed AS (
+            SELECT rid, i, word, {_next_words()} FROM flat WINDOW w AS (PARTITION BY rid ORDER BY i)
+        ), occ AS (
+            SELECT rid, i, n, item FROM ({_windows_at()}) JOIN win USING (n, words)
+        ), hits AS (
+            SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM occ) GROUP BY rid
+        ), items AS (
+            SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, item FROM occ) GROUP BY rid
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)""",
     "op3_url_filter": r"""
         WITH p AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
