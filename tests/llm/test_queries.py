@@ -1,0 +1,240 @@
+"""The registered queries: against SQL where there is some, against plain Python otherwise, on edge cases and on sf0.001."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import cases
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from compare import assert_same, connect
+
+from tilewise.llm.queries import ORACLES, QUERIES
+
+
+def documents(spark, path):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def result(spark, path, name, *columns):
+    return Counter(tuple(r) for r in QUERIES[name](spark, path).select(*columns).collect())
+
+
+@pytest.fixture(params=["edge cases", "sf0.001"])
+def path(request, tables, sf_dir):
+    return tables[0] if request.param == "edge cases" else sf_dir
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_sql(spark, sf_dir, name):
+    assert_same(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name])
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables_give_empty_results(spark, tables, name):
+    assert QUERIES[name](spark, tables[1]).count() == 0
+
+
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words(text):
+    return re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_op1(spark, path):
+    windows = defaultdict(set)
+    for r in spark.read.parquet(f"{path}/benchmark.parquet").collect():
+        w = words(r.text)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows[tuple(w[i : i + 10])].add("null" if r.item_id is None else str(r.item_id))
+    sizes = {len(w) for w in windows}
+    expected = Counter()
+    for doc_id, text in documents(spark, path):
+        w, hit, items = words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if found := windows.get(tuple(w[i : i + n])):
+                    items |= found
+                    hit.update(range(i, i + n))
+        expected[doc_id, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)] += 1
+    assert result(spark, path, "op1_decontamination", "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected
+
+
+def test_op2(spark, path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    docs = sorted(documents(spark, path), key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))
+    expected, start = Counter(), 0
+    for doc_id, text in docs:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        expected[doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())] += 1
+        start += len(ids)
+    assert result(spark, path, "op2_token_shards", "doc_id", "start", "n_tokens", "ids_crc32") == expected
+
+
+def test_op3_edge_cases(spark, tables):
+    got = {(r.page_id, r.host, r.path): (r.rule, r.verdict) for r in QUERIES["op3_url_filter"](spark, tables[0]).collect()}
+    assert got[1, "www.example.com", "/en/1"] == ("www.example.com/en/", "allow")
+    assert got[2, "blog.example.com", "/en/2"] == ("example.com/en/", "block")
+    assert got[3, "a.example.net", "/es/3"] == ("net/es/", "block")
+    assert got[4, "xnet", "/es/3"] == (None, "allow")
+    assert got[5, "", ""] == got[6, "", ""] == (None, "allow")
+    assert got[7, "spam-farm.example.org", "/"] == (None, "block")
+    assert got[8, "notspam-farming.example.org", "/a"] == (None, "allow")
+    assert got[9, "foo.com", ""] == (None, "allow")
+    assert got[10, "foo.com", "/"] == ("com/", "allow")
+    assert got[11, "net", "/fr/"] == ("net/fr/", "block")
+    assert got[12, "a.net", "/fr"] == got[13, "a.net:80", "/fr/"] == (None, "allow")
+    assert got[14, "example.com", "/en/"] == ("example.com/en/", "block")
+    assert sum(1 for _ in QUERIES["op3_url_filter"](spark, tables[0]).collect()) == len(cases.PAGES)
+
+
+def test_op3_joined_rules_judge_alike(spark, tables, monkeypatch):
+    from tilewise.llm import url_filter
+
+    expected = result(spark, tables[0], "op3_url_filter", "page_id", "host", "path", "rule", "verdict")
+    monkeypatch.setattr(url_filter, "MAX_INLINE_RULES", 0)
+    assert result(spark, tables[0], "op3_url_filter", "page_id", "host", "path", "rule", "verdict") == expected
+
+
+def test_op4_records_are_linked(spark, tables):
+    import base64
+
+    rows = QUERIES["op4_warc_derivatives"](spark, tables[0]).collect()
+    pages = Counter((p[0], p[1]) for p in cases.PAGES)
+    assert len(rows) == 2 * len(cases.PAGES)
+    html = defaultdict(set)
+    for i, u, h in cases.PAGES:
+        html[i, u].add("sha1:" + base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode())
+    for r in rows:
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        assert head.startswith(b"WARC/1.1\r\n") and rest.endswith(b"\r\n\r\n")
+        block = rest[: int(fields["Content-Length"])]
+        assert len(rest) == len(block) + 4 and r.block_length == len(block)
+        assert fields["WARC-Block-Digest"] == r.block_digest == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
+        assert fields["WARC-Refers-To"] == r.refers_to and fields["WARC-Type"] == r.warc_type and fields["WARC-Record-ID"] == r.record_id
+        assert fields.get("WARC-Target-URI") == r.target_uri and r.source_digest in html[r.page_id, r.target_uri]
+    by = Counter((r.page_id, r.target_uri, r.warc_type) for r in rows)
+    assert all(by[i, u, t] == n for (i, u), n in pages.items() for t in ("metadata", "conversion"))
+
+
+def test_op4_text_and_links():
+    import json
+
+    from tilewise.llm import warc
+
+    meta, text = warc.derive("<urn:x>", cases.PAGES[0][1], None, {"Content-Type": "text/html"}, cases.PAGES[0][2])
+    body = lambda r: r["record"].partition(b"\r\n\r\n")[2][: r["block_length"]].decode()
+    assert body(text) == "A & B\nHi\none\ntwo\nl"
+    about = json.loads(body(meta))
+    assert about["links"] == ["https://www.example.com/x?a=1&b=2"] and about["title"] == "A & B"
+    assert about["conversion"] == text["record_id"] and about["http-headers"] == {"Content-Type": "text/html"}
+    assert warc.plain_text("plain < text > & more &lt;b&gt;") == "plain < text > & more <b>"
+
+
+def test_op5_edge_cases(spark, tables):
+    groups = defaultdict(list)
+    for doc_id, text in documents(spark, tables[0]):
+        groups[text or ""].append(doc_id)
+    expected = Counter()
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        first = True
+        for i in ids:
+            kept = i == keep and first
+            first = first and not kept
+            expected[i, keep, len(ids), kept, hashlib.sha256(text.encode()).hexdigest()] += 1
+    assert result(spark, tables[0], "op5_exact_dedup", "doc_id", "keep_id", "group_size", "kept", "text_sha256") == expected
+
+
+def test_op5_without_a_filter_gives_the_same(spark, sf_dir, monkeypatch):
+    from tilewise.llm import exact_dedup
+
+    expected = result(spark, sf_dir, "op5_exact_dedup", "doc_id", "keep_id", "kept")
+    monkeypatch.setattr(exact_dedup, "MAX_CELLS", 0)
+    assert result(spark, sf_dir, "op5_exact_dedup", "doc_id", "keep_id", "kept") == expected
+
+
+def test_op6(spark, path):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    expected = Counter((i, len((t or "").encode()), n := len(library.encode(t or "")), n > 4096) for i, t in documents(spark, path))
+    assert result(spark, path, "op6_token_counts", "doc_id", "n_bytes", "n_tokens", "over_limit") == expected
+
+
+def test_op7(spark, path):
+    import tiktoken
+
+    from tilewise.llm.bpe_codec import read_ranks
+
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    expected = Counter()
+    for i, t in documents(spark, path):
+        ids = library.encode_ordinary(t or "")
+        expected[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    assert result(spark, path, "op7_bpe_round_trip", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == expected
+
+
+def test_op8_edge_cases(spark, tables):
+    phrases = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+    got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in QUERIES["op8_license_scan"](spark, tables[0]).collect()}
+    expected = set()
+    for i, t in documents(spark, tables[0]):
+        w = words(t)
+        at = [(k, label) for p, label in phrases for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+        places = [k for k, _ in at]
+        expected.add((i, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))))
+    assert got == expected
+    labels = {r.doc_id: r.labels for r in QUERIES["op8_license_scan"](spark, tables[0]).collect()}
+    assert labels[18] == "cc-by-nc" and labels[17] == "apache,gpl,mit" and labels[7] == ""
+
+
+def test_op9(spark, sf_dir, tables):
+    truth = {r.doc_id: (r.lang, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = QUERIES["op9_language_id"](spark, sf_dir).collect()
+    assert len(rows) == len(truth)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    held = [r.lang_pred == truth[r.doc_id][0] for r in rows if r.held_out]
+    assert sum(held) / len(held) >= 0.97
+    edge = QUERIES["op9_language_id"](spark, tables[0]).collect()
+    text = dict(documents(spark, tables[0]))
+    assert len(edge) == len(cases.rows())
+    for r in edge:
+        if r.doc_id is not None:
+            assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text[r.doc_id] or ""))
+
+
+def fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_op10(spark, path):
+    docs = [(i, fingerprint(t)) for i, t in documents(spark, path)]
+    parent = list(range(len(docs)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if (docs[i][1] ^ docs[j][1]).bit_count() <= 4:
+                parent[root(i)] = root(j)
+    low = {}
+    for k, (i, _) in enumerate(docs):
+        if i is not None:
+            low[root(k)] = min(low.get(root(k), i), i)
+    expected = Counter((i, f"{f:016x}", low.get(root(k))) for k, (i, f) in enumerate(docs))
+    assert result(spark, path, "op10_simhash", "doc_id", "fingerprint", "component_id") == expected

@@ -69,6 +69,7 @@ def text_or_empty(text: str = "text") -> Column:
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` text bytes; one longer text is a slice by itself."""
     for batch in batches:
+        give_back()
         if not batch.num_rows:
             continue
         lengths = pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_numpy(zero_copy_only=False)
@@ -101,6 +102,13 @@ def rare_gc() -> None:
     gc.set_threshold(200_000, 50, 100)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: allocators keep it otherwise, and it counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _release: dict[str, Callable[[], None]] = {}
 
 
@@ -114,8 +122,7 @@ def own_worker(name: str, release: Callable[[], None] | None = None) -> None:
         _release.pop(k)()
     if others:
         gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
     _release[name] = release or (lambda: None)
 
 

@@ -342,7 +342,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text with the byte spans taken out; a line or gap that only held them closes."""
+    """The text with the byte spans taken out; what stood before and after a span is left as it is."""
     raw, out, at = text.encode(), [], 0
     for a, b in spans:
         out.append(raw[at:a])

@@ -82,11 +82,10 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text another row with a larger key has; columns and names unchanged."""
     n_rows = docs.count()
-    maybe, sha = fresh(docs, "maybe_repeated", "text_sha")
+    maybe, sha, keep_id, keep_sha = fresh(docs, "maybe_repeated", "text_sha", "kept_key", "kept_sha")
     rows = possibly_repeated(docs, F.xxhash64(text_or_empty(text)), n_rows, maybe)
     single = rows.where(~F.col(maybe)).drop(maybe)
     some = rows.where(F.col(maybe)).drop(maybe).withColumn(sha, F.sha2(text_or_empty(text), 256))
-    keep = some.groupBy(sha).agg(F.max(key).alias("keep_id"))
-    left, right = some.alias("l"), keep.withColumnRenamed(sha, "keep_sha")
-    kept = left.join(right, (F.col(sha) == F.col("keep_sha")) & F.col(f"l.{key}").eqNullSafe(F.col("keep_id")), "left_semi")
+    keep = some.groupBy(sha).agg(F.max(key).alias(keep_id)).withColumnRenamed(sha, keep_sha)
+    kept = some.join(keep, (F.col(sha) == F.col(keep_sha)) & F.col(key).eqNullSafe(F.col(keep_id)), "left_semi")
     return single.unionByName(kept.dropDuplicates([sha, key]).select(*docs.columns))

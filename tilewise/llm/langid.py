@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, text_or_empty
+from .common import bounded_batches, chunks, own_worker, text_or_empty
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -40,6 +40,8 @@ SHORT_ALLOWANCE = 20.0
 #: Characters that count as independent evidence when cross-entropies become a probability.
 EVIDENCE = 20.0
 UNKNOWN = "und"
+#: Text scored at a time: the working arrays take some fifty times this.
+SCORED_BYTES = 2 << 20
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 _BOUNDARY = 32
@@ -96,7 +98,9 @@ class Model:
         if len(lack):
             rest = at[lack]
             lower = self._prob(k - 1, hashes, rest)
-            if k > 1:
+            if k == 1:
+                lower = lower * self.weights[0][0]  # the empty context
+            else:
                 ctx = _lookup(self.contexts[k - 1], hashes[k - 2][rest - 1])
                 lower = lower * np.where((ctx >= 0)[:, None], self.weights[k - 1][np.maximum(ctx, 0)], 1.0)
             out[lack] = lower
@@ -198,6 +202,7 @@ def may_learn(key: str = "doc_id") -> Column:
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own_worker("language models")
     for batch in chunks(batches, "text"):
         found: dict[tuple[str, str], int] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -208,8 +213,9 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("language models")
         m: Model = model.value
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", SCORED_BYTES):
             entropy, n = m.text_scores(batch.column(1).to_pylist())
             if not m.langs:
                 best, low = [UNKNOWN] * len(n), np.zeros(len(n))
@@ -272,7 +278,7 @@ def keep_known(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scorer(shared)
-        for batch in chunks(batches, plain[at]):
+        for batch in chunks(batches, plain[at], SCORED_BYTES):
             texts = pa.array([t or "" for t in batch.column(at).to_pylist()], pa.string())
             keys = pa.array(np.arange(batch.num_rows))
             drop = np.concatenate([x.column(4).to_numpy(zero_copy_only=False) for x in score(iter([pa.record_batch([keys, texts], names=["key", "text"])]))])

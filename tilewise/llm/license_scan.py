@@ -81,7 +81,7 @@ def token_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text"
 def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with a struct column ``licences``: n_words, n_base, first_word, last_word, base (labels), blocks.
 
-    ``blocks`` lists (block, label, containment): the line's number and every template that it contains.
+    ``blocks`` lists (block, label, containment, common): the line's number and every template that it contains.
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"at most {MAX_TEMPLATES} templates; scan in parts beyond that")
@@ -130,7 +130,7 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
         some = F.array_distinct(F.transform(F.flatten(F.transform(met, reach)), lambda c: c["k"]))
         full = F.transform(some, lambda k: F.struct(F.element_at(table, k + 1).alias("t"), F.size(F.array_intersect(block, F.element_at(table, k + 1)["ranks"])).alias("common")))
         good = F.filter(full, lambda c: c["common"] >= c["t"]["need"])
-        return F.transform(good, lambda c: F.struct(s["i"].alias("block"), c["t"]["label"].alias("label"), (c["common"] / c["t"]["m"]).alias("containment")))
+        return F.transform(good, lambda c: F.struct(s["i"].alias("block"), c["t"]["label"].alias("label"), (c["common"] / c["t"]["m"]).alias("containment"), c["common"].alias("common")))
 
     return docs.withColumn(
         "licences",
@@ -150,8 +150,14 @@ def _joined(labels: Column) -> Column:
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    """Per row: key, n_words, n_base, first_word, last_word, base_labels, labels, score.
+
+    Notices of related licences share most words; of the templates that one line contains, those with the most words
+    in common give the labels.
+    """
     found = scan(docs.select(key, text), text).select(key, "licences.*")
+    most = lambda b: F.array_max(F.transform(F.filter("blocks", lambda x: x["block"] == b["block"]), lambda x: x["common"]))
+    found = found.withColumn("blocks", F.filter("blocks", lambda b: b["common"] == most(b)))
     best = F.coalesce(F.array_max(F.transform("blocks", lambda b: b["containment"])), F.lit(0.0))
     return found.select(
         key,

@@ -271,10 +271,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one named by it. Columns and names are unchanged."""
     found = near_duplicates(docs, key, text)
-    stay = written(found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("stay_key"), F.col("component_id").alias("stay_component")).distinct(), "stay")
-    kept = docs.join(stay, F.col(key).eqNullSafe(F.col("stay_key")), "left_semi")
+    stay_key, nth = fresh(docs, "stay_key", "nth")
+    stay = written(found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(stay_key)).distinct(), "stay")
+    kept = docs.join(stay, F.col(key).eqNullSafe(F.col(stay_key)), "left_semi")
     if kept.count() == stay.count():
         return kept
     # Repeated keys: of rows with one key, the first by text stays (ties: any, as they are equal in key and text).
-    (nth,) = fresh(docs, "nth")
-    return kept.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(text_or_empty(text)))).where(F.col(nth) == 1).drop(nth)
+    first = Window.partitionBy(key).orderBy(text_or_empty(text))
+    return kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)

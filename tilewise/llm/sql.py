@@ -79,8 +79,9 @@ ORACLES: dict[str, str] = {
         ), l AS (
             SELECT DISTINCT doc_id, regexp_extract_all({_LOWER.format("line")}, '{_WORD}') AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
         ), m AS (
-            SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS containment FROM l, t
+            SELECT doc_id, words, label, len(list_intersect(words, tokens)) AS common, len(list_intersect(words, tokens)) / len(tokens) AS containment FROM l, t
             WHERE len(list_intersect(words, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)
+            QUALIFY common = max(common) OVER (PARTITION BY doc_id, words)
         ), g AS (
             SELECT doc_id, list(label) AS labels, max(containment) AS best FROM m GROUP BY doc_id
         ), base AS (

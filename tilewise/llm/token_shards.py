@@ -42,7 +42,7 @@ MAX_RULES = 65536 - BASE  # symbols then fit in two bytes
 MIN_COUNT = 8
 ROUNDS = 5
 ACCESS_EVERY = 1024
-CACHE_WORDS = 3_000_000
+CACHE_WORDS = 2_000_000
 WORDS_PER_CALL = 20_000
 _HASH_BITS = 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -256,7 +256,7 @@ def _pack_batches(path: str, pattern: str, end: int, shard_ids: int):
             blob = pack(keys, np.cumsum(counts), np.concatenate(held))
             return pa.record_batch([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([start], pa.int64()), pa.array([size], pa.int64()), pa.array([blob], pa.binary())], names=["part", "number", "start_in_part", "n_ids", "shard"])
 
-        for batch in chunks(batches, "text", 4 << 20):
+        for batch in chunks(batches, "text", 2 << 20):
             ids, sizes = e.encode(batch.column(1).to_pylist())
             at = 0  # ids of this batch that are already in a shard's list
             to = 0

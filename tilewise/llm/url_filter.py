@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 MAX_INLINE_RULES = 2000
 TOKEN_SPLIT = r"[^a-z0-9]+"
 
@@ -117,9 +119,10 @@ def _judge_joined(pages: DataFrame, url: str, rules: tuple[UrlRule, ...], defaul
     urls = pages.select(F.col(url).alias("u")).distinct().withColumns({"host": host, "path": path})
     urls = urls.withColumn("target", F.concat("host", "path"))
     fits = urls.withColumn("token", F.explode(_tokens(F.col("target")))).join(index, "token").where("target rlike pattern")
-    best = fits.groupBy("u").agg(F.max(F.struct("priority", "name", "verdict", "base")).alias("b"))
-    decided = urls.join(best, F.col("u").eqNullSafe(best["u"]), "left").select(
-        urls["u"].alias("judged_url"),
+    best = fits.groupBy(F.col("u").alias("fit_url")).agg(F.max(F.struct("priority", "name", "verdict", "base")).alias("b"))
+    (judged,) = fresh(pages, "judged_url")
+    decided = urls.join(best, F.col("u").eqNullSafe(F.col("fit_url")), "left").select(
+        F.col("u").alias(judged),
         F.struct("host", "path", F.when(F.col("b.base"), F.col("b.name")).alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict")).alias("url_verdict"),
     )
-    return pages.join(decided, F.col(url).eqNullSafe(F.col("judged_url")), "left").drop("judged_url")
+    return pages.join(decided, F.col(url).eqNullSafe(F.col(judged)), "left").drop(judged)
