@@ -122,3 +122,24 @@ def test_priority_sample_does_not_depend_on_partitioning(spark):
     df = spark.range(1000)
     a = [r.id for r in sampling.priority_sample(df.repartition(3), 25, "s", "id").collect()]
     assert a == [r.id for r in sampling.priority_sample(df.repartition(8), 25, "s", "id").collect()] and len(set(a)) == 25
+
+
+def test_further_checks_fire(spark):
+    shards = spark.createDataFrame([("a", 1, 5), ("a", 6, 9), ("a", 11, 12), ("b", 1, 4), ("b", 3, 2)], "s string, lo int, hi int")
+    assert {r.s: (r.shards, r.gaps, r.overlaps, r.empty) for r in audit.shard_ranges(shards, "s", "lo", "hi").collect()} == {"a": (3, 1, 0, 0), "b": (2, 0, 1, 1)}
+    ids = spark.createDataFrame([("f", 1), ("f", 1), ("f", 2)], "f string, i int")
+    assert tuple(audit.identity_checks(ids, ["f", "i"]).first()) == (2, 1, 2)
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "k int, n string")
+    b = spark.createDataFrame([(1, "x"), (2, "z")], "k int, n string")
+    assert tuple(audit.category_maps(a, b, "k", "n").first()) == (1, 1, 1)
+    boxes = spark.createDataFrame([(0.0, 0.0, 1.0, 2.0, 0, 0, 1000, 2000, 0.5, 1.0), (0.0, 0.0, 1.0, 2.0, 0, 0, 1000, 2001, 5.0, 1.0)], "a double, b double, c double, d double, x0 long, y0 long, x1 long, y1 long, cx double, cy double")
+    report = audit.geometry_checks(boxes, [F.col(c) for c in "abcd"], list(overlap.BOX), [F.col("cx"), F.col("cy")], F.col("cx") < 3)
+    assert {r.check_code: r.failed for r in report.collect()} == {"quantization": 1, "centroid_in_box": 1, "centroid_in_boundary": 1}
+    chosen = spark.createDataFrame([("w", 1), ("w", 1), ("v", 99)], "w string, i int")
+    assert {r.check_code: r.failed for r in audit.selection_gate(chosen, ["w"], "i", 1, 50).collect()} == {"within_limit": 1, "distinct": 1, "in_range": 1}
+
+
+def test_contract_problems():
+    contract = {"top_k": 100, "postprocessing": {"operator": ">", "nms": False}}
+    assert audit.contract_problems(contract, {"top_k": 100, "postprocessing": {"operator": ">", "nms": False}}) == []
+    assert audit.contract_problems(contract, {"top_k": 100.0, "postprocessing": {"operator": ">="}, "x": 1}) == ["postprocessing.nms: missing", "postprocessing.operator: '>=' instead of '>'", "top_k: 100.0 instead of 100", "x: unexpected"]

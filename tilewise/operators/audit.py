@@ -106,3 +106,90 @@ def ordered_set_hash(df: DataFrame, group: str, line: Column, order: list[str])
     """sha256 over a group's lines in order, for groups of bounded size (a page, a turn list)."""
     rows = df.select(group, F.struct(*order, line.alias("__line")).alias("s"))
     return rows.groupBy(group).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["__line"]), "\n"), 256).alias("set_hash"))
+
+
+def geometry_checks(rows: DataFrame, source_box: list[Column], box: list[str], centroid: list[Column] | None = None, inside: Column | None = None, tolerance: float = 1e-6) -> DataFrame:
+    """Stored boxes against their sources: quantization made anew, and centroids within box and boundary.
+
+    ``source_box``: x0, y0, x1, y1 in source units, as decimals (exact form) or doubles (binary64 form).
+    """
+    from ..functions.quantize import quantized, quantized_double
+
+    kinds = dict(rows.select(*[c.alias(f"c{i}") for i, c in enumerate(source_box)]).dtypes)
+    again = [quantized_double(c) if kinds[f"c{i}"] == "double" else quantized(c) for i, c in enumerate(source_box)]
+    checks = {"quantization": (again[0] == F.col(box[0])) & (again[1] == F.col(box[1])) & (again[2] == F.col(box[2])) & (again[3] == F.col(box[3]))}
+    if centroid is not None:
+        x, y = centroid
+        checks["centroid_in_box"] = (x >= source_box[0] - tolerance) & (x <= source_box[2] + tolerance) & (y >= source_box[1] - tolerance) & (y <= source_box[3] + tolerance)
+    if inside is not None:
+        checks["centroid_in_boundary"] = inside
+    return check_counts(rows, checks)
+
+
+def bounds_checks(groups: DataFrame) -> DataFrame:
+    """Occupied groups: slab and shift agree with the local bounds, and the lowest y maps to 1."""
+    c = F.col
+    return check_counts(
+        groups.where("r1_count + r2_count > 0"),
+        {
+            "left_edge": c("local_min_x") + c("dx") == c("global_min_x"),
+            "right_edge": c("local_max_x") + c("dx") == c("global_max_x"),
+            "lowest_y": c("local_min_y") + c("dy") == 1,
+            "ordered_bounds": (c("local_min_x") < c("local_max_x")) & (c("local_min_y") < c("local_max_y")),
+        },
+    )
+
+
+def overflow_checks(rows: DataFrame, dx: Column, dy: Column) -> DataFrame:
+    """Translations that would leave 64 bits, found without raising."""
+    ok = lambda names, d: F.try_add(F.col(names[0]), d).isNotNull() & F.try_add(F.col(names[1]), d).isNotNull()
+    return check_counts(rows, {"x_fits": ok(("x0", "x1"), dx), "y_fits": ok(("y0", "y1"), dy)})
+
+
+def identity_checks(rows: DataFrame, identity: list[str]) -> DataFrame:
+    """One row: distinct source identities, how many of them repeat, and the rows that share one."""
+    counts = rows.groupBy(*identity).agg(F.count("*").alias("__n"))
+    many = F.col("__n") > 1
+    return counts.agg(F.count("*").alias("identities"), F.count_if(many).alias("repeated"), F.coalesce(F.sum(F.when(many, F.col("__n"))), F.lit(0)).alias("rows_sharing"))
+
+
+def category_maps(a: DataFrame, b: DataFrame, key: str, name: str) -> DataFrame:
+    """One row: names on one side only, and ids or names that are not one to one on either side."""
+    names = a.select(F.col(name).alias("__n"), F.lit(1).alias("__a")).distinct().join(b.select(F.col(name).alias("__m"), F.lit(1).alias("__b")).distinct(), F.col("__n") == F.col("__m"), "full_outer")
+    ambiguous = lambda d, by, of: d.groupBy(by).agg(F.count_distinct(of).alias("n")).where("n > 1").agg(F.count("*").alias("n")).select("n").scalar()
+    out = names.agg(F.count_if(F.col("__b").isNull()).alias("only_a"), F.count_if(F.col("__a").isNull()).alias("only_b"))
+    return out.withColumn("ambiguous", ambiguous(a, key, name) + ambiguous(a, name, key) + ambiguous(b, key, name) + ambiguous(b, name, key))
+
+
+def shard_ranges(shards: DataFrame, source: str, start: str, end: str) -> DataFrame:
+    """Per source, over record ranges [start, end] of its shards: gaps, overlaps and empty ranges."""
+    w = Window.partitionBy(source).orderBy(start, end)
+    rows = shards.withColumn("__before", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    return rows.groupBy(source).agg(
+        F.count("*").alias("shards"),
+        F.count_if(F.col(start) > F.col("__before") + 1).alias("gaps"),
+        F.count_if(F.col(start) <= F.col("__before")).alias("overlaps"),
+        F.count_if(F.col(end) < F.col(start)).alias("empty"),
+    )
+
+
+def selection_gate(selected: DataFrame, by: list[str], id_: str, limit: int, total: int) -> DataFrame:
+    """Selected ids per window and side: distinct, within [0, total), at most ``limit`` of them."""
+    per = selected.groupBy(*by).agg(F.count("*").alias("n"), F.count_distinct(id_).alias("different"), F.min(id_).alias("low"), F.max(id_).alias("high"))
+    return check_counts(per, {"within_limit": F.col("n") <= limit, "distinct": F.col("n") == F.col("different"), "in_range": (F.col("low") >= 0) & (F.col("high") < total)})
+
+
+def contract_problems(expected: dict, actual: dict, path: str = "") -> list[str]:
+    """Places where a protocol differs from its contract: missing, unexpected or other values, by path."""
+    out = []
+    for k in sorted({*expected, *actual}):
+        at = f"{path}{k}"
+        if k not in actual:
+            out.append(f"{at}: missing")
+        elif k not in expected:
+            out.append(f"{at}: unexpected")
+        elif isinstance(expected[k], dict) and isinstance(actual[k], dict):
+            out += contract_problems(expected[k], actual[k], f"{at}.")
+        elif type(expected[k]) is not type(actual[k]) or expected[k] != actual[k]:
+            out.append(f"{at}: {actual[k]!r} instead of {expected[k]!r}")
+    return out

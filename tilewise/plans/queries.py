@@ -448,6 +448,51 @@ def invariants_ledger(spark, d):
     return audit.ledger_checks(rejects.ledger(W.line_boxes(spark, d)))
 
 
+@query
+def invariants_quantization(spark, d):
+    kept = W.kept_boxes(spark, d)
+    broken = kept.withColumn("y1", F.when(F.col("l_quantity") == 17, F.col("y1") + 1).otherwise(F.col("y1")))
+    source = [F.col("x"), F.col("y"), (F.col("x") + F.col("w")).cast(quantize.DECIMAL), (F.col("y") + F.col("h")).cast(quantize.DECIMAL)]
+    return audit.geometry_checks(broken, source, list(overlap.BOX))
+
+
+@query
+def invariants_bounds(spark, d):
+    return audit.bounds_checks(W.line_groups(spark, d))
+
+
+@query
+def invariants_overflow(spark, d):
+    edge = F.lit(2**63 - 1 - 40_000)
+    return audit.overflow_checks(W.kept_boxes(spark, d), edge, edge)
+
+
+@query
+def invariants_identity(spark, d):
+    return audit.identity_checks(W.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def category_map_agreement(spark, d):
+    nations = W.table(spark, d, "nation").select("n_nationkey", "n_name")
+    used = lambda t, c: W.table(spark, d, t).select(F.col(c).alias("n_nationkey")).distinct().join(F.broadcast(nations), "n_nationkey")
+    return audit.category_maps(used("customer", "c_nationkey").where("n_name <> 'FRANCE'"), used("supplier", "s_nationkey"), "n_nationkey", "n_name")
+
+
+@query
+def shard_contiguity(spark, d):
+    rows = W.table(spark, d, "orders").withColumn("shard", F.floor(F.col("o_orderkey") / 250))
+    shards = rows.groupBy("o_orderpriority", "shard").agg(F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+    return audit.shard_ranges(shards, "o_orderpriority", "first", "last")
+
+
+@query
+def selection_gate(spark, d):
+    kept = _in_windows(spark, d)
+    chosen = sampling.first_n(kept, ["win", "side"], W.LINE_ORDER, 10)
+    return audit.selection_gate(chosen, ["win", "side"], "l_orderkey", 10, 1 << 40)
+
+
 @query
 def check_ledger(spark, d):
     failed = W.line_boxes(spark, d).where("reason is not null").withColumn("code", F.concat_ws(".", "side", "reason"))

@@ -240,6 +240,23 @@ ORACLES: dict[str, str] = {
     "invariants_groups": f"""
         WITH {_GROUPS} SELECT unnest(['numbered', 'key_order', 'r1_slices', 'r2_slices', 'r1_total', 'r2_total', 'slab_order', 'state']) AS check_code, checked, CAST(0 AS BIGINT) AS failed FROM (SELECT count(*) AS checked FROM grp)""",
     "invariants_ledger": f"WITH {_BOXES} SELECT side, count(*) AS raw, count(*) FILTER (reason IS NULL) AS retained, count(*) FILTER (reason IS NOT NULL) AS excluded, true AS balanced FROM q GROUP BY side",
+    "invariants_quantization": f"WITH {_BOXES} SELECT 'quantization' AS check_code, count(*) AS checked, count(*) FILTER (l_quantity = 17) AS failed FROM kept",
+    "invariants_bounds": f"WITH {_GROUPS} SELECT unnest(['left_edge', 'right_edge', 'lowest_y', 'ordered_bounds']) AS check_code, checked, CAST(0 AS BIGINT) AS failed FROM (SELECT count(*) AS checked FROM grp WHERE r1_count + r2_count > 0)",
+    "invariants_overflow": f"""
+        WITH {_BOXES}, n AS (SELECT count(*) AS checked, count(*) FILTER (x1 > 40000) AS fx, count(*) FILTER (y1 > 40000) AS fy FROM kept)
+        SELECT unnest(['x_fits', 'y_fits']) AS check_code, checked, unnest([fx, fy]) AS failed FROM n""",
+    "invariants_identity": "WITH c AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT count(*) AS identities, count(*) FILTER (n > 1) AS repeated, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS rows_sharing FROM c",
+    "category_map_agreement": """
+        WITH a AS (SELECT DISTINCT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name <> 'FRANCE'), b AS (SELECT DISTINCT n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+        SELECT (SELECT count(*) FROM a WHERE n_name NOT IN (FROM b)) AS only_a, (SELECT count(*) FROM b WHERE n_name NOT IN (FROM a)) AS only_b, CAST(0 AS BIGINT) AS ambiguous""",
+    "shard_contiguity": """
+        WITH s AS (SELECT o_orderpriority, o_orderkey // 250 AS shard, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY ALL),
+        l AS (SELECT *, lag(last) OVER (PARTITION BY o_orderpriority ORDER BY shard) AS before FROM s)
+        SELECT o_orderpriority, count(*) AS shards, count(*) FILTER (first > before + 1) AS gaps, count(*) FILTER (first <= before) AS overlaps, CAST(0 AS BIGINT) AS empty FROM l GROUP BY o_orderpriority""",
+    "selection_gate": f"""
+        WITH {_WINDOWS}, c AS (SELECT win, side, l_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY win, side ORDER BY {_ALL}) AS nth FROM inwin) WHERE nth <= 10),
+        p AS (SELECT count(*) AS n, count(DISTINCT l_orderkey) AS d FROM c GROUP BY win, side), t AS (SELECT count(*) AS checked, count(*) FILTER (n <> d) AS bad FROM p)
+        SELECT unnest(['within_limit', 'distinct', 'in_range']) AS check_code, checked, unnest([0, bad, 0]) AS failed FROM t""",
     "check_ledger": f"""
         WITH {_BOXES}, f AS (SELECT side || '.' || reason AS code, printf('%010d-%02d-%010d-%s', l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)) AS example FROM q WHERE reason IS NOT NULL),
         n AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY example) AS nth FROM f)
