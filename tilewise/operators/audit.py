@@ -156,7 +156,7 @@ def identity_checks(rows: DataFrame, identity: list[str]) -> DataFrame:
 def category_maps(a: DataFrame, b: DataFrame, key: str, name: str) -> DataFrame:
     """One row: names on one side only, and ids or names that are not one to one on either side."""
     names = a.select(F.col(name).alias("__n"), F.lit(1).alias("__a")).distinct().join(b.select(F.col(name).alias("__m"), F.lit(1).alias("__b")).distinct(), F.col("__n") == F.col("__m"), "full_outer")
-    ambiguous = lambda d, by, of: d.groupBy(by).agg(F.count_distinct(of).alias("n")).where("n > 1").agg(F.count("*").alias("n")).select("n").scalar()
+    ambiguous = lambda d, by, of: d.groupBy(by).agg(F.count_distinct(of).alias("__k")).where("__k > 1").agg(F.count("*").alias("__k")).select("__k").scalar()
     out = names.agg(F.count_if(F.col("__b").isNull()).alias("only_a"), F.count_if(F.col("__a").isNull()).alias("only_b"))
     return out.withColumn("ambiguous", ambiguous(a, key, name) + ambiguous(a, name, key) + ambiguous(b, key, name) + ambiguous(b, name, key))
 
