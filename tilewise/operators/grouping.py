@@ -51,15 +51,15 @@ def build(universe_: DataFrame, kept: DataFrame, key: str) -> DataFrame:
 
 
 def number_records(kept: DataFrame, groups: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Adds group_id and record_id: the group's slice start and the place among its side's rows, in source order.
+    """Adds group_id and record_id, the place among all rows of the side in order of group key and source.
 
-    Rows are numbered within (group, side) and shifted by the slice, so no global sort is needed.
+    Slices follow the same order, so that a record lies in its group's slice. The order is made by range partitions,
+    which also cut a group that holds most rows.
     """
-    within = Window.partitionBy(key, "side").orderBy(*order)
-    starts = groups.select(key, "group_id", "r1_start", "r2_start", "dx", "dy")
-    out = kept.withColumn("__nth", F.row_number().over(within) - 1).join(starts, key)
-    start = F.when(F.col("side") == "r1", F.col("r1_start")).otherwise(F.col("r2_start"))
-    return out.withColumn("record_id", (start + F.col("__nth")).cast("long")).drop("__nth", "r1_start", "r2_start")
+    placed = ordered(kept, ["side", key, *order], "__nth")
+    r1_rows = groups.agg(F.coalesce(F.sum("r1_count"), F.lit(0)).alias("n")).scalar()
+    number = F.when(F.col("side") == "r1", F.col("__nth")).otherwise(F.col("__nth") - r1_rows).cast("long")
+    return placed.withColumn("record_id", number).drop("__nth").join(groups.select(key, "group_id", "dx", "dy"), key)
 
 
 def translate(records: DataFrame, sign: int = 1) -> DataFrame:

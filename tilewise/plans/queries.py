@@ -632,5 +632,5 @@ def weighted_pair_draws(spark, d):
     r1, r2 = W.sides(W.kept_boxes(spark, d), "semantic_key")
     found = overlap.measured(overlap.pairs(r1, r2, ["semantic_key"]))
     order = ["semantic_key", *[f"{p}{c}" for p in ("a_", "b_") for c in overlap.BOX]]
-    draws = spark.range(10_000).withColumn("u", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40)))
+    draws = spark.range(10_000).withColumn("u", (F.col("id") * 7919 % 10007) / F.lit(10007.0))
     return sampling.draw_pairs(found, "intersection_area", order, draws).select("id", "semantic_key", F.round("intersection_area", 6).alias("intersection_area"))

@@ -291,4 +291,12 @@ ORACLES: dict[str, str] = {
     "centroid_in_boundary": f"WITH {_FOOTPRINTS} SELECT p_partkey, {_inside('cx', 'cy')} AS inside FROM cen",
     "loader_roundtrip": f"WITH {_RECORDS} SELECT side, count(*) AS n, CAST(sum(x0 + dx) AS BIGINT) AS sum_x0, CAST(sum(y1 + dy) AS BIGINT) AS sum_y1, max(record_id) AS last_id, count(*) AS weight FROM rec GROUP BY side",
 }
+ORACLES["weighted_pair_draws"] = f"""
+    WITH {_BOXES}, p AS (
+        SELECT a.semantic_key, a.x0 AS ax0, a.y0 AS ay0, a.x1 AS ax1, a.y1 AS ay1, b.x0 AS bx0, b.y0 AS by0, b.x1 AS bx1, b.y1 AS by1, CAST({_AREA} AS DOUBLE) / 1e6 AS area
+        FROM kept a JOIN kept b ON a.semantic_key = b.semantic_key AND a.side = 'r1' AND b.side = 'r2' AND {_OVERLAP}
+    ), m AS (SELECT *, CAST(round(area * 1e9) AS HUGEINT) AS mass FROM p), c AS (
+        SELECT *, sum(mass) OVER (ORDER BY semantic_key, ax0, ay0, ax1, ay1, bx0, by0, bx1, by1 ROWS UNBOUNDED PRECEDING) AS mass_end FROM m
+    ), d AS (SELECT id, CAST(floor((id * 7919 % 10007) / 10007e0 * (SELECT CAST(sum(mass) AS DOUBLE) FROM m)) AS HUGEINT) AS target FROM range(10000) r(id))
+    SELECT id, semantic_key, round(area, 6) AS intersection_area FROM d JOIN c ON target >= mass_end - mass AND target < mass_end"""
 ORACLES["overlap_count_sweep"] = ORACLES["overlap_count_by_group"]
