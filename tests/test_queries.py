@@ -24,7 +24,6 @@ def test_every_sql_has_a_query():
 def test_weighted_draws_follow_the_mass(spark, sf_dir):
     from pyspark.sql import functions as F
 
-    from tilewise.functions.quantize import quantized  # noqa: F401
     from tilewise.operators.sampling import draw_pairs
 
     pairs = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 0.0)], "k string, area double")
