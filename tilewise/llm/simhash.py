@@ -273,7 +273,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     found = near_duplicates(docs, key, text)
     stay_key, nth = fresh(docs, "stay_key", "nth")
     stay = written(found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(stay_key)).distinct(), "stay")
-    kept = docs.join(stay, F.col(key).eqNullSafe(F.col(stay_key)), "left_semi")
+    # Nearly all rows stay: their keys are never few enough to broadcast at scale, so the join is shuffled at any size.
+    kept = docs.join(stay.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col(stay_key)), "left_semi")
     if kept.count() == stay.count():
         return kept
     # Repeated keys: of rows with one key, the first by text stays (ties: any, as they are equal in key and text).
