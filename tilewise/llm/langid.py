@@ -31,6 +31,9 @@ ORDER = 4
 DISCOUNT = 0.75
 SAMPLE_DOCS = 500
 CALIBRATION_SHARE = 5
+#: Candidates for a sample of n: those whose uniform place is among the first NEAR * n + NEAR_LEAST expected.
+NEAR, NEAR_LEAST = 2, 200
+MAX_LANGUAGES = 1000
 #: Rejection: over the mean cross-entropy of held-back documents by this many standard deviations, and by this share of
 #: the way to a uniform guess over the known characters; never below the largest held-back one. Short texts get a
 #: further allowance in nats over their number of characters.
@@ -242,10 +245,17 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """Models and rejection levels from at most ``sample`` labelled rows a language."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    labelled = docs.where(may_learn(key) & F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("l"))
-    low = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k")
-    chosen = labelled.withColumn("nth", F.row_number().over(low)).where(F.col("nth") <= sample)
-    chosen = chosen.select("k", (F.col("nth") % CALIBRATION_SHARE == 0).alias("calibrate")).distinct()
+    place = F.pmod(F.xxhash64("k"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    labelled = docs.where(may_learn(key) & F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("l")).withColumn("place", place)
+    # The lowest places lie, but for odds beyond counting, in a few times their share of the rows; the rest is not sorted.
+    sizes = labelled.groupBy("l").agg(F.count("*").alias("size")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different labels")
+    below = F.create_map(*[x for r in sizes for x in (F.lit(r.l), F.lit((sample * NEAR + NEAR_LEAST) / r.size))]) if sizes else F.create_map().cast("map<string,double>")
+    near = labelled.where(F.col("place") < F.element_at(below, F.col("l"))).select("k", "l", "place").distinct()
+    low = Window.partitionBy("l").orderBy("place", "k")
+    chosen = near.withColumn("nth", F.row_number().over(low)).where(F.col("nth") <= sample)
+    chosen = chosen.select("k", (F.col("nth") % CALIBRATION_SHARE == 0).alias("calibrate")).dropDuplicates(["k"])
     rows = docs.where(may_learn(key) & F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("l"), text_or_empty(text).alias("text"))
     rows = rows.join(F.broadcast(chosen), "k").repartition(8)
     counts = rows.where("not calibrate").select("l", "text").mapInArrow(_word_rows, "lang string, word string, n long")
