@@ -177,7 +177,7 @@ def _worker_codec(path: str, pattern: str) -> Codec:
 def _digests(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _worker_codec(path, pattern)
-        for batch in chunks(batches, "text", 2 << 20):
+        for batch in chunks(batches, "text", 1 << 20):
             counts, ids, decoded = [], [], []
             for decimal, data in c.read(batch.column(1).to_pylist()):
                 counts.append(decimal.count(b" ") + 1 if decimal else 0)
@@ -199,7 +199,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc
 def _both(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _worker_codec(path, pattern)
-        for batch in chunks(batches, "text", 2 << 20):
+        for batch in chunks(batches, "text", 1 << 20):
             ids, decoded = [], []
             for decimal, data in c.read(batch.column(1).to_pylist()):
                 ids.append(np.array(decimal.split(), dtype=np.int32))
