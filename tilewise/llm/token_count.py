@@ -33,10 +33,11 @@ from .common import Memo, bounded_batches, chunks, own_worker, rare_gc, text_or_
 
 SPACE = "▁"
 CHUNK_CHARS = 64
-CACHE_UNITS, CACHE_CHUNKS = 500_000, 1_400_000
-CACHE_STATES = 150_000
-#: A state: for each live start of a piece (nearest last), the characters since, the last token there, tokens since.
-State = tuple[tuple[str, str, int], ...]
+CACHE_UNITS, CACHE_CHUNKS = 700_000, 1_400_000
+CACHE_STATES = 300_000
+#: A state: for each live start of a piece (nearest last), the piece prefix since then as a trie node, the last token
+#: before it (-1: none), tokens since.
+State = tuple[tuple[int, int, int], ...]
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -56,14 +57,25 @@ class Transducer:
         self.pieces = {p for p, (parts, _) in made.items() if parts == [p]}
         self.split = {p: made[p][1] for p in self.pieces if len(p) > 1}
         self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
-        self.prefixes = {p[:i] for p in self.pieces for i in range(1, len(p) + 1)}
+        self.names = sorted(self.pieces)
+        self.children: list[dict[str, int]] = [{}]
+        self.piece_at = [-1]
+        for number, p in enumerate(self.names):
+            node = 0
+            for ch in p:
+                if ch not in self.children[node]:
+                    self.children[node][ch] = len(self.children)
+                    self.children.append({})
+                    self.piece_at.append(-1)
+                node = self.children[node][ch]
+            self.piece_at[node] = number
         self.fits = lru_cache(maxsize=300_000)(self._fits)
         self.reset()
 
     def reset(self) -> None:
         """Forget the states built so far."""
-        self.number: dict[State, int] = {(("", "", 0),): 0}
-        self.listed: list[State] = [(("", "", 0),)]
+        self.number: dict[State, int] = {((0, -1, 0),): 0}
+        self.listed: list[State] = [((0, -1, 0),)]
         self.edges: list[dict[str, tuple[int, int]]] = [{}]
         self.maps: dict[tuple[int, str], tuple[int, int]] = {}
 
@@ -79,13 +91,13 @@ class Transducer:
             parts[i : i + 2] = ["".join(last)]
         return parts, last
 
-    def _fits(self, a: str, b: str) -> bool:
-        """Whether the encoding of a + b is [a, b]: no merge across the seam comes before those within a and b.
+    def _fits(self, first: int, second: int) -> bool:
+        """Whether the encoding of two pieces is just these: no merge across the seam comes before those within a and b.
 
         The merges that made a and b are undone from the last one back, so that at every time the two tokens at the
         seam are known. Among equal scores the left one is merged first.
         """
-        before = float("inf")
+        a, b, before = self.names[first], self.names[second], float("inf")
         while True:
             if (r := self.order.get(a + b)) is not None and r < before:
                 return False
@@ -101,15 +113,16 @@ class Transducer:
         """(next state, change of the token count) on one character."""
         if ch not in self.pieces:  # unknown: one byte token for each byte, and nothing joins over it
             return 0, len(ch.encode())
-        last, tokens = "", 0
-        for part, before, since in live:  # the longest fitting piece first
-            piece = part + ch
-            if piece in self.pieces and (before == "" or self.fits(before, piece)):
-                last, tokens = piece, since
-                break
+        children, piece_at, last, tokens, after = self.children, self.piece_at, -1, 0, []
+        for node, before, since in live:  # the longest fitting piece first
+            node = children[node].get(ch)
+            if node is not None:
+                if last < 0 and (piece := piece_at[node]) >= 0 and (before < 0 or self.fits(before, piece)):
+                    last, tokens = piece, since
+                if children[node]:  # a piece may still go on from here
+                    after.append((node, before, since))
         change = 1 - tokens  # tokens since the place where the last piece begins are replaced by it
-        after = [(part + ch, before, since + change) for part, before, since in live if part + ch in self.prefixes]
-        new: State = (*after, ("", last, 0))
+        new: State = (*[(node, before, since + change) for node, before, since in after], (0, last, 0))
         if new not in self.number:
             self.number[new] = len(self.listed)
             self.listed.append(new)
