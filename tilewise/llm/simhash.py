@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, chunks, fresh, join_back, own_worker, text_or_empty, written
@@ -253,15 +253,20 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, fingerprint (16 hex digits), component_id (smallest key reachable by links)."""
-    rows = written(fingerprints(docs, key, text), "fingerprints")
-    n_rows = rows.count()
+def _named(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fp, root, n of every fingerprint of the rows (key, fp); root, component_id (smallest key), members of every component)."""
     nodes = rows.groupBy("fp").agg(F.min("key").alias("low_key"), F.count("*").alias("n"))
     nodes = written(nodes, "nodes")
     found = components(links(nodes.select("fp"), n=nodes.count()))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("low_key").alias("component_id"), F.sum("n").alias("members"))
+    return rooted, rooted.groupBy("root").agg(F.min("low_key").alias("component_id"), F.sum("n").alias("members"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: key, fingerprint (16 hex digits), component_id (smallest key reachable by links)."""
+    rows = written(fingerprints(docs, key, text), "fingerprints")
+    n_rows = rows.count()
+    rooted, names = _named(rows)
     named = join_back(rooted, names, "root", "members", n_rows).select("fp", "component_id", "n")
     named = written(named, "named")
     out = join_back(rows, named, "fp", "n", n_rows)
@@ -269,14 +274,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one named by it. Columns and names are unchanged."""
-    found = near_duplicates(docs, key, text)
-    stay_key, nth = fresh(docs, "stay_key", "nth")
-    stay = written(found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(stay_key)).distinct(), "stay")
+    """``docs`` with one row of each component: of its smallest key (null last), the first by the text's SHA-256.
+
+    Keys may repeat or be null: a component is named by key and text hash together, which no other component shares.
+    Columns and names are unchanged.
+    """
+    mark, value, no_key, stay_key, stay_text = fresh(docs, "mark", "value", "no_key", "stay_key", "stay_text")
+    digest = F.unhex(F.sha2(text_or_empty(text), 256))
+    marked = docs.select(F.struct(F.col(key).isNull().alias(no_key), F.col(key).alias(stay_key), digest.alias(stay_text)).alias(mark), F.col(text).alias(value))
+    _, names = _named(written(fingerprints(marked, mark, value), "fingerprints"))
+    stay = written(names.select("component_id.*").drop(no_key), "stay")
     # Nearly all rows stay: their keys are never few enough to broadcast at scale, so the join is shuffled at any size.
-    kept = docs.join(stay.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col(stay_key)), "left_semi")
+    kept = docs.join(stay.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col(stay_key)) & (digest == F.col(stay_text)), "left_semi")
     if kept.count() == stay.count():
         return kept
-    # Repeated keys: of rows with one key, the first by text stays (ties: any, as they are equal in key and text).
-    first = Window.partitionBy(key).orderBy(text_or_empty(text))
-    return kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
+    # Rows repeated in key and text: any one stays. The aggregate meets them before they are shuffled.
+    one = kept.groupBy(F.col(key).alias(stay_key), digest.alias(stay_text)).agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias(mark))
+    return one.select(f"{mark}.*")
