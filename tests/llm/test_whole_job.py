@@ -1,8 +1,13 @@
 """Cases in which operators once did less than the whole job."""
 
+import zlib
+from collections import Counter
+
 import cases
+import numpy as np
+import public_tokenizers
 
-from tilewise.llm import simhash
+from tilewise.llm import simhash, token_shards
 
 
 def test_unlike_texts_with_one_key_or_none_stay(spark):
@@ -14,3 +19,19 @@ def test_unlike_texts_with_one_key_or_none_stay(spark):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("mark < 5").distinct().collect()))
+
+
+def test_op2_added_tokens_are_the_librarys(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end} x ", f"don{end}'t  {end}\n\n y", "<|endoftext", f"<|endoftext{end}|>", "", f" {end}", "plain text"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected, start = Counter(), 0
+    for i, t in enumerate(texts):
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        expected[i, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())] += 1
+        start += len(ids)
+    got = token_shards.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    assert Counter(map(tuple, got.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == expected

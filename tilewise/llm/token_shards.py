@@ -21,6 +21,7 @@ in order of their texts; an empty table writes no shard. A document longer than
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -49,14 +50,22 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Encoder:
-    """Ids of whole texts, by the library's encoding of each different piece that its pre-tokenizer cuts."""
+    """Ids of whole texts, by the library's encoding of each different piece that its pre-tokenizer cuts.
+
+    As in the library, texts are first cut at the file's added tokens, which have ids of their own.
+    """
 
     def __init__(self, path: str, pattern: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take white space or need word borders are not cut")
+        self.added = {t.content: i for i, t in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)  # the longest wins where several begin
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})" if longest else r"(?!)()").split
         self.end = end
         self.pieces = PieceTable(CACHE_WORDS, self._learn, self._forget, pattern)
         self._forget()
@@ -81,13 +90,21 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, an end id after each; ids of each text with its end id)."""
-        numbers, pieces = self.pieces.read(texts)
+        between, marks, parts = [], [], []  # what stands between added tokens, the id after each, and how many a text has
+        for t in texts:
+            cut = self.cut(t)
+            between += cut[::2]
+            marks += [self.added[a] for a in cut[1::2]]
+            marks.append(self.end)
+            parts.append(len(cut) // 2 + 1)
+        numbers, pieces = self.pieces.read(between)
         begin = self.ends[numbers]
         size = self.ends[numbers + 1] - begin
         after = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (after - size), size) + np.arange(int(size.sum()))]
         last = np.concatenate([[0], after])[np.cumsum(pieces)]
-        return np.insert(ids, last, self.end), np.diff(last, prepend=0) + 1
+        at = np.cumsum(parts)
+        return np.insert(ids, last, np.array(marks, dtype=ids.dtype)), np.diff(last[at - 1] + at, prepend=0)
 
 
 @lru_cache(maxsize=1)
