@@ -7,7 +7,7 @@ import cases
 import numpy as np
 import public_tokenizers
 
-from tilewise.llm import simhash, token_shards
+from tilewise.llm import license_scan, simhash, token_shards
 
 
 def test_unlike_texts_with_one_key_or_none_stay(spark):
@@ -35,3 +35,22 @@ def test_op2_added_tokens_are_the_librarys(spark):
         start += len(ids)
     got = token_shards.encode_and_read(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     assert Counter(map(tuple, got.select("doc_id", "start", "n_tokens", "ids_crc32").collect())) == expected
+
+
+def labels_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.report(docs).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_op8_notices_wrapped_over_lines(spark):
+    import textwrap
+
+    long = [(label, t) for label, t in license_scan.TEMPLATES if len(t) > 100]
+    assert len(long) == 4
+    for width in (30, 76):
+        texts = [f"{cases.BODY}\n" + "\n".join(f" * {x}" for x in textwrap.wrap(t, width)) + f"\n{cases.BODY}" for _, t in long]
+        assert [x.split(",") for x in labels_of(spark, texts)] == [[label] for label, _ in long]
+    # As the licence has it, with words that the template leaves out.
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights"
+    assert labels_of(spark, [mit, "Licensed under the GNU General Public License,\nversion 3", "All\n" + cases.BODY + " rights\n" + cases.BODY + " reserved"]) == ["mit", "gpl", ""]

@@ -9,6 +9,10 @@ block at or over the containment threshold is found, and none below it.
 Templates are a bounded parameter (``MAX_TEMPLATES``) and part of the plan, so the join probes an index within each row:
 no block, token or document is shuffled. Only the document counts of template tokens reach the driver.
 
+Notices also run over several lines. A window is as many consecutive words of the text, across lines, as the template has
+over the threshold, so that the threshold's share of a full window can be the template's. Each place of a prefix token is
+tried with the windows around it; no window at or over the threshold is without such a token.
+
 Next to the templates, fixed phrases are found wherever their words stand consecutively, also across lines.
 
 Defined results: a null or empty text has no words, places or labels and score 0; repeated rows are scanned alike; whole
@@ -56,9 +60,14 @@ _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def words(text: str) -> list[str]:
+    """The words of a template, in order."""
+    return re.findall(WORD, text.translate({ord(a): b for a, b in zip(_UPPER, _LOWERED, strict=True)}))
+
+
 def tokens(text: str) -> list[str]:
     """The distinct words of a template, in order."""
-    return list(dict.fromkeys(re.findall(WORD, text.translate({ord(a): b for a, b in zip(_UPPER, _LOWERED, strict=True)}))))
+    return list(dict.fromkeys(words(text)))
 
 
 def spaced(text: Column) -> Column:
@@ -72,16 +81,18 @@ def _spaces(text: Column) -> Column:
 
 def token_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text") -> dict[str, int]:
     """Documents of the whole table that hold each of these tokens."""
-    words = F.split(F.translate(spaced(text_or_empty(text)), _UPPER, _LOWERED), " ")
-    found = docs.select(F.explode(F.array_intersect(words, F.array(*map(F.lit, vocabulary)))).alias("t")).groupBy("t").count()
+    own = F.split(F.translate(spaced(text_or_empty(text)), _UPPER, _LOWERED), " ")
+    found = docs.select(F.explode(F.array_intersect(own, F.array(*map(F.lit, vocabulary)))).alias("t")).groupBy("t").count()
     counts = {r["t"]: r["count"] for r in found.collect()}  # at most one row a template token
     return {t: counts.get(t, 0) for t in vocabulary}
 
 
 def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with a struct column ``licences``: n_words, n_base, first_word, last_word, base (labels), blocks.
+    """``docs`` with a struct column ``licences``: n_words, n_base, first_word, last_word, base (labels), blocks, windows.
 
     ``blocks`` lists (block, label, containment, common): the line's number and every template that it contains.
+    ``windows`` lists (label, containment, common, start, end): around each place of a template's prefix token, the
+    window with the most of its words, the tightest of them, from its first to its last needed word.
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"at most {MAX_TEMPLATES} templates; scan in parts beyond that")
@@ -92,6 +103,7 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
     rank = {t: i for i, t in enumerate(order)}
     ranked = [(label, sorted(rank[t] for t in ts)) for label, ts in sets]
     need = [math.ceil(threshold * len(rs) - 1e-9) for _, rs in ranked]
+    span = [math.ceil(len(words(t)) / threshold - 1e-9) for _, t in templates]
     prefix: dict[int, list[tuple[int, int]]] = {}
     for k, (_, rs) in enumerate(ranked):
         for i, r in enumerate(rs[: len(rs) - need[k] + 1]):
@@ -115,11 +127,11 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
     hit = F.filter(F.transform(F.split(value, "\n"), lambda b, i: F.struct(i.alias("i"), b.alias("b"))), lambda s: F.rlike(s["b"], F.lit(rf"(?i)(?:^|{_GAP[:-1]})(?:{near})(?:{_GAP[:-1]}|$)")))
     rank_of = F.create_map(*[x for t in order for x in (F.lit(t), F.lit(rank[t]))])
     index = F.create_map(*[x for r, at in sorted(prefix.items()) for x in (F.lit(r), F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("i")) for k, i in at]))])
-    table = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(len(rs)).alias("m"), F.lit(need[k]).alias("need"), F.array(*map(F.lit, rs)).alias("ranks")) for k, (label, rs) in enumerate(ranked)])
+    table = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(len(rs)).alias("m"), F.lit(need[k]).alias("need"), F.array(*map(F.lit, rs)).alias("ranks"), F.lit(span[k]).alias("span"), F.array(*[F.lit(order[r]) for r in rs]).alias("words")) for k, (label, rs) in enumerate(ranked)])
 
     def matches(s: Column) -> Column:
-        words = F.split(F.translate(spaced(s["b"]), _UPPER, _LOWERED), " ")
-        block = F.array_sort(F.transform(F.array_intersect(words, F.array(*map(F.lit, order))), lambda t: F.element_at(rank_of, t)))
+        own = F.split(F.translate(spaced(s["b"]), _UPPER, _LOWERED), " ")
+        block = F.array_sort(F.transform(F.array_intersect(own, F.array(*map(F.lit, order))), lambda t: F.element_at(rank_of, t)))
         met = F.array_intersect(block, F.array(*map(F.lit, sorted(prefix))))
 
         def reach(r: Column) -> Column:
@@ -132,6 +144,32 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
         good = F.filter(full, lambda c: c["common"] >= c["t"]["need"])
         return F.transform(good, lambda c: F.struct(s["i"].alias("block"), c["t"]["label"].alias("label"), (c["common"] / c["t"]["m"]).alias("containment"), c["common"].alias("common")))
 
+    def around(all_: Column, p: Column, t: Column) -> Column:
+        """The best window of a template in the words that share a window with place p: none or one."""
+        low = F.greatest(p - t["span"] + 1, F.lit(0))
+
+        def window(near_: Column, j: Column) -> Column:
+            some = F.slice(near_, j + 1, t["span"])
+            common = F.array_intersect(some, t["words"])
+            width = F.array_max(F.transform(common, lambda x: F.array_position(some, x))).cast("int")
+            return F.struct(F.size(common).alias("common"), (-width).alias("tight"), (low + j).alias("start"))
+
+        def best(near_: Column) -> Column:
+            at = F.filter(F.sequence(F.lit(0), F.size(near_) - 1), lambda j: F.array_contains(t["words"], F.element_at(near_, j + 1)))
+            good = F.filter(F.transform(at, lambda j: window(near_, j)), lambda c: c["common"] >= t["need"])
+            enough = F.size(F.array_intersect(near_, t["words"])) >= t["need"]
+            return F.when(enough, F.array_max(good))
+
+        top = F.filter(F.transform(F.array(F.slice(all_, low + 1, p + t["span"] - low)), best), lambda c: c.isNotNull())
+        return F.transform(top, lambda c: F.struct(t["label"].alias("label"), (c["common"] / t["m"]).alias("containment"), c["common"].alias("common"), c["start"].alias("start"), (c["start"] - c["tight"] - 1).alias("end")))
+
+    def windows(all_: Column) -> Column:
+        places = F.array_compact(F.transform(all_, lambda w, i: F.when(w.isin([order[r] for r in sorted(prefix)]), i)))
+        of = lambda p: F.element_at(index, F.element_at(rank_of, F.element_at(all_, p + 1)))
+        return F.flatten(F.transform(places, lambda p: F.flatten(F.transform(of(p), lambda c: around(all_, p, F.element_at(table, c["k"] + 1))))))
+
+    all_words = F.when(F.size(hit) > 0, F.split(F.trim(F.translate(norm, _UPPER, _LOWERED)), " ")).otherwise(F.array().cast("array<string>"))
+
     return docs.withColumn(
         "licences",
         F.struct(
@@ -141,6 +179,7 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
             F.greatest(*lasts).alias("last_word"),
             F.array_compact(F.array(*labels)).alias("base"),
             F.flatten(F.transform(hit, matches)).alias("blocks"),
+            F.flatten(F.transform(F.array(all_words), windows)).alias("windows"),
         ),
     )
 
@@ -153,11 +192,19 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """Per row: key, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Notices of related licences share most words; of the templates that one line contains, those with the most words
-    in common give the labels.
+    in common give the labels. Windows add what lines do not hold, or hold beside a longer notice.
     """
     found = scan(docs.select(key, text), text).select(key, "licences.*")
     most = lambda b: F.array_max(F.transform(F.filter("blocks", lambda x: x["block"] == b["block"]), lambda x: x["common"]))
     found = found.withColumn("blocks", F.filter("blocks", lambda b: b["common"] == most(b)))
+    # Of windows that overlap, those with the most words count; a line's label goes if all its windows give way.
+    over = lambda a, b: (b["common"] > a["common"]) & (a["start"] <= b["end"]) & (b["start"] <= a["end"])
+    found = found.withColumn("kept", F.filter("windows", lambda a: ~F.exists("windows", lambda b: over(a, b))))
+    gone = F.array_except(F.transform("windows", lambda w: w["label"]), F.transform("kept", lambda w: w["label"]))
+    found = found.withColumn("gone", gone)
+    found = found.withColumn("blocks", F.filter("blocks", lambda b: ~F.array_contains("gone", b["label"])))
+    pair = lambda x: F.struct(x["label"].alias("label"), x["containment"].alias("containment"))
+    found = found.withColumn("blocks", F.concat(F.transform("blocks", pair), F.transform("kept", pair)))
     best = F.coalesce(F.array_max(F.transform("blocks", lambda b: b["containment"])), F.lit(0.0))
     return found.select(
         key,
