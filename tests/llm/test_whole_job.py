@@ -54,3 +54,16 @@ def test_op8_notices_wrapped_over_lines(spark):
     # As the licence has it, with words that the template leaves out.
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights"
     assert labels_of(spark, [mit, "Licensed under the GNU General Public License,\nversion 3", "All\n" + cases.BODY + " rights\n" + cases.BODY + " reserved"]) == ["mit", "gpl", ""]
+
+
+def test_op8_unrelated_notices_on_one_line(spark):
+    texts = [
+        "Licensed under CC BY 4.0. All rights reserved.",
+        "All rights reserved. Licensed under the Apache License, Version 2.0",
+        "Licensed under the Apache License, Version 2.0 or licensed under the GNU General Public License, version 3",
+        "Licensed under the GNU General Public License, version 2.0",
+        "Licensed under CC BY-NC 4.0",
+        " ".join([license_scan.TEMPLATES[6][1], cases.BODY, license_scan.TEMPLATES[10][1], cases.BODY, license_scan.TEMPLATES[4][1]]),
+    ]
+    # cc-by-nc and cc-by-sa have six of their seven words in the first, as many as cc-by: ties stay, as in the SQL.
+    assert labels_of(spark, texts) == ["all-rights-reserved,cc-by,cc-by-nc,cc-by-sa", "all-rights-reserved,apache", "apache,gpl", "gpl", "cc-by-nc", "bsd,cc-by-nc,gpl"]
