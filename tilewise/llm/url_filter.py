@@ -47,8 +47,8 @@ def site_rule(verdict: str, rule: str) -> UrlRule:
 
 
 def host_word_rule(word: str) -> UrlRule:
-    """Blocks hosts with a label that holds all hyphenated words of ``word``."""
-    return UrlRule(word, "block", rf"^(?:[^/]*[.-])?{re.escape(word)}(?:[.-][^/]*)?/", tuple(t for t in word.split("-") if t), len(word), False)
+    """Blocks hosts with a label that holds all hyphenated words of ``word``, with a path or without."""
+    return UrlRule(word, "block", rf"^(?:[^/]*[.-])?{re.escape(word)}(?:[.-][^/]*)?(?:/|\z)", tuple(t for t in word.split("-") if t), len(word), False)
 
 
 #: Fixed values of the contract.
