@@ -76,3 +76,12 @@ def test_op3_hosts_without_a_path(spark, monkeypatch):
         monkeypatch.setattr(url_filter, "MAX_INLINE_RULES", limit)
         got = {r.page_id: r.url_verdict.verdict for r in url_filter.judge(pages).collect()}
         assert [got[i] for i in range(len(urls))] == ["block"] * 4 + ["allow"] * 3 + ["block"]
+
+
+def test_op2_grammar_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    for ids in (np.tile(rng.integers(0, 50000, 500), 800), np.zeros(5000, dtype=np.int64), rng.integers(0, 50, 20000)):
+        rules, lengths, seq = token_shards.grammar(ids.astype(np.uint32))
+        assert np.array_equal(token_shards.expand(seq, rules, lengths), ids)
+        places = Counter(zip(seq.tolist(), seq[1:].tolist(), strict=False))
+        assert len(rules) == token_shards.MAX_RULES or all(n < token_shards.MIN_COUNT or (a == b and n < 2 * token_shards.MIN_COUNT) for (a, b), n in places.items())

@@ -2,7 +2,7 @@
 
 Documents are put in order of their key by range partitioning, encoded with the tokenizers library and cut into shards
 of whole documents. In each shard, rounds of replacement give the most frequent pairs of neighbouring symbols a
-nonterminal of their own until no pair is frequent enough, the rule table is full or ``ROUNDS`` are over. A shard
+nonterminal of their own until no pair is frequent enough or the rule table is full. A shard
 stores the rules, the expansion length of every nonterminal, the sequence and sampled offsets into its expansion, so
 that any range of ids is decoded by expanding only the symbols that cover it.
 
@@ -26,6 +26,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ SHARD_IDS = 2_000_000
 BASE = 50257
 MAX_RULES = 65536 - BASE  # symbols then fit in two bytes
 MIN_COUNT = 8
-ROUNDS = 5
+ROUNDS = 5  # that share the rule table out; more follow as needed
 ACCESS_EVERY = 1024
 CACHE_WORDS = 2_000_000
 WORDS_PER_CALL = 20_000
@@ -112,40 +113,60 @@ def encoder(path: str, pattern: str, end: int) -> Encoder:
     return Encoder(path, pattern, end)
 
 
+def _single(key: np.ndarray, min_count: int) -> np.ndarray:
+    """Places of the most frequent pair with enough places that do not overlap, by exact counts; empty if there is none."""
+    pairs, of, counts = np.unique(key, return_inverse=True, return_counts=True)
+    often = np.flatnonzero(counts >= min_count)
+    for k in often[np.argsort(-counts[often], kind="stable")]:
+        if len(at := _apart(np.flatnonzero(of == k))) >= min_count:
+            return at
+    return np.empty(0, dtype=np.int64)
+
+
+def _apart(at: np.ndarray) -> np.ndarray:
+    """Of neighbouring places, every second one from the left."""
+    run = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.empty(0, dtype=bool)
+    place = np.arange(len(at))
+    return at[(place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 0]
+
+
 def grammar(ids: np.ndarray, base: int = BASE, max_rules: int = MAX_RULES, min_count: int = MIN_COUNT, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: (rules as pairs of symbols, expansion lengths of the rules, sequence). Symbol base + i is rule i.
 
     A round counts all neighbouring pairs by hash and replaces the most frequent of them together, without overlaps;
-    pairs that share a hash count as the one seen last, so a rare pair is never taken for a frequent one.
+    pairs that share a hash count as the one seen last, so a rare pair is never taken for a frequent one, and each round
+    hashes anew. A round that finds none is followed by an exact count. The first ``rounds`` share the rule table out;
+    more follow until it is full or no pair is frequent enough.
     """
     seq = ids.astype(np.uint32)
     rules, lengths = np.empty((0, 2), dtype=np.uint32), np.empty(0, dtype=np.int64)
-    for left in range(rounds, 0, -1):
+    for n in count():
         if len(seq) < 2 or len(rules) >= max_rules:
             break
         key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        h = ((key * _MIX) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
+        mix = np.uint64(int(_MIX) * (4 * n + 1) % (1 << 64))
+        h = ((key * mix) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
         counts = np.bincount(h, minlength=1 << _HASH_BITS)
-        room = max(1, (max_rules - len(rules)) // min(left, 3))
+        room = max(1, (max_rules - len(rules)) // min(max(rounds - n, 1), 3))
         often = np.flatnonzero(counts >= min_count)
-        if len(often) > room:
-            often = often[np.argpartition(counts[often], -room)[-room:]]
         if not len(often):
             break
+        if len(often) > room:
+            often = often[np.argpartition(counts[often], -room)[-room:]]
         seen = np.zeros(1 << _HASH_BITS, dtype=np.int32)
         seen[h] = np.arange(len(h), dtype=np.int32)
         chosen = np.zeros(1 << _HASH_BITS, dtype=bool)
         chosen[often] = True
         at = np.flatnonzero(chosen[h])
-        at = at[key[at] == key[seen[h[at]]]]
-        # Of neighbouring places, every second one from the left.
-        run = np.concatenate([[True], np.diff(at) != 1]) if len(at) else np.empty(0, dtype=bool)
-        place = np.arange(len(at))
-        at = at[(place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 0]
+        at = _apart(at[key[at] == key[seen[h[at]]]])
         used = np.bincount(h[at], minlength=1 << _HASH_BITS)
         good = np.flatnonzero(used >= min_count)
         if not len(good):
-            break
+            at = _single(key, min_count)
+            if not len(at):
+                break
+            good = h[at[:1]]
+            seen[good] = at[0]
         number = np.full(1 << _HASH_BITS, -1, dtype=np.int64)
         number[good] = base + len(rules) + np.arange(len(good))
         at = at[number[h[at]] >= 0]
