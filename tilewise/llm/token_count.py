@@ -1,4 +1,4 @@
-"""Token counts from a compiled finite-state transducer, composed over chunks by prefix scan.
+"""Token counts from a compiled finite-state transducer, composed over chunks in order.
 
 The BPE of a sentencepiece model is compiled, lazily and exactly, into a deterministic transducer over characters. The
 last token of the encoding of every prefix decides how the encoding goes on: the next prefix's last token is the
@@ -10,7 +10,7 @@ Two neighbouring characters that stand together in no piece bring the transducer
 them. Texts are cut there (first into units before space marks, which follow no other character in any piece) into
 chunks whose state maps are constant: one run of the transducer counts each distinct chunk, and the prefix sums of the
 counts along a batch give the count of every document. A chunk of more than ``CHUNK_CHARS`` characters is cut again,
-and the maps (entry state to exit state and count) of its parts are composed.
+and its parts are read in order, each from the exit state of the one before (memoised by entry state and text).
 
 Defined results: null and empty texts have 0 tokens; repeated rows count alike; texts of any length are read whole; an
 empty table gives an empty result.
