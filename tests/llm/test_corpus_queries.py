@@ -68,7 +68,6 @@ def test_op2(spark, path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     docs = sorted(documents(spark, path), key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))
     expected, start = Counter(), 0
     for doc_id, text in docs:
@@ -154,12 +153,12 @@ def test_op5_edge_cases(spark, tables):
     assert result(spark, tables[0], "op5_exact_dedup", "doc_id", "keep_id", "group_size", "kept", "text_sha256") == expected
 
 
-def test_op5_without_a_filter_gives_the_same(spark, sf_dir, monkeypatch):
+def test_op5_in_parts_gives_the_same(spark, path, monkeypatch):
     from tilewise.llm import exact_dedup
 
-    expected = result(spark, sf_dir, "op5_exact_dedup", "doc_id", "keep_id", "kept")
-    monkeypatch.setattr(exact_dedup, "MAX_CELLS", 0)
-    assert result(spark, sf_dir, "op5_exact_dedup", "doc_id", "keep_id", "kept") == expected
+    expected = result(spark, path, "op5_exact_dedup", "doc_id", "keep_id", "group_size", "kept")
+    monkeypatch.setattr(exact_dedup, "PART_ROWS", 12 if path.endswith("some0") else 60)
+    assert result(spark, path, "op5_exact_dedup", "doc_id", "keep_id", "group_size", "kept") == expected
 
 
 def test_op6(spark, path):

@@ -243,12 +243,16 @@ def test_license_join_equals_brute_force(spark):
         assert got[i] == sorted(expected)
 
 
-def test_bloom_filter_never_misses_a_repeat(spark):
-    df = spark.range(5000).select((F.col("id") % 4500).alias("v"))
+@pytest.mark.parametrize("part_rows", [exact_dedup.PART_ROWS, 1000])
+def test_bloom_filter_never_misses_a_repeat(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(exact_dedup, "PART_ROWS", part_rows)
+    df = spark.range(5000).select((F.col("id") % 4500).alias("v"), F.lit("x").alias("bits_1_bucket"), F.lit("y").alias("part"), F.lit("z").alias("h"), F.lit(1).alias("Cell_1"))
     marked = exact_dedup.possibly_repeated(df, F.xxhash64("v"), 5000, "maybe")
+    assert marked.columns == [*df.columns, "maybe"] and marked.count() == 5000
     repeated = {r.v for r in df.groupBy("v").count().where("count > 1").collect()}
     flagged = {r.v for r in marked.where("maybe").select("v").distinct().collect()}
     assert repeated <= flagged and len(flagged) < 1000
+    assert exact_dedup.drop_duplicates(df.withColumn("t", F.col("v").cast("string")), "v", "t").count() == 4500
 
 
 def test_drop_duplicates_keeps_columns_and_one_of_each(spark):
