@@ -46,12 +46,25 @@ def test_memo_keeps_common_keys():
         assert memo.now["common"] == "common" and len(memo.now) + len(memo.before) <= 16
 
 
-def test_long_words_merge_like_short_ones():
-    c = bpe_codec.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+def test_long_words_merge_like_the_library():
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_codec.read_ranks(path), special_tokens={})
+    c = bpe_codec.codec(path, public_tokenizers.PATTERN)
     rng = random.Random(3)
-    texts = ["".join(rng.choices("abcdest", k=n)) for n in (3, 50, 400, 600, 2000)]
+    texts = ["".join(rng.choices("abcdest", k=n)) for n in (3, 50, 64, 65, 128, 400, 600, 2000)] + ["".join(rng.choices("etaoinshrdluABCé日", k=n)) for n in (100, 1000, 5000)]
+    texts += ["a" * n for n in (63, 64, 65, 129, 1000, 30001)] + ["=" * 200, "-=" * 300, " " * 300 + "x", "\n" * 500, "the" * 100, "日" * 500]
     for text, (decimal, data) in zip(texts, c.read(texts), strict=True):
-        assert decimal.decode() == " ".join(map(str, c._long(text.encode()))) and data == text.encode()
+        assert decimal.decode() == " ".join(map(str, library.encode_ordinary(text))) and data == text.encode()
+
+
+def test_many_long_words_fit_the_memory_of_a_worker():
+    c = bpe_codec.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=500)) for _ in range(400))
+    assert next(c.read([text]))[1] == text.encode()
+    assert c.db.execute("SELECT count(*) FROM duckdb_temporary_files()").fetchone() == (0,)
 
 
 def test_codec_operators(spark):

@@ -5,18 +5,20 @@ token-position rows in DuckDB. A recursive query joins neighbouring rows with th
 word's leftmost pair of least rank, once a step, until no word has a pair left. Decoding joins ids with the vocabulary
 and concatenates bytes in order. A worker keeps the results for at most ``CACHE_WORDS`` words.
 
-A match of over ``LONG_WORD`` bytes would take one step a merge over all its rows; it is contracted with a heap by the
-same rule instead.
-
-Defined results: null and empty texts have no ids; repeated rows are encoded alike; an empty table gives an empty
-result; any text length works, as rows are only held for the distinct words of a batch of bounded size.
+A match of over ``BLOCK_BYTES`` is cut into blocks that are contracted as words of their own, so that a step never runs
+over long words alone. The encodings of two blocks stand side by side if the query leaves the two tokens at their seam as
+they are (then no merge of the whole match crosses it); blocks whose seam does not hold are joined and contracted again,
+by a form of the query that keeps one row a position and contracts all places of the least pair in a step.
+
+Defined results: null and empty texts have no ids; repeated rows, and rows with equal or null keys, are encoded alike and
+each by itself; other columns and their names do not matter; an empty table gives an empty result; any text length works,
+as rows are only held for the distinct words of a batch of bounded size. Memory grows with the longest match alone.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,8 +32,11 @@ from .common import bounded_batches, chunks, own_worker, rare_gc, text_or_empty
 from .pieces import PieceTable
 
 CACHE_WORDS = 800_000
-LONG_WORD = 512
+BLOCK_BYTES = 64
 WORDS_PER_QUERY = 10_000
+#: Bound on the rows of all steps of a query: a word of n bytes has at most n * n.
+ROWS_PER_QUERY = 4_000_000
+MEMORY_MB = 300
 
 _ENCODE = """
 CREATE OR REPLACE TEMP TABLE ids AS
@@ -56,6 +61,33 @@ WITH RECURSIVE step(word, pos, id, n) AS (
 SELECT s.word, s.pos, s.id FROM step s JOIN last l ON l.word = s.word AND l.n = s.n
 """
 
+#: The same for long words: only changed rows are kept (id -1: gone), and all places of a word's least pair go together.
+#: After a merge of rank r a pair of a rank below r may stand beside it; such ranks (``alone``) are contracted one by one.
+_ENCODE_LONG = """
+CREATE OR REPLACE TEMP TABLE ids AS
+WITH RECURSIVE step(word, pos, id) USING KEY (word, pos) AS (
+    SELECT word, pos, id FROM start
+  UNION
+    SELECT word, pos, id FROM (
+        WITH pairs AS (
+            SELECT word, pos, id, lead(id) OVER w AS after, lead(pos) OVER w AS after_pos, row_number() OVER w AS nth
+            FROM recurring.step WHERE id >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)
+        ), ranked AS (
+            SELECT p.word, p.pos, p.after_pos, p.nth, m.rank, m.alone, min(m.rank) OVER (PARTITION BY p.word) AS least
+            FROM pairs p JOIN merges m ON m.a = p.id AND m.b = p.after
+        ), hit AS (
+            SELECT *, min(nth) OVER (PARTITION BY word) AS first, nth - row_number() OVER (PARTITION BY word ORDER BY nth) AS run
+            FROM ranked WHERE rank = least
+        ), chosen AS (
+            SELECT word, pos, after_pos, rank FROM hit
+            QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY nth) % 2 = 1 AND (NOT alone OR nth = first)
+        )
+        SELECT word, pos, rank AS id FROM chosen UNION ALL SELECT word, after_pos, -1 FROM chosen
+    )
+)
+SELECT word, pos, id FROM step WHERE id >= 0
+"""
+
 _DECODE = """
 SELECT i.word, string_agg(i.id::VARCHAR, ' ' ORDER BY i.pos) AS decimal, string_agg(v.hex, '' ORDER BY i.pos) AS hex
 FROM ids i JOIN vocab v ON v.id = i.id GROUP BY i.word
@@ -67,6 +99,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def _batches(words: list) -> Iterator[list]:
+    """The words in turn, in lists that a query takes together."""
+    lo, rows = 0, 0
+    for i, w in enumerate(words):
+        n = min(len(w), BLOCK_BYTES) ** 2
+        if i > lo and (i - lo == WORDS_PER_QUERY or rows + n > ROWS_PER_QUERY):
+            yield words[lo:i]
+            lo, rows = i, 0
+        rows += n
+    if words[lo:]:
+        yield words[lo:]
+
+
 class Codec:
     """Encoder and decoder for one rank file and pattern."""
 
@@ -76,53 +121,76 @@ class Codec:
         self.data: list[bytes] = []
         self.pieces = PieceTable(CACHE_WORDS, self._learn, self._forget, pattern)
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "300MB", "preserve_insertion_order": "false", "allocator_flush_threshold": "16MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": f"{MEMORY_MB}MB", "temp_directory": "", "preserve_insertion_order": "false", "allocator_flush_threshold": "16MB"})
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         a, b, r = zip(*merges, strict=True) if merges else ((), (), ())
-        self._table("merges", {"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "rank": pa.array(r, pa.int32())})
+        alone = {x for ab in zip(a, b, r, strict=True) for x in ab[:2] if ab[2] <= x}
+        self._table("merges", {"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "rank": pa.array(r, pa.int32()), "alone": pa.array([x in alone for x in r], pa.bool_())})
+        self.bytes_of = {i: t for t, i in self.ranks.items()}
+        self.seams: dict[tuple[int, int], bool] = {}
         self._table("vocab", {"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in self.ranks])})
 
     def _table(self, name: str, columns: dict) -> None:
         given = pa.table(columns)  # noqa: F841  read by DuckDB from this frame
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given")
 
-    def _long(self, data: bytes) -> list[int]:
-        """Leftmost pair of least rank until none is left, over a linked list and a heap."""
-        part = [data[i : i + 1] for i in range(len(data))]
-        after, before, alive = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1)), [True] * len(part)
-        heap: list[tuple[int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < len(part) and (r := self.ranks.get(part[i] + part[j])) is not None:
-                heapq.heappush(heap, (r, i, len(part[i]) + len(part[j])))
-
-        for i in range(len(part)):
-            offer(i)
-        while heap:
-            _, i, size = heapq.heappop(heap)
-            if not alive[i] or (j := after[i]) >= len(part) or len(part[i]) + len(part[j]) != size:
-                continue
-            part[i], alive[j], after[i] = part[i] + part[j], False, after[j]
-            if after[j] < len(part):
-                before[after[j]] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return [self.ranks[p] for p, ok in zip(part, alive, strict=True) if ok]
+    def _contract(self, raw: list[bytes]) -> None:
+        """Fill the table ``ids`` (word number, position, id) for these words by the recursive query."""
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        pos = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
+        long = len(raw) > 0 and int(size.max()) > BLOCK_BYTES
+        if long:
+            self.db.execute(f"SET memory_limit = '{MEMORY_MB + len(data) // 2500}MB'")
+        self._table("start", {"word": np.repeat(np.arange(len(raw)), size).astype(np.int32), "pos": pos.astype(np.int32), "id": self.byte_ids[data]})
+        self.db.execute(_ENCODE_LONG if long else _ENCODE)
+        if long:
+            self.db.execute(f"SET memory_limit = '{MEMORY_MB}MB'")
+
+    def ids_of(self, words: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of words, each contracted as a whole."""
+        out: dict[bytes, list[int]] = {w: [] for w in words}
+        for some in _batches(list(out)):
+            self._contract(some)
+            for w, ids in self.db.execute("SELECT word, list(id ORDER BY pos) FROM ids GROUP BY word").fetchall():
+                out[some[w]] = ids
+        return out
+
+    def _long(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of long words, by blocks whose seams hold."""
+        cut = [[w[i : i + BLOCK_BYTES] for i in range(0, len(w), BLOCK_BYTES)] for w in words]
+        known: dict[bytes, list[int]] = {}
+        open_ = list(range(len(words)))  # words with a seam that may not hold
+        while open_:
+            known |= self.ids_of([b for b in dict.fromkeys(b for i in open_ for b in cut[i]) if b not in known])
+            at_seam = {i: [(known[a][-1], known[b][0]) for a, b in zip(cut[i], cut[i][1:], strict=False)] for i in open_}
+            new = {p: self.bytes_of[p[0]] + self.bytes_of[p[1]] for ps in at_seam.values() for p in ps if p not in self.seams}
+            found = self.ids_of(list(dict.fromkeys(new.values())))
+            self.seams |= {p: found[d] == list(p) for p, d in new.items()}
+            still = []
+            for i in open_:
+                joined = cut[i][:1]
+                for b, p in zip(cut[i][1:], at_seam[i], strict=True):
+                    if self.seams[p]:
+                        joined.append(b)
+                    else:
+                        joined[-1] += b
+                if len(joined) < len(cut[i]):
+                    cut[i] = joined
+                    still.append(i)
+            open_ = still
+        return [[x for b in blocks for x in known[b]] for blocks in cut]
 
     def _encode(self, words: list[str]) -> None:
         """Fill the table ``ids`` (word number, position, id) for these words."""
         raw = [w.encode() for w in words]
-        long = [i for i, d in enumerate(raw) if len(d) > LONG_WORD]
-        size = np.fromiter((len(d) if len(d) <= LONG_WORD else 0 for d in raw), dtype=np.int64, count=len(raw))
-        data = np.frombuffer(b"".join([d for d in raw if len(d) <= LONG_WORD]), dtype=np.uint8)
-        pos = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
-        self._table("start", {"word": np.repeat(np.arange(len(raw)), size).astype(np.int32), "pos": pos.astype(np.int32), "id": self.byte_ids[data]})
-        self.db.execute(_ENCODE)
-        for i in long:
-            ids = self._long(raw[i])
-            self._table("more", {"word": np.full(len(ids), i, dtype=np.int32), "pos": np.arange(len(ids), dtype=np.int32), "id": np.array(ids, dtype=np.int32)})
+        at = [i for i, d in enumerate(raw) if len(d) > BLOCK_BYTES]
+        long = dict(zip(at, self._long([raw[i] for i in at]), strict=True))
+        self._contract([b"" if i in long else d for i, d in enumerate(raw)])
+        if long:
+            size = np.fromiter(map(len, long.values()), dtype=np.int64, count=len(long))
+            pos = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            self._table("more", {"word": np.repeat(np.fromiter(long, dtype=np.int32, count=len(long)), size), "pos": pos.astype(np.int32), "id": np.fromiter((i for x in long.values() for i in x), dtype=np.int32, count=int(size.sum()))})
             self.db.execute("INSERT INTO ids SELECT * FROM more")
 
     def _decoded(self, n: int) -> list[tuple[bytes, bytes]]:
@@ -142,8 +210,7 @@ class Codec:
 
     def _learn(self, words: list[str]) -> None:
         """Decimal ids joined by a space, and the bytes decoded from the ids, of new pieces."""
-        for lo in range(0, len(words), WORDS_PER_QUERY):
-            some = words[lo : lo + WORDS_PER_QUERY]
+        for some in _batches(words):
             self._encode(some)
             for decimal, data in self._decoded(len(some)):
                 self.decimal.append(decimal)
@@ -152,6 +219,7 @@ class Codec:
     def _forget(self) -> None:
         self.decimal.clear()
         self.data.clear()
+        self.seams.clear()
 
     def read(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Of each text: decimal ids joined by a space, and the bytes decoded from the ids."""
