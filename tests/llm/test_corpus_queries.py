@@ -124,6 +124,101 @@ def test_op4_records_are_linked(spark, tables):
     assert all(by[i, u, t] == n for (i, u), n in pages.items() for t in ("metadata", "conversion"))
 
 
+def test_op4_equals_a_plain_parser(spark, sf_dir):
+    """Records rebuilt from the pages with the standard library's parser."""
+    import base64
+    import html
+    import json
+    import uuid
+    from html.parser import HTMLParser
+    from urllib.parse import urljoin
+
+    from tilewise.llm import warc
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.out, self.links, self.hidden, self.title, self.in_title = [], [], 0, None, False
+
+        def handle_starttag(self, tag, attrs):
+            self.hidden += tag in warc.HIDDEN
+            self.in_title |= tag == "title"
+            self.out += ["\n"] * (tag in warc.BLOCKS)
+            if tag == "a" and dict(attrs).get("href") is not None:
+                self.links.append(dict(attrs)["href"].strip())
+
+        def handle_endtag(self, tag):
+            self.hidden -= tag in warc.HIDDEN
+            self.in_title &= tag != "title"
+            self.out += ["\n"] * (tag in warc.BLOCKS)
+
+        def add(self, text):
+            if not self.hidden:
+                self.out.append(text)
+                if self.in_title:
+                    self.title = (self.title or "") + text
+
+        def handle_data(self, data):
+            self.add(data.replace("\n", " "))
+
+        def handle_entityref(self, name):
+            self.add(html.unescape(f"&{name};"))
+
+        def handle_charref(self, name):
+            self.add(html.unescape(f"&#{name};"))
+
+        def handle_comment(self, data):
+            self.out.append(" ")
+
+    sha1 = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    rows = QUERIES["op4_warc_derivatives"](spark, sf_dir).collect()
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    assert len(rows) == 2 * len(pages)
+    for r in rows:
+        page = pages[r.page_id]
+        raw = (page.html or "").encode()
+        name = hashlib.md5(f"{page.page_id} {page.url or ''} {hashlib.sha1(raw).hexdigest()}".encode()).hexdigest()
+        assert r.refers_to == f"<urn:uuid:{uuid.UUID(name)}>" and r.source_digest == sha1(raw)
+        assert r.record_id == f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{r.refers_to} {r.warc_type}')}>"
+        plain = Plain()
+        plain.feed(page.html or "")
+        plain.close()
+        body = bytes(r.record).partition(b"\r\n\r\n")[2][: r.block_length]
+        assert r.block_digest == sha1(body)
+        if r.warc_type == "conversion":
+            assert [" ".join(x.split()) for x in "".join(plain.out).split("\n") if x.strip()] == body.decode().split("\n")
+        else:
+            about = json.loads(body)
+            assert about["links"] == [urljoin(page.url or "", x) for x in plain.links] and about["payload-length"] == len(raw)
+            assert about["title"] == (None if plain.title is None else " ".join(plain.title.split()))
+
+
+def test_op4_hostile_pages_take_time_in_proportion():
+    import time
+
+    from tilewise.llm import warc
+
+    marks = ["<!--", "<a ", "<script ", "<script>", "<a href='", "</", "<", "<!", "<title>", "<a x=", "<script></scrip ", "<p/", "<!-- -->", "<a b  ="]
+    for mark in marks:
+        for end in ("", ">", "'>", '">'):
+            began = time.process_time()
+            warc.read(mark * ((1 << 20) // len(mark)) + end)
+            assert time.process_time() - began < 5
+    assert warc.plain_text("a<script>b") == warc.plain_text("a<!-- b") == warc.plain_text("a<p title='") == "a"
+    assert warc.plain_text("<p it's>a</p> <p title='x>y'>b") == "a\nb" and warc.plain_text("1 < 2 <3") == "1 < 2 <3"
+
+
+def test_op4_captures_have_identifiers_of_their_own(spark):
+    from tilewise.llm import warc
+
+    pages = spark.createDataFrame([(1, "http://a/", "x", "r"), (1, "http://a/", "y", "s"), (1, "http://a/", "y", "t"), (None, None, None, None)], "page_id long, url string, html string, record_id string")
+    rows = warc.derivatives(warc.responses_of_pages(pages), "page_id").collect()
+    assert len(rows) == 8 and len({r.record_id for r in rows}) == 6
+    assert all(b"WARC-Date" not in bytes(r.record) and b"WARC-Refers-To-Date" not in bytes(r.record) for r in rows)
+    made = warc.derivatives(warc.responses_of_pages(pages), "page_id", "2024-01-31T00:00:00Z").collect()
+    assert all(b"\r\nWARC-Date: 2024-01-31T00:00:00Z\r\n" in bytes(r.record) and b"WARC-Refers-To-Date" not in bytes(r.record) for r in made)
+
+
 def test_op4_text_and_links():
     import json
 

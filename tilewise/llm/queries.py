@@ -33,7 +33,9 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages")), "page_id")
+    # The table has no capture dates; the time at which its file was written is the nearest that is known.
+    stored = F.date_format(F.to_utc_timestamp("_metadata.file_modification_time", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages"), stored), "page_id")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
