@@ -1,4 +1,4 @@
-"""Token counts from a compiled finite-state transducer, composed over chunks in order.
+"""Token counts from a compiled finite-state transducer, its chunk maps composed by a parallel prefix scan.
 
 The BPE of a sentencepiece model is compiled, lazily and exactly, into a deterministic transducer over characters. The
 last token of the encoding of every prefix decides how the encoding goes on: the next prefix's last token is the
@@ -9,11 +9,15 @@ tokens since; a transition carries by how much the token count changes.
 Two neighbouring characters that stand together in no piece bring the transducer back to one state: no token crosses
 them. Texts are cut there (first into units before space marks, which follow no other character in any piece) into
 chunks whose state maps are constant: one run of the transducer counts each distinct chunk, and the prefix sums of the
-counts along a batch give the count of every document. A chunk of more than ``CHUNK_CHARS`` characters is cut again,
-and its parts are read in order, each from the exit state of the one before (memoised by entry state and text).
+counts along a batch give the count of every document. A chunk of more than ``CHUNK_CHARS`` characters is cut into parts,
+each part gets the map of the entry states that can occur there, and an associative scan composes the maps.
 
-Defined results: null and empty texts have 0 tokens; repeated rows count alike; texts of any length are read whole; an
-empty table gives an empty result.
+The states at a part's start are not known beforehand. Every part is first run from the first state, and then from each
+exit state found for the part before it that is new, until there is none; as states soon agree, two rounds mostly do.
+
+Defined results: null and empty texts have 0 tokens; repeated rows, and rows with equal or null keys, count alike and
+each by itself; other columns and their names do not matter; texts of any length are read whole; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ CACHE_STATES = 300_000
 #: A state: for each live start of a piece (nearest last), the piece prefix since then as a trie node, the last token
 #: before it (-1: none), tokens since.
 State = tuple[tuple[int, int, int], ...]
+#: Of each entry state of a stretch of text: the exit state and the tokens counted.
+StateMap = dict[int, tuple[int, int]]
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -147,18 +153,43 @@ class Transducer:
         at = [0, *(i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.pairs), len(unit)]
         return [unit[a:b] for a, b in zip(at, at[1:], strict=False)]
 
+    def part_maps(self, parts: list[str]) -> list[StateMap]:
+        """The map of each part, over all entry states that a run of the parts before it can end in."""
+        out: list[StateMap] = [{} for _ in parts]
+        todo = [(i, 0) for i in range(len(parts))]
+        while todo:
+            after = []
+            for i, state in todo:
+                if state in out[i]:
+                    continue
+                key = (state, parts[i])
+                if key not in self.maps:
+                    self.maps[key] = self.chunk_map(*key)
+                out[i][state] = self.maps[key]
+                if i + 1 < len(parts):
+                    after.append((i + 1, out[i][state][0]))
+            todo = after
+        return out
+
     def count_chunk(self, chunk: str) -> int:
-        """Tokens of a chunk that is read from the first state: maps of its parts, composed left to right."""
+        """Tokens of a chunk that is read from the first state."""
         if len(chunk) <= CHUNK_CHARS:
             return self.chunk_map(0, chunk)[1]
-        state, total = 0, 0
-        for lo in range(0, len(chunk), CHUNK_CHARS):
-            key = (state, chunk[lo : lo + CHUNK_CHARS])
-            if key not in self.maps:
-                self.maps[key] = self.chunk_map(*key)
-            state, count = self.maps[key]
-            total += count
-        return total
+        parts = [chunk[lo : lo + CHUNK_CHARS] for lo in range(0, len(chunk), CHUNK_CHARS)]
+        return prefix_scan(self.part_maps(parts))[-1][0][1]
+
+
+def compose(first: StateMap, second: StateMap) -> StateMap:
+    """The map of a stretch and the one after it, taken together."""
+    return {state: (second[middle][0], n + second[middle][1]) for state, (middle, n) in first.items() if middle in second}
+
+
+def prefix_scan(maps: list[StateMap]) -> list[StateMap]:
+    """Compositions of the first 1, 2, ... maps, in a logarithmic number of passes of independent compositions."""
+    if len(maps) < 2:
+        return maps
+    halves = prefix_scan([compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)])
+    return [maps[0] if i == 0 else halves[i // 2] if i % 2 else compose(halves[i // 2 - 1], maps[i]) for i in range(len(maps))]
 
 
 class Counter:
