@@ -1,17 +1,20 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 Every language has a model of the characters of its words, each word between two boundary marks and with contexts of up
-to ``ORDER - 1`` characters within the word. Discounted probabilities of all languages sit in one sorted array of
-64-bit n-gram hashes per order, with the interpolation weights of contexts in another; a text is scored by binary
-search in those arrays. The language with the lowest cross-entropy per character is chosen.
-
-Models are fitted on a bounded sample of labelled rows, ``SAMPLE_DOCS`` a language, those with the lowest hash of their
-key. A fifth of the sample is kept apart; its cross-entropies set, for each language, the level above which a text is
-rejected as being in none of the learned languages.
-
-Defined results: a null text, or one without a letter, is ``und`` with score 0 and is rejected only where its text is
-null or has no letter; without labelled rows every text is ``und``; repeated rows are predicted alike; an empty table
-gives an empty result; texts are read whole.
+to ``ORDER - 1`` characters within the word. A model is a sorted array of 64-bit n-gram hashes with their discounted
+probabilities for each order, and one of contexts with their interpolation weights; a text is scored by binary search in
+those arrays. The language with the lowest cross-entropy per character is chosen.
+
+Models are fitted on a bounded sample of labelled rows: at most ``SAMPLE_DOCS`` keys a language, those with the lowest hash
+of their key, ``SAMPLE_BYTES`` of text a language (its first row always) and ``SAMPLE_TOTAL`` rows altogether, shared out
+evenly; the labels learned are the ``MAX_LANGUAGES`` with the most rows. A fifth of the sample is kept apart; its
+cross-entropies set, for each language, the level above which a text is rejected as being in none of the learned languages.
+
+Defined results: a null text, or one without a letter, is ``und`` with score 0 and is rejected; without labelled rows every
+text is ``und`` and rejected; of equally good languages the first by name is chosen; repeated rows, and rows with equal or
+null keys, are predicted alike and each by itself; rows without a key are not learned from, and of rows that share key and
+label the first text is; labels beyond the bound are not learned; other columns and their names do not matter; an empty
+table gives an empty result; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from .common import bounded_batches, chunks, own_worker, text_or_empty
 ORDER = 4
 DISCOUNT = 0.75
 SAMPLE_DOCS = 500
+SAMPLE_TOTAL = 20_000
+SAMPLE_BYTES = 32 << 20
 CALIBRATION_SHARE = 5
 #: Candidates for a sample of n: those whose uniform place is among the first NEAR * n + NEAR_LEAST expected.
 NEAR, NEAR_LEAST = 2, 200
@@ -45,6 +50,8 @@ EVIDENCE = 20.0
 UNKNOWN = "und"
 #: Text scored at a time: the working arrays take some fifty times this.
 SCORED_BYTES = 2 << 20
+#: Languages scored together.
+SCORED_LANGUAGES = 32
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 _BOUNDARY = 32
@@ -84,42 +91,46 @@ def _lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
+    """Arrays by language, then by order."""
+
     langs: list[str]
-    grams: list[np.ndarray]  # by order: sorted n-gram hashes
-    probs: list[np.ndarray]  # by order: probability of each n-gram's last character, a column per language
-    contexts: list[np.ndarray]  # by order: sorted hashes of contexts
-    weights: list[np.ndarray]  # by order: interpolation weight of each context, a column per language
-    floor: np.ndarray  # probability of a character never seen
+    grams: list[list[np.ndarray]]  # sorted n-gram hashes
+    probs: list[list[np.ndarray]]  # probability of each n-gram's last character
+    contexts: list[list[np.ndarray]]  # sorted hashes of contexts
+    weights: list[list[np.ndarray]]  # interpolation weight of each context
+    floor: float  # probability of a character never seen
     limits: np.ndarray | None = None
 
-    def _prob(self, k: int, hashes: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    def _prob(self, j: int, k: int, hashes: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        """In language j, of the characters at these places after the k - 1 before them."""
         if k == 0:
-            return np.repeat(self.floor[None, :], len(at), axis=0)
-        found = _lookup(self.grams[k - 1], hashes[k - 1][at])
-        out = self.probs[k - 1][np.maximum(found, 0)]
+            return np.full(len(at), self.floor)
+        found = _lookup(self.grams[j][k - 1], hashes[k - 1][at])
+        out = self.probs[j][k - 1][np.maximum(found, 0)]
         lack = np.flatnonzero(found < 0)
         if len(lack):
             rest = at[lack]
-            lower = self._prob(k - 1, hashes, rest)
+            lower = self._prob(j, k - 1, hashes, rest)
             if k == 1:
-                lower = lower * self.weights[0][0]  # the empty context
+                lower = lower * self.weights[j][0][0]  # the empty context
             else:
-                ctx = _lookup(self.contexts[k - 1], hashes[k - 2][rest - 1])
-                lower = lower * np.where((ctx >= 0)[:, None], self.weights[k - 1][np.maximum(ctx, 0)], 1.0)
+                ctx = _lookup(self.contexts[j][k - 1], hashes[k - 2][rest - 1])
+                lower = lower * np.where(ctx >= 0, self.weights[j][k - 1][np.maximum(ctx, 0)], 1.0)
             out[lack] = lower
         return out
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
+    def word_scores(self, words: list[str], langs: range) -> np.ndarray:
         """Per word: nats by language, then the number of characters (with the closing mark)."""
         hashes, longest, word = _grams(words)
-        out = np.zeros((len(words), len(self.langs) + 1))
+        out = np.zeros((len(words), len(langs) + 1))
         for k in range(2, ORDER + 1):
             at = np.flatnonzero(longest == k)
             at = at[at > 0]
             if len(at):
-                nats = -np.log(self._prob(k, hashes, at))
-                for j in range(len(self.langs)):
-                    out[:, j] += np.bincount(word[at], weights=nats[:, j], minlength=len(words))
+                _, first, back = np.unique(hashes[k - 1][at], return_index=True, return_inverse=True)
+                for i, j in enumerate(langs):
+                    nats = -np.log(self._prob(j, k, hashes, at[first]))
+                    out[:, i] += np.bincount(word[at], weights=nats[back], minlength=len(words))
                 out[:, -1] += np.bincount(word[at], minlength=len(words))
         return out
 
@@ -128,15 +139,16 @@ class Model:
         cut = [words_of(t) for t in texts]
         number: dict[str, int] = {}
         flat = np.fromiter((number.setdefault(w, len(number)) for ws in cut for w in ws), dtype=np.int64, count=sum(map(len, cut)))
-        sums = np.zeros((len(texts), len(self.langs) + 1))
+        sums, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
         if len(flat):
-            scores = self.word_scores(list(number))
             sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
             full = np.flatnonzero(sizes)
             starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-            sums[full] = np.add.reduceat(scores[flat], starts, axis=0)
-        n = sums[:, -1]
-        return sums[:, :-1] / np.maximum(n, 1)[:, None], n
+            for lo in range(0, max(1, len(self.langs)), SCORED_LANGUAGES):
+                some = range(lo, min(lo + SCORED_LANGUAGES, len(self.langs)))
+                found = np.add.reduceat(self.word_scores(list(number), some)[flat], starts, axis=0)
+                sums[full, lo : some.stop], n[full] = found[:, :-1], found[:, -1]
+        return sums / np.maximum(n, 1)[:, None], n
 
 
 def _counts(words: list[str], times: np.ndarray) -> list[dict[str, np.ndarray]]:
@@ -174,26 +186,21 @@ def _counts(words: list[str], times: np.ndarray) -> list[dict[str, np.ndarray]]:
 def train(words: dict[str, dict[str, int]]) -> Model:
     """Fit the models of all languages from their word counts."""
     langs = sorted(words)
-    counted = [_counts(list(words[x]), np.array(list(words[x].values()))) for x in langs]
     chars = {c for x in langs for w in words[x] for c in w}
-    floor = np.full(len(langs), 1.0 / (len(chars) + 2))
-    model = Model(langs, [], [], [], [], floor)
-    for k in range(1, ORDER + 1):
-        own = [c[k - 1] for c in counted]
-        grams, first = np.unique(np.concatenate([c["gram"] for c in own]), return_index=True)
-        context = np.concatenate([c["context"] for c in own])[first]
-        suffix = np.concatenate([c["suffix"] for c in own])[first]
-        contexts = np.unique(np.concatenate([c["context"] for c in own]))
-        weights = np.ones((len(contexts), len(langs)))
-        direct = np.zeros((len(grams), len(langs)))
-        for j, c in enumerate(own):
+    model = Model(langs, [], [], [], [], 1.0 / (len(chars) + 2))
+    for x in langs:
+        grams, probs, contexts, weights = [], [], [], []
+        for k, c in enumerate(_counts(list(words[x]), np.array(list(words[x].values())))):
             ctx, back = np.unique(c["context"], return_inverse=True)
             total = np.bincount(back, weights=c["count"])
-            weights[_lookup(contexts, ctx), j] = DISCOUNT * np.bincount(back) / total
-            direct[_lookup(grams, c["gram"]), j] = np.maximum(c["count"] - DISCOUNT, 0) / total[back]
-        below = floor[None, :] if k == 1 else np.where((at := _lookup(model.grams[-1], suffix))[:, None] >= 0, model.probs[-1][np.maximum(at, 0)], floor)
+            weight = DISCOUNT * np.bincount(back) / total
+            below = probs[-1][_lookup(grams[-1], c["suffix"])] if k else model.floor  # a seen n-gram's suffix was seen
+            probs.append(np.maximum(c["count"] - DISCOUNT, 0) / total[back] + weight[back] * below)
+            grams.append(c["gram"])
+            contexts.append(ctx)
+            weights.append(weight)
         model.grams.append(grams)
-        model.probs.append(direct + weights[_lookup(contexts, context)] * below)
+        model.probs.append(probs)
         model.contexts.append(contexts)
         model.weights.append(weights)
     return model
@@ -241,32 +248,33 @@ def _scored(rows: DataFrame, model: Model, key_type: str) -> DataFrame:
     return rows.mapInArrow(_scorer(shared), f"key {key_type}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE_DOCS) -> Model:
-    """Models and rejection levels from at most ``sample`` labelled rows a language."""
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE_DOCS, total: int = SAMPLE_TOTAL, languages: int = MAX_LANGUAGES) -> Model:
+    """Models and rejection levels from at most ``sample`` labelled rows a language and ``total`` of all."""
     spark = docs.sparkSession
     bounded_batches(spark)
     place = F.pmod(F.xxhash64("k"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     labelled = docs.where(may_learn(key) & F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("l")).withColumn("place", place)
+    sizes = labelled.groupBy("l").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "l").limit(languages).collect()
+    each = min(sample, max(CALIBRATION_SHARE, total // max(1, len(sizes))))
     # The lowest places lie, but for odds beyond counting, in a few times their share of the rows; the rest is not sorted.
-    sizes = labelled.groupBy("l").agg(F.count("*").alias("size")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} different labels")
-    below = F.create_map(*[x for r in sizes for x in (F.lit(r.l), F.lit((sample * NEAR + NEAR_LEAST) / r.size))]) if sizes else F.create_map().cast("map<string,double>")
-    near = labelled.where(F.col("place") < F.element_at(below, F.col("l"))).select("k", "l", "place").distinct()
+    below = F.create_map(*[x for r in sizes for x in (F.lit(r.l), F.lit((each * NEAR + NEAR_LEAST) / r.size))]) if sizes else F.create_map().cast("map<string,double>")
+    near = labelled.where(F.col("place") < F.element_at(below, F.col("l"))).distinct()
     low = Window.partitionBy("l").orderBy("place", "k")
-    chosen = near.withColumn("nth", F.row_number().over(low)).where(F.col("nth") <= sample)
-    chosen = chosen.select("k", (F.col("nth") % CALIBRATION_SHARE == 0).alias("calibrate")).dropDuplicates(["k"])
+    chosen = near.withColumn("nth", F.row_number().over(low)).where(F.col("nth") <= each).select("k", "l", "nth")
     rows = docs.where(may_learn(key) & F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(lang).cast("string").alias("l"), text_or_empty(text).alias("text"))
-    rows = rows.join(F.broadcast(chosen), "k").repartition(8)
+    rows = rows.join(F.broadcast(chosen), ["k", "l"]).groupBy("l", "nth").agg(F.min("text").alias("text"))
+    size = F.sum(F.octet_length("text")).over(Window.partitionBy("l").orderBy("nth"))
+    rows = rows.withColumn("size", size).where((F.col("size") <= SAMPLE_BYTES) | (F.col("nth") == 1)).withColumn("calibrate", F.col("nth") % CALIBRATION_SHARE == 0)
+    rows = rows.repartition(8)
     counts = rows.where("not calibrate").select("l", "text").mapInArrow(_word_rows, "lang string, word string, n long")
     words: dict[str, dict[str, int]] = {}
     for r in counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).orderBy("lang", "word").toLocalIterator():
         words.setdefault(r.lang, {})[r.word] = r.n
-    model = train(words) if words else Model([], [], [], [], [], np.zeros(0))
+    model = train(words)
     if words:
         held = _scored(rows.where("calibrate").select(F.col("l").alias("key"), "text"), model, "string")
         held = held.where("key = lang_pred").groupBy("key").agg(F.avg("cross_entropy").alias("mean"), F.stddev_pop("cross_entropy").alias("sd"), F.max("cross_entropy").alias("high"))
-        uniform = float(-np.log(model.floor[0]))
+        uniform = float(-np.log(model.floor))
         level = {r.key: max(r.high, r.mean + REJECT_SIGMAS * r.sd, r.mean + REJECT_TOWARDS_UNIFORM * (uniform - r.mean)) for r in held.collect()}
         model.limits = np.array([level.get(x, np.inf) for x in model.langs])
     return model
