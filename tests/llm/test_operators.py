@@ -1,6 +1,7 @@
 """Operators on their own: exactness of the parts, bounds, and paths that small tables do not reach."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -98,6 +99,23 @@ def test_chunk_maps_compose():
     assert (state, total) == m.chunk_map(0, text) and total == m.count_chunk(text)
 
 
+def test_prefix_scan_of_chunk_maps_at_random_cuts():
+    m = token_count.counter(public_tokenizers.path("piece_bpe_32k.model")).machine
+    rng = random.Random(9)
+    entry_states = 0
+    for _ in range(150):
+        text = "".join(rng.choices("etaoinshrdlu" if rng.random() < 0.5 else "abAB日é1", k=rng.randint(1, 400)))
+        cuts = sorted(rng.sample(range(len(text) + 1), min(len(text), rng.randint(0, 12))))
+        parts = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        maps = m.part_maps(parts)
+        entry_states = max(entry_states, *map(len, maps))
+        for end, found in zip([*cuts, len(text)], token_count.prefix_scan(maps), strict=True):
+            assert found[0] == m.chunk_map(0, text[:end])
+        a, b, c = (maps * 3)[:3] if len(maps) < 3 else maps[:3]
+        assert token_count.compose(token_count.compose(a, b), c) == token_count.compose(a, token_count.compose(b, c))
+    assert entry_states > 1
+
+
 def test_fm_index_search_and_locate():
     rng = np.random.default_rng(3)
     for _ in range(60):
@@ -217,10 +235,62 @@ def test_kneser_ney_sums_to_one():
         for c in [*chars, None, "q"]:
             hashes, longest, _ = langid._grams([context + c] if c else [context])
             at = len(context) + 1
-            total += model._prob(int(longest[at]), hashes, np.array([at]))[0]
+            total += [model._prob(j, int(longest[at]), hashes, np.array([at]))[0] for j in range(2)]
         assert np.allclose(total, 1, atol=1e-9)  # "q" stands for all unseen characters
 
 
+def plain_kneser_ney(words):
+    """Probability of a character after a context, by the definition, from word counts."""
+    grams = Counter()
+    for w, n in words.items():
+        marked = f" {w} "
+        for i in range(1, len(marked)):
+            for k in range(1, langid.ORDER + 1):
+                if i - k + 1 >= 0:
+                    grams[marked[i - k + 1 : i + 1]] += n
+    kn = {}
+    for g, n in grams.items():
+        kn[g] = n if len(g) == langid.ORDER or (g[0] == " " and len(g) > 1) else sum(1 for h in grams if len(h) == len(g) + 1 and h[1:] == g)
+    chars = len({c for w in words for c in w})
+
+    def prob(context, c, floor):
+        lower = prob(context[1:], c, floor) if context else floor
+        seen = {g: n for g, n in kn.items() if len(g) == len(context) + 1 and g[:-1] == context}
+        if not seen:
+            return lower
+        return max(seen.get(context + c, 0) - langid.DISCOUNT, 0) / sum(seen.values()) + langid.DISCOUNT * len(seen) / sum(seen.values()) * lower
+
+    return prob, chars
+
+
+def test_scores_equal_plain_kneser_ney():
+    rng = random.Random(2)
+    words = {x: Counter("".join(rng.choices(alphabet, k=rng.randint(1, 6))) for _ in range(60)) for x, alphabet in (("a", "abcd"), ("b", "cdef"))}
+    model = langid.train(words)
+    texts = ["abc bad", "cdef fed", "a", "zz abzz", "dcba" * 5]
+    entropy, n = model.text_scores(texts)
+    for j, x in enumerate(model.langs):
+        prob, _ = plain_kneser_ney(words[x])
+        for i, t in enumerate(texts):
+            nats, count = 0.0, 0
+            for w in t.split():
+                marked = f" {w} "
+                for at in range(1, len(marked)):
+                    nats -= np.log(prob(marked[max(0, at - langid.ORDER + 1) : at], marked[at], model.floor))
+                    count += 1
+            assert n[i] == count and abs(entropy[i, j] - nats / count) < 1e-9
+
+
+def test_many_labels_and_repeated_keys_stay_in_bounds(spark, monkeypatch):
+    rows = [(i, f"tekst {i} of label{i % 40} " * 3, f"l{i % 40:02}") for i in range(400)] + [(1, f"again {i} again", "l01") for i in range(200)] + [(None, "no key", "l02")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(docs, languages=7).langs == sorted(r.l for r in docs.where(langid.may_learn()).groupBy(F.col("lang").alias("l")).count().orderBy(F.desc("count"), "l").limit(7).collect())
+    monkeypatch.setattr(langid, "SCORED_LANGUAGES", 3)
+    few = langid.fit(docs, total=200)
+    assert len(few.langs) == 40
+    assert langid.predict(docs, few).where("lang_pred = lang_pred").count() == len(rows)
+
+
 def test_language_models_learn_only_from_allowed_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     wrong = docs.withColumn("lang", F.when(langid.may_learn(), F.col("lang")).otherwise("xx"))

@@ -229,27 +229,28 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([r for r, _ in stars], pa.int64()), pa.array([x for _, x in stars], pa.int64())], names=["a", "b"])
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(node, root): every node of the edges (a, b) with the smallest node it is connected to, by star contractions."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): every node of the edges (a, b) with the smallest node it is connected to, by star contractions.
+
+    The edges of a node with a large share of them are joined by broadcast of its row, so that no task holds them all.
+    """
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").mapInArrow(_contract, "a long, b long")
     edges = written(edges.distinct(), "edges")
-    for _ in range(max_rounds):
+    total = edges.count()
+    while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = both.join(low, "u").where("v > u").select(F.col("low").alias("a"), F.col("v").alias("b")).distinct()
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("low"), F.count("*").alias("n"))
+        large = join_back(both, low, "u", "n", 2 * total).where("v > u").select(F.col("low").alias("a"), F.col("v").alias("b")).distinct()
         large = written(large, "large")
         # Small stars: each node's smaller neighbours, and itself, hang from the smallest of them.
-        low = large.groupBy("b").agg(F.min("a").alias("low"))
-        small = large.join(low, "b")
+        low = large.groupBy("b").agg(F.min("a").alias("low"), F.count("*").alias("n"))
+        small = join_back(large, low, "b", "n", large.count())
         small = small.where("a <> low").select(F.col("low").alias("x"), F.col("a").alias("y")).unionByName(low.select(F.col("low").alias("x"), F.col("b").alias("y")))
-        new = written(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "small")
-        edges = new
+        edges = written(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "small")
         # Stable when no node is both a root and a leaf, and each leaf has one root.
-        leaves, total = new.select("b").distinct().count(), new.count()
-        if leaves == total and new.select(F.col("a").alias("b")).distinct().join(new.select("b"), "b", "left_semi").isEmpty():
+        leaves, total = edges.select("b").distinct().count(), edges.count()
+        if leaves == total and edges.select(F.col("a").alias("b")).distinct().join(edges.select("b"), "b", "left_semi").isEmpty():
             break
-    else:
-        raise RuntimeError("star contractions did not settle")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
