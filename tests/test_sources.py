@@ -58,13 +58,13 @@ def test_numbered_lines(spark, tmp_path):
 
 def test_annotation_document_keeps_exact_numbers(spark, tmp_path):
     doc = """{"images":[{"id":1,"file_name":"d/a.png","width":10,"height":10}],"categories":[{"id":1,"name":"x"}],
-    "annotations":[{"id":5,"image_id":1,"category_id":1,"bbox":[0.0006,0,0.0016,1],"iscrowd":0},{"id":6,"image_id":1,"category_id":1,"bbox":[NaN,0,1,1]},{"id":7,"image_id":1,"category_id":1,"bbox":[0,0,1]},{"id":8,"image_id":1,"category_id":1,"bbox":[0.1225000000000000000001,0,1,1]}]}"""
+    "annotations":[{"id":5,"image_id":1,"category_id":1,"bbox":[0.25,0.0015,0.5,2e1],"iscrowd":0},{"id":6,"image_id":1,"category_id":1,"bbox":[NaN,0,1,1]},{"id":7,"image_id":1,"category_id":1,"bbox":[0,0,1]},{"id":8,"image_id":1,"category_id":1,"bbox":[7.3125000000000000000009,0,1,1]}]}"""
     (tmp_path / "c.json").write_text(doc.replace("\n", " "))
     got = files.annotation_documents(spark, str(tmp_path / "c.json"))
     notes = got["annotations"].orderBy("ordinal").collect()
-    assert [(n.ordinal, n.id, n.reason, n.box) for n in notes[:1]] == [(0, 5, None, [1, 0, 2, 1000])]
+    assert [(n.ordinal, n.id, n.reason, n.box) for n in notes[:1]] == [(0, 5, None, [250, 2, 750, 20002])]
     assert [n.reason for n in notes] == [None, "nonfinite_geometry", "malformed_bbox", None]
-    assert notes[3].box[0] == 123
+    assert notes[3].box[0] == 7313
     assert got["images"].first().identity == "a.png" and got["categories"].first().name == "x"
 
 
@@ -85,6 +85,7 @@ def test_page_results_images_tensors_and_locks(spark, tmp_path):
         f.write("\n" + json.dumps(page) + "\n")
     r = files.page_results(spark, str(tmp_path / "p.jsonl.gz")).first()
     assert (r.prediction_jsonl_line, r.page_id, r.query, r.x0, r.x1) == (2, "p", 3, "1.5", "nan")
+    assert (r.extents, r.box, r.reason) == (None, None, "nonfinite_geometry")
     head = struct.pack(">II5B", 31, 17, 8, 2, 0, 0, 0)
     (tmp_path / "i.png").write_bytes(b"\x89PNG\r\n\x1a\n" + struct.pack(">I", 13) + b"IHDR" + head + struct.pack(">I", zlib.crc32(b"IHDR" + head)))
     assert [(r.width, r.height) for r in files.image_files(spark, str(tmp_path)).collect()] == [(31, 17)]
@@ -95,22 +96,75 @@ def test_page_results_images_tensors_and_locks(spark, tmp_path):
     assert {r.path: r.problems for r in files.lock_entries(spark, str(tmp_path / "lock.json")).collect()} == {"a": [], "b": ["side", "digest"]}
 
 
-def test_footprints_and_boundary(spark, tmp_path):
-    ring = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
-    hole = [[1, 1], [1, 2], [2, 2], [2, 1], [1, 1]]
-    feature = {"type": "Feature", "properties": {"a": 1}, "geometry": {"type": "Polygon", "coordinates": [ring, hole]}}
+def square(x, y, side):
+    return [[x, y], [x + side, y], [x + side, y + side], [x, y + side], [x, y]]
+
+
+def test_footprints_keep_parts_and_holes(spark, tmp_path):
+    shell, hole, far = square(-3, 5, 6), square(-2, 6, 2), square(20, 5, 3)
+    shapes = [{"type": "Polygon", "coordinates": [shell, hole]}, {"type": "MultiPolygon", "coordinates": [[shell, hole], [far[::-1]]]}]
     with zipfile.ZipFile(tmp_path / "f.zip", "w") as z:
-        z.writestr("f", json.dumps(feature) + "\n" + json.dumps({"type": "Point", "coordinates": [1, 2]}) + "\n")
-    polygon, point = files.footprints_geojson(spark, str(tmp_path / "f.zip")).orderBy("record").collect()
-    assert point.rings is None and len(polygon.rings) == 2
-    df = files.footprints_geojson(spark, str(tmp_path / "f.zip")).where("kind = 'Polygon'")
-    cx, cy = geometry.centroid(F.col("rings"))
-    got = df.select(cx.alias("x"), cy.alias("y")).first()
-    assert (round(got.x, 9), round(got.y, 9)) == (round((32 - 1.5) / 15, 9),) * 2
-    (tmp_path / "b.json").write_text(json.dumps({"type": "FeatureCollection", "features": [feature]}))
-    assert files.boundary_rings(spark, str(tmp_path / "b.json"))[0][1] == (4.0, 0.0)
-    inside = lambda x, y: spark.range(1).select(geometry.covered_by(F.lit(x), F.lit(y), [tuple(map(float, p)) for p in ring])).first()[0]
-    assert [inside(*p) for p in ((1.0, 1.0), (0.0, 2.0), (4.0, 4.0), (4.1, 1.0), (-1.0, 0.0))] == [True, True, True, False, False]
+        z.writestr("f", "".join(json.dumps(x) + "\n" for x in [{"type": "Feature", "properties": {"a": 1}, "geometry": shapes[0]}, shapes[1], {"type": "Point", "coordinates": [1, 2]}]))
+    df = files.footprints_geojson(spark, str(tmp_path / "f.zip"))
+    cx, cy = geometry.centroid(F.col("parts"))
+    one, two, point = df.select("parts", cx.alias("x"), cy.alias("y"), geometry.area(F.col("parts")).alias("area")).orderBy("record").collect()
+    assert point.parts is None and [len(p) for p in two.parts] == [2, 1]
+    assert (one.area, two.area) == (32, 41)
+    assert (round(one.x, 9), round(one.y, 9)) == (round((36 * 0 - 4 * -1) / 32, 9), round((36 * 8 - 4 * 7) / 32, 9))
+    assert (round(two.x, 9), round(two.y, 9)) == (round((4 + 9 * 21.5) / 41, 9), round((260 + 9 * 6.5) / 41, 9))
+    text = lambda ring: "(" + ", ".join(f"{x} {y}" for x, y in ring) + ")"
+    wkt = f"MULTIPOLYGON ((({text(shell)[1:]}, {text(hole)}), ({text(far)}))"
+    got = spark.createDataFrame([(wkt,)], "w string").select(geometry.wkt_parts(F.col("w")).alias("parts")).select("parts", geometry.centroid(F.col("parts"))[0].alias("x")).first()
+    assert [len(p) for p in got.parts] == [2, 1] and round(got.x, 9) == round(two.x, 9)
+
+
+def test_points_against_a_union_with_holes(spark, tmp_path):
+    features = [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [square(0, 0, 10), square(2, 2, 4)]}}, {"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[square(3, 3, 1)], [square(10, 0, 5)]]}}]
+    (tmp_path / "b.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    polygons = files.boundary_polygons(spark, str(tmp_path / "b.json"))
+    assert len(polygons) == 3
+    third = 1 / 3
+    points = [(1.0, 1.0, True), (2.5, 2.5, False), (3.5, 3.5, True), (2.0, 4.0, True), (3.0, 3.0, True), (10.0, 2.0, True), (12.0, 2.0, True), (12.0, 6.0, False), (15.0, 5.0, True), (-1e-300, 5.0, False), (float("nan"), 1.0, None), (None, 1.0, None), (0.0, third, True)]
+    got = spark.createDataFrame([(i, x, y) for i, (x, y, _) in enumerate(points)], "i int, x double, y double").select("i", geometry.covers(polygons)("x", "y").alias("c")).orderBy("i").collect()
+    assert [r.c for r in got] == [c for _, _, c in points]
+    slope = geometry.covers([[[(0.0, 0.0), (0.3, 0.1), (0.0, 1.0), (0.0, 0.0)]]])
+    # 0.1 and 0.3 are not thirds of each other in binary: the edge misses (0.15, 0.05) by less than a rounding.
+    from fractions import Fraction as R
+
+    on = R(0.3) * R(0.05) - R(0.1) * R(0.15)
+    assert spark.range(1).select(slope(F.lit(0.15), F.lit(0.05)).alias("c")).first().c == (on >= 0)
+    for ring in ([[0, 0], [1, 1], [1, 0], [0, 1], [0, 0]], [[0, 0], [1, 0], [2, 0], [0, 0]], [[0, 0], [1, 0], [1, 1]], [[0, 0], [float("inf"), 0], [1, 1], [0, 0]]):
+        with pytest.raises(ValueError, match="boundary ring"):
+            geometry.check_polygons([[[tuple(map(float, p)) for p in ring]]])
+
+
+def test_geojson_bounds_at_any_depth(spark):
+    deep = {"type": "FeatureCollection", "features": [{"geometry": {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [7, -2, 99]}, {"type": "MultiPolygon", "coordinates": [[square(1, 1, 2)]]}]}}]}
+    texts = [json.dumps(deep), '{"type": "Point", "coordinates": []}', "no json", None]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(geometry.geojson_bounds("t")).collect()]
+    assert got == [[1, -2, 7, 3], None, None, None]
+
+
+def test_rings_without_area_are_invalid(spark):
+    cases = {"POLYGON ((0 0, 2 2, 0 2, 2 0, 0 0))": "invalid_geometry", "POLYGON ((0 0, 1 1, 2 2, 0 0))": "invalid_geometry", "POLYGON ((0 0, 2 0, 2 2, 0 0))": None, "POLYGON EMPTY": "empty_geometry"}
+    df = spark.createDataFrame([(k,) for k in cases], "w string").withColumn("parts", geometry.wkt_parts(F.col("w")))
+    x, y = geometry.centroid(F.col("parts"))
+    got = {r.w: (r.p, r.x is None) for r in df.select("w", geometry.ring_problem(F.flatten("parts")).alias("p"), x.alias("x"), y.alias("y")).collect()}
+    assert got == {k: (p, p is not None) for k, p in cases.items()}
+
+
+def test_schema_gate(spark):
+    from pyspark.sql import types as T
+
+    from tilewise.schema import check_schema, schema_report
+
+    good = spark.createDataFrame([], RELATION)
+    assert schema_report(good, RELATION).count() == 0
+    bad = good.withColumn("y1", F.col("y1").cast("int")).drop("weight")
+    assert [(r.place, r.name, r.want, r.have) for r in schema_report(bad, RELATION).orderBy("place").collect()] == [(5, "y1", "y1 bigint", "y1 int"), (6, "weight", "weight bigint", None)]
+    with pytest.raises(ValueError, match="schema differs"):
+        check_schema(bad, RELATION)
+    assert schema_report(good, T.StructType(RELATION.fields[:6])).first().want is None
 
 
 def test_self_crossing(spark):

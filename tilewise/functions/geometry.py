@@ -1,13 +1,16 @@
 """Geographic columns: equal-area projection, WKT, bounds, centroids, containment.
 
-Polygons are arrays of rings, rings arrays of (x, y) structs, all in built-in higher-order functions. Full polygon
-validity needs a geometry library; ``ring_problem`` covers closure, size and finiteness, and ``self_crossing`` tests the
-segments of a ring in an Arrow UDF.
+A geometry is an array of parts, a part an array of rings (the first its shell, the others holes), a ring an array of
+(x, y) structs; parsing, bounds, projection and centroids are built-in higher-order functions. Full polygon validity needs a
+geometry library; ``ring_problem`` covers closure, size, finiteness and rings without area, and ``self_crossing`` tests the
+segments of a ring in an Arrow UDF. ``covers`` tests points against the union of polygons with holes, exactly.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -37,21 +40,36 @@ def project(lon: Column, lat: Column) -> tuple[Column, Column]:
     # With the centre on the equator the scale D at the centre is a / (radius * cos(0)).
     d = SEMI_MAJOR / radius
     dlon = F.radians(lon - F.lit(CENTRE_LONGITUDE))
-    b = radius * F.sqrt(2 / (1 + F.cos(beta) * F.cos(dlon)))
+    b = radius * F.sqrt(F.try_divide(F.lit(2.0), 1 + F.cos(beta) * F.cos(dlon)))  # null opposite the centre
     return b * d * F.cos(beta) * F.sin(dlon), b / d * F.sin(beta)
 
 
 _RING = r"\(([^()]*)\)"
+_PART = r"\(\s*(\([^()]*\)(?:\s*,\s*\([^()]*\))*)\s*\)"
 
 
-def wkt_rings(wkt: Column) -> Column:
-    """Rings of a POLYGON or MULTIPOLYGON text as arrays of (x, y); a number that does not parse is null."""
-    ring = F.regexp_extract_all(wkt, F.lit(_RING), F.lit(1))
+def wkt_parts(wkt: Column) -> Column:
+    """Parts of a POLYGON or MULTIPOLYGON text; a number that does not parse is null."""
 
     def points(text: Column) -> Column:
         return F.transform(F.split(F.trim(text), r"\s*,\s*"), lambda p: F.struct(F.get(F.split(F.trim(p), r"\s+"), F.lit(0)).try_cast("double").alias("x"), F.get(F.split(F.trim(p), r"\s+"), F.lit(1)).try_cast("double").alias("y")))
 
-    return F.transform(ring, points)
+    return F.transform(F.regexp_extract_all(wkt, F.lit(_PART), F.lit(1)), lambda part: F.transform(F.regexp_extract_all(part, F.lit(_RING), F.lit(1)), points))
+
+
+def wkt_rings(wkt: Column) -> Column:
+    """The rings of all parts."""
+    return F.flatten(wkt_parts(wkt))
+
+
+def project_parts(parts: Column) -> Column:
+    """The same parts with projected vertices."""
+
+    def projected(p: Column) -> Column:
+        x, y = project(p["x"], p["y"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.transform(parts, lambda part: F.transform(part, lambda ring: F.transform(ring, projected)))
 
 
 def wkt_type(wkt: Column) -> Column:
@@ -71,10 +89,12 @@ def all_finite(rings: Column) -> Column:
 
 
 def ring_problem(rings: Column) -> Column:
-    """``malformed_geometry`` (a vertex without two numbers), ``empty_geometry``, ``invalid_geometry`` (short or open ring), or null."""
+    """``malformed_geometry`` (a vertex without two numbers), ``empty_geometry``, ``invalid_geometry`` (a ring that is short,
+    open or without area), or null."""
     nulls = F.exists(rings, lambda r: F.exists(r, lambda p: p["x"].isNull() | p["y"].isNull()))
     bad = F.exists(rings, lambda r: (F.size(r) < 4) | (F.element_at(r, 1) != F.element_at(r, -1)))
-    return F.when(F.size(rings) == 0, "empty_geometry").when(nulls, "malformed_geometry").when(bad, "invalid_geometry")
+    flat = F.exists(rings, lambda r: ring_moments(r)["a"] == 0)
+    return F.when(F.size(rings) == 0, "empty_geometry").when(nulls, "malformed_geometry").when(bad, "invalid_geometry").when(flat, "invalid_geometry")
 
 
 def ring_moments(ring: Column) -> Column:
@@ -85,12 +105,12 @@ def ring_moments(ring: Column) -> Column:
     return F.aggregate(pair, zero, lambda s, e: F.struct((s["a"] + e["k"]).alias("a"), (s["cx"] + e["k"] * e["sx"]).alias("cx"), (s["cy"] + e["k"] * e["sy"]).alias("cy")))
 
 
-def centroid(rings: Column) -> tuple[Column, Column]:
-    """Area centroid of one polygon: the first ring less the others, whatever their direction."""
+def _moments(parts: Column) -> Column:
+    """Sums over all rings, shells counting as positive and holes as negative whatever their direction."""
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"))
-    signed = F.transform(rings, lambda r, i: F.struct(ring_moments(r).alias("m"), F.when(i == 0, 1.0).otherwise(-1.0).alias("sign")))
-    total = F.aggregate(
-        signed,
+    rings = F.flatten(F.transform(parts, lambda part: F.transform(part, lambda r, i: F.struct(ring_moments(r).alias("m"), F.when(i == 0, 1.0).otherwise(-1.0).alias("sign")))))
+    return F.aggregate(
+        rings,
         zero,
         lambda s, e: F.struct(
             (s["a"] + e["sign"] * F.abs(e["m"]["a"])).alias("a"),
@@ -98,41 +118,125 @@ def centroid(rings: Column) -> tuple[Column, Column]:
             (s["cy"] + e["sign"] * F.signum(e["m"]["a"]) * e["m"]["cy"]).alias("cy"),
         ),
     )
-    return total["cx"] / (3 * total["a"]), total["cy"] / (3 * total["a"])
 
 
-def covered_by(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
-    """Whether a point is in or on a closed ring, which is part of the plan (a boundary of fixed size)."""
-    inside, on = F.lit(0), F.lit(False)
-    for (ax, ay), (bx, by) in zip(ring, ring[1:], strict=False):
-        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
-        on = on | ((cross == 0) & x.between(min(ax, bx), max(ax, bx)) & y.between(min(ay, by), max(ay, by)))
-        if ay != by:
-            spans = (y >= min(ay, by)) & (y < max(ay, by))
-            inside = inside + F.when(spans & (x < ax + (y - ay) * ((bx - ax) / (by - ay))), 1).otherwise(0)
-    return on | (inside % 2 == 1)
+def area(parts: Column) -> Column:
+    """Area of all parts, less their holes."""
+    return _moments(parts)["a"] / 2
+
+
+def centroid(parts: Column) -> tuple[Column, Column]:
+    """Area centroid of all parts, less their holes; null for a geometry without area."""
+    total = _moments(parts)
+    return F.try_divide(total["cx"], 3 * total["a"]), F.try_divide(total["cy"], 3 * total["a"])
+
+
+Ring = list[tuple[float, float]]
+
+
+def check_polygons(polygons: list[list[Ring]]) -> list[list[Ring]]:
+    """The polygons; raises for a ring that is open, short, not finite, crosses itself or has no area."""
+    for rings in polygons:
+        for ring in rings:
+            p = np.array(ring, dtype=float).reshape(-1, 2)
+            if len(p) < 4 or tuple(ring[0]) != tuple(ring[-1]):
+                raise ValueError("a boundary ring is not closed")
+            if not np.isfinite(p).all():
+                raise ValueError("a boundary ring is not finite")
+            if _ring_crosses(p) or float((p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1]).sum()) == 0:
+                raise ValueError("a boundary ring crosses itself or has no area")
+    return polygons
+
+
+def covers(polygons: list[list[Ring]]):
+    """An Arrow UDF (x, y) -> whether a point is in or on the union of polygons (shell, holes ...), null for no point.
+
+    Points on a border, of a hole too, are covered. Sides are decided in double precision with an error bound, and in
+    rational numbers where that does not settle them. The polygons travel with the function: a border is a bounded table.
+    """
+    shapes = []
+    for rings in check_polygons(polygons):
+        p = [np.array(r, dtype=float) for r in rings]
+        shapes.append((np.concatenate([r[:-1] for r in p]), np.concatenate([r[1:] for r in p])))
+
+    def within(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ax, ay, bx, by = a[:, 0], a[:, 1], b[:, 0], b[:, 1]
+        px, py = x[:, None], y[:, None]
+        one, two = (bx - ax) * (py - ay), (by - ay) * (px - ax)
+        side = one - two
+        near_y = (py >= np.minimum(ay, by)) & (py <= np.maximum(ay, by))
+        unsure = near_y & (np.abs(side) <= 1e-14 * (np.abs(one) + np.abs(two) + np.abs(px) + np.abs(py)) + 1e-300)
+        for i, k in zip(*np.nonzero(unsure), strict=True):
+            f = Fraction
+            exact = (f(bx[k]) - f(ax[k])) * (f(y[i]) - f(ay[k])) - (f(by[k]) - f(ay[k])) * (f(x[i]) - f(ax[k]))
+            side[i, k] = (exact > 0) - (exact < 0)
+        on = near_y & (side == 0) & (px >= np.minimum(ax, bx)) & (px <= np.maximum(ax, bx))
+        up, down = (ay <= py) & (py < by), (by <= py) & (py < ay)
+        crossed = (up & (side > 0)) | (down & (side < 0))
+        return on.any(axis=1) | (crossed.sum(axis=1) % 2 == 1)
+
+    @F.arrow_udf(T.BooleanType())
+    def run(xs: pa.Array, ys: pa.Array) -> pa.Array:
+        x, y = (c.to_numpy(zero_copy_only=False).astype(float) for c in (xs, ys))
+        known = np.isfinite(x) & np.isfinite(y)
+        at = np.flatnonzero(known)
+        found = np.zeros(len(x), dtype=bool)
+        for a, b in shapes:
+            step = max(1, 1_000_000 // len(a))
+            for lo in range(0, len(at), step):
+                some = at[lo : lo + step]
+                found[some] |= within(a, b, x[some], y[some])
+        return pa.array(found, mask=~known)
+
+    return run
+
+
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def geojson_bounds(texts: pa.Array) -> pa.Array:
+    """min x, min y, max x, max y of all positions of a GeoJSON text at any depth; null if it has none."""
+
+    def bounds_of(text: str | None) -> list[float] | None:
+        try:
+            todo = [json.loads(text)] if text is not None else []
+        except ValueError:
+            return None
+        xs, ys = [], []
+        while todo:
+            v = todo.pop()
+            if isinstance(v, dict):
+                todo += [v[k] for k in ("coordinates", "geometry", "geometries", "features") if k in v]
+            elif isinstance(v, list) and len(v) > 1 and all(isinstance(n, (int, float)) and not isinstance(n, bool) for n in v[:2]):
+                xs.append(float(v[0]))
+                ys.append(float(v[1]))
+            elif isinstance(v, list):
+                todo += v
+        return [min(xs), min(ys), max(xs), max(ys)] if xs else None
+
+    return pa.array([bounds_of(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
+
+
+def _ring_crosses(p: np.ndarray) -> bool:
+    """Whether two segments that are not neighbours touch or cross."""
+    if len(p) < 5:
+        return False
+    a, b = p[:-1], p[1:]
+    side = lambda o, d, q: np.sign(d[..., 0] * (q[..., 1] - o[..., 1]) - d[..., 1] * (q[..., 0] - o[..., 0]))
+    for i in range(len(a) - 2):
+        last = len(a) - (1 if i == 0 else 0)
+        c, d = a[i + 2 : last], b[i + 2 : last]
+        if not len(c):
+            continue
+        s1, s2 = side(a[i], b[i] - a[i], c), side(a[i], b[i] - a[i], d)
+        t1, t2 = side(c, d - c, a[i]), side(c, d - c, b[i])
+        box = (np.minimum(c, d) <= np.maximum(a[i], b[i])).all(axis=1) & (np.maximum(c, d) >= np.minimum(a[i], b[i])).all(axis=1)
+        if (box & (s1 * s2 <= 0) & (t1 * t2 <= 0)).any():
+            return True
+    return False
 
 
 @F.arrow_udf(T.BooleanType())
 def self_crossing(rings: pa.Array) -> pa.Array:
     """Whether two segments of one ring that are not neighbours touch or cross."""
-
-    def crosses(ring: list[dict]) -> bool:
-        p = np.array([(v["x"], v["y"]) for v in ring], dtype=float)
-        if len(p) < 5:
-            return False
-        a, b = p[:-1], p[1:]
-        side = lambda o, d, q: np.sign(d[..., 0] * (q[..., 1] - o[..., 1]) - d[..., 1] * (q[..., 0] - o[..., 0]))
-        for i in range(len(a) - 2):
-            last = len(a) - (1 if i == 0 else 0)
-            c, d = a[i + 2 : last], b[i + 2 : last]
-            if not len(c):
-                continue
-            s1, s2 = side(a[i], b[i] - a[i], c), side(a[i], b[i] - a[i], d)
-            t1, t2 = side(c, d - c, a[i]), side(c, d - c, b[i])
-            box = (np.minimum(c, d) <= np.maximum(a[i], b[i])).all(axis=1) & (np.maximum(c, d) >= np.minimum(a[i], b[i])).all(axis=1)
-            if (box & (s1 * s2 <= 0) & (t1 * t2 <= 0)).any():
-                return True
-        return False
-
-    return pa.array([None if r is None else any(crosses(x) for x in r if all(v["x"] is not None and v["y"] is not None for v in x)) for r in rings.to_pylist()], pa.bool_())
+    whole = lambda r: all(v["x"] is not None and v["y"] is not None for v in r)
+    points = lambda r: np.array([(v["x"], v["y"]) for v in r], dtype=float)
+    return pa.array([None if r is None else any(_ring_crosses(points(x)) for x in r if whole(x)) for r in rings.to_pylist()], pa.bool_())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantize import area
+
 
 def check_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """One row per check: rows seen and rows for which the condition does not hold (a null condition fails)."""
@@ -42,6 +44,26 @@ def record_checks(records: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
+def coordinate_checks(records: DataFrame) -> DataFrame:
+    """Relations of one shared group: no coordinate under 1, and 1 reached on both axes."""
+    low = records.agg(F.min("x0").alias("low_x"), F.min("y0").alias("low_y"), F.count("*").alias("checked"), F.count_if((F.col("x0") < 1) | (F.col("y0") < 1)).alias("failed"))
+    reached = low.select(F.lit("lowest_is_one").alias("check_code"), F.lit(1).cast("long").alias("checked"), F.when((F.col("low_x") == 1) & (F.col("low_y") == 1), 0).otherwise(1).cast("long").alias("failed"))
+    return low.select(F.lit("at_least_one").alias("check_code"), "checked", "failed").unionByName(reached)
+
+
+def measure_checks(pairs: DataFrame) -> DataFrame:
+    """Measured pairs: IoU in (0, 1], a positive area, and neither more than the smaller box allows."""
+    smaller = F.least(area("a_"), area("b_")).cast("double") / F.lit(1e6)
+    return check_counts(pairs, {"iou_range": (F.col("iou") > 0) & (F.col("iou") <= 1), "area_positive": F.col("intersection_area") > 0, "area_within_boxes": F.col("intersection_area") <= smaller})
+
+
+def frame_counts(rows: DataFrame, declared: DataFrame, sequence: str, frame: str, length: str) -> DataFrame:
+    """Per sequence: frames used, the highest, the declared number, and whether all frames are among the declared ones."""
+    used = rows.groupBy(sequence).agg(F.count_distinct(frame).alias("frames"), F.max(frame).alias("last_frame"), F.min(frame).alias("first_frame"))
+    ok = (F.col("first_frame") >= 1) & (F.col("last_frame") <= F.col(length))
+    return declared.join(used, sequence, "full_outer").select(sequence, length, F.coalesce("frames", F.lit(0)).cast("long").alias("frames"), "last_frame", F.coalesce(ok, F.col("frames").isNull() & F.col(length).isNotNull()).alias("ok"))
+
+
 def group_checks(groups: DataFrame, totals: DataFrame) -> DataFrame:
     """The groups table against itself: numbering, slices as running sums, disjoint slabs, states.
 

@@ -26,14 +26,26 @@ def state(r1: Column, r2: Column) -> Column:
     return F.when((r1 > 0) & (r2 > 0), "both_nonempty").when(r1 > 0, "r1_only").when(r2 > 0, "r2_only").otherwise("both_empty")
 
 
+def mentioned(boxes: DataFrame, key: str, order: list[str], meta: list[str]) -> DataFrame:
+    """``universe`` and ``aggregates`` of boxes with their ``reason`` in one pass: rejected boxes only mention a group."""
+    ok = F.col("reason").isNull()
+    counts = [F.count_if(ok & (F.col("side") == s)).alias(f"{s}_count") for s in SIDES]
+    bounds = [f(F.when(ok, F.col(c))).alias(n) for f, c, n in ((F.min, "x0", "local_min_x"), (F.min, "y0", "local_min_y"), (F.max, "x1", "local_max_x"), (F.max, "y1", "local_max_y"))]
+    return boxes.groupBy(key).agg(F.min_by(F.struct(*meta), F.struct(*order)).alias("m"), *counts, *bounds).select(key, "m.*", *[f"{s}_count" for s in SIDES], "local_min_x", "local_min_y", "local_max_x", "local_max_y")
+
+
 def build(universe_: DataFrame, kept: DataFrame, key: str) -> DataFrame:
-    """The groups table: numbered by key, with slices into both relations and disjoint slabs along x.
+    """The groups table of a universe and the retained boxes; see :func:`pack`."""
+    return pack(universe_.join(aggregates(kept, key), key, "left").withColumns({f"{s}_count": F.coalesce(f"{s}_count", F.lit(0)).cast("long") for s in SIDES}), key)
+
+
+def pack(g: DataFrame, key: str) -> DataFrame:
+    """Groups with counts and bounds, numbered by key, with slices into both relations and disjoint slabs along x.
 
     Slab starts follow a cursor that moves past every occupied group's width and a gap of one. That is the closed form
     1 + sum of (width + 1) over the occupied groups before, so a prefix sum replaces the loop. An empty group has a slab
     of no width at the cursor and no shift.
     """
-    g = universe_.join(aggregates(kept, key), key, "left").withColumns({f"{s}_count": F.coalesce(f"{s}_count", F.lit(0)).cast("long") for s in SIDES})
     occupied = (F.col("r1_count") + F.col("r2_count")) > 0
     width = F.col("local_max_x") - F.col("local_min_x")
     g = ordered(g, [key], "group_id", {"__cursor": F.when(occupied, width + 1).otherwise(0), "r1_start": F.col("r1_count"), "r2_start": F.col("r2_count")})

@@ -1,29 +1,56 @@
 """Global numbering and prefix sums without a single-task window.
 
-Rows are range-partitioned and sorted by a total order and written once. Each partition numbers its own rows; the
-partitions' totals, one row for each, are summed in order and joined back by broadcast.
+Rows are range-partitioned, sorted by a total order and written once. They are numbered, and summed up, in the same
+sorted stream that is written; the partitions' totals, one row for each, are summed in order and joined back by
+broadcast. No row is shuffled a second time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import materialized
 
+_LOCAL = (1 << 33) - 1  # bits of monotonically_increasing_id that number a partition's rows
+
+
+def _sums_before(names: list[str]):
+    """Each named column becomes the sum of the rows before it in the partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry = [0] * len(names)
+        for batch in batches:
+            for i, name in enumerate(names):
+                at = batch.schema.get_field_index(name)
+                own = pc.fill_null(batch.column(at), 0)
+                upto = np.add(np.asarray(pc.cumulative_sum_checked(own)), carry[i])
+                batch = batch.set_column(at, name, pa.array(upto - np.asarray(own), pa.int64()))
+                carry[i] = int(upto[-1]) if len(upto) else carry[i]
+            yield batch
+
+    return run
+
 
 def ordered(df: DataFrame, by: list[str | Column], position: str = "position", sums: dict[str, Column] | None = None) -> DataFrame:
-    """Adds the 0-based ``position`` in the order ``by`` and, by name, the sum of each column over all rows before."""
+    """Adds the 0-based ``position`` in the order ``by`` and, by name, the sum of each long column over all rows before."""
     sums = sums or {}
     keys = [F.col(c) if isinstance(c, str) else c for c in by]
-    part, inner = "__part", Window.partitionBy("__part").orderBy(*keys)
-    before = inner.rowsBetween(Window.unboundedPreceding, -1)
-    sorted_ = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(part, F.spark_partition_id())
-    sorted_ = materialized(sorted_, "ordered")
-    local = sorted_.withColumns({position: F.row_number().over(inner) - 1} | {n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()})
-    totals = sorted_.groupBy(part).agg(F.count("*").alias("__n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"__{n}") for n, c in sums.items()])
+    part = "__part"
+    rows = df.withColumns({f"__{n}": F.coalesce(c, F.lit(0)).cast("long") for n, c in sums.items()})
+    rows = rows.withColumns({n: F.col(f"__{n}") for n in sums})
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    if sums:
+        rows = rows.mapInArrow(_sums_before(list(sums)), rows.schema)
+    rows = materialized(rows, "ordered").withColumns({part: F.shiftright("__id", 33).cast("int"), position: F.col("__id").bitwiseAND(_LOCAL)}).drop("__id")
+    totals = rows.groupBy(part).agg(F.count("*").alias("__n"), *[F.sum(f"__{n}").alias(f"__{n}") for n in sums])
     # One row per range partition, whatever the size of the data.
     parts = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(part, *[F.coalesce(F.sum(c).over(parts), F.lit(0)).alias(c) for c in totals.columns if c != part])
-    out = local.join(F.broadcast(offsets), part)
-    return out.withColumns({position: (F.col(position) + F.col("__n")).cast("long")} | {n: (F.col(n) + F.col(f"__{n}")).cast("long") for n in sums}).drop(part, "__n", *[f"__{n}" for n in sums])
+    offsets = totals.select(part, *[F.coalesce(F.sum(c).over(parts), F.lit(0)).cast("long").alias(f"__before{c}") for c in totals.columns if c != part])
+    out = rows.drop(*[f"__{n}" for n in sums]).join(F.broadcast(offsets), part)
+    return out.withColumns({position: F.col(position) + F.col("__before__n")} | {n: F.col(n) + F.col(f"__before__{n}") for n in sums}).drop(part, *[f"__before__{n}" for n in ("n", *sums)])

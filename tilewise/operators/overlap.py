@@ -2,18 +2,26 @@
 
 ``pairs`` joins on the group (and on grid cells, when asked) with the range conditions as residual; a pair found in many
 cells is kept only in the cell that holds the lower left corner of its intersection. ``count_pairs`` counts without
-making pairs: per task, dominance counts over sorted coordinates in O((n + m) log(n + m)), and large groups are cut into
-slabs along x, whose shared boundaries are counted once.
+making pairs: per task, dominance counts over sorted coordinates in O((n + m) log(n + m)). Groups of over ``UNIT_ROWS``
+boxes are cut into slabs along x, at quantiles of their own left edges, whose shared borders are counted once.
+``count_by_group`` joins groups in which few boxes meet and counts the others, by the sizes of the groups.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantize import intersection_area, iou
+from ..scratch import materialized
+
+#: Boxes of both sides in a slab, and in a task; a group is cut into at most ``MAX_SLABS`` slabs.
+UNIT_ROWS, TASK_ROWS, MAX_SLABS = 100_000, 200_000, 1000
+#: Groups in which more pairs than this would meet are counted without meeting.
+MEETING_LIMIT = 20_000_000
 
 BOX = ("x0", "y0", "x1", "y1")
 
@@ -51,8 +59,21 @@ def pairs(a: DataFrame, b: DataFrame, by: list[str], cell: int | None = None) ->
     return joined
 
 
-def count_by_group(a: DataFrame, b: DataFrame, by: list[str], cell: int | None = None) -> DataFrame:
-    return pairs(a.select(*by, *BOX), b.select(*by, *BOX), by, cell).groupBy(*by).agg(F.count("*").alias("overlap_count"))
+def count_by_group(a: DataFrame, b: DataFrame, by: list[str], limit: int | None = None) -> DataFrame:
+    """(by, overlap_count) of groups with overlaps. Keys and boxes are written once, sized up, and then joined or counted."""
+    limit = MEETING_LIMIT if limit is None else limit
+    side = lambda df, n: df.select(*by, *BOX, F.lit(n).alias("__side"))
+    boxes = materialized(side(a, 0).unionByName(side(b, 1)), "boxes")
+    half = lambda df, n: df.where(F.col("__side") == n).drop("__side")
+    sizes = boxes.groupBy(*by).agg(F.count_if(F.col("__side") == 0).alias("__a"), F.count_if(F.col("__side") == 1).alias("__b"))
+    dense = sizes.where(F.col("__a").cast("double") * F.col("__b") > limit).select(*by, F.monotonically_increasing_id().alias("__g"))
+    count = lambda df: pairs(half(df, 0), half(df, 1), by).groupBy(*by).agg(F.count("*").alias("overlap_count"))
+    if dense.isEmpty():
+        return count(boxes)
+    dense = materialized(dense, "dense")
+    some = boxes.join(dense, by)
+    counted = count_pairs(half(some, 0), half(some, 1), "__g").join(dense, "__g").select(*by, "overlap_count")
+    return count(boxes.join(dense, by, "left_anti")).unionByName(counted)
 
 
 def measured(joined: DataFrame) -> DataFrame:
@@ -119,14 +140,11 @@ def _count_task(left: pa.Table, right: pa.Table) -> pa.Table:
     sign = right.column("sign").to_numpy().astype(np.int64) if right.num_rows else np.empty(0, dtype=np.int64)
     if len(a) and len(b):
         units = np.unique(np.concatenate([ua, ub]))
-        low = min(a[:, 0].min(), b[:, 0].min())
-        span = int(max(a[:, 2].max(), b[:, 2].max()) - low + 1)
-        if span * (len(units) + 1) >= 2**62:
-            raise OverflowError("units do not fit beside each other in 64 bits")
+        edges = np.unique(np.concatenate([a[:, 0], a[:, 2], b[:, 0], b[:, 2]]))  # only their order matters
         for u, box in ((ua, a), (ub, b)):
-            shift = np.searchsorted(units, u) * span - low
-            box[:, 0] += shift
-            box[:, 2] += shift
+            shift = np.searchsorted(units, u) * len(edges)
+            box[:, 0] = np.searchsorted(edges, box[:, 0]) + shift
+            box[:, 2] = np.searchsorted(edges, box[:, 2]) + shift
         n = count_boxes(a, b) * sign
         at = np.searchsorted(units, ub)
         found = np.bincount(at, weights=n, minlength=len(units)).astype(np.int64) if n.size and n.max(initial=0) < 2**31 else np.array([n[at == i].sum() for i in range(len(units))], dtype=np.int64)
@@ -137,38 +155,57 @@ def _count_task(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"unit": pa.array(units, pa.int64()), "n": pa.array(found, pa.int64())})
 
 
-def _slabs(df: DataFrame, width: int | None) -> DataFrame:
-    """Boxes cut at slab borders (sign 1), and the stretches of boxes around every border that they cross (sign -1)."""
-    if not width:
-        return df.withColumns({"slab": F.lit(0).cast("long"), "sign": F.lit(1)})
-    lo, hi = F.floor(F.col("x0") / F.lit(width)).cast("long"), F.floor((F.col("x1") - 1) / F.lit(width)).cast("long")
-    cut = df.withColumn("k", F.explode(F.sequence(lo, hi)))
-    left, right = F.col("k") * width, (F.col("k") + 1) * width
-    inner = cut.withColumns({"x0": F.greatest("x0", left), "x1": F.least("x1", right), "slab": F.col("k") * 2, "sign": F.lit(1)}).drop("k")
-    border = df.where(lo < hi).withColumn("k", F.explode(F.sequence(lo, hi - 1)))
-    border = border.withColumns({"x0": (F.col("k") + 1) * width - 1, "x1": (F.col("k") + 1) * width + 1, "slab": F.col("k") * 2 + 1, "sign": F.lit(-1)}).drop("k")
-    return inner.unionByName(border)
+def _slabs(df: DataFrame) -> DataFrame:
+    """Boxes cut at the ``borders`` of their group (sign 1), and the stretches around every border crossed (sign -1)."""
+    lo, hi = F.size(F.filter("borders", lambda v: v <= F.col("x0"))), F.size(F.filter("borders", lambda v: v < F.col("x1")))
+    df = df.withColumns({"lo": lo, "hi": hi})
+    cut = df.withColumn("k", F.explode(F.sequence("lo", "hi")))
+    border = lambda at: F.get("borders", at)
+    left, right = F.when(F.col("k") > 0, border(F.col("k") - 1)), border(F.col("k"))
+    inner = cut.withColumns({"x0": F.greatest("x0", left), "x1": F.least("x1", right), "slab": F.col("k") * 2, "sign": F.lit(1)})
+    crossed = df.where("lo < hi").withColumn("k", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)))
+    crossed = crossed.withColumns({"x0": border(F.col("k")) - 1, "x1": border(F.col("k")) + 1, "slab": F.col("k") * 2 + 1, "sign": F.lit(-1)})
+    return inner.unionByName(crossed).drop("k", "lo", "hi", "borders")
+
+
+def slab_borders(boxes: DataFrame, sizes: DataFrame, unit_rows: int) -> DataFrame:
+    """(g, borders): where groups of ``sizes`` (g, n) are cut, at quantiles of their left edges."""
+    places = F.array(*[F.lit(i / MAX_SLABS) for i in range(1, MAX_SLABS)])
+    edges = boxes.join(sizes.select("g"), "g", "left_semi").groupBy("g").agg(F.percentile_approx("x0", places, F.lit(10 * MAX_SLABS)).alias("at"))
+    slabs = F.least(F.lit(MAX_SLABS), F.ceil(F.col("n") / unit_rows)).cast("int")
+    chosen = F.transform(F.sequence(F.lit(1), slabs - 1), lambda i: F.element_at("at", F.greatest(F.lit(1), F.floor(i * MAX_SLABS / slabs).cast("int"))))
+    return edges.join(sizes, "g").select("g", F.array_distinct(chosen).alias("borders"))
 
 
-def count_pairs(a: DataFrame, b: DataFrame, group: str | None, buckets: int, slab_width: int | None = None) -> DataFrame:
+def count_pairs(a: DataFrame, b: DataFrame, group: str | None, unit_rows: int | None = None, task_rows: int | None = None) -> DataFrame:
     """(group, overlap_count) of groups with overlaps, without making pairs; ``group`` is a long column or None for one.
 
-    Work units are (group, slab); ``buckets`` tasks take them by hash. Two boxes that overlap in k slabs also overlap
-    across k - 1 borders, so that the counts at borders are taken off again.
+    Work units are (group, slab); tasks take them by hash, as many tasks as the number of boxes asks for. Two boxes that
+    overlap in k slabs also overlap across k - 1 borders, so that the counts at borders are taken off again. Boxes of one
+    group with one left edge are not cut apart; a box that reaches over many slabs is in each of them.
     """
+    unit_rows, task_rows = unit_rows or UNIT_ROWS, task_rows or TASK_ROWS
+    g = F.col(group).cast("long") if group else F.lit(0).cast("long")
+    side = lambda df, n: df.select(g.alias("g"), *BOX, F.lit(n).alias("side"))
+    boxes = materialized(side(a, 0).unionByName(side(b, 1)), "boxes")
+    sizes = boxes.groupBy("g").agg(F.count("*").alias("n"))
+    n, large = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > unit_rows)).first()
+    buckets = max(boxes.sparkSession.sparkContext.defaultParallelism, -(-n // task_rows))
+    if large:
+        borders = materialized(slab_borders(boxes, sizes.where(F.col("n") > unit_rows), unit_rows), "borders")
+        cut = boxes.join(borders, "g", "left").withColumn("borders", F.coalesce("borders", F.array().cast("array<bigint>")))
+        rows = _slabs(cut)
+    else:
+        rows = boxes.withColumns({"slab": F.lit(0), "sign": F.lit(1)})
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("g", "slab"), F.lit(buckets)))
 
-    def prepared(df: DataFrame) -> DataFrame:
-        g = F.col(group).cast("long") if group else F.lit(0).cast("long")
-        rows = _slabs(df.select(g.alias("g"), *BOX), slab_width)
-        return rows.withColumn("bucket", F.pmod(F.xxhash64("g", "slab"), F.lit(buckets)))
-
-    def task(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("g", "slab")], axis=1) for t in (left, right)])
+    def task(t: pa.Table) -> pa.Table:
+        keys = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("g", "slab")], axis=1)
         units, at = np.unique(keys, axis=0, return_inverse=True)
-        at = at.reshape(-1)
-        found = _count_task(left.append_column("unit", pa.array(at[: left.num_rows])), right.append_column("unit", pa.array(at[left.num_rows :])))
+        t = t.append_column("unit", pa.array(at.reshape(-1)))
+        found = _count_task(t.filter(pc.equal(t.column("side"), 0)), t.filter(pc.equal(t.column("side"), 1)))
         return pa.table({"g": pa.array(units[found.column("unit").to_numpy(), 0]), "n": found.column("n")})
 
-    counted = prepared(a).groupBy("bucket").cogroup(prepared(b).groupBy("bucket")).applyInArrow(task, "g long, n long")
-    total = counted.groupBy("g").agg(F.sum("n").cast("long").alias("overlap_count"))
+    counted = rows.groupBy("bucket").applyInArrow(task, "g long, n long")
+    total = counted.groupBy("g").agg(F.sum("n").cast("long").alias("overlap_count")).where("overlap_count > 0")
     return total.withColumnRenamed("g", group) if group else total.select("overlap_count")

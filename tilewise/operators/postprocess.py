@@ -54,3 +54,14 @@ def accounting(chosen: DataFrame, key: str, k: int) -> DataFrame:
     n = lambda r: F.count_if(F.col("reason") == r)
     out = chosen.groupBy(key).agg(n("nonfinite_score").alias("nonfinite"), n("threshold").alias("threshold"), n("background").alias("background"), F.count_if(F.col("reason").isNull()).alias("exported"))
     return out.withColumn("balanced", F.col("nonfinite") + F.col("threshold") + F.col("background") + F.col("exported") == k)
+
+
+def match_scores(raw: DataFrame, exported: DataFrame, keys: list[str], score: str, tolerance: float) -> DataFrame:
+    """(outcome, n): exported rows against the raw candidates with their keys: matched, differs, missing, unexpected.
+
+    Scores match within ``tolerance``; two that are not numbers match, one alone does not.
+    """
+    a, b = raw.select(*keys, F.col(score).alias("__a"), F.lit(1).alias("__in_a")), exported.select(*keys, F.col(score).alias("__b"), F.lit(1).alias("__in_b"))
+    near = (F.isnan("__a") & F.isnan("__b")) | (F.abs(F.col("__a") - F.col("__b")) <= tolerance)
+    outcome = F.when(F.col("__in_b").isNull(), "missing").when(F.col("__in_a").isNull(), "unexpected").when(F.coalesce(near, F.lit(False)), "matched").otherwise("differs")
+    return a.join(b, keys, "full_outer").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))

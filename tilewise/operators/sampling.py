@@ -24,6 +24,15 @@ def priority_sample(df: DataFrame, k: int, seed: str, *key: str) -> DataFrame:
     return df.withColumn("priority", priority(seed, *keys)).orderBy("priority", *keys).limit(k)
 
 
+def bounded_samples(df: DataFrame, by: list[str], k: int, seed: str, *key: str) -> DataFrame:
+    """At most k rows of each group, those of lowest priority: what quantiles over very many rows are taken from.
+
+    The ranking is cut to k rows in every partition before anything is shuffled.
+    """
+    keys = [F.col(c) for c in key]
+    return first_n(df.withColumn("priority", priority(seed, *keys)), by, ["priority", *keys], k).drop("nth", "priority")
+
+
 def evenly_spaced(df: DataFrame, order: list[str], places: int = 3) -> DataFrame:
     """First, evenly spaced and last rows of the order: places i (n - 1) / (places - 1), rounded down."""
     placed = ordered(df, order, "place")

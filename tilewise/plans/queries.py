@@ -160,20 +160,20 @@ def group_slice(spark, d):
 
 @query
 def overlap_count_by_group(spark, d):
-    r1, r2 = W.sides(W.kept_boxes(spark, d), "supp")
+    r1, r2 = W.sides(W.kept_boxes(spark, d, "l_suppkey"), "supp")
     return overlap.count_by_group(r1, r2, ["supp"])
 
 
 @query
 def overlap_count_sweep(spark, d):
     r1, r2 = W.sides(W.kept_boxes(spark, d), "supp")
-    return overlap.count_pairs(r1, r2, "supp", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return overlap.count_pairs(r1, r2, "supp")
 
 
 @query
 def overlap_count_global(spark, d):
     r1, r2 = W.sides(W.kept_boxes(spark, d))
-    return overlap.count_pairs(r1, r2, None, buckets=4 * int(spark.conf.get("spark.sql.shuffle.partitions")), slab_width=2000)
+    return overlap.count_pairs(r1, r2, None)
 
 
 @query
@@ -582,12 +582,18 @@ def wkt_bounds(spark, d):
 
 
 def _judged(spark, d):
-    p = W.footprints(spark, d).withColumns({"rings": geometry.wkt_rings(F.col("wkt")), "kind": geometry.wkt_type(F.col("wkt"))})
-    problem = geometry.ring_problem(F.col("rings"))
-    c = geometry.centroid(F.col("rings"))
+    p = W.footprints(spark, d).withColumns({"parts": geometry.wkt_parts(F.col("wkt")), "kind": geometry.wkt_type(F.col("wkt"))})
+    return judged(p, [[W.BOUNDARY]])
+
+
+def judged(p, boundary):
+    """Footprints (kind, parts) with what the cascades ask: problem, finite, cx and cy (source units), inside."""
+    p = p.withColumn("rings", F.flatten("parts"))
+    problem = F.coalesce(geometry.ring_problem(F.col("rings")), F.when(geometry.self_crossing("rings"), "invalid_geometry"))
+    c = geometry.centroid(F.col("parts"))
     p = p.withColumns({"problem": problem, "finite": geometry.all_finite(F.col("rings"))})
     p = p.withColumns({"cx": F.when(F.col("problem").isNull() & F.col("finite"), c[0]), "cy": F.when(F.col("problem").isNull() & F.col("finite"), c[1])})
-    return p.withColumn("inside", F.coalesce(geometry.covered_by(F.col("cx"), F.col("cy"), W.BOUNDARY), F.lit(False)))
+    return p.withColumn("inside", F.coalesce(geometry.covers(boundary)("cx", "cy"), F.lit(False)))
 
 
 @query
@@ -634,3 +640,202 @@ def weighted_pair_draws(spark, d):
     order = ["semantic_key", *[f"{p}{c}" for p in ("a_", "b_") for c in overlap.BOX]]
     draws = spark.range(10_000).withColumn("u", (F.col("id") * 7919 % 10007) / F.lit(10007.0))
     return sampling.draw_pairs(found, "intersection_area", order, draws).select("id", "semantic_key", F.round("intersection_area", 6).alias("intersection_area"))
+
+
+# --- exact corners, geometries of many parts, further audits
+
+
+@query
+def corner_boxes_exact(spark, d):
+    """Corner boxes of 26 decimal places: extents by exact subtraction, endpoints with ties."""
+    digits = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    x0 = F.concat_ws(".", F.col("l_partkey") % 50, F.concat(digits("l_orderkey", 10), digits("l_suppkey", 16)))
+    x1 = F.when(F.col("l_linenumber") == 7, F.lit("nan")).otherwise(F.concat_ws(".", F.col("l_partkey") % 50 + F.col("l_suppkey") % 3, F.concat(digits("l_suppkey", 10), digits("l_orderkey", 16))))
+    y0 = F.concat_ws(".", "l_linenumber", digits("l_partkey", 26))
+    y1 = F.concat_ws(".", F.col("l_linenumber") + 1, F.concat(F.when(F.col("l_linenumber") % 2 == 0, F.lit("0005")).otherwise(F.lit("0015")), F.lit("0" * 22)))
+    rows = W.spread(W.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    rows = rows.withColumn("q", quantize.corner_extents(F.array(x0, y0, x1, y1)))
+    corners = [F.get("q.box", F.lit(i)).alias(c) for i, c in enumerate(overlap.BOX)]
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.get("q.extents", F.lit(0)).alias("w"), F.get("q.extents", F.lit(1)).alias("h"), "q.reason", *corners)
+
+
+@query
+def multipolygon_centroid(spark, d):
+    """Two squares, the second with a hole in it, some rings turned round."""
+    k = F.col("p_partkey")
+    a, b, x, y = 1 + k % 7, 1 + k % 5, k % 100, k % 50 - 20
+
+    def square(x, y, side, back=False):
+        at = [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+        return F.concat(F.lit("("), F.concat_ws(", ", *[F.concat_ws(" ", p.cast("string"), q.cast("string")) for p, q in (at[::-1] if back else at)]), F.lit(")"))
+
+    wkt = F.concat(F.lit("MULTIPOLYGON (("), square(x, y, a), F.lit("), ("), square(x + 50, y, 4 * b, True), F.lit(", "), square(x + 50 + b, y + b, b), F.lit("))"))
+    rows = W.table(spark, d, "part").select(k, geometry.wkt_parts(wkt).alias("parts"))
+    cx, cy = geometry.centroid(F.col("parts"))
+    return rows.select(k, F.round(geometry.area(F.col("parts")), 6).alias("area"), F.round(cx, 6).alias("cx"), F.round(cy, 6).alias("cy"), F.size(F.flatten("parts")).alias("rings"))
+
+
+@query
+def invalid_ring_cascade(spark, d):
+    """Rings that cross themselves or have no area beside sound ones: one bad footprint must not stop the others."""
+    k = F.col("p_partkey")
+    corner = lambda *p: F.concat_ws(", ", *[F.concat_ws(" ", (F.lit(35) + k % 5 + dx).cast("string"), F.lit(str(dy))) for dx, dy in p])
+    ring = (
+        F.when(k % 6 == 0, corner((0, 0), (2, 2), (0, 2), (2, 0), (0, 0)))
+        .when(k % 6 == 1, corner((0, 0), (1, 1), (2, 2), (0, 0)))
+        .when(k % 6 == 2, corner((0, 0), (3, 0), (3, 3), (1, -1), (0, 0)))
+        .otherwise(corner((0, -4), (2, -4), (2, -2), (0, -2), (0, -4)))
+    )
+    rows = W.table(spark, d, "part").select(k, F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"))
+    rows = judged(rows.withColumns({"parts": geometry.wkt_parts(F.col("wkt")), "kind": geometry.wkt_type(F.col("wkt"))}), [[W.BOUNDARY]])
+    return rows.select(k, F.col("problem").alias("reason"), F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"), "inside")
+
+
+def _rectangle(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+
+
+@query
+def boundary_union_holes(spark, d):
+    """Points against overlapping and touching polygons, one with a hole."""
+    union = [[_rectangle(34.0, -5.0, 42.0, 4.0), _rectangle(36.0, -2.0, 40.0, 3.0)], [_rectangle(37.0, -1.0, 38.0, 1.0)], [_rectangle(42.0, 0.0, 43.5, 2.0)]]
+    p = W.footprints(spark, d).select("p_partkey", F.round("lon", 2).alias("x"), F.floor(F.col("lat") * 2).cast("double").alias("y2"))
+    return p.select("p_partkey", geometry.covers(union)("x", F.col("y2") / 2).alias("inside"))
+
+
+@query
+def geojson_coordinate_bounds(spark, d):
+    """Bounds of positions at several depths of a feature."""
+    n = lambda c: F.format_string("%d", c)
+    k = F.col("p_partkey")
+    x, y = k % 181, k % 89
+    text = F.concat(F.lit('{"type":"Feature","properties":{},"geometry":{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":['), n(x), F.lit(","), n(-y), F.lit(']},{"type":"MultiPolygon","coordinates":[[[['), n(x - 3), F.lit(","), n(y), F.lit("],["), n(x + F.col("p_size")), F.lit(","), n(y + 1), F.lit(']]]]}]}}'))
+    b = W.table(spark, d, "part").select(k, geometry.geojson_bounds(text).alias("b"))
+    return b.select(k, *[F.get("b", F.lit(i)).alias(c) for i, c in enumerate(("min_x", "min_y", "max_x", "max_y"))])
+
+
+@query
+def projected_cascade(spark, d):
+    """Footprints of which some have a vertex that the projection cannot place, opposite its centre."""
+    k = F.col("p_partkey")
+    far = F.lit(geometry.CENTRE_LONGITUDE + 180.0)
+    lon = F.when(k % 9 == 4, far).otherwise(35.0 + k % 5)
+    vertex = lambda x, y: F.struct(x.cast("double").alias("x"), F.lit(float(y)).alias("y"))
+    ring = F.array(vertex(lon, 0), vertex(lon + 1, 0), vertex(lon + 1, 2), vertex(lon, 0))
+    ring = F.when(k % 11 == 3, F.array(vertex(lon, 0), vertex(F.lit(float("inf")), 0), vertex(lon + 1, 2), vertex(lon, 0))).otherwise(ring)
+    rows = W.table(spark, d, "part").select(k, F.array(F.array(ring)).alias("parts"))
+    rows = rows.withColumn("finite", geometry.all_finite(F.flatten("parts"))).withColumn("projected", F.when(F.col("finite"), geometry.project_parts(F.col("parts"))))
+    ok = geometry.all_finite(F.flatten("projected"))
+    rows = rows.withColumn("projected_finite", F.coalesce(ok, F.lit(False)))
+    c = geometry.centroid(F.when(F.col("projected_finite"), F.col("projected")))
+    reason = rejects.cascade(
+        (~F.col("finite"), "nonfinite_source_geometry"),
+        (~F.col("projected_finite"), "nonfinite_projected_geometry"),
+        (geometry.ring_problem(F.flatten("projected")).isNotNull() | geometry.self_crossing(F.flatten("projected")), "invalid_projected_geometry"),
+        (c[0].isNull() | c[1].isNull(), "nonfinite_projected_centroid"),
+    )
+    return rows.select(k, reason.alias("reason"))
+
+
+@query
+def measures_in_range(spark, d):
+    r1, r2 = W.sides(W.kept_boxes(spark, d), "semantic_key")
+    found = overlap.measured(overlap.pairs(r1, r2, ["semantic_key"]))
+    broken = found.withColumn("iou", F.when(F.col("a_x0") == F.col("b_x0"), F.col("iou") + 1).otherwise(F.col("iou")))
+    return audit.measure_checks(broken)
+
+
+@query
+def national_coordinates(spark, d):
+    kept = W.kept_boxes(spark, d)
+    low = grouping.one_group(kept).select("dx", "dy").first()
+    moved = grouping.translate(kept.withColumns({"dx": F.lit(low.dx), "dy": F.lit(low.dy)}))
+    return audit.coordinate_checks(moved.withColumn("y0", F.when(F.col("l_linenumber") == 5, 0).otherwise(F.col("y0"))))
+
+
+@query
+def sequence_frames(spark, d):
+    e = W.table(spark, d, "events").select("user_id", (F.col("event_id") % 61).alias("frame"))
+    declared = e.select("user_id").distinct().where("user_id % 7 <> 2").select("user_id", (F.lit(40) + F.col("user_id") % 25).alias("length"))
+    return audit.frame_counts(e, declared, "user_id", "frame", "length")
+
+
+@query
+def centroid_audit(spark, d):
+    rows = _judged(spark, d).where("cx is not null")
+    rows = rows.withColumns({c: v for c, v in zip(("sx0", "sy0", "sx1", "sy1"), geometry.bounds(F.col("rings")), strict=True)})
+    rows = rows.withColumns({c: quantize.quantized_double(F.col(f"s{c}")) for c in overlap.BOX})
+    x = F.when(F.col("p_partkey") % 40 == 6, F.col("cx") + 1).otherwise(F.col("cx"))
+    return audit.geometry_checks(rows, [F.col(f"s{c}") for c in overlap.BOX], list(overlap.BOX), [x, F.col("cy")], F.col("inside"))
+
+
+@query
+def schema_gate(spark, d):
+    from ..schema import RELATION, schema_report
+
+    rows = grouping.relation(W.line_records(spark, d)).drop("side", "weight").withColumn("y1", F.col("y1").cast("int"))
+    return schema_report(rows, RELATION)
+
+
+@query
+def sampled_quantiles(spark, d):
+    """Quantiles of box areas from bounded samples, as a stand-in for those over all pairs of a window."""
+    rows = W.kept_boxes(spark, d).withColumn("size", ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).cast("double"))
+    kept = sampling.bounded_samples(rows, ["side"], 1000, "tilewise", *W.LINE_ORDER[:4])
+    pct = lambda p: F.round(F.percentile("size", F.lit(p)), 3)
+    return kept.groupBy("side").agg(F.count("*").alias("sampled"), pct(0.05).alias("p05"), pct(0.5).alias("p50"), pct(0.95).alias("p95"))
+
+
+@query
+def exported_against_raw(spark, d):
+    raw = postprocess.top_k(W.candidates(spark, d), "vec_id", W.TOP_K).select("vec_id", "query", "label", "rank", "score")
+    exported = raw.where("vec_id % 70 <> 1").withColumn("score", F.when((F.col("vec_id") % 50 == 0) & (F.col("rank") == 3), F.col("score") + 0.01).otherwise(F.col("score") + 1e-9))
+    exported = exported.withColumn("query", F.when((F.col("vec_id") % 60 == 2) & (F.col("rank") == 0), 99).otherwise(F.col("query"))).drop("rank")
+    return postprocess.match_scores(raw.drop("rank"), exported, ["vec_id", "query", "label"], "score", 1e-6)
+
+
+@query
+def images_table(spark, d):
+    from ..sources import publish
+
+    pages = W.table(spark, d, "pages").select("page_id", F.concat(F.col("page_id").cast("string"), F.lit(".png")).alias("file_name"), F.coalesce("html", F.lit("")).alias("content"))
+    files = pages.where("page_id % 7 <> 0").unionByName(pages.where("page_id % 10 = 3")).unionByName(pages.where("page_id % 25 = 4").withColumn("content", F.lit("other")))
+    none = F.lit(None).cast("int")
+    found = files.select("file_name", F.octet_length("content").cast("long").alias("size"), F.sha2("content", 256).alias("sha256"), F.crc32("content").alias("crc32"), none.alias("width"), none.alias("height"))
+    return publish.images_table(pages, found, "page_id", "file_name").groupBy("status").agg(F.count("*").alias("n"), F.sum("size").cast("long").alias("bytes"), F.count_distinct("sha256").alias("digests"))
+
+
+@query
+def npy_round_trip(spark, d):
+    """The packed relation of one side written as an array file and read back."""
+    import uuid
+
+    from ..scratch import shared_dir
+    from ..sources import npy
+
+    spark.dataSource.register(npy.NpyDataSource)
+    out = f"{shared_dir(spark)}/npy-{uuid.uuid4().hex}"
+    rows = grouping.relation(W.line_records(spark, d)).where("side = 'r2'").drop("side")
+    rows.repartitionByRange("record_id").sortWithinPartitions("record_id").write.format("npy").option("path", out).mode("append").save()
+    back = spark.read.format("npy").option("path", out).load()
+    return back.agg(F.count("*").alias("n"), F.max("record_id").alias("last_id"), F.sum("x0").cast("long").alias("sum_x0"), F.sum("y1").cast("long").alias("sum_y1"), F.sum("weight").cast("long").alias("weight"))
+
+
+@query
+def page_results_round_trip(spark, d):
+    """Pages of predictions written as gzip JSON lines and read back with their exact boxes."""
+    import uuid
+
+    from ..scratch import shared_dir
+    from ..sources import files
+
+    e = W.table(spark, d, "events")
+    field = lambda n, c: c.alias(n)
+    x0, y0 = F.col("event_id") % 100, (F.col("event_id") % 37) / F.lit(8.0)
+    one = F.struct(field("prediction_index", (F.col("event_id") % 300).cast("int")), field("query_index", F.lit(0)), field("label", F.lit(1)), field("score", F.col("value")), field("x0", x0), field("y0", y0), field("x1", x0 + F.col("event_id") % 4), field("y1", y0 + 0.0005))
+    pages = e.groupBy((F.col("event_id") / 20).cast("long").alias("page")).agg(F.collect_list(one).alias("predictions"))  # at most twenty a page
+    lines = pages.select(F.to_json(F.struct(F.concat(F.lit("p"), F.col("page").cast("string")).alias("page_id"), F.lit("success").alias("status"), "predictions")).alias("value"))
+    out = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    lines.write.option("compression", "gzip").text(out)
+    back = files.page_results(spark, out)
+    return back.groupBy(F.coalesce("reason", F.lit("retained")).alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages"), F.sum(F.get("box", F.lit(0))).cast("long").alias("sum_x0"), F.sum(F.get("box", F.lit(3))).cast("long").alias("sum_y1"))

@@ -300,3 +300,75 @@ ORACLES["weighted_pair_draws"] = f"""
     ), d AS (SELECT id, CAST(floor((id * 7919 % 10007) / 10007e0 * (SELECT CAST(sum(mass) AS DOUBLE) FROM m)) AS HUGEINT) AS target FROM range(10000) r(id))
     SELECT id, semantic_key, round(area, 6) AS intersection_area FROM d JOIN c ON target >= mass_end - mass AND target < mass_end"""
 ORACLES["overlap_count_sweep"] = ORACLES["overlap_count_by_group"]
+
+
+def _half_even(v: str) -> str:
+    """Nearest integer of a thousandfold decimal, ties to even, without floating point."""
+    t = f"(CAST({v} AS DECIMAL(30,26)) * CAST(1000 AS DECIMAL(4,0)))"
+    return f"CAST(floor({t}) + CASE WHEN {t} - floor({t}) > 0.5 OR ({t} - floor({t}) = 0.5 AND CAST(floor({t}) AS BIGINT) % 2 <> 0) THEN 1 ELSE 0 END AS BIGINT)"
+
+
+def _covered(x0: float, y0: float, x1: float, y1: float) -> str:
+    return f"(x BETWEEN {x0} AND {x1} AND y BETWEEN {y0} AND {y1})"
+
+
+ORACLES |= {
+    "corner_boxes_exact": f"""
+        WITH t AS (
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST((l_partkey % 50) || '.' || lpad(l_orderkey::VARCHAR, 10, '0') || lpad(l_suppkey::VARCHAR, 16, '0') AS DECIMAL(38,26)) AS x0,
+                   CAST(l_linenumber || '.' || lpad(l_partkey::VARCHAR, 26, '0') AS DECIMAL(38,26)) AS y0,
+                   CASE WHEN l_linenumber <> 7 THEN CAST((l_partkey % 50 + l_suppkey % 3) || '.' || lpad(l_suppkey::VARCHAR, 10, '0') || lpad(l_orderkey::VARCHAR, 16, '0') AS DECIMAL(38,26)) END AS x1,
+                   CAST((l_linenumber + 1) || CASE WHEN l_linenumber % 2 = 0 THEN '.0005' ELSE '.0015' END AS DECIMAL(38,26)) AS y1 FROM lineitem
+        ), q AS (SELECT *, {", ".join(f"{_half_even(c)} AS q_{c}" for c in ("x0", "y0", "x1", "y1"))} FROM t), r AS (
+            SELECT *, CASE WHEN x1 IS NULL THEN 'nonfinite_geometry' WHEN x1 <= x0 OR y1 <= y0 THEN 'nonpositive_extent' WHEN q_x0 >= q_x1 OR q_y0 >= q_y1 THEN 'quantized_degenerate' END AS reason FROM q
+        )
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(x1 - x0 AS VARCHAR) AS w, CASE WHEN x1 IS NOT NULL THEN CAST(y1 - y0 AS VARCHAR) END AS h, reason,
+               {", ".join(f"CASE WHEN reason IS NULL THEN q_{c} END AS {c}" for c in ("x0", "y0", "x1", "y1"))} FROM r""",
+    "multipolygon_centroid": """
+        WITH s AS (SELECT p_partkey, 1e0 + p_partkey % 7 AS a, 1e0 + p_partkey % 5 AS b, p_partkey % 100 AS x, p_partkey % 50 - 20 AS y FROM part)
+        SELECT p_partkey, a * a + 15 * b * b AS area, round((a * a * (x + a / 2) + 16 * b * b * (x + 50 + 2 * b) - b * b * (x + 50 + 1.5e0 * b)) / (a * a + 15 * b * b), 6) AS cx,
+               round((a * a * (y + a / 2) + 16 * b * b * (y + 2 * b) - b * b * (y + 1.5e0 * b)) / (a * a + 15 * b * b), 6) AS cy, 3 AS rings FROM s""",
+    "invalid_ring_cascade": """
+        SELECT p_partkey, CASE WHEN p_partkey % 6 <= 2 THEN 'invalid_geometry' END AS reason, CASE WHEN p_partkey % 6 > 2 THEN 36e0 + p_partkey % 5 END AS cx, CASE WHEN p_partkey % 6 > 2 THEN -3e0 END AS cy, p_partkey % 6 > 2 AS inside FROM part""",
+    "boundary_union_holes": f"""
+        WITH {_FOOTPRINTS}, p AS (SELECT p_partkey, round(lon, 2) AS x, floor(lat * 2) / 2 AS y FROM base)
+        SELECT p_partkey, ({_covered(34.0, -5.0, 42.0, 4.0)} AND NOT (x > 36 AND x < 40 AND y > -2 AND y < 3)) OR {_covered(37.0, -1.0, 38.0, 1.0)} OR {_covered(42.0, 0.0, 43.5, 2.0)} AS inside FROM p""",
+    "geojson_coordinate_bounds": """
+        WITH p AS (SELECT p_partkey, p_partkey % 181 AS x, p_partkey % 89 AS y, p_size FROM part)
+        SELECT p_partkey, (x - 3)::DOUBLE AS min_x, least(-y, y)::DOUBLE AS min_y, greatest(x, x + p_size)::DOUBLE AS max_x, (y + 1)::DOUBLE AS max_y FROM p""",
+    "projected_cascade": """
+        SELECT p_partkey, CASE WHEN p_partkey % 11 = 3 THEN 'nonfinite_source_geometry' WHEN p_partkey % 9 = 4 THEN 'nonfinite_projected_geometry' END AS reason FROM part""",
+    "measures_in_range": f"""
+        WITH {_BOXES}, p AS (SELECT a.x0 AS ax, b.x0 AS bx FROM kept a JOIN kept b ON a.semantic_key = b.semantic_key AND a.side = 'r1' AND b.side = 'r2' AND {_OVERLAP})
+        SELECT 'iou_range' AS check_code, count(*) AS checked, count(*) FILTER (ax = bx) AS failed FROM p UNION ALL SELECT 'area_positive', count(*), 0 FROM p UNION ALL SELECT 'area_within_boxes', count(*), 0 FROM p""",
+    "national_coordinates": f"""
+        WITH {_BOXES} SELECT 'at_least_one' AS check_code, count(*) AS checked, count(*) FILTER (l_linenumber = 5) AS failed FROM kept
+        UNION ALL SELECT 'lowest_is_one', 1, CASE WHEN count(*) FILTER (l_linenumber = 5) > 0 THEN 1 ELSE 0 END FROM kept""",
+    "sequence_frames": """
+        WITH e AS (SELECT user_id, event_id % 61 AS frame FROM events), u AS (SELECT user_id, count(DISTINCT frame) AS frames, max(frame) AS last_frame, min(frame) AS first_frame FROM e GROUP BY user_id)
+        SELECT user_id, CASE WHEN user_id % 7 <> 2 THEN 40 + user_id % 25 END AS length, frames, last_frame, coalesce(first_frame >= 1 AND last_frame <= 40 + user_id % 25, false) AND user_id % 7 <> 2 AS ok FROM u""",
+    "centroid_audit": f"""
+        WITH {_FOOTPRINTS}, c AS (SELECT p_partkey, {_inside('cx', 'cy')} AS inside FROM cen)
+        SELECT 'quantization' AS check_code, count(*) AS checked, 0 AS failed FROM c UNION ALL SELECT 'centroid_in_box', count(*), count(*) FILTER (p_partkey % 40 = 6) FROM c UNION ALL SELECT 'centroid_in_boundary', count(*), count(*) FILTER (NOT inside) FROM c""",
+    "schema_gate": "SELECT * FROM (VALUES (5, 'y1', 'y1 bigint', 'y1 int'), (6, 'weight', 'weight bigint', NULL)) v(place, name, want, have)",
+    "sampled_quantiles": f"""
+        WITH {_BOXES}, n AS (SELECT side, CAST((x1 - x0) * (y1 - y0) AS DOUBLE) AS size,
+            row_number() OVER (PARTITION BY side ORDER BY md5('tilewise|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey), l_orderkey, l_linenumber, l_partkey, l_suppkey) AS nth FROM kept)
+        SELECT side, count(*) AS sampled, round(quantile_cont(size, 0.05), 3) AS p05, round(quantile_cont(size, 0.5), 3) AS p50, round(quantile_cont(size, 0.95), 3) AS p95 FROM n WHERE nth <= 1000 GROUP BY side""",
+    "exported_against_raw": f"""
+        WITH {_TOP}, o AS (SELECT CASE WHEN vec_id % 70 = 1 THEN 'missing' WHEN vec_id % 60 = 2 AND rank = 0 THEN 'moved' WHEN vec_id % 50 = 0 AND rank = 3 THEN 'differs' ELSE 'matched' END AS outcome FROM top)
+        SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN outcome = 'moved' THEN unnest(['missing', 'unexpected']) ELSE unnest([outcome]) END AS outcome FROM o) WHERE outcome IS NOT NULL GROUP BY outcome""",
+    "images_table": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS content, page_id % 7 <> 0 AS one, page_id % 10 = 3 AS two, page_id % 25 = 4 AS other FROM pages), s AS (
+            SELECT *, one::INTEGER + two::INTEGER + other::INTEGER AS n, CASE WHEN other AND NOT (one OR two) THEN 'other' WHEN other AND sha256(content) > sha256('other') THEN 'mixed' ELSE 'content' END AS kind,
+                   CASE WHEN NOT (one OR two OR other) THEN 'missing' WHEN other AND (one OR two) THEN 'conflict' WHEN one AND two THEN 'repeated' ELSE 'found' END AS status FROM p
+        )
+        SELECT status, count(*) AS n, CAST(sum(CASE WHEN n = 0 THEN NULL WHEN other AND NOT (one OR two) THEN 5 WHEN other THEN least(5, octet_length(encode(content))) ELSE octet_length(encode(content)) END) AS BIGINT) AS bytes,
+               count(DISTINCT CASE WHEN n = 0 THEN NULL WHEN other AND NOT (one OR two) THEN sha256('other') WHEN other THEN least(sha256('other'), sha256(content)) ELSE sha256(content) END) AS digests FROM s GROUP BY status""",
+    "npy_round_trip": f"""
+        WITH {_RECORDS} SELECT count(*) AS n, max(record_id) AS last_id, CAST(sum(x0 + dx) AS BIGINT) AS sum_x0, CAST(sum(y1 + dy) AS BIGINT) AS sum_y1, count(*) AS weight FROM rec WHERE side = 'r2'""",
+    "page_results_round_trip": """
+        WITH e AS (SELECT event_id, event_id // 20 AS page, event_id % 100 AS x0, (event_id % 37) * 125 AS y0, event_id % 4 AS w FROM events),
+        r AS (SELECT *, CASE WHEN w = 0 THEN 'nonpositive_extent' WHEN y0 % 2 = 0 THEN 'quantized_degenerate' ELSE 'retained' END AS outcome FROM e)
+        SELECT outcome, count(*) AS n, count(DISTINCT page) AS pages, CAST(sum(CASE WHEN outcome = 'retained' THEN x0 * 1000 END) AS BIGINT) AS sum_x0, CAST(sum(CASE WHEN outcome = 'retained' THEN y0 + 1 END) AS BIGINT) AS sum_y1 FROM r GROUP BY outcome""",
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import group_key
-from ..functions.quantize import DECIMAL, with_boxes
+from ..functions.quantize import with_boxes
 from ..operators import grouping
 
 #: Rows of lineitem are unique only as a whole: every order ends in all of these columns.
@@ -23,37 +23,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def line_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as boxes of both sides, quantized, with the reject reason: groups are (supplier, month of shipment)."""
-    money = lambda c: F.col(c).cast("decimal(12,2)")
-    rows = table(spark, sf_dir, "lineitem").withColumns(
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` dealt out over all cores, where a table is one file of few row groups; large tables stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *by) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def line_boxes(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
+    """lineitem as boxes of both sides, quantized, with the reject reason: groups are (supplier, month of shipment).
+
+    ``by``: columns that a small table is dealt out by, such as those of the join to come.
+    """
+    money = lambda c: F.col(c).cast("decimal(10,2)")  # noqa: E731  at most 18 digits in all steps, so that decimals stay longs
+    rows = spread(table(spark, sf_dir, "lineitem").select(*LINE_ORDER), *by).withColumns(
         {
             "side": F.when(F.col("l_linestatus") == "F", "r1").otherwise("r2"),
             "supp": F.col("l_suppkey"),
             "mon": F.month("l_shipdate"),
             "semantic_key": group_key(F.col("l_suppkey"), F.month("l_shipdate")),
-            "x": ((F.col("l_partkey") % 50).cast(DECIMAL) + money("l_discount")).cast(DECIMAL),
-            "y": money("l_quantity").cast(DECIMAL),
-            "w": (money("l_tax") * 100).cast(DECIMAL),
-            "h": (money("l_discount") * 50).cast(DECIMAL),
+            "x": (F.col("l_partkey") % 50).cast("decimal(8,0)") + money("l_discount"),
+            "y": money("l_quantity"),
+            "w": (money("l_tax") * 100).cast("decimal(10,2)"),
+            "h": (money("l_discount") * 50).cast("decimal(10,2)"),
         }
     )
     return with_boxes(rows)
 
 
-def kept_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_boxes(spark, sf_dir).where("reason is null")
+def kept_boxes(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
+    return line_boxes(spark, sf_dir, *by).where("reason is null")
 
 
 def line_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    boxes = line_boxes(spark, sf_dir)
-    universe = grouping.universe(boxes, "semantic_key", LINE_ORDER, ["supp", "mon"])
-    return grouping.build(universe, boxes.where("reason is null"), "semantic_key")
+    return grouping.pack(grouping.mentioned(line_boxes(spark, sf_dir), "semantic_key", LINE_ORDER, ["supp", "mon"]), "semantic_key")
 
 
 def line_records(spark: SparkSession, sf_dir: str, groups: DataFrame | None = None) -> DataFrame:
     groups = line_groups(spark, sf_dir) if groups is None else groups
-    return grouping.number_records(kept_boxes(spark, sf_dir), groups, "semantic_key", LINE_ORDER)
+    kept = kept_boxes(spark, sf_dir).select("side", "semantic_key", *LINE_ORDER, "x0", "y0", "x1", "y1")
+    return grouping.number_records(kept, groups, "semantic_key", LINE_ORDER)
 
 
 def sides(boxes: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:

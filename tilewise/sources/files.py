@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..functions import geometry
 from ..functions.identity import HEX_SHA256, file_identity
-from ..functions.quantize import quantize_texts
+from ..functions.quantize import corner_extents, quantize_texts
+
 
 def _parsed(rows: DataFrame, value: str, items: str, schema: T.StructType, carry: list[str]) -> DataFrame:
     """One row per element of the array ``items`` of JSON texts: ``carry`` columns, ``nth`` and the fields of ``schema``.
@@ -113,11 +115,12 @@ def page_results(spark: SparkSession, path: str) -> DataFrame:
     number, text = T.IntegerType(), T.StringType()
     fields = _fields(prediction_index=number, query_index=number, label=number, score=text, x0=text, y0=text, x1=text, y1=text)
     flat = _parsed(page, "value", "predictions", fields, ["source_file", "prediction_jsonl_line", "page_id", "status"])
-    return flat.withColumnsRenamed({"prediction_index": "rank", "query_index": "query"})
+    q = corner_extents(F.array("x0", "y0", "x1", "y1"))
+    return flat.withColumnsRenamed({"prediction_index": "rank", "query_index": "query"}).withColumn("q", q).select("*", "q.extents", "q.box", "q.reason").drop("q")
 
 
 def footprints_geojson(spark: SparkSession, path: str, member: str | None = None) -> DataFrame:
-    """GeoJSON lines in a ZIP: record, line, geometry type, rings (all parts), properties."""
+    """GeoJSON lines in a ZIP: record, line, geometry type, parts (each a shell and its holes), properties."""
     from .lines import register
 
     register(spark)
@@ -126,10 +129,10 @@ def footprints_geojson(spark: SparkSession, path: str, member: str | None = None
     geometry = F.coalesce(F.get_json_object("value", "$.geometry"), F.col("value"))
     rows = rows.withColumns({"kind": F.get_json_object(geometry, "$.type"), "coordinates": F.get_json_object(geometry, "$.coordinates"), "properties": F.get_json_object("value", "$.properties")})
     point = "array<array<double>>"
-    one, many = F.from_json("coordinates", f"array<{point}>"), F.flatten(F.from_json("coordinates", f"array<array<{point}>>"))
-    rings = F.when(F.col("kind") == "Polygon", one).when(F.col("kind") == "MultiPolygon", many)
-    rings = F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
-    return rows.select("source_file", "record", "line", "kind", "properties", rings.alias("rings"))
+    one, many = F.array(F.from_json("coordinates", f"array<{point}>")), F.from_json("coordinates", f"array<array<{point}>>")
+    parts = F.when(F.col("kind") == "Polygon", one).when(F.col("kind") == "MultiPolygon", many)
+    parts = F.transform(parts, lambda part: F.transform(part, lambda r: F.transform(r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))))
+    return rows.select("source_file", "record", "line", "kind", "properties", parts.alias("parts"))
 
 
 def footprints_csv(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFrame:
@@ -142,22 +145,21 @@ def footprints_csv(spark: SparkSession, path: str, geometry: str = "geometry") -
     return rows.select("source_file", "record", "line", fields.alias("fields")).withColumn("wkt", F.col("fields")[geometry])
 
 
-def boundary_rings(spark: SparkSession, path: str) -> list[list[tuple[float, float]]]:
-    """Outer rings of a GeoJSON boundary (collection, feature or geometry): one small file, read on the driver."""
+def boundary_polygons(spark: SparkSession, path: str) -> list[list[geometry.Ring]]:
+    """Polygons, each a shell and its holes, of a GeoJSON boundary (collection, feature or geometry), for ``covers``.
+
+    One small file, read on the driver; all features together are the boundary, whether they overlap or touch. A ring
+    that is no valid one raises.
+    """
     whole = json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
-    features = whole.get("features", [whole])
     out = []
-    for f in features:
+    for f in whole.get("features", [whole]):
         g = f.get("geometry") or f
-        parts = {"Polygon": lambda c: [c], "MultiPolygon": lambda c: c}.get(g.get("type"))
-        if parts is None:
+        if g.get("type") not in ("Polygon", "MultiPolygon"):
             raise ValueError(f"not a polygon boundary: {g.get('type')}")
-        for rings in parts(g["coordinates"]):
-            ring = [(float(p[0]), float(p[1])) for p in rings[0]]
-            if len(ring) < 4 or ring[0] != ring[-1]:
-                raise ValueError("a boundary ring is not closed")
-            out.append(ring)
-    return out
+        parts = [g["coordinates"]] if g["type"] == "Polygon" else g["coordinates"]
+        out += [[[(float(p[0]), float(p[1])) for p in ring] for ring in rings] for rings in parts]
+    return geometry.check_polygons(out)
 
 
 def image_files(spark: SparkSession, path: str, pattern: str = "*.png") -> DataFrame:

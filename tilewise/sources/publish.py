@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.grouping import relation
-from ..schema import RELATION, SCHEMA_VERSION
+from ..schema import RELATION, SCHEMA_VERSION, check_schema
 from ..scratch import shared_dir
 
 
@@ -70,6 +70,8 @@ def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     version = spark.read.json(f"{path}/manifest").first()["schema_version"]
     if version != SCHEMA_VERSION:
         raise ValueError(f"release has schema version {version}")
+    for side in ("r1", "r2"):
+        check_schema(spark.read.parquet(f"{path}/{side}.parquet"), RELATION)
     return {s: spark.read.schema(RELATION).parquet(f"{path}/{s}.parquet") for s in ("r1", "r2")} | {"groups": spark.read.parquet(f"{path}/groups.parquet")}
 
 
@@ -80,3 +82,15 @@ def group_rows(release: dict[str, DataFrame], side: str, group_id: int) -> DataF
 
 def scratch_release(spark: SparkSession, records: DataFrame, groups: DataFrame) -> str:
     return publish(spark, f"{shared_dir(spark)}/release-{uuid.uuid4().hex}", records, groups)
+
+
+def images_table(expected: DataFrame, found: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per expected image (``key``, ``name``) with the file's size, digests and native dimensions.
+
+    ``status``: found, missing (no file), repeated (several files of that name), conflict (several that differ).
+    """
+    files = found.groupBy(F.col("file_name").alias(name)).agg(
+        F.count("*").alias("__n"), F.count_distinct("sha256").alias("__d"), *[F.min(c).alias(c) for c in ("size", "sha256", "crc32", "width", "height")]
+    )
+    status = F.when(F.col("__n").isNull(), "missing").when(F.col("__d") > 1, "conflict").when(F.col("__n") > 1, "repeated").otherwise("found")
+    return expected.select(key, name).join(files, name, "left").select(key, name, "size", "sha256", "crc32", "width", "height", status.alias("status"))
