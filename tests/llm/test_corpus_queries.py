@@ -1,15 +1,14 @@
 """The registered queries: against SQL where there is some, against plain Python otherwise, on edge cases and on sf0.001."""
 
 import hashlib
-import re
 import zlib
 from collections import Counter, defaultdict
 
 import cases
 import numpy as np
+import plain
 import public_tokenizers
 import pytest
-import xxhash
 from compare import assert_same, connect
 
 from tilewise.llm.queries import ORACLES, QUERIES
@@ -38,29 +37,12 @@ def test_empty_tables_give_empty_results(spark, tables, name):
     assert QUERIES[name](spark, tables[1]).count() == 0
 
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def words(text):
-    return re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-
-
 def test_op1(spark, path):
-    windows = defaultdict(set)
-    for r in spark.read.parquet(f"{path}/benchmark.parquet").collect():
-        w = words(r.text)
-        for i in range(max(1, len(w) - 9) if w else 0):
-            windows[tuple(w[i : i + 10])].add("null" if r.item_id is None else str(r.item_id))
-    sizes = {len(w) for w in windows}
+    windows = plain.windows_of([(r.item_id, r.text) for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()])
     expected = Counter()
     for doc_id, text in documents(spark, path):
-        w, hit, items = words(text), set(), set()
-        for n in sizes:
-            for i in range(len(w) - n + 1):
-                if found := windows.get(tuple(w[i : i + n])):
-                    items |= found
-                    hit.update(range(i, i + n))
-        expected[doc_id, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)] += 1
+        hit, items = plain.hits(text, windows)
+        expected[doc_id, len(plain.words(text)), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)] += 1
     assert result(spark, path, "op1_decontamination", "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected
 
 
@@ -282,7 +264,7 @@ def test_op8_edge_cases(spark, tables):
     got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in QUERIES["op8_license_scan"](spark, tables[0]).collect()}
     expected = set()
     for i, t in documents(spark, tables[0]):
-        w = words(t)
+        w = plain.words(t)
         at = [(k, label) for p, label in phrases for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
         places = [k for k, _ in at]
         expected.add((i, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))))
@@ -306,29 +288,13 @@ def test_op9(spark, sf_dir, tables):
             assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text[r.doc_id] or ""))
 
 
-def fingerprint(text):
-    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
-
-
 def test_op10(spark, path):
-    docs = [(i, fingerprint(t)) for i, t in documents(spark, path)]
-    parent = list(range(len(docs)))
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(docs)):
-        for j in range(i):
-            if (docs[i][1] ^ docs[j][1]).bit_count() <= 4:
-                parent[root(i)] = root(j)
+    docs = documents(spark, path)
+    prints = [plain.fingerprint(t) for _, t in docs]
+    roots = plain.components(prints)
     low = {}
-    for k, (i, _) in enumerate(docs):
+    for (i, _), k in zip(docs, roots, strict=True):
         if i is not None:
-            low[root(k)] = min(low.get(root(k), i), i)
-    expected = Counter((i, f"{f:016x}", low.get(root(k))) for k, (i, f) in enumerate(docs))
+            low[k] = min(low.get(k, i), i)
+    expected = Counter((i, f"{f:016x}", low.get(k)) for (i, _), f, k in zip(docs, prints, roots, strict=True))
     assert result(spark, path, "op10_simhash", "doc_id", "fingerprint", "component_id") == expected

@@ -136,6 +136,15 @@ def test_benchmark_in_blocks_gives_the_same(spark, sf_dir):
     assert one == many and any(r[1] for r in one)
 
 
+def test_benchmark_of_one_repeated_text_and_of_a_shared_window(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([(7, words)] * 300 + [(i, f"{words} own{i} tail{i}") for i in range(100, 140)], "item_id long, text string").repartition(5)
+    docs = spark.createDataFrame([(1, f"before {words} after", "k"), (2, "clean text", None), (3, f"{words} own101 tail101", None)], "doc_id long, text string, block string")
+    expected = {r.doc_id: (r.n_hit, r.n_items, r.items) for r in decontam.contamination(docs, bench).collect()}
+    assert expected[1][:2] == (12, 41) and expected[2] == (0, 0, []) and expected[3][0] == 14
+    assert {r.doc_id: (r.n_hit, r.n_items, r.items) for r in decontam.contamination(docs, bench, block_bytes=500).collect()} == expected
+
+
 def test_spans_are_cut_and_nothing_else(spark):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "Zero ONE, two three! four", 25, "k"), (2, "clean", 5, None), (3, "one two three", 13, None), (4, None, None, None), (5, "é one-two three one two three ü", 0, None)], "doc_id long, text string, n_chars long, filled string")

@@ -1,8 +1,16 @@
-"""The pipeline's stages: what goes, what stays, and the whole against the operators one by one."""
+"""The pipeline's stages: what goes, what stays, and the whole against plain Python."""
+
+from collections import Counter
 
 import cases
+import plain
+import public_tokenizers
+import pytest
+import tiktoken
 
 import corpus_pipeline
+from tilewise.llm import langid
+from tilewise.llm.bpe_codec import read_ranks
 
 
 def test_stages_keep_columns_and_decide(spark, tables):
@@ -17,37 +25,24 @@ def test_stages_keep_columns_and_decide(spark, tables):
     assert sorted(r.decoded for r in last.collect()) == sorted(r.text or "" for r in at.collect())
 
 
-def test_run_equals_plain_python(spark, sf_dir):
-    import hashlib
-    import re
-
-    from tilewise.llm import decontam, langid, simhash
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = {r.doc_id: r.text for r in docs.collect()}
-    rejected = {r.doc_id for r in langid.predict(docs, langid.fit(docs)).where("rejected").collect()}
-    rows = {i: t for i, t in rows.items() if i not in rejected}
-    last = {hashlib.sha256(t.encode()).digest(): i for i, t in sorted(rows.items())}
-    rows = {i: rows[i] for i in last.values()}
-    prints = {i: simhash.fingerprint_of(simhash.shingle_hashes(t)) for i, t in rows.items()}
-    group = {}
-    for i in sorted(rows):
-        near = [j for j in group if (prints[i] ^ prints[j]).bit_count() <= 4]
-        names = {group[j] for j in near}
-        name = min(names, default=i)
-        group = {j: name if g in names else g for j, g in group.items()} | {i: name}
-    rows = {i: rows[i] for i in set(group.values())}
-    bench = decontam.phrases_of([(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()])
-    import pyarrow as pa
-
-    keys = sorted(rows)
-    hits = decontam.search_texts(pa.array([rows[k] for k in keys], pa.string()), iter([bench]))
-    expected = {k: decontam.without_spans(rows[k], s) for k, s, n, h in zip(keys, hits.byte_spans, hits.n_words, hits.n_hit, strict=True) if h == 0 or h < n}
-    got = {r.doc_id: r.decoded for r in corpus_pipeline.run(spark, sf_dir).collect()}
-    assert got == expected
-    passages = [re.findall(decontam.WORD, r.text.lower())[:10] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    texts = {" ".join(re.findall(decontam.WORD, t.lower())) for t in got.values()}
-    assert not any(len(p) == 10 and any(" ".join(p) in t for t in texts) for p in passages)
+@pytest.mark.parametrize("which", ["edge cases, repeated and null keys", "sf0.001"])
+def test_run_equals_plain_python(spark, sf_dir, tables, which):
+    path = sf_dir if which == "sf0.001" else tables[0]
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    rejected = {r.text for r in langid.predict(docs, langid.fit(docs), "text").where("rejected").collect()}
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.text not in rejected]
+    rows = plain.one_of_each_component(plain.largest_id_of_equal_texts(rows))
+    windows = plain.windows_of([(r.item_id, r.text) for r in spark.read.parquet(f"{path}/benchmark.parquet").collect()])
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    expected = Counter()
+    for i, text in rows:
+        hit, _ = plain.hits(text, windows)
+        if not hit or len(hit) < len(plain.words(text)):
+            left = plain.without_hits(text or "", hit)
+            expected[i, left, tuple(library.encode_ordinary(left))] += 1
+    got = corpus_pipeline.run(spark, path).collect()
+    assert Counter((r.doc_id, r.decoded, tuple(r.ids)) for r in got) == expected and all(r.n_tokens == len(r.ids) for r in got)
+    assert not any(plain.hits(t, {w: x for w, x in windows.items() if len(w) == 10})[0] for _, t, _ in expected)
 
 
 def test_empty_input(spark, tables):

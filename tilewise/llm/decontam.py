@@ -5,36 +5,41 @@ every other word and every end of a text as a separator. Its suffixes are sorted
 Burrows-Wheeler transform is held in a wavelet matrix, and all phrases step backward through the matrix ranks together.
 Occurrences are located by walking to sampled suffix positions; the words they cover merge into removal spans.
 
-A phrase ("window") is any ``WINDOW`` consecutive words of an item, or the whole item where it has fewer. Phrases reach
-the workers by broadcast in blocks of at most ``BLOCK_BYTES`` of benchmark text, each block searched in turn, so that
-neither the driver nor a worker holds more than one block.
+A phrase ("window") is any ``WINDOW`` consecutive words of an item, or the whole item where it has fewer. Executors cut the
+items into windows and pack those into blocks of about ``BLOCK_BYTES`` of benchmark text, by the hash of window and item, so
+that no item or window is too large for a block. The driver only hands the packed blocks on, one after the other, as
+broadcasts; a shard is searched for each block in turn and holds one of them.
+
+Words are told apart by 64-bit hashes of their bytes (a chance of 10^-4 for one confusion among 10^9 different words of a
+corpus and 10^6 of a benchmark).
 
 Defined results: a null or empty text has no words and is never contaminated; an item without words has no phrases; items
-without an id count as one item named ``null``, rows that repeat an item_id count as one item; repeated documents are
-judged alike; with an empty benchmark nothing is contaminated.
+without an id count as one item named ``null``, rows that repeat an item_id count as one item; repeated documents, and
+documents with equal or null keys, are judged alike and each by itself; texts of any length are read whole, one longer than a
+shard is a shard of its own; other columns are carried or left out and may have any name; with an empty benchmark nothing is
+contaminated; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, bounded_batches, chunks, own_worker, text_or_empty
+from .common import bounded_batches, chunks, own_worker, text_or_empty
 
 WINDOW = 10
 SAMPLE_EVERY = 32
 SHARD_BYTES = 6 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 
-_WORDS = re.compile(WORD).findall
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -192,24 +197,43 @@ class Phrases:
     names: list[str]
 
 
+def _windows(texts: list[str], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(right-aligned rows of word hashes, words of each row, text of each row) of the windows of texts."""
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([len(r) for r in raw])
+    hashes, starts, _ = hash_words(np.frombuffer(b"".join(raw), dtype=np.uint8), ends)
+    word_ends = np.searchsorted(starts, ends)
+    rows, sizes, of = [np.empty((0, window), dtype=np.uint64)], [], []
+    for i, (lo, hi) in enumerate(zip([0, *word_ends[:-1]], word_ends, strict=True)):
+        if hi - lo >= window:
+            rows.append(np.lib.stride_tricks.sliding_window_view(hashes[lo:hi], window))
+        elif hi > lo:
+            rows.append(np.concatenate([np.zeros(window - (hi - lo), dtype=np.uint64), hashes[lo:hi]])[None, :])
+        else:
+            continue
+        sizes += [min(hi - lo, window)] * len(rows[-1])
+        of += [i] * len(rows[-1])
+    return np.concatenate(rows), np.array(sizes, dtype=np.int64), np.array(of, dtype=np.int64)
+
+
+def _phrases(rows: np.ndarray, sizes: np.ndarray, items: np.ndarray) -> Phrases:
+    """A block of windows and the items that they are of."""
+    window = rows.shape[1]
+    valid = np.arange(window)[None, :] >= window - sizes[:, None]
+    vocabulary = np.unique(rows[valid])
+    symbols = np.where(valid, np.searchsorted(vocabulary, rows) + 1, 0).astype(np.int32)
+    names, item = np.unique(items, return_inverse=True)
+    windows, first, at = np.unique(symbols, axis=0, return_index=True, return_inverse=True)
+    pairs = np.unique(np.stack([at.reshape(-1), item.reshape(-1)], axis=1), axis=0)
+    item_at = np.searchsorted(pairs[:, 0], np.arange(len(windows) + 1))
+    return Phrases(vocabulary, windows, sizes[first], item_at, pairs[:, 1], [str(n) for n in names])
+
+
 def phrases_of(rows: list[tuple[object, str | None]], window: int = WINDOW) -> Phrases:
-    found: dict[tuple[str, ...], set[str]] = {}
-    for item, text in rows:
-        words = _WORDS((text or "").translate(_LOWER))
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            found.setdefault(tuple(words[i : i + window]), set()).add("null" if item is None else str(item))
-    all_words = sorted({w for p in found for w in p})
-    data = np.frombuffer(" ".join(all_words).encode(), dtype=np.uint8)
-    hashes, _, _ = hash_words(data, np.array([len(data)]))
-    vocabulary = np.sort(hashes)
-    number = dict(zip(all_words, (np.searchsorted(vocabulary, hashes) + 1).tolist(), strict=True))
-    names = sorted({n for s in found.values() for n in s})
-    at = {n: i for i, n in enumerate(names)}
-    windows = np.zeros((len(found), window), dtype=np.int64)
-    for i, p in enumerate(found):
-        windows[i, window - len(p) :] = [number[w] for w in p]
-    items = [sorted(at[n] for n in s) for s in found.values()]
-    return Phrases(vocabulary, windows, np.array([len(p) for p in found], dtype=np.int64), np.concatenate([[0], np.cumsum([len(x) for x in items])]).astype(np.int64), np.array([x for s in items for x in s], dtype=np.int64), names)
+    """The phrases of (item, text) rows as one block."""
+    found, sizes, of = _windows([t or "" for _, t in rows], window)
+    names = np.array(["null" if i is None else str(i) for i, _ in rows] or [""])
+    return _phrases(found, sizes, names[of])
 
 
 def _search_block(hashes: np.ndarray, word_ends: np.ndarray, p: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,25 +297,74 @@ def search_texts(texts: pa.Array, blocks: Iterator[Phrases]) -> ShardHits:
     return ShardHits(word_ends - word_begins, before[word_ends] - before[word_begins], [sorted(s) for s in items], spans, byte_spans)
 
 
-def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast phrases, in as many blocks of items as keep each under ``block_bytes`` of text on average."""
+def _window_batches(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("decontamination")
+        for batch in chunks(batches, "text", 1 << 20):
+            rows, sizes, of = _windows(batch.column(1).to_pylist(), window)
+            words = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * window), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows))])
+            yield pa.record_batch([words.cast(pa.binary()), pa.array(sizes.astype(np.int32)), batch.column(0).take(pa.array(of))], names=["words", "n", "item"])
+
+    return run
+
+
+def _packed_blocks(window: int):
+    """Over rows (block, words, n, item) sorted by block: (block, bytes of its phrases)."""
+
+    def close(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        rows = np.frombuffer(b"".join(t.column("words").to_pylist()), dtype=np.uint64).reshape(-1, window)
+        found = _phrases(rows, t.column("n").to_numpy().astype(np.int64), np.array(t.column("item").to_pylist()))
+        return pa.record_batch([pa.array([block], pa.int64()), pa.array([pickle.dumps(found)], pa.binary())], names=["block", "phrases"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_worker("decontamination")
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if hi > lo:
+                    if held and blocks[lo] != now:
+                        yield close(int(now), held)
+                        held = []
+                    now = blocks[lo]
+                    held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield close(int(now), held)
+
+    return run
+
+
+def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES, window: int = WINDOW) -> list:
+    """Broadcasts of packed phrases, made by executors; none for a benchmark without words."""
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.col(item).alias("i"), text_or_empty(text).alias("t"))
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    bounded_batches(spark)
+    rows = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("item"), text_or_empty(text).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
-    return [spark.sparkContext.broadcast(phrases_of([(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("t"), F.lit(n)) == b).toLocalIterator()])) for b in range(n)]
+    windows = rows.mapInArrow(_window_batches(window), "words binary, n int, item string")
+    blocks = windows.select(F.pmod(F.xxhash64("words", "n", "item"), F.lit(n)).alias("block"), "words", "n", "item").distinct()
+    packed = blocks.repartition(n, "block").sortWithinPartitions("block").mapInArrow(_packed_blocks(window), "block long, phrases binary")
+    return [spark.sparkContext.broadcast(bytes(r.phrases)) for r in packed.toLocalIterator()]
+
+
+@lru_cache(maxsize=1)
+def _unpacked(block: bytes) -> Phrases:
+    return pickle.loads(block)
 
 
 def _each_block(blocks: list) -> Iterator[Phrases]:
     for b in blocks:
-        yield b.value
+        yield _unpacked(b.value)
         if len(blocks) > 1:
             b.__dict__.pop("_value", None)  # read again from the worker's file when needed
 
 
 def _shards(batches: Iterator[pa.RecordBatch], column: str, blocks: list) -> Iterator[tuple[pa.RecordBatch, ShardHits, np.ndarray]]:
     """(rows, hits of the different texts, text number of each row); small batches are searched together."""
-    own_worker("decontamination")
+    own_worker("decontamination", _unpacked.cache_clear)
     held: list[pa.RecordBatch] = []
     size = 0
 
