@@ -9,8 +9,12 @@ import xxhash
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def ascii_lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
 def lower(text):
-    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return ascii_lower(text or "")
 
 
 def words(text):

@@ -76,12 +76,45 @@ def test_op3_edge_cases(spark, tables):
     assert sum(1 for _ in QUERIES["op3_url_filter"](spark, tables[0]).collect()) == len(cases.PAGES)
 
 
-def test_op3_joined_rules_judge_alike(spark, tables, monkeypatch):
+def test_op3_index_finds_what_running_every_rule_finds(spark, tables, sf_dir):
+    import random
+    import re
+
+    from tilewise.llm import url_filter
+
+    rng = random.Random(4)
+    parts = [*url_filter.TOPICS, *url_filter.SEGMENTS, *url_filter.FILE_TYPES, "a", "news", "x-y", "com", "net", "org", "en", "es", "fr", "example", "www", "Login", "PHPSESSID", "K"]
+    urls = [r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()] + [p[1] for p in cases.PAGES]
+    for _ in range(3000):
+        host = rng.choice([".".join(rng.choices(parts, k=rng.randint(1, 4))), "-".join(rng.choices(parts, k=2)) + ".org", "news.org", "A.x-y.info", "a.net", "foo.COM"])
+        path = "".join(f"/{rng.choice(parts)}{rng.choice(['', '', '.' + rng.choice(parts), '-1'])}" for _ in range(rng.randint(0, 3))) + rng.choice(["", "/"])
+        query = rng.choice(["", "", "", f"?{rng.choice(parts)}=1", "?a=b&sid=3", "?action=edit", "?x=1&action=editor", "?q=/casino/", "#/login", "?print=1#t"])
+        urls.append(rng.choice(["http", "https", "HTTP"]) + "://" + host + path + query)
+    rules = url_filter.BASE_RULES + url_filter.METHOD_RULES
+    assert len(rules) > 130 and all(len(some) < 8 for some in url_filter.rarest_tokens(rules).values())
+    got = {r.i: r.url_verdict for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "i int, url string")).collect()}
+    seen = Counter()
+    for i, u in enumerate(urls):
+        rest = u.partition("://")[2] if u and "://" in u else ""
+        host, path, query = re.fullmatch(r"([^/?#]*)([^?#]*)(\?[^#]*)?(?:#.*)?", rest, re.S).groups("")
+        host = plain.ascii_lower(host)
+        fits = [r for r in rules if re.search(r.pattern.replace(r"\z", r"\Z"), host + path + query if r.base else plain.ascii_lower(host + path + query))]
+        best = max(fits, key=lambda r: (r.priority, r.name), default=None)
+        expected = (host, path, best.name if best and best.base else None, best.verdict if best else "allow", best.name if best else None)
+        assert tuple(got[i]) == expected, u
+        seen[best.name.split()[0] if best else None] += 1
+    assert all(seen[k] > 20 for k in ("host", "path", "file", "query", "com/", None)), dict(seen)
+
+
+def test_op3_many_rules_and_a_clashing_name(spark):
     from tilewise.llm import url_filter
 
-    expected = result(spark, tables[0], "op3_url_filter", "page_id", "host", "path", "rule", "verdict")
-    monkeypatch.setattr(url_filter, "MAX_INLINE_RULES", 0)
-    assert result(spark, tables[0], "op3_url_filter", "page_id", "host", "path", "rule", "verdict") == expected
+    rules = url_filter.BASE_RULES + tuple(url_filter.host_word_rule(f"bad{i}-site") for i in range(5000))
+    pages = spark.createDataFrame([(i, f"http://a.bad{i}-site.org/") for i in range(4990, 5010)], "page_id int, url string")
+    assert {r.page_id: r.v.verdict for r in url_filter.judge(pages, rules=rules, result="v").collect()} == {i: "block" if i < 5000 else "allow" for i in range(4990, 5010)}
+    assert {r.v.verdict for r in url_filter.judge(pages, rules=(), result="v").collect()} == {"allow"}
+    with pytest.raises(ValueError, match="column"):
+        url_filter.judge(pages.withColumn("URL_verdict", pages.url))
 
 
 def test_op4_records_are_linked(spark, tables):

@@ -27,6 +27,7 @@ def test_pieces_are_the_patterns_matches():
         for t, n in zip(texts, sizes, strict=True):
             assert [seen[i] for i in numbers[at : at + n]] == cut(t)
             at += n
+    assert not regex.search(r"[\p{L}\p{N}\s]", "".join(map(chr, range(0x40000, 0x110000))))
     other = pieces.PieceTable(10**9, lambda w: None, lambda: None, r"\S+|\s+")
     assert other.read(["a b", "", "c"])[1].tolist() == [3, 0, 1]
 

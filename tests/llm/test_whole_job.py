@@ -69,13 +69,11 @@ def test_op8_unrelated_notices_on_one_line(spark):
     assert labels_of(spark, texts) == ["all-rights-reserved,cc-by,cc-by-nc,cc-by-sa", "all-rights-reserved,apache", "apache,gpl", "gpl", "cc-by-nc", "bsd,cc-by-nc,gpl"]
 
 
-def test_op3_hosts_without_a_path(spark, monkeypatch):
+def test_op3_hosts_without_a_path(spark):
     urls = ["http://spam-farm.example.org", "http://cheap-pills.biz?x=1", "http://a.cheap-pills.biz#t", "http://spam-farm", "http://spam-farming.org", "http://foo.com", "http://spam-farm.com/", "http://spam-farm.org/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    for limit in (url_filter.MAX_INLINE_RULES, 0):
-        monkeypatch.setattr(url_filter, "MAX_INLINE_RULES", limit)
-        got = {r.page_id: r.url_verdict.verdict for r in url_filter.judge(pages).collect()}
-        assert [got[i] for i in range(len(urls))] == ["block"] * 4 + ["allow"] * 3 + ["block"]
+    got = {r.page_id: r.url_verdict.verdict for r in url_filter.judge(pages).collect()}
+    assert [got[i] for i in range(len(urls))] == ["block"] * 4 + ["allow"] * 3 + ["block"]
 
 
 def test_op2_grammar_goes_on_until_no_pair_is_frequent():

@@ -29,7 +29,7 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return judged.select("page_id", "url_verdict.host", "url_verdict.path", "url_verdict.rule", "url_verdict.verdict")
+    return judged.select("page_id", "url_verdict.host", "url_verdict.path", "url_verdict.rule", "url_verdict.verdict", "url_verdict.matched")
 
 
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from .license_scan import TEMPLATES
+from .url_filter import METHOD_RULES
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -10,6 +11,12 @@ def _templates() -> str:
     return ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
 
 
+def _method_rules() -> str:
+    """The method's rules as rows, to be run on every URL."""
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    return ", ".join(f"({r.priority}, {quote(r.name)}, {quote(r.pattern)})" for r in METHOD_RULES)
+
+
 def _next_words() -> str:
     return ", ".join(f"lead(word, {k}) OVER w AS w{k}" for k in range(1, 10))
 
@@ -48,20 +55,26 @@ ORACLES: dict[str, str] = {
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
         ), q AS (
             SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-                   regexp_extract(coalesce(rest, ''), '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM p
+                   regexp_extract(coalesce(rest, ''), '(?s)^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(rest, ''), '(?s)^[^?#]*(\?[^#]*)', 1) AS query FROM p
         ), r AS (
             SELECT *, CASE WHEN host = 'www.example.com' OR suffix(host, '.www.example.com') THEN starts_with(path, '/en/') ELSE false END AS www,
                    (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/en/') AS example,
                    (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/es/') AS es,
                    (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/fr/') AS fr,
                    (host = 'com' OR suffix(host, '.com')) AND starts_with(path, '/') AS com FROM q
+        ), m(priority, name, pattern) AS (
+            VALUES """
+    + _method_rules()
+    + r"""
+        ), t AS (SELECT DISTINCT translate(host || path || query, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM q), fit AS (
+            SELECT target, arg_max(name, (priority, name)) AS method FROM t JOIN m ON regexp_matches(target, pattern) GROUP BY target
         ), s AS (
-            SELECT page_id, host, path, CASE WHEN www THEN 'www.example.com/en/' WHEN example THEN 'example.com/en/' WHEN es THEN 'net/es/' WHEN fr THEN 'net/fr/' WHEN com THEN 'com/' END AS rule FROM r
+            SELECT page_id, host, path, translate(host || path || query, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target,
+                   CASE WHEN www THEN 'www.example.com/en/' WHEN example THEN 'example.com/en/' WHEN es THEN 'net/es/' WHEN fr THEN 'net/fr/' WHEN com THEN 'com/' END AS rule FROM r
         )
-        SELECT page_id, host, path, rule,
-               CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-                    WHEN path <> '' AND regexp_matches(host, '(^|[.-])(spam-farm|cheap-pills)([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict
-        FROM s""",
+        SELECT page_id, host, path, rule, coalesce(rule, method) AS matched,
+               CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL OR method IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+        FROM s LEFT JOIN fit USING (target)""",
     "op5_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256

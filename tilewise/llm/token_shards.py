@@ -46,8 +46,8 @@ ROUNDS = 5  # that share the rule table out; more follow as needed
 ACCESS_EVERY = 1024
 CACHE_WORDS = 2_000_000
 WORDS_PER_CALL = 20_000
-_HASH_BITS = 21
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_HASH_BITS, _LEAST_BITS = 21, 12
+_MIX = (0x9E3779B1, 0x85EBCA77)  # odd
 
 
 class Encoder:
@@ -143,37 +143,42 @@ def grammar(ids: np.ndarray, base: int = BASE, max_rules: int = MAX_RULES, min_c
     for n in count():
         if len(seq) < 2 or len(rules) >= max_rules:
             break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        mix = np.uint64(int(_MIX) * (4 * n + 1) % (1 << 64))
-        h = ((key * mix) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
-        counts = np.bincount(h, minlength=1 << _HASH_BITS)
+        bits = min(_HASH_BITS, max(_LEAST_BITS, len(seq).bit_length() + 1))
+        mix = [np.uint32(int(m) * (4 * n + 1) & 0xFFFFFFFF) for m in _MIX]
+        h = ((seq[:-1] * mix[0] + seq[1:] * mix[1]) >> np.uint32(32 - bits)).astype(np.intp)
+        counts = np.bincount(h, minlength=1 << bits)
         room = max(1, (max_rules - len(rules)) // min(max(rounds - n, 1), 3))
         often = np.flatnonzero(counts >= min_count)
         if not len(often):
             break
         if len(often) > room:
             often = often[np.argpartition(counts[often], -room)[-room:]]
-        seen = np.zeros(1 << _HASH_BITS, dtype=np.int32)
-        seen[h] = np.arange(len(h), dtype=np.int32)
-        chosen = np.zeros(1 << _HASH_BITS, dtype=bool)
+        chosen = np.zeros(1 << bits, dtype=bool)
         chosen[often] = True
         at = np.flatnonzero(chosen[h])
-        at = _apart(at[key[at] == key[seen[h[at]]]])
-        used = np.bincount(h[at], minlength=1 << _HASH_BITS)
+        own = h[at]
+        seen = np.empty(1 << bits, dtype=np.intp)
+        seen[own] = at
+        first = seen[own]
+        at = _apart(at[(seq[at] == seq[first]) & (seq[at + 1] == seq[first + 1])])
+        own = h[at]
+        used = np.bincount(own, minlength=1 << bits)
         good = np.flatnonzero(used >= min_count)
         if not len(good):
-            at = _single(key, min_count)
+            at = _single((seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:], min_count)
             if not len(at):
                 break
-            good = h[at[:1]]
+            own = h[at]
+            good = own[:1]
             seen[good] = at[0]
-        number = np.full(1 << _HASH_BITS, -1, dtype=np.int64)
+        number = np.full(1 << bits, -1, dtype=np.int64)
         number[good] = base + len(rules) + np.arange(len(good))
-        at = at[number[h[at]] >= 0]
+        name = number[own]
+        at, name = at[name >= 0], name[name >= 0]
         pairs = np.stack([seq[seen[good]], seq[seen[good] + 1]], axis=1)
         size = np.concatenate([np.ones(base, dtype=np.int64), lengths])
         rules, lengths = np.concatenate([rules, pairs]), np.concatenate([lengths, size[pairs[:, 0]] + size[pairs[:, 1]]])
-        seq[at] = number[h[at]]
+        seq[at] = name
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
         seq = seq[keep]
@@ -190,6 +195,7 @@ def expand(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int =
     for lo in range(0, len(rules)):
         a, b = rules[lo]
         depth[base + lo] = 1 + max(depth[a], depth[b])
+
     def put(symbols: np.ndarray, to: np.ndarray) -> None:
         plain = symbols < base
         flat[to[plain]] = symbols[plain]

@@ -2,33 +2,36 @@
 
 A rule is a regular expression with the literal tokens that any match must hold. Each rule is filed under the one of
 its tokens that is rarest among all rules; a URL's tokens fetch the candidate rules, and only those run their
-expression. The longest fitting base rule decides; without one, the method's pattern rules do.
+expression. The longest fitting base rule decides; without one, the method's pattern rules do: words in host names, path
+segments, file types and query parameters of pages that are no text for a corpus.
 
-The index is part of the plan up to ``MAX_INLINE_RULES`` rules, so judging is one narrow pass with no shuffle. Longer
-rule lists are joined on the token over the distinct URLs, with no broadcast hint.
+The index is one constant of the plan, hash buckets of tokens, so that fetching takes the same time at any number of rules
+and judging is one narrow pass: nothing is shuffled, joined or collected, and no URL or token can be hot.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and no rule, and is allowed; ties and
-repeated rows are judged alike; an empty table gives an empty result; other columns are kept out of the decision.
+repeated rows are judged alike and each by itself, as are rows with equal or null keys; URLs of any length are read whole; an
+empty table gives an empty result; other columns are carried as they are, and a column named like the result raises.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
-
-MAX_INLINE_RULES = 2000
 TOKEN_SPLIT = r"[^a-z0-9]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class UrlRule:
-    """``name``: what is reported; ``pattern``: run on ``host + path``; ``priority``: the highest wins."""
+    """``name``: what is reported; ``pattern``: run on host, path and query (``?`` and on), with A-Z lower-cased except in
+    ``base`` rules; ``priority``: the highest wins, then the last name."""
 
     name: str
     verdict: str
@@ -41,14 +44,34 @@ class UrlRule:
 def site_rule(verdict: str, rule: str) -> UrlRule:
     """``host/path`` rule: the host and its subdomains, for paths that start with the rule's."""
     host, slash, path = rule.partition("/")
-    pattern = rf"^(?:[^/]*\.)?{re.escape(host)}{re.escape(slash + path)}"
+    pattern = rf"^(?:[^/?]*\.)?{re.escape(host)}{re.escape(slash + path)}"
     # Only host labels are certain to be whole tokens of a matching URL; a path may go on within a word.
     return UrlRule(rule, verdict, pattern, tuple(t for t in re.split(TOKEN_SPLIT, host.lower()) if t), 1000 + len(rule), True)
 
 
+def _words(literal: str) -> tuple[str, ...]:
+    return tuple(t for t in re.split(TOKEN_SPLIT, literal) if t)
+
+
 def host_word_rule(word: str) -> UrlRule:
     """Blocks hosts with a label that holds all hyphenated words of ``word``, with a path or without."""
-    return UrlRule(word, "block", rf"^(?:[^/]*[.-])?{re.escape(word)}(?:[.-][^/]*)?(?:/|\z)", tuple(t for t in word.split("-") if t), len(word), False)
+    return UrlRule(f"host {word}", "block", rf"^(?:[^/?]*[.-])?{re.escape(word)}(?:[.-][^/?]*)?(?:[/?]|\z)", _words(word), 400, False)
+
+
+def segment_rule(word: str) -> UrlRule:
+    """Blocks paths with this segment."""
+    return UrlRule(f"path {word}", "block", rf"^[^/?]*/(?:[^?]*/)?{re.escape(word)}(?:[/?]|\z)", _words(word), 300, False)
+
+
+def file_type_rule(extension: str) -> UrlRule:
+    """Blocks paths that end in this extension."""
+    return UrlRule(f"file {extension}", "block", rf"^[^/?]*/[^?]*\.{re.escape(extension)}(?:\?|\z)", _words(extension), 200, False)
+
+
+def parameter_rule(name: str, value: str = "") -> UrlRule:
+    """Blocks queries with this parameter, of this value if one is given."""
+    end = rf"{re.escape(value)}(?:&|\z)" if value else ""
+    return UrlRule(f"query {name}={value}", "block", rf"^[^?]*\?(?:.*&)?{re.escape(name)}={end}", _words(name) + _words(value), 100, False)
 
 
 #: Fixed values of the contract.
@@ -59,16 +82,31 @@ BASE_RULES = (
     site_rule("block", "net/es/"),
     site_rule("block", "net/fr/"),
 )
-#: The method's own rules, for URLs that no base rule fits.
-METHOD_RULES = (host_word_rule("spam-farm"), host_word_rule("cheap-pills"))
+#: The method's own rules, for URLs that no base rule fits: what sites of spam, games of chance, adult or stolen content are
+#: named after (as host words and as path segments), pages for visitors' accounts and for machines, files that are no pages.
+TOPICS = (
+    "spam-farm cheap-pills link-farm click-farm casino poker blackjack roulette slots jackpot betting sportsbook lottery bingo "
+    "viagra cialis pharmacy-online weight-loss payday-loans quick-cash replica-watches free-ringtones essay-writers escort porn "
+    "xxx sexcam hentai warez keygen serial-crack torrent nulled phishing malware spyware adserver popunder doubleclick parked-domain"
+).split()
+SEGMENTS = "login logout signin signup register account password-reset cart basket checkout wishlist wp-login.php wp-admin xmlrpc.php cgi-bin feed rss trackback captcha unsubscribe".split()
+FILE_TYPES = "exe msi dmg iso apk zip rar 7z gz tar jpg jpeg png gif webp svg ico mp3 mp4 avi mkv css js woff woff2 ttf".split()
+PARAMETERS = (("phpsessid", ""), ("jsessionid", ""), ("sessionid", ""), ("sid", ""), ("replytocom", ""), ("add-to-cart", ""), ("action", "edit"), ("action", "login"), ("print", "1"), ("format", "rss"))
+METHOD_RULES = (
+    *map(host_word_rule, TOPICS),
+    *map(segment_rule, [*TOPICS, *SEGMENTS]),
+    *map(file_type_rule, FILE_TYPES),
+    *[parameter_rule(*p) for p in PARAMETERS],
+)
 
 
-def host_and_path(url: Column) -> tuple[Column, Column]:
-    """Host: after the first ``://`` up to ``/``, ``?``, ``#`` or end, with A-Z lower-cased; path up to ``?``, ``#`` or end."""
+def url_parts(url: Column) -> tuple[Column, Column, Column]:
+    """Host: after the first ``://`` up to ``/``, ``?``, ``#`` or end, with A-Z lower-cased; path up to ``?``, ``#`` or end;
+    query, with its ``?``, up to ``#`` or end."""
     rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise(F.lit(""))
     rest = F.coalesce(rest, F.lit(""))
-    host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return host, F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
+    host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1), _UPPER, _LOWER)
+    return host, F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1), F.regexp_extract(rest, r"(?s)^[^?#]*(\?[^#]*)", 1)
 
 
 def rarest_tokens(rules: tuple[UrlRule, ...]) -> dict[str, list[UrlRule]]:
@@ -80,49 +118,36 @@ def rarest_tokens(rules: tuple[UrlRule, ...]) -> dict[str, list[UrlRule]]:
     return index
 
 
-def _rule(r: UrlRule) -> Column:
-    return F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("name"), F.lit(r.verdict).alias("verdict"), F.lit(r.base).alias("base"), F.lit(r.pattern).alias("pattern"))
-
-
-def _tokens(target: Column) -> Column:
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower(target), TOKEN_SPLIT)))
+_RULE = "struct<priority:int,name:string,verdict:string,base:boolean,pattern:string>"
 
 
-def judge(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] = BASE_RULES + METHOD_RULES, default: str = "allow") -> DataFrame:
-    """``pages`` with a struct column ``url_verdict``: host, path, rule (a base rule's name or null), verdict."""
-    if len(rules) > MAX_INLINE_RULES:
-        return _judge_joined(pages, url, rules, default)
+def index_column(rules: tuple[UrlRule, ...]) -> tuple[Column, int]:
+    """The index as a constant: an array of maps, each with the tokens of one hash bucket; and their number."""
     index = rarest_tokens(rules)
-    host, path = host_and_path(F.col(url))
-    if not index:
-        return pages.withColumn("url_verdict", F.struct(host.alias("host"), path.alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")))
-    keys = sorted(index)
-    by_token = F.create_map(*[x for t in keys for x in (F.lit(t), F.array(*[_rule(r) for r in index[t]]))])
-    parts = F.struct(host.alias("host"), path.alias("path"))
+    n = max(1, len(index))
+    buckets: list[dict] = [{} for _ in range(n)]
+    for t, some in index.items():
+        at = xxhash.xxh64_intdigest(t.encode(), 42)  # as xxhash64 of SQL, which is signed
+        at = at - (1 << 64) if at >> 63 else at
+        buckets[at % n][t] = [{"priority": r.priority, "name": r.name, "verdict": r.verdict, "base": r.base, "pattern": r.pattern} for r in some]
+    return F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,array<{_RULE}>>>"), n
+
+
+def judge(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] = BASE_RULES + METHOD_RULES, default: str = "allow", result: str = "url_verdict") -> DataFrame:
+    """``pages`` with a struct column ``result``: host, path, rule (a base rule's name or null), verdict, matched (the name of
+    the rule that decided, or null)."""
+    if result.lower() in (c.lower() for c in pages.columns):
+        raise ValueError(f"the table has a column {result} already: name another for the result")
+    index, n = index_column(rules)
+    host, path, query = url_parts(F.col(url))
+    parts = F.struct(host.alias("host"), path.alias("path"), query.alias("query"))
 
     def decided(p: Column) -> Column:
-        target = F.concat(p["host"], p["path"])
-        known = F.array_intersect(_tokens(target), F.array(*[F.lit(t) for t in keys]))
-        fetched = F.flatten(F.transform(known, lambda t: F.element_at(by_token, t)))
-        fits = F.filter(fetched, lambda r: F.rlike(target, r["pattern"]))
-        best = F.array_max(fits)
-        return F.struct(p["host"].alias("host"), p["path"].alias("path"), F.when(best["base"], best["name"]).alias("rule"), F.coalesce(best["verdict"], F.lit(default)).alias("verdict"))
-
-    return pages.withColumn("url_verdict", F.element_at(F.transform(F.array(parts), decided), 1))
-
-
-def _judge_joined(pages: DataFrame, url: str, rules: tuple[UrlRule, ...], default: str) -> DataFrame:
-    spark: SparkSession = pages.sparkSession
-    rows = [(t, r.priority, r.name, r.verdict, r.base, r.pattern) for t, rs in rarest_tokens(rules).items() for r in rs]
-    index = spark.createDataFrame(rows, "token string, priority int, name string, verdict string, base boolean, pattern string")
-    host, path = host_and_path(F.col("u"))
-    urls = pages.select(F.col(url).alias("u")).distinct().withColumns({"host": host, "path": path})
-    urls = urls.withColumn("target", F.concat("host", "path"))
-    fits = urls.withColumn("token", F.explode(_tokens(F.col("target")))).join(index, "token").where("target rlike pattern")
-    best = fits.groupBy(F.col("u").alias("fit_url")).agg(F.max(F.struct("priority", "name", "verdict", "base")).alias("b"))
-    (judged,) = fresh(pages, "judged_url")
-    decided = urls.join(best, F.col("u").eqNullSafe(F.col("fit_url")), "left").select(
-        F.col("u").alias(judged),
-        F.struct("host", "path", F.when(F.col("b.base"), F.col("b.name")).alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict")).alias("url_verdict"),
-    )
-    return pages.join(decided, F.col(url).eqNullSafe(F.col(judged)), "left").drop(judged)
+        target = F.concat(p["host"], p["path"], p["query"])
+        small = F.translate(target, _UPPER, _LOWER)
+        tokens = F.array_distinct(F.concat(F.array(F.lit("")), F.split(small, TOKEN_SPLIT)))
+        fetched = F.flatten(F.array_compact(F.transform(tokens, lambda t: F.try_element_at(F.get(index, F.pmod(F.xxhash64(t), F.lit(n)).cast("int")), t))))
+        best = F.array_max(F.filter(fetched, lambda r: F.rlike(F.when(r["base"], target).otherwise(small), r["pattern"])))
+        return F.struct(p["host"].alias("host"), p["path"].alias("path"), F.when(best["base"], best["name"]).alias("rule"), F.coalesce(best["verdict"], F.lit(default)).alias("verdict"), best["name"].alias("matched"))
+
+    return pages.withColumn(result, F.element_at(F.transform(F.array(parts), decided), 1))
