@@ -336,6 +336,23 @@ def test_license_join_equals_brute_force(spark):
         assert got[i] == sorted(expected)
 
 
+def test_many_templates_are_scanned_in_passes(spark, monkeypatch):
+    import cases
+
+    more = tuple((f"own{i}", f"house number{i} section{i} clause{i} applies") for i in range(520))
+    texts = ["x\nHouse number5 section5 clause5 applies here", "house number519 section519\nclause519 applies", "Released under the MIT License", cases.BODY, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    many = {r.doc_id: r.licences for r in license_scan.scan(docs, templates=license_scan.TEMPLATES + more).collect()}
+    assert [sorted({b.label for b in many[i].blocks}) for i in range(6)] == [["own5"], [], ["mit"], [], [], []]
+    assert {w.label for w in many[1].windows} == {"own519"}
+    few = {r.doc_id: r.licences for r in license_scan.scan(docs).collect()}
+    monkeypatch.setattr(license_scan, "TEMPLATES_AT_ONCE", 5)
+    assert {r.doc_id: r.licences for r in license_scan.scan(docs).collect()} == few
+    assert license_scan.scan(docs, templates=()).where("size(licences.blocks) = 0 and size(licences.windows) = 0").count() == 6
+    with pytest.raises(ValueError, match="column"):
+        license_scan.scan(docs.withColumn("Licences", docs.text))
+
+
 @pytest.mark.parametrize("part_rows", [exact_dedup.PART_ROWS, 1000])
 def test_bloom_filter_never_misses_a_repeat(spark, monkeypatch, part_rows):
     monkeypatch.setattr(exact_dedup, "PART_ROWS", part_rows)

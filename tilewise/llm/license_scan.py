@@ -6,8 +6,9 @@ tokens (the rarest, as many as may be missing and one more), enough template tok
 them left after the first common one (positional filter). What passes is verified by the full intersection, so every
 block at or over the containment threshold is found, and none below it.
 
-Templates are a bounded parameter (``MAX_TEMPLATES``) and part of the plan, so the join probes an index within each row:
-no block, token or document is shuffled. Only the document counts of template tokens reach the driver.
+Templates are part of the plan, ``TEMPLATES_AT_ONCE`` in one pass of the join over each row and as many passes as it takes,
+so the join probes an index within each row: no block, token or document is shuffled. Only the document counts of template
+tokens reach the driver.
 
 Notices also run over several lines. A window is as many consecutive words of the text, across lines, as the template has
 over the threshold, so that the threshold's share of a full window can be the template's. Each place of a prefix token is
@@ -15,8 +16,9 @@ tried with the windows around it; no window at or over the threshold is without
 
 Next to the templates, fixed phrases are found wherever their words stand consecutively, also across lines.
 
-Defined results: a null or empty text has no words, places or labels and score 0; repeated rows are scanned alike; whole
-texts of any length are read; an empty table gives an empty result.
+Defined results: a null or empty text has no words, places or labels and score 0; repeated rows, and rows with equal or null
+keys, are scanned alike and each by itself; of templates that tie in a line all labels stay; whole texts of any length are
+read; other columns are carried as they are, and a column named like the result raises; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import WORD, text_or_empty
 
 THRESHOLD = 0.8
-MAX_TEMPLATES = 500
+TEMPLATES_AT_ONCE = 200
 
 #: Fixed values of the contract: phrases and their labels.
 BASE_PHRASES = (
@@ -87,28 +89,36 @@ def token_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text"
     return {t: counts.get(t, 0) for t in vocabulary}
 
 
-def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with a struct column ``licences``: n_words, n_base, first_word, last_word, base (labels), blocks, windows.
+Ranked = tuple[str, list[int], int, int]  # label, ranks of the distinct tokens, tokens needed, words of a window
+
+
+def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD, result: str = "licences") -> DataFrame:
+    """``docs`` with a struct column ``result``: n_words, n_base, first_word, last_word, base (labels), blocks, windows.
 
     ``blocks`` lists (block, label, containment, common): the line's number and every template that it contains.
     ``windows`` lists (label, containment, common, start, end): around each place of a template's prefix token, the
     window with the most of its words, the tightest of them, from its first to its last needed word.
     """
-    if len(templates) > MAX_TEMPLATES:
-        raise ValueError(f"at most {MAX_TEMPLATES} templates; scan in parts beyond that")
-    sets = [(label, tokens(t)) for label, t in templates]
-    vocabulary = sorted({t for _, ts in sets for t in ts})
-    count = token_frequencies(docs, vocabulary, text)
+    if result.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the table has a column {result} already: name another for the result")
+    sets = [(label, tokens(t), words(t)) for label, t in templates]
+    vocabulary = sorted({t for _, ts, _ in sets for t in ts})
+    count = token_frequencies(docs, vocabulary, text) if vocabulary else {}
     order = sorted(vocabulary, key=lambda t: (count[t], t))
     rank = {t: i for i, t in enumerate(order)}
-    ranked = [(label, sorted(rank[t] for t in ts)) for label, ts in sets]
-    need = [math.ceil(threshold * len(rs) - 1e-9) for _, rs in ranked]
-    span = [math.ceil(len(words(t)) / threshold - 1e-9) for _, t in templates]
-    prefix: dict[int, list[tuple[int, int]]] = {}
-    for k, (_, rs) in enumerate(ranked):
-        for i, r in enumerate(rs[: len(rs) - need[k] + 1]):
-            prefix.setdefault(r, []).append((k, i))
+    ranked = [(label, sorted(rank[t] for t in ts), math.ceil(threshold * len(ts) - 1e-9), math.ceil(len(ws) / threshold - 1e-9)) for label, ts, ws in sets if ts]
+    parts = [_found(text, order, ranked[lo : lo + TEMPLATES_AT_ONCE]) for lo in range(0, len(ranked), TEMPLATES_AT_ONCE)]
+    blocks = [b for b, _ in parts] or [F.array().cast(_BLOCKS)]
+    windows = [w for _, w in parts] or [F.array().cast(_WINDOWS)]
+    return docs.withColumn(result, F.struct(*_base(text), F.concat(*blocks).alias("blocks"), F.concat(*windows).alias("windows")))
 
+
+_BLOCKS = "array<struct<block:int,label:string,containment:double,common:int>>"
+_WINDOWS = "array<struct<label:string,containment:double,common:int,start:int,end:int>>"
+
+
+def _base(text: str) -> list[Column]:
+    """n_words, and the places of the fixed phrases."""
     value = text_or_empty(text)
     norm = spaced(value)
     blank = F.trim(norm) == ""
@@ -123,15 +133,29 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
         lasts.append(F.when(n > 0, n_words - len(phrase.split()) - (_spaces(F.element_at(cut, -1)) - 1)))
         labels.append(F.when(n > 0, F.lit(label)))
 
+    return [n_words.alias("n_words"), sum(counts[1:], counts[0]).alias("n_base"), F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"), F.array_compact(F.array(*labels)).alias("base")]
+
+
+def _found(text: str, order: list[str], ranked: list[Ranked]) -> tuple[Column, Column]:
+    """The arrays ``blocks`` and ``windows`` for some of the templates. ``order``: all tokens, the rarest first."""
+    need = [n for _, _, n, _ in ranked]
+    prefix: dict[int, list[tuple[int, int]]] = {}
+    for k, (_, rs, n, _) in enumerate(ranked):
+        for i, r in enumerate(rs[: len(rs) - n + 1]):
+            prefix.setdefault(r, []).append((k, i))
+    own_ranks = sorted({r for _, rs, _, _ in ranked for r in rs})
+
+    value = text_or_empty(text)
+    norm = spaced(value)
     near = "|".join(re.escape(order[r]) for r in sorted(prefix))
     hit = F.filter(F.transform(F.split(value, "\n"), lambda b, i: F.struct(i.alias("i"), b.alias("b"))), lambda s: F.rlike(s["b"], F.lit(rf"(?i)(?:^|{_GAP[:-1]})(?:{near})(?:{_GAP[:-1]}|$)")))
-    rank_of = F.create_map(*[x for t in order for x in (F.lit(t), F.lit(rank[t]))])
+    rank_of = F.create_map(*[x for r in own_ranks for x in (F.lit(order[r]), F.lit(r))])
     index = F.create_map(*[x for r, at in sorted(prefix.items()) for x in (F.lit(r), F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("i")) for k, i in at]))])
-    table = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(len(rs)).alias("m"), F.lit(need[k]).alias("need"), F.array(*map(F.lit, rs)).alias("ranks"), F.lit(span[k]).alias("span"), F.array(*[F.lit(order[r]) for r in rs]).alias("words")) for k, (label, rs) in enumerate(ranked)])
+    table = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(len(rs)).alias("m"), F.lit(need[k]).alias("need"), F.array(*map(F.lit, rs)).alias("ranks"), F.lit(span).alias("span"), F.array(*[F.lit(order[r]) for r in rs]).alias("words")) for k, (label, rs, _, span) in enumerate(ranked)])
 
     def matches(s: Column) -> Column:
         own = F.split(F.translate(spaced(s["b"]), _UPPER, _LOWERED), " ")
-        block = F.array_sort(F.transform(F.array_intersect(own, F.array(*map(F.lit, order))), lambda t: F.element_at(rank_of, t)))
+        block = F.array_sort(F.transform(F.array_intersect(own, F.array(*[F.lit(order[r]) for r in own_ranks])), lambda t: F.element_at(rank_of, t)))
         met = F.array_intersect(block, F.array(*map(F.lit, sorted(prefix))))
 
         def reach(r: Column) -> Column:
@@ -170,18 +194,7 @@ def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str],
 
     all_words = F.when(F.size(hit) > 0, F.split(F.trim(F.translate(norm, _UPPER, _LOWERED)), " ")).otherwise(F.array().cast("array<string>"))
 
-    return docs.withColumn(
-        "licences",
-        F.struct(
-            n_words.alias("n_words"),
-            sum(counts[1:], counts[0]).alias("n_base"),
-            F.least(*firsts).alias("first_word"),
-            F.greatest(*lasts).alias("last_word"),
-            F.array_compact(F.array(*labels)).alias("base"),
-            F.flatten(F.transform(hit, matches)).alias("blocks"),
-            F.flatten(F.transform(F.array(all_words), windows)).alias("windows"),
-        ),
-    )
+    return F.flatten(F.transform(hit, matches)), F.flatten(F.transform(F.array(all_words), windows))
 
 
 def _joined(labels: Column) -> Column:
