@@ -23,9 +23,9 @@ _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """Class of every code point, by the same properties as the pattern's."""
+    """Class of every code point, by the same properties as the pattern's; from plane 4 on there are only others."""
     out = np.full(0x110000, _OTHER, dtype=np.uint8)
-    for low in range(0, 0x110000, 0x4000):
+    for low in range(0, 0x40000, 0x4000):
         block = "".join(chr(c) for c in range(low, low + 0x4000) if not 0xD800 <= c < 0xE000)
         for kind, test in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_SPACE, r"\s")):
             out[[ord(c) for c in regex.findall(test, block)]] = kind

@@ -14,12 +14,18 @@ a symbol (2 or 4), 0; then keys (int64 each), null-key marks (1 byte each), docu
 (two uint32 each), expansion lengths (uint32 each), expansion offsets of every ``ACCESS_EVERY``-th symbol (int64 each),
 the sequence.
 
+Rounds stop where no pair has ``MIN_COUNT`` places or symbols would need more than two bytes: rules that make the sequence
+shorter still would make the shard larger (see the README for figures).
+
 Defined results: null and empty texts have the end id only; null keys come first and are kept as null; repeated keys are
-in order of their texts; an empty table writes no shard. A document longer than a shard is a shard of its own.
+in order of their texts, ties of both in any order; keys are whole numbers, others raise; other columns and their names do
+not matter; an empty table writes no shard. A document longer than a shard is a shard of its own. Writing runs when the
+operator is called, and the shards stay where they were written.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -33,9 +39,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import bounded_batches, chunks, own_worker, rare_gc, scratch_path, text_or_empty
-from .pieces import PieceTable
+from .pieces import PATTERN, PieceTable
 
 MAGIC, VERSION = b"TWRP", 1
 SHARD_IDS = 2_000_000
@@ -58,9 +65,13 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        cut = json.loads(self.library.to_str()).get("pre_tokenizer") or {}
+        if pattern == PATTERN and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space"):
+            # Pieces are cut by the same pattern already: only bytes are left to be mapped.
+            self.library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         added = self.library.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
             raise ValueError("added tokens that take white space or need word borders are not cut")
@@ -151,8 +162,8 @@ def grammar(ids: np.ndarray, base: int = BASE, max_rules: int = MAX_RULES, min_c
         often = np.flatnonzero(counts >= min_count)
         if not len(often):
             break
-        if len(often) > room:
-            often = often[np.argpartition(counts[often], -room)[-room:]]
+        if len(often) > 2 * room:  # more than fit, as some will hardly be found apart from others
+            often = often[np.argpartition(counts[often], -2 * room)[-2 * room :]]
         chosen = np.zeros(1 << bits, dtype=bool)
         chosen[often] = True
         at = np.flatnonzero(chosen[h])
@@ -171,6 +182,8 @@ def grammar(ids: np.ndarray, base: int = BASE, max_rules: int = MAX_RULES, min_c
             own = h[at]
             good = own[:1]
             seen[good] = at[0]
+        elif len(good) > room:
+            good = good[np.argpartition(used[good], -room)[-room:]]
         number = np.full(1 << bits, -1, dtype=np.int64)
         number[good] = base + len(rules) + np.arange(len(good))
         name = number[own]
@@ -191,10 +204,10 @@ def expand(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int =
     starts = np.concatenate([[0], np.cumsum(lengths)])
     flat = np.zeros(int(starts[-1]), dtype=np.uint32)
     # Rules only name earlier symbols, so they are filled by depth.
-    depth = np.zeros(base + len(rules), dtype=np.int64)
-    for lo in range(0, len(rules)):
-        a, b = rules[lo]
-        depth[base + lo] = 1 + max(depth[a], depth[b])
+    depth, below = np.zeros(base + len(rules), dtype=np.int64), None
+    while below is None or (depth[base:] != below).any():
+        below = depth[base:].copy()
+        depth[base:] = 1 + depth[rules].max(axis=1, initial=0)
 
     def put(symbols: np.ndarray, to: np.ndarray) -> None:
         plain = symbols < base
@@ -323,8 +336,11 @@ def _pack_batches(path: str, pattern: str, end: int, shard_ids: int):
 def write_shards(docs: DataFrame, out: str, path: str, pattern: str, end: int = 2, key: str = "doc_id", text: str = "text", shard_ids: int = SHARD_IDS) -> None:
     """Write the table ``out`` of packed shards, in ascending order of the key."""
     bounded_batches(docs.sparkSession)
+    if not isinstance(docs.schema[key].dataType, IntegralType):
+        raise TypeError(f"shards hold whole numbers as keys, and {key} is {docs.schema[key].dataType.simpleString()}")
     rows = docs.select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
-    ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # Texts that differ early part the rows of one key; whole texts would have to be sampled for that.
+    ordered = rows.repartitionByRange(F.col("key"), F.substring("text", 1, 64)).sortWithinPartitions("key", "text")
     schema = "part int, number int, start_in_part long, n_ids long, shard binary"
     ordered.mapInArrow(_pack_batches(path, pattern, end, shard_ids), schema).write.option("compression", "zstd").parquet(out)
 
