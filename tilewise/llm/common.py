@@ -5,9 +5,10 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,23 +24,45 @@ HOT_SHARE = 1000
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough that a batch of very long texts still fits a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(CHUNK_BYTES))
+    """Keep Arrow batches small enough that a batch of very long texts still fits a worker.
+
+    The session's own limits stay if they are lower; otherwise they are lowered for the rest of the session.
+    """
+    for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", CHUNK_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(re.match(r"-?[0-9]+", spark.conf.get(key, "0"))[0])
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set (tests)."""
+    """The cluster's shared checkpoint folder; a temporary one only where none is set on a local master (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tilewise-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+#: Intermediate tables that this process made and has not dropped.
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/tilewise-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/tilewise-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, keep: Collection[str] = ()) -> None:
+    """Delete the intermediate tables made so far, but for ``keep``. Results that were not read yet may need them."""
+    for path in [p for p in _made if p not in keep]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _made.remove(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -50,6 +73,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, name: str, others: Collection[str]) -> DataFrame:
+    """``written``, and then the intermediate tables but for this one and ``others`` are dropped."""
+    out = written(df, name)
+    drop_scratch(df.sparkSession, {_made[-1], *others})
+    return out
+
+
+def scratch_tables() -> list[str]:
+    """Paths of the intermediate tables that are there."""
+    return list(_made)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names not used by ``df`` (Spark compares names without case)."""
     used = {c.lower() for c in df.columns}

@@ -11,8 +11,10 @@ over ``BUCKET_LIMIT`` distinct fingerprints is not compared in one task: its mem
 Components come from alternating star contractions over written tables, without anything gathered on the driver.
 
 Defined results: null and empty texts, and texts of white space only, have fingerprint zero and link like any other;
-fewer words than a shingle make one shingle; repeated rows share a component; a null doc_id is ignored as a component's
-name unless a component has no other; an empty table gives an empty result.
+fewer words than a shingle make one shingle; repeated rows, ties and equal keys share a component if their texts do; a null
+doc_id is ignored as a component's name unless a component has no other; texts of any length are read whole; other columns
+are carried or left out and may have any name; an empty table gives an empty result. Calling an operator runs the rounds,
+whose tables stay in the shared folder until ``common.drop_scratch``.
 """
 
 from __future__ import annotations
