@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewise.functions import geometry
-from tilewise.operators import grouping
+from tilewise.operators import audit, grouping, rejects
 from tilewise.plans import workloads as W
 from tilewise.schema import RELATION
 from tilewise.scratch import materialized
@@ -178,17 +178,43 @@ def test_release_round_trip_and_change(spark, sf_dir, tmp_path):
     groups = materialized(W.line_groups(spark, sf_dir), "g")
     records = W.line_records(spark, sf_dir, groups)
     rejected = W.line_boxes(spark, sf_dir).where("reason is not null").select("side", "reason")
-    out = publish.publish(spark, str(tmp_path / "release"), records, groups, rejected)
+    contract = {"source": "lines", "scale": 1000}
+    ledger = rejects.ledger(W.line_boxes(spark, sf_dir))
+    build = lambda c: publish.publish(spark, str(tmp_path / "release"), records, groups, rejected, ledger=ledger, contract=c)
+    out = build(contract)
     loaded = publish.load(spark, out)
     assert loaded["r1"].count() + loaded["r2"].count() == records.count()
     assert publish.group_rows(loaded, "r1", 3).count() == groups.where("group_id = 3").first().r1_count
     assert publish.changed_files(spark, out).count() == 0
+    manifest = spark.read.json(f"{out}/manifest").first()
+    states = {r.state: r.n for r in groups.groupBy("state").agg(F.count("*").alias("n")).collect()}
+    assert {k: n for k, n in manifest.states.asDict().items() if n} == states and json.loads(manifest.contract) == contract
+    assert {(r["side"], r["key"]): r["n"] for r in manifest.ledger} == {(r.side, r.key): r.n for r in ledger.collect()}
+    before = sorted(p.name for p in (tmp_path / "release" / "r1.parquet").iterdir())
+    assert build({"scale": 1000, "source": "lines"}) == out and sorted(p.name for p in (tmp_path / "release" / "r1.parquet").iterdir()) == before
     with pytest.raises(FileExistsError):
-        publish.publish(spark, out, records, groups)
+        build({**contract, "scale": 10})
+    checks = audit.bounds_checks(groups)
+    text = publish.release_document(spark, out, "Lines", checks)
+    assert (tmp_path / "release.md").read_text() == text and f"| group_count | {manifest.group_count} |" in text
+    with pytest.raises(AssertionError, match="right_edge"):
+        publish.release_document(spark, out, "Lines", audit.bounds_checks(groups.withColumn("global_max_x", F.lit(0).cast("long"))))
     victim = next((tmp_path / "release" / "r1.parquet").glob("part-*"))
     victim.write_bytes(victim.read_bytes() + b"x")
     (victim.parent / f".{victim.name}.crc").unlink(missing_ok=True)
     assert publish.changed_files(spark, out).count() == 1
+    with pytest.raises(FileExistsError):
+        build(contract)
+    with pytest.raises(AssertionError, match="changed"):
+        publish.release_document(spark, out, "Lines", checks)
+
+
+def test_long_files_are_digested_as_streams(spark, tmp_path, monkeypatch):
+    (tmp_path / "part-1").write_bytes(b"x" * 70_000)
+    (tmp_path / "part-2").write_bytes(b"y")
+    expected = {tuple(r) for r in publish.digests(spark, str(tmp_path)).collect()}
+    monkeypatch.setattr(publish, "_WHOLE_BYTES", 10)
+    assert {tuple(r) for r in publish.digests(spark, str(tmp_path)).collect()} == expected and len(expected) == 2
 
 
 def test_resumed_build_takes_each_file_once(spark, tmp_path):

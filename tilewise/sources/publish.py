@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.audit import require
 from ..operators.grouping import relation
 from ..schema import RELATION, SCHEMA_VERSION, check_schema
 from ..scratch import shared_dir
@@ -18,13 +23,32 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def publish(spark: SparkSession, out: str, records: DataFrame, groups: DataFrame, exclusions: DataFrame | None = None, overlap_counts: DataFrame | None = None) -> str:
-    """Write a release to ``out``, which must not exist: everything goes to a staging folder that is renamed at the end.
+def contract_digest(contract: dict) -> str:
+    """What a build was asked for, as one digest: equal contracts have equal ones whatever the order of their keys."""
+    return hashlib.sha256(json.dumps(contract, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
-    Relations are sorted by group within files, so that a group's slice is read from few row groups.
+
+def is_complete(spark: SparkSession, out: str, contract: dict) -> bool:
+    """Whether ``out`` is a release of this contract, with all files as they were written."""
+    fs, _ = _fs(spark, out)
+    if not fs.exists(_fs(spark, f"{out}/manifest")[1]) or not fs.exists(_fs(spark, f"{out}/digests")[1]):
+        return False
+    made = spark.read.json(f"{out}/manifest").first()["contract_sha256"]
+    return made == contract_digest(contract) and changed_files(spark, out).isEmpty()
+
+
+def publish(spark: SparkSession, out: str, records: DataFrame, groups: DataFrame, exclusions: DataFrame | None = None, overlap_counts: DataFrame | None = None, ledger: DataFrame | None = None, contract: dict | None = None) -> str:
+    """Write a release to ``out``: everything goes to a staging folder that is renamed at the end.
+
+    A complete release of the same contract is left as it is; anything else at ``out`` raises. Relations are sorted by
+    group within files, so that a group's slice is read from few row groups. The manifest has the counts, the states of
+    the groups, the ledger (side, key, n) and the contract; ``digests`` has those of all files.
     """
+    contract = contract or {}
     fs, target = _fs(spark, out)
     if fs.exists(target):
+        if is_complete(spark, out, contract):
+            return out
         raise FileExistsError(out)
     staging = f"{out}.staging-{uuid.uuid4().hex}"
     rows = relation(records)
@@ -36,14 +60,20 @@ def publish(spark: SparkSession, out: str, records: DataFrame, groups: DataFrame
     groups.write.option("compression", "zstd").parquet(f"{staging}/groups.parquet")
     if exclusions is not None:
         exclusions.write.option("compression", "gzip").json(f"{staging}/exclusions")
-    manifest = groups.agg(
+    written = spark.read.parquet(f"{staging}/groups.parquet")
+    manifest = written.agg(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.count("*").alias("group_count"),
-        F.sum("r1_count").alias("r1_count"),
-        F.sum("r2_count").alias("r2_count"),
+        F.coalesce(F.sum("r1_count"), F.lit(0)).alias("r1_count"),
+        F.coalesce(F.sum("r2_count"), F.lit(0)).alias("r2_count"),
+        F.struct(*[F.count_if(F.col("state") == s).alias(s) for s in ("both_nonempty", "r1_only", "r2_only", "both_empty")]).alias("states"),
         F.lit(1000).alias("quantization_scale"),
         F.lit("half-open").alias("rectangle_semantics"),
+        F.lit(json.dumps(contract, sort_keys=True)).alias("contract"),
+        F.lit(contract_digest(contract)).alias("contract_sha256"),
     )
+    if ledger is not None:  # a row for each side and reason
+        manifest = manifest.crossJoin(ledger.agg(F.array_sort(F.collect_list(F.struct("side", "key", "n"))).alias("ledger")))
     manifest.coalesce(1).write.json(f"{staging}/manifest")
     digests(spark, staging).coalesce(1).write.json(f"{staging}/digests")
     if not fs.rename(_fs(spark, staging)[1], target):
@@ -51,11 +81,53 @@ def publish(spark: SparkSession, out: str, records: DataFrame, groups: DataFrame
     return out
 
 
+def release_document(spark: SparkSession, out: str, title: str, checks: DataFrame) -> str:
+    """Markdown that describes a release, from its manifest; raises unless its files are whole and all checks passed.
+
+    ``checks``: (check_code, checked, failed). The text is also written to ``out``.md beside the release.
+    """
+    changed = changed_files(spark, out)
+    if not changed.isEmpty():
+        raise AssertionError(f"files changed since they were published: {[r.file for r in changed.limit(5).collect()]}")
+    require(checks)
+    m = spark.read.json(f"{out}/manifest").first().asDict(recursive=True)
+    lines = [f"# {title}", "", f"Schema {m['schema_version']}, {m['rectangle_semantics']} boxes in units of 1/{m['quantization_scale']}.", "", "| | |", "|-|-|"]
+    lines += [f"| {k} | {m[k]} |" for k in ("group_count", "r1_count", "r2_count")] + [f"| {k} | {n} |" for k, n in m["states"].items()]
+    if m.get("ledger"):
+        lines += ["", "| side | key | rows |", "|-|-|-|", *[f"| {r['side']} | {r['key']} | {r['n']} |" for r in m["ledger"]]]
+    lines += ["", "| check | rows | failed |", "|-|-|-|", *[f"| {r.check_code} | {r.checked} | {r.failed} |" for r in checks.orderBy("check_code").collect()], ""]
+    text = "\n".join(lines)
+    fs, path = _fs(spark, f"{out}.md")
+    stream = fs.create(path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return text
+
+
+#: Files up to this size are digested by built-in functions; longer ones do not fit a value and are read as streams.
+_WHOLE_BYTES = 512 << 20
+
+
+def _stream_digests(batches):
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            fs, at = pa.fs.FileSystem.from_uri(path)
+            h = hashlib.sha256()
+            with fs.open_input_stream(at) as f:
+                while block := f.read(8 << 20):
+                    h.update(block)
+            found.append(h.hexdigest())
+        yield pa.record_batch([batch.column(0), pa.array(found, pa.string())], names=["path", "sha256"])
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """(file, sha256) of the release's files, by path below the release."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    whole = files.where(F.col("length") <= _WHOLE_BYTES).select("path", F.sha2("content", 256).alias("sha256"))
+    long = files.where(F.col("length") > _WHOLE_BYTES).select("path").mapInArrow(_stream_digests, "path string, sha256 string")
     last = path.rstrip("/").split("/")[-1]
-    return files.select(F.regexp_extract("path", rf"/{last}/(.*)$", 1).alias("file"), F.sha2("content", 256).alias("sha256"))
+    return whole.unionByName(long).select(F.regexp_extract("path", rf"/{last}/(.*)$", 1).alias("file"), "sha256")
 
 
 def changed_files(spark: SparkSession, path: str) -> DataFrame:
