@@ -91,9 +91,32 @@ def test_page_results_images_tensors_and_locks(spark, tmp_path):
     assert [(r.width, r.height) for r in files.image_files(spark, str(tmp_path)).collect()] == [(31, 17)]
     np.savez(tmp_path / "t.npz", boxes=np.arange(4, dtype=np.float32).reshape(1, 2, 2))
     assert files.tensors(spark, [str(tmp_path / "t.npz")], "boxes").first()["values"] == [0, 1, 2, 3]
-    source = {"side": "r1", "path": "a", "sha256": "0" * 64, "format": "csv"}
-    (tmp_path / "lock.json").write_text(json.dumps({"sources": [source, {**source, "path": "b", "side": "x", "sha256": "F"}]}))
-    assert {r.path: r.problems for r in files.lock_entries(spark, str(tmp_path / "lock.json")).collect()} == {"a": [], "b": ["side", "digest"]}
+
+
+def test_locks(spark, tmp_path):
+    one = {"side": "r1", "path": "d/a", "sha256": "0" * 64, "format": "csv", "url": "u"}
+    two = {**one, "side": "r2", "path": "b", "sha256": "1" * 64, "size_bytes": 7}
+    edge = {"path": "edge.json", "sha256": "2" * 64, "url": "u"}
+
+    def problems(lock, **wanted):
+        (tmp_path / "lock.json").write_text(json.dumps(lock, indent=1))
+        return {r.path: r.problems for r in files.lock_entries(spark, str(tmp_path / "lock.json"), **wanted).collect()}
+
+    good = {"dataset": "x", "crs": "laea", "boundary": edge, "sources": [one, two]}
+    assert problems(good, dataset="x", crs="laea") == problems(good) == {"d/a": [], "b": [], "edge.json": []}
+    assert problems(good, dataset="y", crs="utm")["b"] == ["dataset", "crs"] and problems({**good, "crs": None}, crs="laea")["b"] == []
+    bad = {"path": ["/a", "a/../b", "../b"], "side": ["x", None], "sha256": ["F" * 64, "0", None], "url": ["", None], "format": ["pdf", None]}
+    names = {"sha256": "digest"}
+    for field, values in bad.items():
+        for v in values:
+            got = problems({**good, "sources": [one, {**two, "side": "r2", field: v}, {**two, "path": "c"}]})
+            assert got[v if field == "path" else "b"] == [names.get(field, field)], (field, v)
+    assert problems({**good, "sources": [one]})["d/a"] == ["sides"]
+    assert problems({**good, "sources": [one, two, {**two, "url": None}]})["b"] in (["repeated_path"], ["repeated_path", "url"])
+    problems(good)
+    entries = files.lock_entries(spark, str(tmp_path / "lock.json"))
+    found = spark.createDataFrame([("d/a", 3, "0" * 64), ("b", 8, "9" * 64)], "path string, size long, sha256 string")
+    assert {r.path: r.problems for r in files.verified_lock(entries, found).collect()} == {"d/a": [], "b": ["checksum", "size"], "edge.json": ["missing"]}
 
 
 def square(x, y, side):

@@ -182,16 +182,58 @@ def tensors(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths))).mapInArrow(load, "path string, values array<float>")
 
 
-def lock_entries(spark: SparkSession, path: str) -> DataFrame:
-    """Sources of a lock file with every problem of each: repeated path, bad side, bad digest, unknown format."""
-    rows = spark.read.json(path, multiLine=True).select(F.explode("sources").alias("s")).select("s.*")
+_INPUT = "path:string,sha256:string,url:string,size_bytes:long"
+_LOCK = f"dataset string, crs string, boundary struct<{_INPUT}>, sources array<struct<side:string,format:string,{_INPUT}>>"
+FORMATS = ("geojsonl_zip", "geojsonl.zip", "geojsonl", "csv", "csv_gz", "csv.gz")
+
+
+def lock_entries(spark: SparkSession, path: str, dataset: str | None = None, crs: str | None = None) -> DataFrame:
+    """Inputs of a lock file (``role`` boundary or source), each with every problem it has.
+
+    Of an input: repeated_path, path (absolute, or leaving its root), digest, url (no provenance); of a source also side
+    and format; of the lock as a whole, on all its rows: dataset, crs, sides (r1 and r2 are not both there), boundary.
+    """
+    lock = spark.read.schema(_LOCK).json(path, multiLine=True)
+    sides = F.array_distinct(F.transform("sources", lambda s: s["side"]))
+    whole = F.array_compact(
+        F.array(
+            F.when(~F.col("dataset").eqNullSafe(F.lit(dataset)), "dataset") if dataset else F.lit(None).cast("string"),
+            F.when(F.coalesce("crs", F.lit(crs)) != crs, "crs") if crs else F.lit(None).cast("string"),
+            F.when(~F.coalesce(F.array_contains(sides, "r1") & F.array_contains(sides, "r2"), F.lit(False)), "sides"),
+        )
+    )
+    fields = lambda c, side, format_: F.struct(side.alias("side"), format_.alias("format"), *[F.col(c)[n].alias(n) for n in ("path", "sha256", "url", "size_bytes")])
+    none = F.lit(None).cast("string")
+    boundary = lock.where("boundary is not null").select(whole.alias("whole"), F.lit("boundary").alias("role"), fields("boundary", none, none).alias("s"))
+    sources = lock.select(whole.alias("whole"), F.lit("source").alias("role"), F.explode("sources").alias("x")).select("whole", "role", fields("x", F.col("x.side"), F.col("x.format")).alias("s"))
+    rows = sources.unionByName(boundary).select("whole", "role", "s.*")
     repeated = rows.groupBy("path").agg(F.count("*").alias("n"))
+    source = F.col("role") == "source"
+    loose = F.col("path").isNull() | F.col("path").startswith("/") | F.array_contains(F.split("path", "/"), "..")
     problems = F.array_compact(
         F.array(
-            F.when(F.col("n") > 1, F.lit("repeated_path")),
-            F.when(~F.coalesce(F.col("side").isin("r1", "r2"), F.lit(False)), F.lit("side")),
-            F.when(~F.coalesce(F.col("sha256").rlike(HEX_SHA256), F.lit(False)), F.lit("digest")),
-            F.when(~F.coalesce(F.col("format").isin("geojsonl_zip", "csv", "csv_gz"), F.lit(False)), F.lit("format")),
+            F.when(F.col("n") > 1, "repeated_path"),
+            F.when(loose, "path"),
+            F.when(source & ~F.coalesce(F.col("side").isin("r1", "r2"), F.lit(False)), "side"),
+            F.when(~F.coalesce(F.col("sha256").rlike(HEX_SHA256), F.lit(False)), "digest"),
+            F.when(F.coalesce("url", F.lit("")) == "", "url"),
+            F.when(source & ~F.coalesce(F.col("format").isin(*FORMATS), F.lit(False)), "format"),
+        )
+    )
+    return rows.join(repeated, "path", "left").withColumn("problems", F.concat("whole", problems)).drop("n", "whole")
+
+
+def verified_lock(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """``entries`` with the problems of the files themselves added: missing, checksum, size.
+
+    ``found``: (path, size, sha256) of the files that are there, by path under the root.
+    """
+    files = found.select("path", F.col("size").alias("__size"), F.col("sha256").alias("__sha256"))
+    more = F.array_compact(
+        F.array(
+            F.when(F.col("__size").isNull(), "missing"),
+            F.when(F.col("__sha256") != F.col("sha256"), "checksum"),
+            F.when(F.col("__size") != F.col("size_bytes"), "size"),
         )
     )
-    return rows.join(repeated, "path").withColumn("problems", problems).drop("n")
+    return entries.join(files, "path", "left").withColumn("problems", F.concat("problems", more)).drop("__size", "__sha256")
