@@ -30,8 +30,8 @@ def bounded_batches(spark: SparkSession) -> None:
     """
     for name, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", CHUNK_BYTES)):
         key = f"spark.sql.execution.arrow.{name}"
-        now = int(re.match(r"-?[0-9]+", spark.conf.get(key, "0"))[0])
-        if not 0 < now <= most:
+        now = re.fullmatch(r"([0-9]+)b?", spark.conf.get(key))
+        if not now or not 0 < int(now[1]) <= most:
             spark.conf.set(key, str(most))
 
 
