@@ -76,6 +76,23 @@ def wkt_type(wkt: Column) -> Column:
     return F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
 
 
+#: Geometry types of WKT (fixed values).
+WKT_TYPES = ("POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON", "GEOMETRYCOLLECTION")
+
+
+def wkt_error(wkt: Column) -> Column:
+    """Why a WKT text does not parse, in words, or null: an unknown type, unmatched parentheses, a vertex without numbers."""
+    kind = wkt_type(wkt)
+    many = lambda c: F.length(wkt) - F.length(F.replace(wkt, F.lit(c), F.lit("")))
+    loose = F.exists(wkt_rings(wkt), lambda r: F.exists(r, lambda p: p["x"].isNull() | p["y"].isNull()))
+    return (
+        F.when(kind == "", "no geometry type")
+        .when(~kind.isin(*WKT_TYPES), F.concat(F.lit("unknown geometry type "), kind))
+        .when(many("(") != many(")"), F.concat_ws(" ", many("(").cast("string"), F.lit("opening and"), many(")").cast("string"), F.lit("closing parentheses")))
+        .when(loose, "a vertex without two numbers")
+    )
+
+
 def bounds(rings: Column) -> list[Column]:
     """min x, min y, max x, max y of all vertices."""
     xs = F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["x"])))

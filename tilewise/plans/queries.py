@@ -842,3 +842,15 @@ def page_results_round_trip(spark, d):
     lines.write.option("compression", "gzip").text(out)
     back = files.page_results(spark, out)
     return back.groupBy(F.coalesce("reason", F.lit("retained")).alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages"), F.sum(F.get("box", F.lit(0))).cast("long").alias("sum_x0"), F.sum(F.get("box", F.lit(3))).cast("long").alias("sum_y1"))
+
+
+@query
+def wkt_parse_errors(spark, d):
+    """Records that are none, and texts that do not parse, with the reason in words."""
+    p = W.footprints(spark, d)
+    m = F.col("p_partkey") % 40
+    wkt = F.when(m == 7, F.expr("substring(wkt, 1, length(wkt) - 1)")).when(m == 8, F.regexp_replace("wkt", r"\(\((\S+) ", "((x ")).when(m == 9, F.lit(None)).when(m == 10, F.lit(" ((1 2))")).otherwise(F.col("wkt"))
+    p = p.withColumn("wkt", wkt)
+    detail = geometry.wkt_error(F.col("wkt"))
+    reason = rejects.cascade((F.col("wkt").isNull(), "malformed_record"), (detail.isNotNull(), "malformed_geometry"), (~geometry.wkt_type(F.col("wkt")).isin("POLYGON", "MULTIPOLYGON"), "unsupported_geometry_type"))
+    return p.select("p_partkey", reason.alias("reason"), detail.alias("detail"))

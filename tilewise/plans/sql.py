@@ -375,3 +375,7 @@ ORACLES |= {
         r AS (SELECT *, CASE WHEN w = 0 THEN 'nonpositive_extent' WHEN y0 % 2 = 0 THEN 'quantized_degenerate' ELSE 'retained' END AS outcome FROM e)
         SELECT outcome, count(*) AS n, count(DISTINCT page) AS pages, CAST(sum(CASE WHEN outcome = 'retained' THEN x0 * 1000 END) AS BIGINT) AS sum_x0, CAST(sum(CASE WHEN outcome = 'retained' THEN y0 + 1 END) AS BIGINT) AS sum_y1 FROM r GROUP BY outcome""",
 }
+ORACLES["wkt_parse_errors"] = """
+    SELECT p_partkey, CASE m WHEN 9 THEN 'malformed_record' WHEN 0 THEN 'malformed_geometry' WHEN 7 THEN 'malformed_geometry' WHEN 8 THEN 'malformed_geometry' WHEN 10 THEN 'malformed_geometry' WHEN 1 THEN 'unsupported_geometry_type' END AS reason,
+           CASE m WHEN 0 THEN 'unknown geometry type NOT' WHEN 7 THEN '2 opening and 1 closing parentheses' WHEN 8 THEN 'a vertex without two numbers' WHEN 10 THEN 'no geometry type' END AS detail
+    FROM (SELECT p_partkey, p_partkey % 40 AS m FROM part)"""
