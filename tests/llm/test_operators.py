@@ -249,6 +249,12 @@ def test_kneser_ney_sums_to_one():
         assert np.allclose(total, 1, atol=1e-9)  # "q" stands for all unseen characters
 
 
+def test_hubs_and_many_small_components(spark):
+    edges = [(10**6, i) for i in range(3000)] + [(2 * 10**6 + 3 * i, 2 * 10**6 + 3 * i + 1) for i in range(4000)] + [(2 * 10**6 + 3 * i + 1, 2 * 10**6 + 3 * i + 2) for i in range(4000)]
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    assert got == {i: 0 for i in [*range(3000), 10**6]} | {2 * 10**6 + i: 2 * 10**6 + i - i % 3 for i in range(12000)}
+
+
 def plain_kneser_ney(words):
     """Probability of a character after a context, by the definition, from word counts."""
     grams = Counter()
