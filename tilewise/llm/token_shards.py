@@ -53,7 +53,7 @@ ROUNDS = 5  # that share the rule table out; more follow as needed
 ACCESS_EVERY = 1024
 CACHE_WORDS = 2_000_000
 WORDS_PER_CALL = 20_000
-_HASH_BITS, _LEAST_BITS = 21, 12
+_HASH_BITS, _LEAST_BITS = 20, 12
 _MIX = (0x9E3779B1, 0x85EBCA77)  # odd
 
 
@@ -340,7 +340,7 @@ def write_shards(docs: DataFrame, out: str, path: str, pattern: str, end: int =
         raise TypeError(f"shards hold whole numbers as keys, and {key} is {docs.schema[key].dataType.simpleString()}")
     rows = docs.select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
     # Texts that differ early part the rows of one key; whole texts would have to be sampled for that.
-    ordered = rows.repartitionByRange(F.col("key"), F.substring("text", 1, 64)).sortWithinPartitions("key", "text")
+    ordered = rows.repartitionByRange(F.col("key"), F.substring("text", 1, 8)).sortWithinPartitions("key", "text")
     schema = "part int, number int, start_in_part long, n_ids long, shard binary"
     ordered.mapInArrow(_pack_batches(path, pattern, end, shard_ids), schema).write.option("compression", "zstd").parquet(out)
 
