@@ -26,7 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(rows: DataFrame, *by: str) -> DataFrame:
     """``rows`` dealt out over all cores, where a table is one file of few row groups; large tables stay as they are."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *by) if rows.rdd.getNumPartitions() < cores else rows
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    # A random column, which filters cannot pass, keeps later filters and what they compute from moving into the scan.
+    return rows.repartition(cores, *by).withColumn("__dealt", F.rand(0)).where("__dealt >= 0").drop("__dealt")
 
 
 def line_boxes(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
