@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontam, exact_dedup, langid, license_scan, simhash, token_count, token_shards, url_filter, warc
+from . import bpe_codec, centroids, decontam, exact_dedup, langid, license_scan, simhash, token_count, token_shards, url_filter, warc
 from .sql import ORACLES
 
 OVER_LIMIT = 4096
@@ -66,6 +66,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_shards": op2_token_shards,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op11_centroids": op11_centroids,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -27,6 +27,25 @@ def _windows_at() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _rounds() -> str:
+    """Assignments a0 ... a5 and centroids c1 ... c5 from kept(rid, v) and c0(c, v)."""
+    out = []
+    for i in range(6):
+        out.append(f"""a{i} AS MATERIALIZED (
+            SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d
+            FROM (SELECT rid, c, CAST(list_sum(list_transform(list_zip(k.v, c{i}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM kept k, c{i}) GROUP BY rid
+        )""")
+        if i < 5:
+            out.append(f"""c{i + 1} AS MATERIALIZED (
+            SELECT c{i}.c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+                SELECT c, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS v FROM (
+                    SELECT c, dim, sum(x) AS total, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM kept JOIN a{i} USING (rid)) GROUP BY c, dim
+                ) GROUP BY c
+            ) m ON m.c = c{i}.c
+        )""")
+    return ", ".join(out)
+
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": f"""
         WITH b AS (
@@ -106,4 +125,14 @@ ORACLES: dict[str, str] = {
                coalesce(list_aggregate(list_sort(list_distinct(list_concat(base.labels, coalesce(g.labels, [])))), 'string_agg', ','), '') AS labels,
                CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
         FROM base LEFT JOIN g USING (doc_id)""",
+    "op11_centroids": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT 40)
+        ), {_rounds()}
+        SELECT vec_id, CAST(a5.c AS INTEGER) AS cluster, a5.d AS distance, CAST(sum(a5.d) OVER (PARTITION BY a5.c) AS BIGINT) AS cluster_inertia, CAST(sum(a5.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+        FROM kept JOIN a5 USING (rid) JOIN c5 ON c5.c = a5.c""",
 }
