@@ -135,4 +135,24 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, CAST(a5.c AS INTEGER) AS cluster, a5.d AS distance, CAST(sum(a5.d) OVER (PARTITION BY a5.c) AS BIGINT) AS cluster_inertia, CAST(sum(a5.d) OVER () AS BIGINT) AS inertia,
                sha256(array_to_string(c5.v, ',')) AS centroid_sha256
         FROM kept JOIN a5 USING (rid) JOIN c5 ON c5.c = a5.c""",
+    "op13_collocations": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+        ), w AS MATERIALIZED (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w, generate_subscripts(w, 1) AS i FROM p
+        ), f AS MATERIALIZED (
+            SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f FROM w, range(1, 4) r(m) WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10
+        ), n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+        c AS (
+            SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w, k FROM f, range(1, 3) r(k) WHERE m > k AND m > 1
+        ), s AS (
+            SELECT c.lang, c.m, c.phrase, c.a, k, x.f AS l, y.f AS r, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 :], ' ')
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+        ), around AS (
+            SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, array_to_string(string_split(phrase, ' ')[j : j + 1], ' ') AS phrase, f FROM f, range(1, 3) r(j) WHERE m = 3) GROUP BY ALL
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM s JOIN n USING (lang) LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+        QUALIFY rank <= 2000""",
 }
