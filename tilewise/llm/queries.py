@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, centroids, collocations, decontam, exact_dedup, langid, license_scan, simhash, token_count, token_shards, url_filter, warc
+from . import bpe_codec, centroids, collocations, decontam, exact_dedup, langid, license_scan, secret_scan, simhash, token_count, token_shards, url_filter, warc
 from .sql import ORACLES
 
 OVER_LIMIT = 4096
@@ -70,6 +70,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
     "op11_centroids": op11_centroids,
+    "op12_secret_scan": op12_secret_scan,
     "op13_collocations": op13_collocations,
 }
 

@@ -1,6 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from .license_scan import TEMPLATES
+from .secret_scan import BASE, BINS, ENCODINGS, KEYWORDS, LEVELS, TOKEN
 from .url_filter import METHOD_RULES
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -46,6 +47,37 @@ def _rounds() -> str:
     return ", ".join(out)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _patterns() -> str:
+    """Kinds in their order with their patterns, letters of keywords in either case spelt out, and what their length is taken of."""
+    either = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in KEYWORDS)
+    rows = [(nth, kind, pattern.replace(f"(?i:{KEYWORDS})", f"(?:{either})"), group, least) for nth, (kind, (pattern, group, least)) in enumerate(BASE.items())]
+    rows.append((len(BASE), "random", TOKEN, 0, 20))
+    return ", ".join(f"({nth}, {_quoted(kind)}, {_quoted(pattern)}, {group}, {least})" for nth, kind, pattern, group, least in rows)
+
+
+def _encodings() -> str:
+    return ", ".join(f"({no}, '{a}', '^[' || '{a.replace('-', chr(92) + '-')}' || ']+$', [{', '.join(str(sum(c in g for c in a)) for g in ('0123456789', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz', '+/-_'))}])" for no, a in enumerate(ENCODINGS))
+
+
+def _tail(z: str) -> str:
+    """P(Z > z), in the approximation of ``secret_scan.upper_tail``."""
+    x = f"greatest(least(abs({z}), 12.0::DOUBLE), 1e-9::DOUBLE)"
+    tail = f"((1 - exp(-1.4::DOUBLE * {x})) * exp(-{x} * {x} / 2) / (1.135::DOUBLE * sqrt(2 * pi()) * {x}))"
+    return f"(CASE WHEN {z} >= 0 THEN {tail} ELSE 1 - {tail} END)"
+
+
+def _chi_squared(x: str, df: str) -> str:
+    return f"((pow({x} / {df}, 1.0::DOUBLE / 3) - (1 - 2.0::DOUBLE / (9 * {df}))) / sqrt(2.0::DOUBLE / (9 * {df})))"
+
+
+def _length_class(n: str) -> str:
+    return " + ".join(f"CAST({n} >= {low} AS INTEGER)" for low, _ in LEVELS[1:])
+
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": f"""
         WITH b AS (
@@ -155,4 +187,49 @@ ORACLES: dict[str, str] = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM s JOIN n USING (lang) LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
         QUALIFY rank <= 2000""",
+    "op12_secret_scan": f"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+        m AS MATERIALIZED (
+            SELECT rid, nth, kind, pattern, grp, least_length, i, f, sum(length(g) + length(f)) OVER (PARTITION BY rid, nth ORDER BY i) AS stop
+            FROM (
+                SELECT rid, nth, kind, pattern, grp, least_length, unnest(regexp_extract_all(text, pattern)) AS f, unnest(string_split_regex(text, pattern)) AS g, unnest(range(len(string_split_regex(text, pattern)))) AS i
+                FROM d, (VALUES {_patterns()}) v(nth, kind, pattern, grp, least_length) WHERE regexp_matches(text, pattern)
+            ) WHERE f IS NOT NULL
+        ), t AS (
+            SELECT DISTINCT f AS token FROM m WHERE kind = 'random'
+        ), c AS (
+            SELECT token, arg_min({{{{'no': no, 'a': a, 'sizes': sizes}}}}, no) AS e FROM t, (VALUES {_encodings()}) v(no, a, pattern, sizes) WHERE regexp_matches(token, pattern) GROUP BY token
+        ), q AS (
+            SELECT token, e.no AS no, length(token)::DOUBLE AS n, length(e.a)::DOUBLE AS k, e.sizes AS sizes,
+                   list_sum(list_transform(string_split(e.a, ''), lambda x: pow(length(token) - length(replace(token, x, '')), 2))) AS squares,
+                   [length(token) - length(regexp_replace(token, p, '', 'g')) for p in ['[0-9]', '[A-Z]', '[a-z]', '[+/_-]']] AS seen,
+                   translate(token, e.a, repeat('0', length(e.a) // 2) || repeat('1', length(e.a) // 2)) AS halves,
+                   list_transform(string_split(token, ''), lambda x: 2 * (instr(e.a, x) - 1) - (length(e.a) - 1)) AS v FROM c
+        ), r AS (
+            SELECT *, greatest(squares * k / n - n, 0) AS x_cells,
+                   list_sum(list_transform(range(1, 5), lambda j: CASE WHEN sizes[j] > 0 THEN pow(seen[j] - n * sizes[j] / k, 2) / (n * sizes[j] / k) ELSE 0 END)) AS x_classes,
+                   CAST(len(list_filter(sizes, lambda x: x > 0)) - 1 AS DOUBLE) AS degrees,
+                   (length(halves) - length(replace(halves, '01', '')) + length(halves) - length(replace(halves, '10', ''))) / 2 AS turns,
+                   list_sum(list_transform(range(1, len(v)), lambda j: v[j] * v[j + 1]))::DOUBLE AS products FROM q
+        ), z AS (
+            SELECT token, no, n, {_chi_squared("x_cells", "(k - 1)")} AS z_cells, {_chi_squared("x_classes", "degrees")} AS z_classes,
+                   abs(turns - (n - 1) / 2) / sqrt((n - 1) / 4) AS z_runs, abs(products) / (sqrt(n - 1) * (k * k - 1) / 3) AS z_serial FROM r
+        ), p AS (
+            SELECT token, no * {len(LEVELS)} + {_length_class("n")} AS class, least(1.0::DOUBLE, 4 * least({_tail("z_cells")}, {_tail("z_classes")}, 2 * {_tail("z_runs")}, 2 * {_tail("z_serial")})) AS p FROM z
+        ), b AS MATERIALIZED (
+            SELECT token, class, CAST(least({BINS}, floor(-4 * log2(p))) AS INTEGER) AS bin FROM p
+        ), h AS (
+            SELECT class, bin, sum(count(*)) OVER (PARTITION BY class ORDER BY bin DESC) AS rejected, sum(count(*)) OVER (PARTITION BY class) AS total FROM m JOIN b ON f = token AND kind = 'random' GROUP BY class, bin
+        ), cut AS (
+            SELECT class, min(bin) AS bin FROM h WHERE pow(2.0::DOUBLE, -bin / 4.0::DOUBLE) * total <= ([{", ".join(f"{level}::DOUBLE" for _, level in LEVELS)}])[class % {len(LEVELS)} + 1] * rejected GROUP BY class
+        ), s AS (
+            SELECT rid, nth, kind, stop - length(f) AS start, stop FROM m LEFT JOIN b ON kind = 'random' AND f = token LEFT JOIN cut USING (class)
+            WHERE CASE WHEN kind = 'random' THEN b.bin < coalesce(cut.bin, {BINS} + 1) ELSE length(CASE WHEN grp = 0 THEN f ELSE regexp_extract(f, pattern, 2) END) >= least_length END
+        ), g AS (
+            SELECT rid, count_if(nth = 0) AS n_assign, count_if(nth = 1) AS n_access, count_if(nth = 2) AS n_hex, count_if(nth = 3) AS n_random,
+                   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nth, stop) FILTER (nth < 3) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nth, stop) AS spans FROM s GROUP BY rid
+        )
+        SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+               CAST(coalesce(n_random, 0) AS BIGINT) AS n_random, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN g USING (rid)""".replace("{{", "{").replace("}}", "}"),
 }
