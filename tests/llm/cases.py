@@ -35,6 +35,20 @@ def rows():
     return out
 
 
+VECTORS = "vec_id long, embedding array<float>, label int, key string, vector string, CLUSTER int, distance long"
+
+
+def vectors():
+    """Vectors of 64 components among which some are null, too short, not finite, equal, or have equal or null ids."""
+    out = []
+    for i in range(150):
+        out.append((i, [((i * 37 + d * (i % 7 + 1) * 11) % 101 - 50) / (64 if i % 3 else 1) for d in range(64)]))
+    same = [0.5] * 64
+    out += [(1000 + i, same) for i in range(60)] + [(7, same), (7, same), (7, out[8][1]), (None, out[9][1]), (None, same)]
+    out += [(2000, None), (2001, []), (2002, [0.25] * 63), (2003, [0.25] * 65), (2004, [None] + [0.25] * 63), (2005, [float("nan")] * 64), (2006, [float("-inf")] + [0.0] * 63)]
+    return [(i, v, None, "k", None, 1, 2) for i, v in out]
+
+
 def documents(spark):
     return spark.createDataFrame(rows(), SCHEMA).repartition(3)
 
@@ -48,6 +62,7 @@ def write_tables(spark, path, docs=None, benchmark=None, pages=None):
     (docs if docs is not None else documents(spark)).write.parquet(f"{path}/documents.parquet")
     (benchmark if benchmark is not None else spark.createDataFrame([(1, " ".join(BODY.split()[2:16])), (2, "lazy dog"), (3, None), (4, "..."), (2, "old oak"), (None, "hiboux regardent")], "item_id long, text string")).write.parquet(f"{path}/benchmark.parquet")
     (pages if pages is not None else spark.createDataFrame(PAGES, "page_id long, url string, html string")).write.parquet(f"{path}/pages.parquet")
+    spark.createDataFrame(vectors() if docs is None else [], VECTORS).write.parquet(f"{path}/embeddings.parquet")
     return str(path)
 
 
