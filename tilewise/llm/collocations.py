@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -44,6 +45,8 @@ LINE_WORDS = 50_000
 #: Wanted bytes of text a cell, sections at least, and the most cells of a section.
 CELL_BYTES, SECTIONS, SECTION_BITS = 2, 10, 22
 LOCAL_BITS = 24
+#: Cells to a bucket of phrases, as a power of two.
+BUCKET_BITS = 20
 
 _LINES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
 _ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
@@ -109,17 +112,25 @@ def cells_of(lang: str, ids: _Ids, words: np.ndarray, bits: int) -> list[tuple[i
     return out
 
 
+def _squeezed(body: bytes) -> bytes:
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _whole(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
 def _packed(numbers: np.ndarray, most: np.ndarray | None = None) -> bytes:
     """Ascending numbers as compressed planes of their steps' bytes, with one more byte for each."""
     steps = np.diff(numbers, prepend=0).astype("<u4")
     planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
     body = planes + (b"" if most is None else most.astype(np.uint8).tobytes())
-    return len(numbers).to_bytes(4, "little") + pa.compress(body, codec="zstd", asbytes=True)
+    return _squeezed(body)
 
 
 def _unpacked(raw: bytes, more: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    n = int.from_bytes(raw[:4], "little")
-    body = np.frombuffer(pa.decompress(raw[4:], n * (5 if more else 4), "zstd", asbytes=True), np.uint8)
+    body = np.frombuffer(_whole(raw), np.uint8)
+    n = len(body) // (5 if more else 4)
     steps = body[: 4 * n].reshape(4, n).T.copy().view("<u4").ravel()
     return np.cumsum(steps, dtype=np.int64), body[4 * n :] if more else None
 
@@ -128,7 +139,7 @@ def units(docs: DataFrame, text: str, lang: str, bits: int, low: int, min_count:
     """Rows of units: their lines (lang, times, text, n words), and their cells by section with counts up to the threshold."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text")).where(F.length("text") > 0)
     names = ["unit", "lang", "times", "text", "n", "section", "cells"]
-    schema = pa.schema([("unit", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("text", pa.string()), ("n", pa.int64()), ("section", pa.int64()), ("cells", pa.binary())])
+    schema = pa.schema([("unit", pa.int64()), ("lang", pa.string()), ("times", pa.int64()), ("text", pa.binary()), ("n", pa.int64()), ("section", pa.int64()), ("cells", pa.binary())])
 
     def closed(unit: int, held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         packed = []
@@ -140,10 +151,10 @@ def units(docs: DataFrame, text: str, lang: str, bits: int, low: int, min_count:
             for times, some in by_times.items():
                 body = " \n ".join(some)
                 n = times * (body.count(" ") + 1 - (len(some) - 1))
-                yield pa.RecordBatch.from_pylist([{"unit": unit, "lang": name, "times": times, "text": f" {body} ", "n": n}], schema)
-                if times > 0:
+                yield pa.RecordBatch.from_pylist([{"unit": unit, "lang": name, "times": times, "text": _squeezed(f" {body} ".encode()), "n": n}], schema)
+                for part in _parts(f" {body} ") if times > 0 else ():
                     ids = _Ids()
-                    words = np.fromiter(map(ids.__getitem__, body.split(" ")), np.int64)
+                    words = np.fromiter(map(ids.__getitem__, part.strip(" ").split(" ")), np.int64)
                     packed += [(cells << np.uint64(4)) | np.uint64(min(times, min_count)) for _, _, cells in cells_of(name, ids, words, bits)]
         if not packed:
             return
@@ -176,7 +187,7 @@ def units(docs: DataFrame, text: str, lang: str, bits: int, low: int, min_count:
         if held:
             yield from closed(unit, held)
 
-    return rows.mapInArrow(pack, "unit bigint, lang string, times bigint, text string, n bigint, section bigint, cells binary")
+    return rows.mapInArrow(pack, "unit bigint, lang string, times bigint, text binary, n bigint, section bigint, cells binary")
 
 
 def frequent_cells(sketch: DataFrame, low: int, min_count: int) -> DataFrame:
@@ -233,6 +244,8 @@ def scan_part(lang: str, text: str, bits: int, candidate: np.ndarray) -> dict[st
 def phrase_counts(units_table: DataFrame, cells: DataFrame, bits: int, low: int, min_count: int) -> DataFrame:
     """lang, phrase, m and f of all phrases of one to three words that stand at least ``min_count`` times in a language."""
 
+    buckets = 1 << max(SECTIONS, bits - BUCKET_BITS)
+
     def scan(body: pa.Table, passed: pa.Table) -> pa.Table:
         own_worker("collocations")
         candidate = np.zeros(1 << min(bits, LOCAL_BITS), dtype=bool)
@@ -243,35 +256,54 @@ def phrase_counts(units_table: DataFrame, cells: DataFrame, bits: int, low: int,
         for row in range(body.num_rows):
             name, times = body["lang"][row].as_py(), body["times"][row].as_py()
             found = total.setdefault(name, Counter())
-            for part in _parts(body["text"][row].as_py()):
+            for part in _parts(_whole(body["text"][row].as_py()).decode()):
                 for phrase, n in scan_part(name, part, bits, candidate).items():
                     found[phrase] += n * times
-        langs = [name for name, found in total.items() for _ in range(len(found))]
-        phrases = [p for found in total.values() for p in found]
-        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "n": pa.array([n for found in total.values() for n in found.values()], pa.int64())})
-
-    found = units_table.groupBy("unit").cogroup(cells.groupBy("unit")).applyInArrow(scan, "lang string, phrase string, n bigint")
-    f = found.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        out = {"bucket": [], "lang": [], "counts": []}
+        for name, found in total.items():
+            phrases = sorted(found)
+            seed = xxhash.xxh64_intdigest(name.encode())
+            at = np.fromiter((xxhash.xxh64_intdigest(p.encode(), seed) & (buckets - 1) for p in phrases), np.int64, len(phrases))
+            order = at.argsort(kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(at[order])) + 1) if len(order) else ():
+                mine = [phrases[i] for i in some.tolist()]
+                out["bucket"].append(int(at[some[0]]))
+                out["lang"].append(name)
+                out["counts"].append(_squeezed("\n".join([*mine, ",".join([str(found[p]) for p in mine])]).encode()))
+        return pa.table({"bucket": pa.array(out["bucket"], pa.int64()), "lang": pa.array(out["lang"], pa.string()), "counts": pa.array(out["counts"], pa.binary())})
+
+    def summed(bucket: pa.Table) -> pa.Table:
+        own_worker("collocations")
+        parts = []
+        for name, raw in zip(bucket["lang"].to_pylist(), bucket["counts"], strict=True):
+            *phrases, counts = _whole(raw.as_py()).decode().split("\n")
+            parts.append(pa.table({"lang": pa.repeat(pa.scalar(name), len(phrases)), "phrase": pa.array(phrases, pa.string()), "n": pa.array(list(map(int, counts.split(","))), pa.int64())}))
+        total = pa.concat_tables(parts).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        total = total.filter(pc.greater_equal(total["n_sum"], min_count))
+        return pa.table({"lang": total["lang"], "phrase": total["phrase"], "f": total["n_sum"]})
+
+    # Counts travel in buckets of phrases, sorted and compressed: a third of the bytes that rows would take.
+    found = units_table.groupBy("unit").cogroup(cells.groupBy("unit")).applyInArrow(scan, "bucket bigint, lang string, counts binary")
+    f = found.groupBy("bucket").applyInArrow(summed, "lang string, phrase string, f bigint")
     return f.withColumn("m", F.size(F.split("phrase", " ")))
 
 
-def _cut(words: Column, k: int) -> tuple[Column, Column]:
-    return F.array_join(F.slice(words, 1, k), " "), F.array_join(F.slice(words, F.lit(k + 1), F.size(words) - k), " ")
+def _part(k: Column, after: bool) -> Column:
+    """The words of ``phrase`` up to word k, or those after it."""
+    words = F.split("phrase", " ")
+    return F.array_join(F.slice(words, k + 1, F.size(words) - k) if after else F.slice(words, F.lit(1), k), " ")
 
 
-def scored(counts: DataFrame) -> DataFrame:
-    """lang, phrase, a, l, r, score of every candidate: of its cuts the one that scores least, then the one with fewest words before it."""
+def scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
+    """lang, phrase, a, l, r, score of candidates: of the cuts the one that scores least, then the one with fewest words before it."""
     key = lambda part: F.concat(F.col("lang"), F.lit("\n"), part)
-    words = F.split("phrase", " ")
-    halves = lambda k: F.struct(F.lit(k).alias("k"), *(c.alias(n) for n, c in zip(("left", "right"), _cut(words, k), strict=True)))
-    cuts = F.array_compact(F.array(*[F.when(F.col("m") > k, halves(k)) for k in range(1, MAX_WORDS)]))
-    rows = written(counts.where(F.col("m") >= MIN_WORDS).select("lang", "phrase", F.col("f").alias("a"), F.inline(cuts)), "cuts")
+    rows = written(candidates.select("lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k")), "cuts")
     n_rows = rows.count()
-    for side, name in (("left", "l"), ("right", "r")):
-        keyed = rows.withColumn("part", key(F.col(side)))
-        parts = counts.where(F.col("m") < MAX_WORDS).select(key(F.col("phrase")).alias("part"), F.col("f").alias(name))
-        sized = keyed.groupBy("part").agg(F.count("*").alias("size")).join(parts, "part")
-        rows = join_back(keyed, sized, "part", "size", n_rows).drop("part", "size", side)
+    parts = counts.where(F.col("m") < MAX_WORDS).select(key(F.col("phrase")).alias("part"), "f")
+    for after, name in ((False, "l"), (True, "r")):
+        keyed = rows.withColumn("part", key(_part(F.col("k"), after)))
+        sized = keyed.groupBy("part").agg(F.count("*").alias("size")).join(parts.withColumnRenamed("f", name), "part")
+        rows = join_back(keyed, sized, "part", "size", n_rows).drop("part", "size")
     exact = lambda c: F.col(c).cast("decimal(18,0)")
     top = (exact("a") * exact("a")).cast("decimal(31,0)") * F.lit(SCALE).cast("decimal(7,0)")
     rows = rows.withColumn("top", top).withColumn("bottom", exact("l") * exact("r")).withColumn("score", F.expr("top div bottom"))
@@ -289,9 +321,10 @@ def covered(counts: DataFrame) -> DataFrame:
 def best(rows: DataFrame, top: int) -> DataFrame:
     """The first ``top`` rows of each language, ranked; a language's rows are cut down in many tasks before they meet."""
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(256)))
-    first = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top).drop("salt")
+    for salts in (1024, 16, 1):
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(salts)))
+        rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    return rows.drop("salt")
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, percent: int = COVER_PERCENT, top: int = TOP) -> DataFrame:
@@ -306,6 +339,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     cells = frequent_cells(table.where(F.col("section").isNotNull()).select("unit", "section", "cells"), low, min_count)
     lined = table.where(F.col("section").isNull())
     counts = written(phrase_counts(lined.select("unit", "lang", "times", "text"), cells, bits, low, min_count), "phrases")
-    rows = scored(counts).join(covered(counts), ["lang", "phrase"], "left").where(~F.coalesce(100 * F.col("longer") >= percent * F.col("a"), F.lit(False)))
+    own = counts.where(F.col("m") >= MIN_WORDS).join(covered(counts), ["lang", "phrase"], "left")
+    rows = scored(own.where(~F.coalesce(100 * F.col("longer") >= percent * F.col("f"), F.lit(False))), counts)
     total = lined.groupBy("lang").agg(F.sum("n").alias("n"))
     return best(rows, top).join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
