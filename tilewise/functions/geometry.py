@@ -1,9 +1,9 @@
 """Geographic columns: equal-area projection, WKT, bounds, centroids, containment.
 
 A geometry is an array of parts, a part an array of rings (the first its shell, the others holes), a ring an array of
-(x, y) structs; parsing, bounds, projection and centroids are built-in higher-order functions. Full polygon validity needs a
-geometry library; ``ring_problem`` covers closure, size, finiteness and rings without area, and ``self_crossing`` tests the
-segments of a ring in an Arrow UDF. ``covers`` tests points against the union of polygons with holes, exactly.
+(x, y) structs; bounds, projection and centroids, and quick parsing of well-formed WKT, are built-in higher-order functions.
+``reader`` reads any text and says what is wrong with it, ``validity`` finds what is wrong with a polygon. ``covers`` tests points
+against the union of polygons with holes, exactly.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import validity
+
 #: WGS84 ellipsoid, and the centre of the projection (latitude 0).
 SEMI_MAJOR = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -81,7 +83,8 @@ WKT_TYPES = ("POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING",
 
 
 def wkt_error(wkt: Column) -> Column:
-    """Why a WKT text does not parse, in words, or null: an unknown type, unmatched parentheses, a vertex without numbers."""
+    """Why a WKT text does not parse, in words, or null: an unknown type, unmatched parentheses, a vertex without
+    numbers, text after the geometry. Quick and built-in; ``reader.parse_geometry`` gives the place as well."""
     kind = wkt_type(wkt)
     many = lambda c: F.length(wkt) - F.length(F.replace(wkt, F.lit(c), F.lit("")))
     loose = F.exists(wkt_rings(wkt), lambda r: F.exists(r, lambda p: p["x"].isNull() | p["y"].isNull()))
@@ -90,6 +93,7 @@ def wkt_error(wkt: Column) -> Column:
         .when(~kind.isin(*WKT_TYPES), F.concat(F.lit("unknown geometry type "), kind))
         .when(many("(") != many(")"), F.concat_ws(" ", many("(").cast("string"), F.lit("opening and"), many(")").cast("string"), F.lit("closing parentheses")))
         .when(loose, "a vertex without two numbers")
+        .when(F.regexp_extract(wkt, r"\)([^()]*)$", 1).rlike(r"\S"), "text after the geometry")
     )
 
 
@@ -152,16 +156,14 @@ Ring = list[tuple[float, float]]
 
 
 def check_polygons(polygons: list[list[Ring]]) -> list[list[Ring]]:
-    """The polygons; raises for a ring that is open, short, not finite, crosses itself or has no area."""
+    """The polygons; raises for one that has an open ring or is not valid."""
     for rings in polygons:
         for ring in rings:
-            p = np.array(ring, dtype=float).reshape(-1, 2)
-            if len(p) < 4 or tuple(ring[0]) != tuple(ring[-1]):
+            if len(ring) < 4 or tuple(ring[0]) != tuple(ring[-1]):
                 raise ValueError("a boundary ring is not closed")
-            if not np.isfinite(p).all():
-                raise ValueError("a boundary ring is not finite")
-            if _ring_crosses(p) or float((p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1]).sum()) == 0:
-                raise ValueError("a boundary ring crosses itself or has no area")
+    for fault in validity.faults([[rings] for rings in polygons]):
+        if fault:
+            raise ValueError(f"a boundary ring is not valid: {fault[0]} at {fault[1]} {fault[2]}")
     return polygons
 
 
@@ -232,28 +234,11 @@ def geojson_bounds(texts: pa.Array) -> pa.Array:
     return pa.array([bounds_of(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
 
-def _ring_crosses(p: np.ndarray) -> bool:
-    """Whether two segments that are not neighbours touch or cross."""
-    if len(p) < 5:
-        return False
-    a, b = p[:-1], p[1:]
-    side = lambda o, d, q: np.sign(d[..., 0] * (q[..., 1] - o[..., 1]) - d[..., 1] * (q[..., 0] - o[..., 0]))
-    for i in range(len(a) - 2):
-        last = len(a) - (1 if i == 0 else 0)
-        c, d = a[i + 2 : last], b[i + 2 : last]
-        if not len(c):
-            continue
-        s1, s2 = side(a[i], b[i] - a[i], c), side(a[i], b[i] - a[i], d)
-        t1, t2 = side(c, d - c, a[i]), side(c, d - c, b[i])
-        box = (np.minimum(c, d) <= np.maximum(a[i], b[i])).all(axis=1) & (np.maximum(c, d) >= np.minimum(a[i], b[i])).all(axis=1)
-        if (box & (s1 * s2 <= 0) & (t1 * t2 <= 0)).any():
-            return True
-    return False
-
-
 @F.arrow_udf(T.BooleanType())
 def self_crossing(rings: pa.Array) -> pa.Array:
-    """Whether two segments of one ring that are not neighbours touch or cross."""
-    whole = lambda r: all(v["x"] is not None and v["y"] is not None for v in r)
-    points = lambda r: np.array([(v["x"], v["y"]) for v in r], dtype=float)
-    return pa.array([None if r is None else any(_ring_crosses(points(x)) for x in r if whole(x)) for r in rings.to_pylist()], pa.bool_())
+    """Whether some ring by itself touches or crosses itself; null for null."""
+    out = []
+    for some in rings.to_pylist():
+        found = validity.faults([[[[tuple(math.nan if v is None else v for v in (p["x"], p["y"])) for p in ring]]] for ring in some or ()])
+        out.append(None if some is None else any(f is not None and f[0] in (validity.SELF, validity.RING_SELF) for f in found))
+    return pa.array(out, pa.bool_())

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geometry, identity, quantize
-from ..operators import audit, grouping, ordering, overlap, pairing, postprocess, rejects, sampling
+from ..functions import geometry, identity, quantize, reader, validity
+from ..operators import audit, footprints, grouping, ordering, overlap, pairing, postprocess, rejects, sampling
 from ..scratch import materialized
 from . import workloads as W
 
@@ -592,9 +592,9 @@ def _judged(spark, d):
 def judged(p, boundary):
     """Footprints (kind, parts) with what the cascades ask: problem, finite, cx and cy (source units), inside."""
     p = p.withColumn("rings", F.flatten("parts"))
-    problem = F.coalesce(geometry.ring_problem(F.col("rings")), F.when(geometry.self_crossing("rings"), "invalid_geometry"))
+    problem = F.coalesce(geometry.ring_problem(F.col("rings")), F.when(F.col("finite") & validity.first_fault("parts")["reason"].isNotNull(), "invalid_geometry"))
     c = geometry.centroid(F.col("parts"))
-    p = p.withColumns({"problem": problem, "finite": geometry.all_finite(F.col("rings"))})
+    p = p.withColumn("finite", geometry.all_finite(F.col("rings"))).withColumn("problem", problem)
     p = p.withColumns({"cx": F.when(F.col("problem").isNull() & F.col("finite"), c[0]), "cy": F.when(F.col("problem").isNull() & F.col("finite"), c[1])})
     return p.withColumn("inside", F.coalesce(geometry.covers(boundary)("cx", "cy"), F.lit(False)))
 
@@ -734,7 +734,7 @@ def projected_cascade(spark, d):
     reason = rejects.cascade(
         (~F.col("finite"), "nonfinite_source_geometry"),
         (~F.col("projected_finite"), "nonfinite_projected_geometry"),
-        (geometry.ring_problem(F.flatten("projected")).isNotNull() | geometry.self_crossing(F.flatten("projected")), "invalid_projected_geometry"),
+        (geometry.ring_problem(F.flatten("projected")).isNotNull() | validity.first_fault("projected")["reason"].isNotNull(), "invalid_projected_geometry"),
         (c[0].isNull() | c[1].isNull(), "nonfinite_projected_centroid"),
     )
     return rows.select(k, reason.alias("reason"))
@@ -854,3 +854,80 @@ def wkt_parse_errors(spark, d):
     detail = geometry.wkt_error(F.col("wkt"))
     reason = rejects.cascade((F.col("wkt").isNull(), "malformed_record"), (detail.isNotNull(), "malformed_geometry"), (~geometry.wkt_type(F.col("wkt")).isin("POLYGON", "MULTIPOLYGON"), "unsupported_geometry_type"))
     return p.select("p_partkey", reason.alias("reason"), detail.alias("detail"))
+
+
+# --- geometry texts and polygon validity
+
+
+@query
+def polygon_faults(spark, d):
+    """The first fault of polygons of sixteen classes, with its place."""
+    rows = W.shape_texts(spark, d).withColumn("g", reader.parse_geometry(F.col("wkt"), "wkt"))
+    rows = rows.withColumn("fault", validity.first_fault("g.parts"))
+    return rows.select("p_partkey", F.size("g.parts").alias("parts"), "fault.reason", "fault.x", "fault.y")
+
+
+def _texts(spark, d):
+    """Geometry texts of both forms by key: sound ones, and one of each error that a reader meets."""
+    k = F.col("p_partkey")
+    number = (k % 90000).cast("string")
+    x = F.lpad(number, 5, "0")
+    made = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    ring = ("((", x, " 0, ", x, " 5, -3 5, ", x, " 0))")
+    square = ("[[", number, ",0],[", number, ",5],[-3,5],[", number, ",0]]")
+    texts = (
+        ("wkt", made("POLYGON ", *ring)),
+        ("wkt", made("POLYGON ((", x, " 0, 1 1")),
+        ("wkt", made("POLYGON ", *ring, " tail")),
+        ("wkt", made("POLYGON ((", x, " 0, 1 x, 2 2))")),
+        ("wkt", made("CIRCLE (", x, " 0, 4)")),
+        ("wkt", made("MULTIPOLYGON (((", x, " 0, 1 1, ", x, " 0)))")),
+        ("wkt", made("POLYGON ((", x, " 0, 1 1, 2 0, ", x, " 1))")),
+        ("wkt", made("POLYGON Z ((", x, " 0 7, ", x, " 5 7, -3 5 7, ", x, " 0 7), EMPTY)")),
+        ("geojson", made('{"type":"Polygon","coordinates":[', *square, "]}")),
+        ("geojson", made('{"type":"Feature","id":', number, ',"properties":{"b":1,"a":"é"},"geometry":{"type":"MultiPolygon","coordinates":[[', *square, '],[[[0,0],[0,"', x, '"]]]]}}')),
+        ("geojson", made('{"type":"Polygon","coordinates":[[[', number, ",NaN]]]}")),
+        ("geojson", made("[", number, "]")),
+        ("geojson", made('{"type":"Feature","properties":null,"geometry":null}')),
+        ("wkt", F.lit(None).cast("string")),
+        ("wkt", made("MULTIPOINT ((", x, " 1), 2 3)")),
+        ("geojson", made('{"type":"Feature","id":', number, ',"properties":{"b":1,"a":"é"},"geometry":{"type":"Polygon","coordinates":[', *square, "]}}")),
+    )
+    at = (k % len(texts)).cast("int")
+    return W.table(spark, d, "part").select(k, F.get(F.array(*[F.lit(f) for f, _ in texts]), at).alias("form"), F.get(F.array(*[t for _, t in texts]), at).alias("text"))
+
+
+@query
+def geometry_texts(spark, d):
+    """What a reader finds in geometry texts: type, parts and vertices, or the first error and its place."""
+    rows = _texts(spark, d).withColumn("g", reader.parse_geometry(F.col("text"), F.col("form")))
+    vertices = F.when(F.col("g.parts").isNotNull(), F.size(F.flatten(F.flatten("g.parts"))))
+    parts = F.when(F.col("g.parts").isNotNull(), F.size("g.parts"))
+    return rows.select("p_partkey", "form", "g.kind", parts.alias("parts"), vertices.alias("vertices"), "g.record_error", "g.geometry_error", "g.own_id", "g.properties")
+
+
+@query
+def footprint_cascade(spark, d):
+    """Footprints from their texts to quantized rectangles on the projected plane, or the reason of their rejection."""
+    p, k = W.footprints(spark, d), F.col("p_partkey")
+    low = (F.col("lon"), F.col("lat"))
+    high = tuple(c + F.col("size") for c in low)
+    vertex = lambda x, y: F.format_string("%.6f %.6f", x, y)
+    bow = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", vertex(*low), vertex(*high), vertex(high[0], low[1]), vertex(low[0], high[1]), vertex(*low)), F.lit("))"))
+    again = F.regexp_replace("wkt", r"\(\(([^,()]+),", "(($1, $1,")
+    m = k % 40
+    text = F.when(m == 7, bow).when(m == 8, again).when(m == 9, F.concat("wkt", F.lit(" x"))).when(m == 10, F.lit(None)).otherwise(F.col("wkt"))
+    out = footprints.judge(p.select(k, text.alias("text")), "text", "wkt", footprints.projected_boundary(spark, [[W.BOUNDARY]]))
+    return out.select("p_partkey", "reason", *overlap.BOX)
+
+
+@query
+def quantize_any_power(spark, d):
+    """Boxes with numbers of powers of ten far beyond and far below the grid."""
+    n = F.col("l_linenumber")
+    small = F.concat(F.lit("1e-"), (n * 100 + 400).cast("string"))
+    x = F.when(n == 2, small).when(n == 3, F.concat(F.lit("-"), small)).when(n == 4, F.lit("-1e-10000")).when(n == 7, F.lit("0.0004")).otherwise(F.lit("0.0005"))
+    w = F.when((n == 5) | (n == 7), F.lit("1e-10000")).when(n == 6, F.lit("-1e-10000")).otherwise(F.concat((F.col("l_partkey") % 50 + 1).cast("string"), F.lit(".0005")))
+    rows = W.spread(W.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
+    rows = rows.withColumn("q", quantize.quantize_texts(F.array(x, F.lit("2"), w, F.lit("1.5"))))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "q.reason", *[F.get("q.box", F.lit(i)).alias(c) for i, c in enumerate(overlap.BOX)])

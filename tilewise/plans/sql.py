@@ -379,3 +379,63 @@ ORACLES["wkt_parse_errors"] = """
     SELECT p_partkey, CASE m WHEN 9 THEN 'malformed_record' WHEN 0 THEN 'malformed_geometry' WHEN 7 THEN 'malformed_geometry' WHEN 8 THEN 'malformed_geometry' WHEN 10 THEN 'malformed_geometry' WHEN 1 THEN 'unsupported_geometry_type' END AS reason,
            CASE m WHEN 0 THEN 'unknown geometry type NOT' WHEN 7 THEN '2 opening and 1 closing parentheses' WHEN 8 THEN 'a vertex without two numbers' WHEN 10 THEN 'no geometry type' END AS detail
     FROM (SELECT p_partkey, p_partkey % 40 AS m FROM part)"""
+ORACLES["polygon_faults"] = """
+    WITH c(m, parts, reason, fx, fy) AS (VALUES
+        (0, 1, NULL, NULL, NULL), (1, 1, 'Self-intersection', 2, 2), (2, 1, NULL, NULL, NULL), (3, 1, 'Hole lies outside shell', 5, 5), (4, 1, 'Self-intersection', 3, 4), (5, 1, 'Nested holes', 2, 2),
+        (6, 2, 'Nested shells', 1, 1), (7, 2, 'Self-intersection', 4, 0), (8, 2, NULL, NULL, NULL), (9, 1, NULL, NULL, NULL), (10, 1, 'Interior is disconnected', 4, 2), (11, 1, 'Ring Self-intersection', 2, 2),
+        (12, 1, 'Self-intersection', 2, 0), (13, 1, 'Self-intersection', 0, 0), (14, 1, 'Too few points in geometry component', 0, 0), (15, 2, NULL, NULL, NULL))
+    SELECT p_partkey, parts, reason, CAST(fx + p_partkey % 97 AS DOUBLE) AS x, CAST(fy + p_partkey % 31 AS DOUBLE) AS y FROM part JOIN c ON m = p_partkey % 16"""
+ORACLES["geometry_texts"] = """
+    WITH c(m, form, kind, parts, vertices, record_error, geometry_error, properties) AS (VALUES
+        (0, 'wkt', 'POLYGON', 1, 4, NULL, NULL, NULL), (1, 'wkt', NULL, NULL, NULL, NULL, ''','' or '')'' expected but the end found at character 23', NULL),
+        (2, 'wkt', NULL, NULL, NULL, NULL, 'the end expected but ''tail'' found at character 45', NULL), (3, 'wkt', NULL, NULL, NULL, NULL, 'a number expected but ''x'' found at character 22', NULL),
+        (4, 'wkt', NULL, NULL, NULL, NULL, 'unknown geometry type CIRCLE', NULL), (5, 'wkt', NULL, NULL, NULL, NULL, 'a ring of 3 points at character 16', NULL),
+        (6, 'wkt', NULL, NULL, NULL, NULL, 'a ring that is not closed at character 10', NULL), (7, 'wkt', 'POLYGON', 1, 4, NULL, NULL, NULL), (8, 'geojson', 'POLYGON', 1, 4, NULL, NULL, '{}'),
+        (9, 'geojson', NULL, NULL, NULL, NULL, 'a position of numbers expected at coordinates[1][0][1]', NULL), (10, 'geojson', NULL, NULL, NULL, 'Nonfinite JSON number: NaN', NULL, NULL),
+        (11, 'geojson', NULL, NULL, NULL, 'GeoJSON record is not an object', NULL, NULL), (12, 'geojson', NULL, NULL, NULL, NULL, 'an object expected at geometry', NULL), (13, 'wkt', NULL, NULL, NULL, NULL, NULL, NULL),
+        (14, 'wkt', 'MULTIPOINT', NULL, NULL, NULL, NULL, NULL), (15, 'geojson', 'POLYGON', 1, 4, NULL, NULL, '{"a":"é","b":1}'))
+    SELECT p_partkey, form, kind, parts, vertices, record_error, geometry_error, CASE m WHEN 8 THEN '' WHEN 15 THEN CAST(p_partkey % 90000 AS VARCHAR) END AS own_id, properties FROM part JOIN c ON m = p_partkey % 16"""
+ORACLES["quantize_any_power"] = """
+    WITH b AS (SELECT l_orderkey, l_linenumber AS n, l_partkey, (l_partkey % 50 + 1) * 1000 AS k FROM lineitem),
+    c AS (SELECT *, CASE n WHEN 7 THEN 'quantized_degenerate' WHEN 6 THEN 'nonpositive_extent' END AS reason,
+                 CASE n WHEN 5 THEN 1 WHEN 2 THEN k + 1 WHEN 3 THEN k WHEN 4 THEN k ELSE k + 1 END AS right_edge FROM b)
+    SELECT l_orderkey, n AS l_linenumber, l_partkey, reason, CASE WHEN reason IS NULL THEN 0 END AS x0, CASE WHEN reason IS NULL THEN 2000 END AS y0, CASE WHEN reason IS NULL THEN right_edge END AS x1, CASE WHEN reason IS NULL THEN 3500 END AS y1 FROM c"""
+
+
+def _plane(lon: float, lat: float) -> tuple[float, float]:
+    """The projection of one position, in plain arithmetic."""
+    e, a = ECCENTRICITY, SEMI_MAJOR
+    q = lambda s: (1 - e * e) * (s / (1 - e * e * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    beta, dlon, radius = math.asin(q(math.sin(math.radians(lat))) / q(1.0)), math.radians(lon - 37.5), a * math.sqrt(q(1.0) / 2)
+    b = radius * math.sqrt(2 / (1 + math.cos(beta) * math.cos(dlon)))
+    return b * a / radius * math.cos(beta) * math.sin(dlon), b * radius / a * math.sin(beta)
+
+
+def _plane_sql(lon: str, lat: str) -> tuple[str, str]:
+    e, a = ECCENTRICITY, SEMI_MAJOR
+    pole = (1 - e * e) * (1 / (1 - e * e) - math.log((1 - e) / (1 + e)) / (2 * e))
+    radius, s, dlon = a * math.sqrt(pole / 2), f"sin(radians({lat}))", f"radians({lon} - 37.5e0)"
+    beta = f"asin((({1 - e * e!r}::DOUBLE) * ({s} / (1 - {e * e!r}::DOUBLE * {s} * {s}) - ln((1 - {e!r}::DOUBLE * {s}) / (1 + {e!r}::DOUBLE * {s})) / {2 * e!r}::DOUBLE)) / {pole!r}::DOUBLE)"
+    b = f"({radius!r}::DOUBLE * sqrt(2 / (1 + cos({beta}) * cos({dlon}))))"
+    return f"{b} * {a / radius!r}::DOUBLE * cos({beta}) * sin({dlon})", f"{b} / {a / radius!r}::DOUBLE * sin({beta})"
+
+
+def _in_plane(x: str, y: str) -> str:
+    """Crossing number of the projected boundary."""
+    ring = [_plane(*p) for p in W.BOUNDARY]
+    terms = [f"CASE WHEN {y} >= {min(ay, by)!r}::DOUBLE AND {y} < {max(ay, by)!r}::DOUBLE AND {x} < {ax!r}::DOUBLE + ({y} - ({ay!r}::DOUBLE)) * ({(bx - ax) / (by - ay)!r}::DOUBLE) THEN 1 ELSE 0 END" for (ax, ay), (bx, by) in zip(ring, ring[1:], strict=False) if ay != by]
+    return f"(({' + '.join(terms)}) % 2 = 1)"
+
+
+ORACLES["footprint_cascade"] = f"""
+    WITH {_FOOTPRINTS}, v AS (
+        SELECT p_partkey, generate_subscripts(rings[1], 1) AS i, unnest(rings[1]) AS p FROM shape WHERE m NOT IN (0, 1, 2, 3, 4, 7, 9, 10)
+    ), pl AS (SELECT p_partkey, i, {_plane_sql("p.x", "p.y")[0]} AS x, {_plane_sql("p.x", "p.y")[1]} AS y FROM v), nx AS (
+        SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM pl WINDOW w AS (PARTITION BY p_partkey ORDER BY i)
+    ), mo AS (
+        SELECT p_partkey, sum(x * ny - nx * y) AS a, sum((x * ny - nx * y) * (x + nx)) AS sx, sum((x * ny - nx * y) * (y + ny)) AS sy, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM nx GROUP BY p_partkey
+    ), o AS (SELECT shape.p_partkey, m, sx / (3 * a) AS cx, sy / (3 * a) AS cy, x0, y0, x1, y1 FROM shape LEFT JOIN mo USING (p_partkey)), r AS (
+        SELECT *, CASE WHEN m = 10 THEN 'malformed_record' WHEN m IN (0, 3, 9) THEN 'malformed_geometry' WHEN m = 1 THEN 'unsupported_geometry_type' WHEN m = 2 THEN 'empty_geometry' WHEN m IN (4, 7) THEN 'invalid_geometry'
+                       WHEN NOT {_in_plane("cx", "cy")} THEN 'centroid_outside_country' END AS reason FROM o
+    )
+    SELECT p_partkey, reason, {", ".join(f"CASE WHEN reason IS NULL THEN CAST(round_even({c} * 1000e0, 0) AS BIGINT) END AS {c}" for c in ("x0", "y0", "x1", "y1"))} FROM r"""

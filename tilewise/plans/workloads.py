@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import group_key
@@ -111,3 +111,36 @@ def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(polygon(ring))
     )
     return p.withColumn("wkt", wkt)
+
+
+def shape_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as polygons of sixteen classes by key, moved by the key: sound ones and one of each fault."""
+    k = F.col("p_partkey")
+    ring = lambda *points: [tuple(map(int, p.split())) for p in points]
+    box = lambda x0, y0, x1, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    classes = (
+        [[ring("0 0", "0 0", "4 0", "4 4", "0 4", "0 4", "0 0")]],
+        [[ring("0 0", "4 4", "4 0", "0 4", "0 0")]],
+        [[box(0, 0, 4, 4), box(1, 1, 2, 2)]],
+        [[box(0, 0, 4, 4), box(5, 5, 6, 6)]],
+        [[box(0, 0, 4, 4), box(3, 3, 5, 5)]],
+        [[box(0, 0, 10, 10), box(1, 1, 9, 9), box(2, 2, 3, 3)]],
+        [[box(0, 0, 4, 4)], [box(1, 1, 2, 2)]],
+        [[box(0, 0, 4, 4)], [box(4, 0, 8, 4)]],
+        [[box(0, 0, 4, 4)], [box(4, 4, 8, 8)]],
+        [[box(0, 0, 4, 4), ring("0 0", "2 1", "1 2", "0 0")]],
+        [[box(0, 0, 4, 4), ring("0 2", "2 1", "4 2", "2 3", "0 2")]],
+        [[ring("0 0", "2 2", "4 0", "4 4", "2 2", "0 4", "0 0")]],
+        [[ring("0 0", "4 0", "2 0", "2 2", "0 0")]],
+        [[ring("0 0", "1 1", "2 2", "0 0")]],
+        [[ring("0 0", "0 0", "1 1", "0 0")]],
+        [[box(0, 0, 9, 9), box(1, 1, 8, 8)], [box(2, 2, 3, 3)]],
+    )
+
+    def text(parts: list) -> Column:
+        point = lambda p: F.concat_ws(" ", (k % 97 + p[0]).cast("string"), (k % 31 + p[1]).cast("string"))
+        listed = lambda items: F.concat(F.lit("("), F.concat_ws(", ", *items), F.lit(")"))
+        return F.concat(F.lit("MULTIPOLYGON "), listed([listed([listed(map(point, r)) for r in part]) for part in parts]))
+
+    cases = F.array(*map(text, classes))
+    return table(spark, sf_dir, "part").select(k, F.get(cases, (k % len(classes)).cast("int")).alias("wkt"))
