@@ -392,3 +392,21 @@ def test_shard_hits_of_a_sliced_array():
     texts = pa.array(["x", "one two", None or "", "two one two"], pa.string()).slice(1)
     hits = decontam.search_texts(texts, iter([decontam.phrases_of([(7, "one two")])]))
     assert hits.n_words.tolist() == [2, 0, 3] and hits.n_hit.tolist() == [2, 0, 2] and hits.spans[2] == [(1, 3)]
+
+
+def test_token_shards_part_a_hot_key(spark, tmp_path):
+    """A key with most rows, whose texts begin alike or are equal, is not one task's."""
+    n = 4000
+    text = F.when(F.col("id") % 2 == 0, F.lit("the same text again and again " * 6)).otherwise(F.concat(F.lit("a common beginning " * 6), F.col("id").cast("string")))
+    docs = spark.range(0, n, numPartitions=4).select(F.when(F.col("id") % 10 < 6, 7).otherwise(F.col("id")).cast("long").alias("doc_id"), text.alias("text"))
+    out = str(tmp_path / "shards")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join ranges as small as these
+    try:
+        token_shards.write_shards(docs, out, public_tokenizers.path("byte_bpe_50k.json"), token_shards.PATTERN)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = token_shards.read_shards(spark, out)
+    rows = token_shards.document_rows(shards).collect()
+    assert len(rows) == n and [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    per_task = [len(token_shards.Shard(bytes(r.shard)).keys) for r in shards.collect()]
+    assert len(per_task) >= 4 and max(per_task) < 0.5 * n

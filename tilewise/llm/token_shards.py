@@ -18,7 +18,7 @@ Rounds stop where no pair has ``MIN_COUNT`` places or symbols would need more th
 shorter still would make the shard larger (see the README for figures).
 
 Defined results: null and empty texts have the end id only; null keys come first and are kept as null; repeated keys are
-in order of their texts, ties of both in any order; keys are whole numbers, others raise; other columns and their names do
+in order of the first 64 characters of their texts and then of a hash of these, equal rows in any order; keys are whole numbers, others raise; other columns and their names do
 not matter; an empty table writes no shard. A document longer than a shard is a shard of its own. Writing runs when the
 operator is called, and the shards stay where they were written.
 """
@@ -51,9 +51,10 @@ MAX_RULES = 65536 - BASE  # symbols then fit in two bytes
 MIN_COUNT = 8
 ROUNDS = 5  # that share the rule table out; more follow as needed
 ACCESS_EVERY = 1024
+BEGINNING = 64
 CACHE_WORDS = 2_000_000
 WORDS_PER_CALL = 20_000
-_HASH_BITS, _LEAST_BITS = 20, 12
+_HASH_BITS, _LEAST_BITS = 21, 12
 _MIX = (0x9E3779B1, 0x85EBCA77)  # odd
 
 
@@ -339,8 +340,10 @@ def write_shards(docs: DataFrame, out: str, path: str, pattern: str, end: int =
     if not isinstance(docs.schema[key].dataType, IntegralType):
         raise TypeError(f"shards hold whole numbers as keys, and {key} is {docs.schema[key].dataType.simpleString()}")
     rows = docs.select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
-    # Texts that differ early part the rows of one key; whole texts would have to be sampled for that.
-    ordered = rows.repartitionByRange(F.col("key"), F.substring("text", 1, 8)).sortWithinPartitions("key", "text")
+    # Rows of one key are parted by the beginning of their texts, then by a hash of whole texts (whole texts would have to be
+    # sampled otherwise), and equal rows, which may stand in any order, by the place where they were read.
+    order = [F.col("key"), F.substring("text", 1, BEGINNING), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order, "text")
     schema = "part int, number int, start_in_part long, n_ids long, shard binary"
     ordered.mapInArrow(_pack_batches(path, pattern, end, shard_ids), schema).write.option("compression", "zstd").parquet(out)
 
