@@ -1,7 +1,7 @@
 """Overlap joins and counts of half-open boxes: touching edges do not overlap.
 
-``pairs`` joins on the group (and on grid cells, when asked) with the range conditions as residual; a pair found in many
-cells is kept only in the cell that holds the lower left corner of its intersection. ``count_pairs`` counts without
+``pairs`` joins on the group (and on the cells of a grid of several levels, when asked) with the range conditions as residual; a
+box lives on the level of its size, so that none is copied to many cells, and a pair is kept in one cell only. ``count_pairs`` counts without
 making pairs: per task, dominance counts over sorted coordinates in O((n + m) log(n + m)). Groups of over ``UNIT_ROWS``
 boxes are cut into slabs along x, at quantiles of their own left edges, whose shared borders are counted once.
 ``count_by_group`` joins groups in which few boxes meet and counts the others, by the sizes of the groups.
@@ -23,6 +23,9 @@ UNIT_ROWS, TASK_ROWS, MAX_SLABS = 100_000, 200_000, 1000
 #: Groups in which more pairs than this would meet are counted without meeting.
 MEETING_LIMIT = 20_000_000
 
+#: Cells of one level of a grid are so many times as wide as those of the level below.
+LEVEL_FACTOR = 8
+
 BOX = ("x0", "y0", "x1", "y1")
 
 
@@ -35,28 +38,51 @@ def overlaps(a: str = "a_", b: str = "b_") -> Column:
     return (c(a, "x0") < c(b, "x1")) & (c(b, "x0") < c(a, "x1")) & (c(a, "y0") < c(b, "y1")) & (c(b, "y0") < c(a, "y1"))
 
 
-def _cells(df: DataFrame, p: str, size: int) -> DataFrame:
-    lo = lambda c: F.floor(F.col(f"{p}{c}") / F.lit(size)).cast("long")
-    hi = lambda c: F.floor((F.col(f"{p}{c}") - 1) / F.lit(size)).cast("long")
+def _level(df: DataFrame, p: str, cell: int) -> Column:
+    """The level of a box's size: the first whose cells, ``LEVEL_FACTOR`` times as large from level to level, are no smaller."""
+    size = F.greatest(F.col(f"{p}x1") - F.col(f"{p}x0"), F.col(f"{p}y1") - F.col(f"{p}y0"))
+    sides, side = [], cell
+    while side < 2**62:
+        sides.append(side)
+        side *= LEVEL_FACTOR
+    return sum((F.when(size > s, 1).otherwise(0) for s in sides), F.lit(0))
+
+
+def box_levels(a: DataFrame, b: DataFrame, cell: int) -> list[int]:
+    """The levels on which there are boxes: at most 21 numbers."""
+    on = lambda df: df.select(_level(df, "", cell).alias("level")).distinct()
+    return sorted(r.level for r in on(a).union(on(b)).distinct().collect())
+
+
+def _cells(df: DataFrame, p: str, cell: int, levels: list[int]) -> DataFrame:
+    """The box on its own level and on the coarser ones in use, in the cells that it reaches: four at most on any level."""
+    df = df.withColumn(f"{p}level", _level(df, p, cell))
+    df = df.withColumn("level", F.explode(F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v >= F.col(f"{p}level"))))
+    side = F.element_at(F.create_map(*[F.lit(v) for n in levels for v in (n, min(cell * LEVEL_FACTOR**n, 2**62))]), F.col("level")).cast("long") if levels else F.lit(cell)
+    df = df.withColumn("side", side)
+    lo, hi = (lambda c: F.expr(f"{p}{c} div side - if({p}{c} % side < 0, 1, 0)")), (lambda c: F.expr(f"({p}{c} - 1) div side - if(({p}{c} - 1) % side < 0, 1, 0)"))
     return df.withColumn("cx", F.explode(F.sequence(lo("x0"), hi("x1")))).withColumn("cy", F.explode(F.sequence(lo("y0"), hi("y1"))))
 
 
-def pairs(a: DataFrame, b: DataFrame, by: list[str], cell: int | None = None) -> DataFrame:
+def pairs(a: DataFrame, b: DataFrame, by: list[str], cell: int | None = None, levels: list[int] | None = None) -> DataFrame:
     """All overlapping pairs: ``by`` columns, and the other columns of both with prefixes a_ and b_.
 
-    ``cell``: side of a square grid, for groups too large to meet as a whole.
+    ``cell``: side of the finest square grid, for groups too large to meet as a whole. Boxes meet on the level of the larger
+    one, where either reaches at most four cells, and only in the cell that holds the lower left corner of their intersection.
+    ``levels``: what ``box_levels`` gives, if that is known already; otherwise it is found first.
     """
-    left, right, on = prefixed(a, "a_", by), prefixed(b, "b_", by), list(by)
-    if cell:
-        left, right, on = _cells(left, "a_", cell), _cells(right, "b_", cell), [*by, "cx", "cy"]
-    if not on:
+    if not by and not cell:
         raise ValueError("an overlap join needs a group or a grid")
-    # Both sides are hashed on the key; the range conditions are the residual of that equi-join.
-    joined = left.hint("shuffle_hash").join(right, on).where(overlaps())
-    if cell:
-        corner = lambda c: F.floor(F.greatest(f"a_{c}", f"b_{c}") / F.lit(cell)).cast("long")
-        joined = joined.where((F.col("cx") == corner("x0")) & (F.col("cy") == corner("y0"))).drop("cx", "cy")
-    return joined
+    left, right = prefixed(a, "a_", by), prefixed(b, "b_", by)
+    if not cell:
+        # Both sides are hashed on the key; the range conditions are the residual of that equi-join.
+        return left.hint("shuffle_hash").join(right, by).where(overlaps())
+    levels = box_levels(a, b, cell) if levels is None else levels
+    left, right = _cells(left, "a_", cell, levels), _cells(right, "b_", cell, levels)
+    # A merge join, as the runtime splits its hot keys: many small boxes under a large one.
+    joined = left.hint("merge").join(right.drop("side"), [*by, "level", "cx", "cy"]).where(overlaps() & (F.col("level") == F.greatest("a_level", "b_level")))
+    corner = lambda c: F.floor(F.greatest(f"a_{c}", f"b_{c}").cast("decimal(20,0)") / F.col("side").cast("decimal(20,0)")).cast("long")
+    return joined.where((F.col("cx") == corner("x0")) & (F.col("cy") == corner("y0"))).drop("level", "side", "cx", "cy", "a_level", "b_level")
 
 
 def count_by_group(a: DataFrame, b: DataFrame, by: list[str], limit: int | None = None) -> DataFrame:

@@ -931,3 +931,113 @@ def quantize_any_power(spark, d):
     rows = W.spread(W.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
     rows = rows.withColumn("q", quantize.quantize_texts(F.array(x, F.lit("2"), w, F.lit("1.5"))))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "q.reason", *[F.get("q.box", F.lit(i)).alias(c) for i, c in enumerate(overlap.BOX)])
+
+
+# --- boxes of all sizes, tie-aware exports, sinks with fixed bytes, verified shards
+
+
+@query
+def pairs_of_all_sizes(spark, d):
+    """Boxes of 1 to 2^30 units a side, customers against suppliers, on a grid of several levels."""
+
+    def boxes(name, key, step):
+        k, side = F.col(key), F.pow(F.lit(2.0), F.col(key) * 7 % 31).cast("long")
+        x, y = k * step % 1_000_003 * 1000 - 300_000_000, k * (step + 12) % 999_983 * 1000 - 300_000_000
+        return W.table(spark, d, name).select(k.alias("k"), x.alias("x0"), y.alias("y0"), (x + side).alias("x1"), (y + side).alias("y1"))
+
+    a, b = boxes("customer", "c_custkey", 7919), boxes("supplier", "s_suppkey", 104729)
+    found = overlap.measured(overlap.pairs(a, b, [], cell=1000))
+    return found.groupBy(F.col("a_k").alias("k")).agg(F.count("*").alias("n"), F.min("b_k").alias("first"), F.round(F.max("iou"), 9).alias("iou"))
+
+
+@query
+def tie_aware_exports(spark, d):
+    """Exports whose ties are in another order than the raw scores' pass; planted faults of each kind are counted."""
+    raw = W.candidates(spark, d).withColumn("score", F.round("score", 2).cast("float").cast("double"))
+    raw = raw.withColumn("x0", (F.col("query") * 100 + F.col("score") * 7).cast("float")).select("vec_id", "idx", "query", "label", "score", "x0")
+    by = postprocess.Window.partitionBy("vec_id").orderBy(F.desc("score"), F.desc("idx"))
+    sent = raw.withColumn("rank", (F.row_number().over(by) - 1).cast("int")).where((F.col("rank") < W.TOP_K) & (F.col("score") > W.THRESHOLD) & (F.col("label") != 0))
+    v, r = F.col("vec_id"), F.col("rank")
+    first = F.row_number().over(postprocess.Window.partitionBy("vec_id").orderBy("rank")) == 1
+    sent = sent.withColumn("first", first)
+    sent = sent.where(~((v % 11 == 1) & F.col("first")))
+    sent = sent.withColumns(
+        {
+            "rank": F.when((v % 11 == 2) & F.col("first"), r + 40).otherwise(r),
+            "score": F.when((v % 11 == 3) & F.col("first"), F.col("score") + 1e-6).otherwise(F.col("score") + 1e-8),
+            "x0": F.when((v % 11 == 4) & F.col("first"), F.col("x0") + 0.01).otherwise(F.col("x0")),
+            "query": F.when((v % 11 == 5) & F.col("first"), 77).otherwise(F.col("query")),
+        }
+    )
+    sent = sent.unionByName(sent.where((v % 11 == 6) & F.col("first")))
+    return postprocess.export_checks(raw, sent, "vec_id", W.TOP_K, W.THRESHOLD, 4 * 2.0**-23, ("x0",))
+
+
+def _shared(spark, name):
+    import uuid
+
+    from ..scratch import shared_dir
+
+    return f"{shared_dir(spark).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def array_at_offsets(spark, d):
+    """One array file of a relation, written twice with its rows in other partitions and orders, and read back."""
+    import os
+
+    from ..sources import arrays, npy
+
+    spark.dataSource.register(npy.NpyDataSource)
+    rows = materialized(grouping.relation(W.line_records(spark, d)).where("side = 'r1'").drop("side"), "relation")
+    paths = [_shared(spark, "array") + ".npy" for _ in range(2)]
+    for path, n in zip(paths, (3, 7), strict=True):
+        arrays.write_array(rows.repartition(n, "y0"), path)
+    files = spark.read.format("binaryFile").load(paths).select(F.sha2("content", 256).alias("sha256"), "length")
+    same = files.agg((F.count_distinct("sha256") == 1).alias("same_bytes"), F.max("length").alias("bytes")).first()
+    back = materialized(spark.read.format("npy").option("path", paths[0]).load(), "read-back")
+    for path in paths:
+        os.remove(path)
+    out = back.agg(F.count("*").alias("n"), F.max("record_id").alias("last_id"), F.sum("x0").cast("long").alias("sum_x0"), F.sum((F.col("record_id") + 1) * F.pmod("y1", F.lit(1009))).cast("long").alias("ordered_sum"))
+    return out.withColumns({"same_bytes": F.lit(same.same_bytes), "bytes": F.lit(same.bytes)})
+
+
+@query
+def ledger_bytes(spark, d):
+    """A compressed ledger written from 3 and from 7 partitions: one digest of its bytes, and its lines as they were."""
+    import os
+
+    from ..sources import arrays
+
+    rows = W.line_boxes(spark, d).where("reason is not null").select("side", "reason", F.col("l_orderkey").alias("source_record_index"), "l_linenumber", "l_partkey", "l_suppkey")
+    paths = [_shared(spark, "ledger") + ".jsonl.gz" for _ in range(2)]
+    for path, n in zip(paths, (3, 7), strict=True):
+        arrays.write_ledger(rows.repartition(n), path, ["side", "source_record_index", "l_linenumber"], 500)
+    same = spark.read.format("binaryFile").load(paths).agg(F.count_distinct(F.sha2("content", 256)).alias("n")).first().n == 1
+    back = materialized(spark.read.json(paths[1]), "ledger-lines")
+    for path in paths:
+        os.remove(path)
+    return back.groupBy("side", "reason").agg(F.count("*").alias("n"), F.sum("source_record_index").alias("sum_index"), F.sum("l_partkey").alias("sum_part")).withColumn("same_bytes", F.lit(same))
+
+
+@query
+def shard_faults(spark, d):
+    """Shards of numbered orders: one lost, one with other records, one too many; what is found, and what a resumed build writes."""
+    from ..sources.publish import _fs
+    from ..streaming import shards
+
+    size = 500
+    rows = ordering.ordered(W.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey", "o_custkey", "o_orderstatus"])
+    rows = materialized(rows, "numbered")
+    out = _shared(spark, "shards")
+    shards.build(rows, out, "position", size)
+    schema = shards._schema(rows.withColumn("shard", F.lit(0)))
+    fs, lost = _fs(spark, f"{out}/rows/shard=1")
+    fs.delete(lost, True)
+    shards.write(rows.where("position div 500 = 2").withColumn("o_custkey", F.col("o_custkey") + 1), out, "position", size)
+    shards.write(rows.where("position < 3").withColumn("position", F.lit(9_999_999_999)), out, "position", size)
+    found = materialized(shards.faults(spark, out, schema, "position").withColumn("step", F.lit("found")), "faults")
+    written = spark.createDataFrame([(n, "written", "resumed") for n in shards.build(rows, out, "position", size)], "shard long, fault string, step string")
+    left = materialized(shards.faults(spark, out, schema, "position").withColumn("step", F.lit("left")), "faults-left")
+    fs.delete(_fs(spark, out)[1], True)
+    return found.unionByName(written).unionByName(left)

@@ -439,3 +439,38 @@ ORACLES["footprint_cascade"] = f"""
                        WHEN NOT {_in_plane("cx", "cy")} THEN 'centroid_outside_country' END AS reason FROM o
     )
     SELECT p_partkey, reason, {", ".join(f"CASE WHEN reason IS NULL THEN CAST(round_even({c} * 1000e0, 0) AS BIGINT) END AS {c}" for c in ("x0", "y0", "x1", "y1"))} FROM r"""
+
+
+def _sized(name: str, key: str, step: int) -> str:
+    return f"""SELECT k, x AS x0, y AS y0, x + side AS x1, y + side AS y1 FROM (
+        SELECT {key} AS k, ({key} * {step} % 1000003) * 1000 - 300000000 AS x, ({key} * {step + 12} % 999983) * 1000 - 300000000 AS y, CAST(1 AS BIGINT) << CAST({key} * 7 % 31 AS INTEGER) AS side FROM {name})"""
+
+
+ORACLES["pairs_of_all_sizes"] = f"""
+    WITH a AS ({_sized("customer", "c_custkey", 7919)}), b AS ({_sized("supplier", "s_suppkey", 104729)}), p AS (
+        SELECT a.k AS k, b.k AS bk, CAST(least(a.x1, b.x1) - greatest(a.x0, b.x0) AS HUGEINT) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS i,
+               CAST(a.x1 - a.x0 AS HUGEINT) * (a.y1 - a.y0) AS s, CAST(b.x1 - b.x0 AS HUGEINT) * (b.y1 - b.y0) AS t FROM a JOIN b ON {_OVERLAP}
+    )
+    SELECT k, count(*) AS n, min(bk) AS first, round(max(CAST(i AS DOUBLE) / CAST(s + t - i AS DOUBLE)), 9) AS iou FROM p GROUP BY k"""
+ORACLES["tie_aware_exports"] = f"""
+    WITH {_CANDIDATES}, r AS (SELECT vec_id, idx, query, label, CAST(CAST(round(score, 2) AS FLOAT) AS DOUBLE) AS score FROM cand), s AS (
+        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, idx DESC) - 1 AS rank, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC) AS nth FROM r
+    ), cut AS (SELECT vec_id, min(score) AS cut FROM s WHERE nth <= {W.TOP_K} GROUP BY vec_id), e AS (
+        SELECT s.*, row_number() OVER (PARTITION BY vec_id ORDER BY rank) = 1 AS first, score > cut AS mandatory FROM s JOIN cut USING (vec_id) WHERE rank < {W.TOP_K} AND score > {W.THRESHOLD}e0 AND label <> 0
+    ), all_mandatory AS (
+        SELECT count(*) AS n FROM s JOIN cut USING (vec_id) WHERE score > cut AND score > {W.THRESHOLD}e0 AND label <> 0
+    ), t AS (
+        SELECT count(*) FILTER (NOT (first AND vec_id % 11 = 1)) + count(*) FILTER (first AND vec_id % 11 = 6) AS sent, count(*) FILTER (first AND vec_id % 11 = 5) AS moved,
+               count(*) FILTER (first AND vec_id % 11 = 2) AS ranks, count(*) FILTER (first AND vec_id % 11 = 3) AS scores, count(*) FILTER (first AND vec_id % 11 = 4) AS places, count(*) FILTER (first AND vec_id % 11 = 6) AS twice,
+               count(*) FILTER (first AND mandatory AND vec_id % 11 IN (1, 5)) AS gone, count(*) FILTER (first AND mandatory AND vec_id % 11 = 6) AS again FROM e
+    ), keys AS (SELECT count(DISTINCT vec_id) AS n FROM r)
+    SELECT unnest(['known_candidate', 'allowed_candidate', 'rank_in_interval', 'score', 'filter', 'mandatory_exported', 'coordinate_x0', 'unique_candidate', 'unique_rank', 'free_choice']) AS check_code,
+           unnest([sent, sent - moved, sent - moved, sent - moved, sent - moved, all_mandatory.n + again, sent - moved, sent, sent, keys.n]) AS checked,
+           unnest([moved, 0, ranks, scores, 0, gone, places, twice, twice, 0]) AS failed FROM t, all_mandatory, keys"""
+ORACLES["array_at_offsets"] = f"""
+    WITH {_RECORDS} SELECT count(*) AS n, max(record_id) AS last_id, CAST(sum(x0 + dx) AS BIGINT) AS sum_x0, CAST(sum((record_id + 1) * ((y1 + dy) % 1009)) AS BIGINT) AS ordered_sum, true AS same_bytes, 128 + 56 * count(*) AS bytes FROM rec WHERE side = 'r1'"""
+ORACLES["ledger_bytes"] = f"""
+    WITH {_BOXES} SELECT side, reason, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS sum_index, CAST(sum(l_partkey) AS BIGINT) AS sum_part, true AS same_bytes FROM q WHERE reason IS NOT NULL GROUP BY side, reason"""
+ORACLES["shard_faults"] = """
+    WITH n AS (SELECT count(*) AS n FROM orders)
+    SELECT unnest([1, 2, 19999999]) AS shard, unnest(['missing', 'damaged', 'unexpected']) AS fault, 'found' AS step FROM n UNION ALL SELECT unnest([1, 2]), 'written', 'resumed' FROM n"""

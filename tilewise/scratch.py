@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +21,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Intermediate tables that this process made and has not dropped.
+_made: list[str] = []
+
+
+def drop_scratch(spark: SparkSession, keep: Collection[str] = ()) -> None:
+    """Delete the intermediate tables made so far, but for ``keep``. Results that were not read yet may need them."""
+    for path in [p for p in _made if p not in keep]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _made.remove(path)
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, so that what follows neither recomputes it nor depends on its order."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
