@@ -3,7 +3,8 @@
 1. Tasks cut texts into pieces and words and pack the pieces, equal ones once with their number, into units of bounded size.
    Each unit adds its one- to three-word phrases to a count-min sketch with one row of cells, whose number grows with the
    text; counters stop at the threshold, which changes no answer. The sketch is shuffled by sections of cells and summed.
-2. Each unit gets back those of its cells whose upper bound reaches the threshold. Its phrases in such cells are compiled, for
+2. Each unit gets back those of its cells whose upper bound reaches the threshold. Its phrases in such cells (of two words and
+   more: single words are counted as they are met) are compiled, for
    a bounded part of the unit at a time, into a pyahocorasick automaton of phrases between delimiters, which scans the part
    and counts overlapping matches. Spark sums the counts of all units and applies the threshold to the exact sums.
 3. Cuts are looked up by joins in which parts that occur in many candidates are broadcast; scores are exact decimals.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -221,10 +223,14 @@ def scan_part(lang: str, text: str, bits: int, candidate: np.ndarray) -> dict[st
     """Counts of the phrases of a text that may be frequent, by an automaton of them over the text."""
     ids = _Ids()
     words = np.fromiter(map(ids.__getitem__, text.strip(" ").split(" ")), np.int64)
-    names, phrases = list(ids), []
+    names, phrases, out = list(ids), [], {}
     low = (1 << _WORD_BITS) - 1
     for m, at, cells in cells_of(lang, ids, words, bits):
         at = at[candidate[(cells & np.uint64(len(candidate) - 1)).astype(np.int64)]]
+        if m == 1:  # single words are counted as they were numbered
+            numbers, counts = np.unique(words[at], return_counts=True)
+            out = dict(zip([names[i] for i in numbers.tolist()], counts.tolist(), strict=True))
+            continue
         key = np.zeros(len(at), np.int64)
         for k in range(m):
             key = (key << _WORD_BITS) | words[at + k]
@@ -232,13 +238,13 @@ def scan_part(lang: str, text: str, bits: int, candidate: np.ndarray) -> dict[st
         columns = [[names[i] for i in ((key >> (_WORD_BITS * (m - 1 - k))) & low).tolist()] for k in range(m)]
         phrases += map(" ".join, zip(*columns, strict=True))
     if not phrases:
-        return {}
+        return out
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     for i, phrase in enumerate(phrases):
         automaton.add_word(f" {phrase} ", i)
     automaton.make_automaton()
-    hits = np.bincount(np.fromiter((i for _, i in automaton.iter(text)), np.int64), minlength=len(phrases))
-    return dict(zip(phrases, hits.tolist(), strict=True))
+    hits = np.bincount(np.fromiter(map(itemgetter(1), automaton.iter(text)), np.int64), minlength=len(phrases))
+    return out | dict(zip(phrases, hits.tolist(), strict=True))
 
 
 def phrase_counts(units_table: DataFrame, cells: DataFrame, bits: int, low: int, min_count: int) -> DataFrame:
