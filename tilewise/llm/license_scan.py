@@ -201,6 +201,12 @@ def _joined(labels: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
 
 
+def _around(items: Column, i: Column, n: Column | int) -> Column:
+    """The items up to n places before and after place i."""
+    first = F.greatest(i - n, F.lit(0))
+    return F.slice(items, first + 1, i - first + n + 1)
+
+
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -208,11 +214,18 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     in common give the labels. Windows add what lines do not hold, or hold beside a longer notice.
     """
     found = scan(docs.select(key, text), text).select(key, "licences.*")
-    most = lambda b: F.array_max(F.transform(F.filter("blocks", lambda x: x["block"] == b["block"]), lambda x: x["common"]))
-    found = found.withColumn("blocks", F.filter("blocks", lambda b: b["common"] == most(b)))
-    # Of windows that overlap, those with the most words count; a line's label goes if all its windows give way.
+    # A line's matches stand together, so that each looks at as many neighbours as there are templates, not at all of the text.
+    of_line = lambda b, i: F.filter(_around(F.col("blocks"), i, len(TEMPLATES)), lambda x: x["block"] == b["block"])
+    found = found.withColumn("blocks", F.filter("blocks", lambda b, i: b["common"] == F.array_max(F.transform(of_line(b, i), lambda x: x["common"]))))
+    # Of windows that overlap, those with the most words count; a line's label goes if all its windows give way. A window
+    # overlaps none that begins more than the longest window away, and a template has one window at most from a place.
     over = lambda a, b: (b["common"] > a["common"]) & (a["start"] <= b["end"]) & (b["start"] <= a["end"])
-    found = found.withColumn("kept", F.filter("windows", lambda a: ~F.exists("windows", lambda b: over(a, b))))
+    reach = len(TEMPLATES) * max(math.ceil(len(words(t)) / THRESHOLD - 1e-9) for _, t in TEMPLATES)
+    placed = F.transform("windows", lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["label"].alias("label"), w["containment"].alias("containment"), w["common"].alias("common")))
+    # Equal windows are neighbours once sorted; array_distinct would compare all structs with all.
+    found = found.withColumn("windows", F.array_sort(placed))
+    found = found.withColumn("windows", F.filter("windows", lambda w, i: (i == 0) | (w != F.element_at("windows", F.greatest(i, F.lit(1))))))
+    found = found.withColumn("kept", F.filter("windows", lambda a, i: ~F.exists(_around(F.col("windows"), i, reach), lambda b: over(a, b))))
     gone = F.array_except(F.transform("windows", lambda w: w["label"]), F.transform("kept", lambda w: w["label"]))
     found = found.withColumn("gone", gone)
     found = found.withColumn("blocks", F.filter("blocks", lambda b: ~F.array_contains("gone", b["label"])))
