@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geometry, identity, quantize, reader, validity
+from ..functions import geometry, identity, quantize, reader, union, validity
 from ..operators import audit, footprints, grouping, ordering, overlap, pairing, postprocess, rejects, sampling
 from ..scratch import materialized
 from . import workloads as W
@@ -1041,3 +1041,15 @@ def shard_faults(spark, d):
     left = materialized(shards.faults(spark, out, schema, "position").withColumn("step", F.lit("left")), "faults-left")
     fs.delete(_fs(spark, out)[1], True)
     return found.unionByName(written).unionByName(left)
+
+
+@query
+def union_outlines(spark, d):
+    """Unions of up to eight rectangles of suppliers: their areas, rings, and the length of their outlines."""
+    k = F.col("s_suppkey")
+    x, y, w, h = k * 37 % 23, k * 53 % 19, 1 + k * 7 % 11, 1 + k * 5 % 9
+    vertex = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    ring = F.array(vertex(x, y), vertex(x + w, y), vertex(x + w, y + h), vertex(x, y + h), vertex(x, y))
+    rows = W.table(spark, d, "supplier").select(F.floor(k / 8).alias("block"), F.array(F.array(ring)).alias("parts"))
+    lengths = F.transform("rings", lambda r: F.aggregate(F.zip_with(F.slice(r, F.lit(1), F.size(r) - 1), F.slice(r, F.lit(2), F.size(r) - 1), lambda p, q: F.abs(q["x"] - p["x"]) + F.abs(q["y"] - p["y"])), F.lit(0.0), lambda s, v: s + v))
+    return union.unions(rows, "block", "parts").select("block", "area", F.aggregate(lengths, F.lit(0.0), lambda s, v: s + v).alias("outline"))

@@ -474,3 +474,8 @@ ORACLES["ledger_bytes"] = f"""
 ORACLES["shard_faults"] = """
     WITH n AS (SELECT count(*) AS n FROM orders)
     SELECT unnest([1, 2, 19999999]) AS shard, unnest(['missing', 'damaged', 'unexpected']) AS fault, 'found' AS step FROM n UNION ALL SELECT unnest([1, 2]), 'written', 'resumed' FROM n"""
+ORACLES["union_outlines"] = """
+    WITH r AS (SELECT s_suppkey // 8 AS block, s_suppkey * 37 % 23 AS x, s_suppkey * 53 % 19 AS y, 1 + s_suppkey * 7 % 11 AS w, 1 + s_suppkey * 5 % 9 AS h FROM supplier),
+    c AS (SELECT DISTINCT block, i, j FROM (SELECT block, j, unnest(range(x, x + w)) AS i FROM (SELECT *, unnest(range(y, y + h)) AS j FROM r))),
+    n AS (SELECT c.block, c.i, c.j, (SELECT count(*) FROM c o WHERE o.block = c.block AND abs(o.i - c.i) + abs(o.j - c.j) = 1) AS beside FROM c)
+    SELECT block, CAST(count(*) AS DOUBLE) AS area, CAST(sum(4 - beside) AS DOUBLE) AS outline FROM n GROUP BY block"""
