@@ -116,3 +116,36 @@ def test_scratch_tables_are_dropped(spark):
     (path,) = set(scratch._made) - set(before)
     scratch.drop_scratch(spark, before)
     assert scratch._made == before and kept.count() == 3 and not os.path.exists(path.removeprefix("file:"))
+
+
+def test_readers_keep_their_version(spark, tmp_path):
+    from tilewise.sources import versions
+
+    table = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, table)
+    first = versions.swap(spark.range(5).select(F.col("id").alias("group_id")), table)
+    held = versions.read(spark, table)
+    counts = spark.createDataFrame([(1, 7), (3, 9)], "group_id long, overlap_count long")
+    second = versions.with_counts(spark, table, counts)
+    third = versions.with_counts(spark, table, counts.where("group_id = 1"))
+    assert held.count() == 5 and held.columns == ["group_id"]
+    assert sorted(map(tuple, versions.read(spark, table, second).collect())) == [(0, 0), (1, 7), (2, 0), (3, 9), (4, 0)]
+    assert versions.read(spark, table).agg(F.sum("overlap_count")).first()[0] == 7 and versions.current(spark, table) == third
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.swap(spark.range(1), table, expected=second)
+    assert versions.expire(spark, table, (first,)) == [second] and held.count() == 5
+    assert sorted(p.name for p in (tmp_path / "table").iterdir() if p.name.startswith("v-")) == sorted([first, third])
+
+
+def test_a_release_with_other_counts_is_refused(spark, sf_dir, tmp_path):
+    from tilewise.plans import workloads as W
+    from tilewise.sources import publish
+
+    groups = scratch.materialized(W.line_groups(spark, sf_dir), "g")
+    out = publish.publish(spark, str(tmp_path / "release"), W.line_records(spark, sf_dir, groups), groups)
+    assert publish.load(spark, out)["groups"].count() == groups.count()
+    part = next((tmp_path / "release" / "r2.parquet").glob("part-*"))
+    part.with_name(f"part-again-{part.name}").write_bytes(part.read_bytes())
+    with pytest.raises(ValueError, match="r2 has"):
+        publish.load(spark, out)

@@ -1053,3 +1053,70 @@ def union_outlines(spark, d):
     rows = W.table(spark, d, "supplier").select(F.floor(k / 8).alias("block"), F.array(F.array(ring)).alias("parts"))
     lengths = F.transform("rings", lambda r: F.aggregate(F.zip_with(F.slice(r, F.lit(1), F.size(r) - 1), F.slice(r, F.lit(2), F.size(r) - 1), lambda p, q: F.abs(q["x"] - p["x"]) + F.abs(q["y"] - p["y"])), F.lit(0.0), lambda s, v: s + v))
     return union.unions(rows, "block", "parts").select("block", "area", F.aggregate(lengths, F.lit(0.0), lambda s, v: s + v).alias("outline"))
+
+
+@query
+def versioned_groups(spark, d):
+    """Groups whose overlap counts are swapped in while another reader holds the version before."""
+    from ..sources import versions
+    from ..sources.publish import _fs
+
+    table = _shared(spark, "groups")
+    groups = W.line_groups(spark, d)
+    versions.swap(groups.select("group_id", "semantic_key", "r1_count", "r2_count"), table)
+    held = versions.read(spark, table)
+    r1, r2 = W.sides(W.kept_boxes(spark, d), "semantic_key")
+    counts = overlap.count_by_group(r1, r2, ["semantic_key"]).join(held.select("group_id", "semantic_key"), "semantic_key")
+    versions.with_counts(spark, table, counts)
+    now = versions.read(spark, table)
+    old = held.groupBy().agg(F.lit("before").alias("version"), F.count("*").alias("groups"), F.lit(None).cast("long").alias("overlaps"), F.lit(len(held.columns)).alias("columns"))
+    new = now.groupBy().agg(F.lit("after").alias("version"), F.count("*").alias("groups"), F.sum("overlap_count").cast("long").alias("overlaps"), F.lit(len(now.columns)).alias("columns"))
+    out = materialized(old.unionByName(new), "versions")
+    fs, path = _fs(spark, table)
+    fs.delete(path, True)
+    return out
+
+
+@query
+def archived_lines(spark, d):
+    """Geometry records of the part table as lines of ZIP members, of which each is one partition, and of gzip files, read back and judged."""
+    import zipfile
+
+    import pyarrow as pa
+
+    from ..sources import lines
+    from ..sources.publish import _fs
+
+    lines.register(spark)
+    folder = _shared(spark, "archives")
+    fs, path = _fs(spark, folder)
+    fs.mkdirs(path)
+    n = F.col("p_partkey").cast("string")
+    square = F.concat(F.lit("[["), n, F.lit(",0],["), n, F.lit(",1],[-2,1],["), n, F.lit(",0]]"))
+    open_ring = F.concat(F.lit("[["), n, F.lit(",0],["), n, F.lit(",1],[-2,1],[-2,0]]"))
+    text = F.concat(F.lit('{"type":"Polygon","coordinates":['), F.when(F.col("p_partkey") % 9 == 4, open_ring).otherwise(square), F.lit("]}"))
+    rows = W.table(spark, d, "part").select(F.pmod("p_partkey", F.lit(6)).cast("int").alias("member"), "p_partkey", F.when(F.col("p_partkey") % 10 == 3, F.lit("{")).otherwise(text).alias("line"))
+
+    def write(some: pa.Table) -> pa.Table:
+        some = some.sort_by("p_partkey")
+        m, body = some["member"][0].as_py(), "".join(f"{v}\n\n" for v in some["line"].to_pylist()).encode()
+        if m < 4:
+            with zipfile.ZipFile(f"{folder}/{m % 2}.{m}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+                half = body.find(b"\n\n", len(body) // 2) + 2
+                z.writestr("a/first.geojsonl", b"\xef\xbb\xbf" + body[:half])
+                z.writestr("second.geojsonl", body[half:])
+        else:
+            import gzip
+
+            with gzip.open(f"{folder}/{m}.geojsonl.gz", "wb") as z:
+                z.write(body)
+        return pa.table({"member": some["member"][:1]})
+
+    rows.groupBy("member").applyInArrow(write, "member int").count()
+    back = spark.read.format("numbered_lines").option("path", folder).option("member", "*").load()
+    back = back.withColumn("g", reader.parse_geometry(F.col("value"), "geojson"))
+    outcome = F.when(F.col("g.record_error").isNotNull(), "malformed_record").when(F.col("g.geometry_error").isNotNull(), "malformed_geometry").otherwise("read")
+    x = F.array_max(F.transform(F.flatten(F.flatten("g.parts")), lambda p: p["x"]))
+    out = materialized(back.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("source_file").alias("files"), F.sum(x).cast("long").alias("keys"), F.count_if(F.col("line") != 2 * F.col("record") - 1).alias("misnumbered")), "archived")
+    fs.delete(path, True)
+    return out

@@ -479,3 +479,8 @@ ORACLES["union_outlines"] = """
     c AS (SELECT DISTINCT block, i, j FROM (SELECT block, j, unnest(range(x, x + w)) AS i FROM (SELECT *, unnest(range(y, y + h)) AS j FROM r))),
     n AS (SELECT c.block, c.i, c.j, (SELECT count(*) FROM c o WHERE o.block = c.block AND abs(o.i - c.i) + abs(o.j - c.j) = 1) AS beside FROM c)
     SELECT block, CAST(count(*) AS DOUBLE) AS area, CAST(sum(4 - beside) AS DOUBLE) AS outline FROM n GROUP BY block"""
+ORACLES["versioned_groups"] = f"""
+    WITH {_MASS} SELECT 'before' AS version, count(*) AS groups, CAST(NULL AS BIGINT) AS overlaps, 4 AS columns FROM mass UNION ALL SELECT 'after', count(*), CAST(sum(overlap_count) AS BIGINT), 5 FROM mass"""
+ORACLES["archived_lines"] = """
+    WITH p AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 3 THEN 'malformed_record' WHEN p_partkey % 9 = 4 THEN 'malformed_geometry' ELSE 'read' END AS outcome FROM part)
+    SELECT outcome, count(*) AS n, CASE outcome WHEN 'malformed_record' THEN 5 WHEN 'malformed_geometry' THEN 3 ELSE 10 END AS files, CAST(sum(CASE WHEN outcome = 'read' THEN k END) AS BIGINT) AS keys, 0 AS misnumbered FROM p GROUP BY outcome"""

@@ -1,6 +1,10 @@
 """Python data source ``numbered_lines``: text lines with their numbers, from plain, gzip or ZIP files.
 
-Options: ``path``; ``member`` for ZIP files with more than one file; ``kind``, ``lines`` or ``csv``. Line numbers are
+Files are opened by Arrow's file systems, so that they may lie in any store that these reach by the path's scheme. A ZIP is read by
+ranges: its central directory (ZIP64 too) to find the members, then the blocks of one member, whose CRC is checked at its end.
+
+Options: ``path``; ``member`` for ZIP files with more than one file, ``*`` for each member in a partition of its own (``source_file`` then
+names both); ``kind``, ``lines`` or ``csv``. Line numbers are
 1-based and count blank lines, which are skipped; ``record`` counts the rows kept. With ``csv``, the first row is a
 header without repeats, fields are given as a JSON object, and a row of another width is given as null with its number.
 A filter ``record <= n`` ends the scan early.
@@ -8,8 +12,8 @@ A filter ``record <= n`` ends the scan early.
 
 from __future__ import annotations
 
+import contextlib
 import csv
-import glob
 import gzip
 import io
 import json
@@ -17,9 +21,35 @@ import os
 import zipfile
 from dataclasses import dataclass
 
+import pyarrow.fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition, LessThan, LessThanOrEqual
 
 
+def located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    if "://" not in path and not path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), os.path.abspath(path)
+    return pyarrow.fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+
+
+def files_below(path: str) -> list[str]:
+    """The files of a folder at any depth, in order, or the file itself; hidden ones, as of commits, are left out."""
+    fs, at = located(path)
+    info = fs.get_file_info(at)
+    if info.type == pyarrow.fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    if info.type != pyarrow.fs.FileType.Directory:
+        return [path]
+    found = [f.path for f in fs.get_file_info(pyarrow.fs.FileSelector(at, recursive=True)) if f.type == pyarrow.fs.FileType.File and not os.path.basename(f.path).startswith((".", "_"))]
+    return [path.rstrip("/") + f[len(at.rstrip("/")) :] for f in sorted(found)]
+
+
+def opened(path: str):
+    """A file that can be read from any place."""
+    fs, at = located(path)
+    return fs.open_input_file(at)
+
+
 @dataclass
 class Member(InputPartition):
     path: str
@@ -39,29 +69,32 @@ class LinesReader(DataSourceReader):
             yield f  # Spark still tests every row
 
     def partitions(self):
-        paths = sorted(p for p in glob.glob(os.path.join(self.path, "**"), recursive=True) if os.path.isfile(p)) if os.path.isdir(self.path) else [self.path]
         out = []
-        for p in paths:
-            if not zipfile.is_zipfile(p):
-                out.append(Member(p, None))
-                continue
-            names = [i.filename for i in zipfile.ZipFile(p).infolist() if not i.is_dir()]
-            if self.member:
+        for p in files_below(self.path):
+            with opened(p) as f:
+                if f.read(4)[:2] != b"PK" or not zipfile.is_zipfile(f):
+                    out.append(Member(p, None))
+                    continue
+                with zipfile.ZipFile(f) as archive:
+                    names = [i.filename for i in archive.infolist() if not i.is_dir()]
+            if self.member and self.member != "*":
                 names = [n for n in names if n == self.member]
-            if len(names) != 1:
+            if len(names) != 1 and self.member != "*":
                 raise ValueError(f"{p}: name one member, found {len(names)}")
-            out.append(Member(p, names[0]))
+            out += [Member(p, n) for n in names]
         return out
 
-    def _open(self, part):
-        if part.member:
-            return io.TextIOWrapper(zipfile.ZipFile(part.path).open(part.member), encoding="utf-8-sig", newline="")
-        raw = gzip.open(part.path, "rb") if part.path.endswith(".gz") else open(part.path, "rb")
-        return io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-
     def read(self, partition):
         name = os.path.basename(partition.path)
-        with self._open(partition) as f:
+        if self.member == "*" and partition.member:
+            name = f"{name}/{partition.member}"
+        with contextlib.ExitStack() as stack:
+            raw = stack.enter_context(opened(partition.path))
+            if partition.member:
+                raw = stack.enter_context(stack.enter_context(zipfile.ZipFile(raw)).open(partition.member))
+            elif partition.path.endswith(".gz"):
+                raw = stack.enter_context(gzip.GzipFile(fileobj=raw))
+            f = stack.enter_context(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
             for record, (line, value) in enumerate(self._csv(f) if self.kind == "csv" else self._lines(f), 1):
                 if self.last is not None and record > self.last:
                     return

@@ -138,13 +138,21 @@ def changed_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """r1, r2 and groups of a release; raises unless its schema version is this one."""
-    version = spark.read.json(f"{path}/manifest").first()["schema_version"]
-    if version != SCHEMA_VERSION:
-        raise ValueError(f"release has schema version {version}")
+    """r1, r2 and groups of a release; raises unless its schema version is this one and all hold as many rows as its manifest says.
+
+    Rows are counted from the files' footers.
+    """
+    manifest = spark.read.json(f"{path}/manifest").first()
+    if manifest["schema_version"] != SCHEMA_VERSION:
+        raise ValueError(f"release has schema version {manifest['schema_version']}")
     for side in ("r1", "r2"):
         check_schema(spark.read.parquet(f"{path}/{side}.parquet"), RELATION)
-    return {s: spark.read.schema(RELATION).parquet(f"{path}/{s}.parquet") for s in ("r1", "r2")} | {"groups": spark.read.parquet(f"{path}/groups.parquet")}
+    out = {s: spark.read.schema(RELATION).parquet(f"{path}/{s}.parquet") for s in ("r1", "r2")} | {"groups": spark.read.parquet(f"{path}/groups.parquet")}
+    for name, rows in out.items():
+        wanted, found = manifest["group_count" if name == "groups" else f"{name}_count"], rows.count()
+        if found != wanted:
+            raise ValueError(f"{name} has {found} rows and the manifest says {wanted}")
+    return out
 
 
 def group_rows(release: dict[str, DataFrame], side: str, group_id: int) -> DataFrame:
