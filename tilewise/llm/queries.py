@@ -12,6 +12,8 @@ from . import bpe_codec, centroids, collocations, decontam, exact_dedup, langid,
 from .sql import ORACLES
 
 OVER_LIMIT = 4096
+#: ``WARC-Date`` of derived records: a parameter of a run, so that running it again gives the same bytes.
+RECORDS_MADE = "2024-01-01T00:00:00Z"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +35,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The table has no capture dates; the time at which its file was written is the nearest that is known.
-    stored = F.date_format(F.to_utc_timestamp("_metadata.file_modification_time", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages"), stored), "page_id")
+    # The table has no capture dates, so none is given for the responses; records have the date of the run, a parameter.
+    return warc.derivatives(warc.responses_of_pages(table(spark, sf_dir, "pages")), "page_id", RECORDS_MADE)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
