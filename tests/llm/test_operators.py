@@ -426,3 +426,17 @@ def test_many_notices_in_one_text_cost_in_proportion(spark):
         took.append(time.perf_counter() - began)
         assert r.labels == "all-rights-reserved,cc-by-nc,mit" and r.score == 1.0
     assert took[1] < 20 * took[0] + 5
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_duplicates, simhash.drop_near_duplicates])
+def test_rows_equal_in_key_and_text_meet_before_they_are_shuffled(spark, drop):
+    """A third of all rows is one row, another third has one key: each task leaves one of them, and texts are shuffled once."""
+    n = 3000
+    text = F.when(F.col("id") % 3 == 0, F.lit("one text that stands again and again in this table")).otherwise(F.concat(F.lit("text number "), F.sha2(F.col("id").cast("string"), 256)))
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("long")
+    docs = spark.range(n, numPartitions=6).select(key.alias("doc_id"), text.alias("text"), F.lit("x").alias("WHO"), F.col("id").alias("mark"))
+    out = drop(docs)
+    assert out.columns == docs.columns and out.count() == 2 * n // 3 + 1
+    assert out.where("doc_id = 7").count() == 1 and out.where("doc_id is null").count() == n // 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan and "WHO" in plan

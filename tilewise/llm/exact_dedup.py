@@ -99,10 +99,10 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text another row with a larger key has; columns and names unchanged."""
     n_rows = docs.count()
-    maybe, sha, keep_id, keep_sha = fresh(docs, "maybe_repeated", "text_sha", "kept_key", "kept_sha")
+    maybe, sha, row = fresh(docs, "maybe_repeated", "text_sha", "kept_row")
     rows = possibly_repeated(docs, F.xxhash64(text_or_empty(text)), n_rows, maybe)
     single = rows.where(~F.col(maybe)).drop(maybe)
     some = rows.where(F.col(maybe)).drop(maybe).withColumn(sha, F.sha2(text_or_empty(text), 256))
-    keep = some.groupBy(sha).agg(F.max(key).alias(keep_id)).withColumnRenamed(sha, keep_sha)
-    kept = some.join(keep, (F.col(sha) == F.col(keep_sha)) & F.col(key).eqNullSafe(F.col(keep_id)), "left_semi")
-    return single.unionByName(kept.dropDuplicates([sha, key]).select(*docs.columns))
+    # Each task leaves one row of a text, so that neither a hot text nor a hot key is gathered, and texts move once.
+    largest = F.max_by(F.struct(*[F.col(c) for c in docs.columns]), F.struct(F.col(key).isNotNull(), F.col(key)))
+    return single.unionByName(some.groupBy(sha).agg(largest.alias(row)).select(f"{row}.*"))

@@ -282,17 +282,13 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     Keys may repeat or be null: a component is named by key and text hash together, which no other component shares.
     Columns and names are unchanged.
     """
-    mark, value, no_key, stay_key, stay_text, own_text = fresh(docs, "mark", "value", "no_key", "stay_key", "stay_text", "own_text")
+    mark, value, no_key, stay_key, stay_text, who = fresh(docs, "mark", "value", "no_key", "stay_key", "stay_text", "who")
     digest = F.unhex(F.sha2(text_or_empty(text), 256))
+    named = lambda k, t: F.sha2(F.concat(F.coalesce(F.concat(F.lit("k"), k.cast("string")), F.lit("n")).cast("binary"), t), 256)
     marked = docs.select(F.struct(F.col(key).isNull().alias(no_key), F.col(key).alias(stay_key), digest.alias(stay_text)).alias(mark), F.col(text).alias(value))
     _, names = _named(written(fingerprints(marked, mark, value), "fingerprints"))
-    stay = written(names.select("component_id.*").drop(no_key), "stay")
-    # Nearly all rows stay: their keys are never few enough to broadcast at scale, so the join is shuffled at any size. The
-    # digest is a column of its own, so that counting moves no texts.
-    rows = docs.withColumn(own_text, digest)
-    kept = rows.join(stay.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col(stay_key)) & (F.col(own_text) == F.col(stay_text)), "left_semi")
-    if kept.count() == stay.count():
-        return kept.select(*docs.columns)
-    # Rows repeated in key and text: any one stays. The aggregate meets them before they are shuffled.
-    one = kept.groupBy(F.col(key).alias(stay_key), own_text).agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias(mark))
-    return one.select(f"{mark}.*")
+    stay = written(names.select(named(F.col(f"component_id.{stay_key}"), F.col(f"component_id.{stay_text}")).alias(who)), "stay")
+    # Rows that agree in key and text are one before they are shuffled: of these any one stays. Nearly all rows stay, and their names
+    # are never few enough to broadcast at scale, so the join is shuffled at any size, on what the rows are parted by already.
+    one = docs.groupBy(named(F.col(key), digest).alias(who)).agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias(mark))
+    return one.join(stay.hint("shuffle_hash"), who, "left_semi").select(f"{mark}.*")
