@@ -21,7 +21,7 @@ from ..scratch import materialized
 #: Boxes of both sides in a slab, and in a task; a group is cut into at most ``MAX_SLABS`` slabs.
 UNIT_ROWS, TASK_ROWS, MAX_SLABS = 100_000, 200_000, 1000
 #: Groups in which more pairs than this would meet are counted without meeting.
-MEETING_LIMIT = 20_000_000
+MEETING_LIMIT = 1_000_000
 
 #: Cells of one level of a grid are so many times as wide as those of the level below.
 LEVEL_FACTOR = 8
