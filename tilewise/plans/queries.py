@@ -862,7 +862,7 @@ def wkt_parse_errors(spark, d):
 @query
 def polygon_faults(spark, d):
     """The first fault of polygons of sixteen classes, with its place."""
-    rows = W.shape_texts(spark, d).withColumn("g", reader.parse_geometry(F.col("wkt"), "wkt"))
+    rows = W.spread(W.shape_texts(spark, d)).withColumn("g", reader.parse_geometry(F.col("wkt"), "wkt"))
     rows = rows.withColumn("fault", validity.first_fault("g.parts"))
     return rows.select("p_partkey", F.size("g.parts").alias("parts"), "fault.reason", "fault.x", "fault.y")
 
@@ -917,7 +917,7 @@ def footprint_cascade(spark, d):
     again = F.regexp_replace("wkt", r"\(\(([^,()]+),", "(($1, $1,")
     m = k % 40
     text = F.when(m == 7, bow).when(m == 8, again).when(m == 9, F.concat("wkt", F.lit(" x"))).when(m == 10, F.lit(None)).otherwise(F.col("wkt"))
-    out = footprints.judge(p.select(k, text.alias("text")), "text", "wkt", footprints.projected_boundary(spark, [[W.BOUNDARY]]))
+    out = footprints.judge(W.spread(p.select(k, text.alias("text"))), "text", "wkt", footprints.projected_boundary(spark, [[W.BOUNDARY]]))
     return out.select("p_partkey", "reason", *overlap.BOX)
 
 
