@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -215,3 +218,53 @@ def contract_problems(expected: dict, actual: dict, path: str = "") -> list[str]
         elif type(expected[k]) is not type(actual[k]) or expected[k] != actual[k]:
             out.append(f"{at}: {actual[k]!r} instead of {expected[k]!r}")
     return out
+
+
+def _leaves(value: object, path: str) -> list[tuple[str, str]]:
+    """(path, JSON text) of all values within a document that hold no others; numbers as they are written."""
+    if isinstance(value, dict) and value:
+        return [leaf for k, v in value.items() for leaf in _leaves(v, f"{path}.{k}" if path else k)]
+    if isinstance(value, list) and value:
+        return [leaf for i, v in enumerate(value) for leaf in _leaves(v, f"{path}[{i}]")]
+    return [(path, value.text if isinstance(value, _Number) else json.dumps(value, sort_keys=True))]
+
+
+class _Number:
+    def __init__(self, text: str):
+        self.text = text
+
+
+def document_leaves(docs: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, path, leaf) of JSON documents; of a text that is not JSON one row with an empty path and no leaf, of null none."""
+
+    def run(batches):
+        for batch in batches:
+            keys, paths, leaves = [], [], []
+            for k, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                if text is None:
+                    continue
+                try:
+                    found = _leaves(json.loads(text, parse_int=_Number, parse_float=_Number), "")
+                except (ValueError, RecursionError):
+                    found = [("", None)]
+                keys += [k.as_py()] * len(found)
+                paths += [p for p, _ in found]
+                leaves += [v for _, v in found]
+            yield pa.record_batch([pa.array(keys, batch.schema.field(0).type), pa.array(paths, pa.string()), pa.array(leaves, pa.string())], names=[key, "path", "leaf"])
+
+    return docs.select(key, value).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, path string, leaf string")
+
+
+def document_differences(expected: DataFrame, actual: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, path, problem, expected, actual): where JSON documents differ from those they should equal.
+
+    ``problem``: missing, unexpected, or other (also where only the way a number is written differs); ``unreadable``
+    where a text is not JSON. Documents with equal or null keys are one document with all their leaves.
+    """
+    sides = [document_leaves(d, key, value).withColumn("side", F.lit(s)) for d, s in ((expected, 0), (actual, 1))]
+    of = lambda s: F.array_sort(F.collect_set(F.when(F.col("side") == s, F.col("leaf"))))
+    there = lambda s: F.count_if(F.col("side") == s) > 0
+    both = sides[0].unionByName(sides[1]).groupBy(key, "path").agg(of(0).alias("expected"), of(1).alias("actual"), there(0).alias("e"), there(1).alias("a"), F.count_if(F.col("leaf").isNull()).alias("unread"))
+    problem = F.when(F.col("unread") > 0, "unreadable").when(~F.col("a"), "missing").when(~F.col("e"), "unexpected").when(F.col("expected") != F.col("actual"), "other")
+    text = lambda c: F.when(F.size(c) > 0, F.array_join(c, " | ")).alias(c)
+    return both.withColumn("problem", problem).where("problem is not null").select(key, "path", "problem", text("expected"), text("actual"))

@@ -1120,3 +1120,269 @@ def archived_lines(spark, d):
     out = materialized(back.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("source_file").alias("files"), F.sum(x).cast("long").alias("keys"), F.count_if(F.col("line") != 2 * F.col("record") - 1).alias("misnumbered")), "archived")
     fs.delete(path, True)
     return out
+
+
+# --- files of a build: written from the tables, read back by their readers
+
+
+def _dropped(spark, path):
+    from ..sources.publish import _fs
+
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
+@query
+def sequence_files(spark, d):
+    """A sequence file for each nation, with comments, spaces and both separators, read back as frames and sizes."""
+    from ..sources import files
+
+    lines = W.table(spark, d, "lineitem").select("l_suppkey", "l_quantity")
+    seen = lines.join(W.table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey").groupBy("s_nationkey").agg(F.count("*").alias("n"), F.max("l_quantity").cast("int").alias("w"), F.min("l_quantity").cast("int").alias("h"))
+    text = F.format_string("; of a nation\n[General]\nseqLength = 7\n\n[Sequence]\nname = nation %d\n# length\n  seqLength=%d \nimWidth: %d\nIMHEIGHT =%d\n[Last]\n", "s_nationkey", "n", "w", "h")
+    folder = _shared(spark, "sequences")
+    seen.select("s_nationkey", text.alias("value")).write.partitionBy("s_nationkey").text(folder)
+    out = materialized(files.sequence_info(spark, folder), "sequence-info")
+    _dropped(spark, folder)
+    return out
+
+
+@query
+def tensor_files(spark, d):
+    """Vectors in blocks of 128 as arrays of NPZ archives, read back by rows; sums of their components as whole numbers."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ..sources import files
+    from ..sources.publish import _fs
+
+    folder = _shared(spark, "tensors")
+    fs, path = _fs(spark, folder)
+    fs.mkdirs(path)
+    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    rows = W.table(spark, d, "embeddings").where((F.size("embedding") == 64) & sound).select((F.col("vec_id") / 128).cast("long").alias("block"), "vec_id", "embedding")
+
+    def write(some: pa.Table) -> pa.Table:
+        some = some.sort_by("vec_id")
+        vectors = some["embedding"].combine_chunks().flatten().to_numpy().reshape(-1, 8, 8)
+        with open(f"{folder}/{some['block'][0].as_py()}.npz", "wb") as f:
+            np.savez_compressed(f, ids=some["vec_id"].to_numpy(), vectors=vectors.astype("<f4"))
+        return pa.table({"block": some["block"][:1]})
+
+    rows.groupBy("block").applyInArrow(write, "block long").count()
+    ids = files.tensor_rows(spark, folder, "ids", "long").select("path", "row", F.get("values", F.lit(0)).alias("vec_id"))
+    vectors = files.tensor_rows(spark, folder, "vectors").join(ids, ["path", "row"])
+    whole = F.transform("values", lambda x, i: F.floor(x.cast("double") * 256) * (i + 1))
+    out = materialized(vectors.select("vec_id", F.aggregate(whole, F.lit(0).cast("long"), lambda s, v: s + v).alias("weighted")), "tensor-rows")
+    _dropped(spark, folder)
+    return out
+
+
+@query
+def lock_problems(spark, d):
+    """Lock files of twenty sources each, some with planted faults: the problems of each input, counted."""
+    from ..sources import files
+
+    k = F.col("s_suppkey")
+    m, lock, none = k % 10, F.floor(k / 20), F.lit(None).cast("string")
+    key = k.cast("string")
+    path = F.when(m == 1, F.concat(F.lit("/d/"), key)).when(m == 2, F.concat(F.lit("d/../"), key)).when(m == 7, F.lit("d/same")).otherwise(F.concat(F.lit("d/"), key))
+    digest = F.when(m == 3, F.lit("F" * 64)).otherwise(F.sha2(key, 256))
+    side = F.when(m == 5, "r3").when(k % 2 == 0, "r1").otherwise("r2")
+    source = F.struct(path.alias("path"), digest.alias("sha256"), F.when(m == 4, none).otherwise(F.lit("u")).alias("url"), side.alias("side"), F.when(m == 6, "pdf").otherwise("csv").alias("format"), F.lit(9).alias("size_bytes"))
+    boundary = F.struct(F.lit("edge.json").alias("path"), F.lit("0" * 64).alias("sha256"), F.lit("u").alias("url"))
+    locks = W.table(spark, d, "supplier").groupBy(lock.alias("of")).agg(F.collect_list(source).alias("sources"))
+    whole = F.struct(F.when(F.col("of") % 5 == 4, "y").otherwise("x").alias("dataset"), F.lit("laea").alias("crs"), boundary.alias("boundary"), "sources")
+    folder = _shared(spark, "locks")
+    locks.select("of", F.to_json(whole).alias("value")).write.partitionBy("of").text(folder)
+    found = files.lock_entries(spark, folder, dataset="x", crs="laea").select("lock", "role", F.concat_ws(",", "problems").alias("problems"))
+    out = materialized(found.groupBy("role", "problems").agg(F.count("*").alias("n"), F.count_distinct("lock").alias("locks")), "lock-problems")
+    _dropped(spark, folder)
+    return out
+
+
+@query
+def release_gates(spark, d):
+    """A release with ledger and rejected rows, published twice, then damaged: what its manifest says and which gates refuse it."""
+    from ..sources import publish
+
+    groups = materialized(W.line_groups(spark, d), "groups")
+    records = materialized(W.line_records(spark, d, groups), "records")
+    boxes = W.line_boxes(spark, d)
+    rejected = boxes.where("reason is not null").select("side", "reason", "l_orderkey", "l_linenumber")
+    folder = _shared(spark, "release")
+    build = lambda c: publish.publish(spark, folder, records, groups, rejected, ledger=rejects.ledger(boxes), contract=c)
+
+    def refuses(step: Callable[[], object], error: type[Exception]) -> bool:
+        try:
+            step()
+        except error:
+            return True
+        return False
+
+    build({"scale": 1000})
+    again = build({"scale": 1000}) == folder
+    other = refuses(lambda: build({"scale": 100}), FileExistsError)
+    publish.load(spark, folder)
+    documented = f"| group_count | {groups.count()} |" in publish.release_document(spark, folder, "Lines", audit.bounds_checks(groups))
+    manifest = spark.read.json(f"{folder}/manifest").select("group_count", "r1_count", "r2_count", "states.*", F.expr("aggregate(filter(ledger, l -> l.key = 'retained'), 0L, (s, l) -> s + l.n)").alias("ledger_retained"), F.size(F.filter("ledger", lambda x: x["key"] == "raw")).alias("ledger_sides"))
+    excluded = spark.read.json(f"{folder}/exclusions").agg(F.count("*").alias("excluded"))
+    before = publish.changed_files(spark, folder).count()
+    kept = materialized(manifest.crossJoin(excluded), "manifest")  # one row each
+    grouping.relation(records).where("side = 'r2'").drop("side").limit(1).coalesce(1).write.mode("append").parquet(f"{folder}/r2.parquet")
+    after = publish.changed_files(spark, folder).count()
+    gates = {
+        "same_contract_kept": again,
+        "other_contract_refused": other,
+        "load_refused": refuses(lambda: publish.load(spark, folder), ValueError),
+        "document_refused": refuses(lambda: publish.release_document(spark, folder, "Lines", audit.bounds_checks(groups)), AssertionError),
+    }
+    _dropped(spark, folder)
+    _dropped(spark, f"{folder}.md")
+    return kept.withColumns({"changed_before": F.lit(before), "changed_after": F.lit(after), "documented": F.lit(documented), **{name: F.lit(v) for name, v in gates.items()}})
+
+
+@query
+def resumed_stream(spark, d):
+    """Boxes in files that come in two lots, built by a stream that is started three times; then under another contract."""
+    from ..streaming import resume
+
+    folder = _shared(spark, "stream")
+    boxes = W.kept_boxes(spark, d).select("l_orderkey", *overlap.BOX)
+    lot = lambda odd: boxes.where(F.col("l_orderkey") % 2 == odd).repartition(6).write.mode("append").parquet(f"{folder}/in")
+    build = lambda contract: resume.build_available(spark, f"{folder}/in", boxes.schema, lambda b: b, f"{folder}/out", f"{folder}/state", contract)
+    mine = resume.contract_hash(columns=boxes.columns)
+    batches = []
+    for odd in (0, 1, None):
+        if odd is not None:
+            lot(odd)
+        batches.append(build(mine))
+    try:
+        build(resume.contract_hash(columns=[]))
+        refused = False
+    except ValueError:
+        refused = True
+    out = materialized(resume.merged_bounds(spark.read.parquet(f"{folder}/out")), "bounds")
+    _dropped(spark, folder)
+    return out.withColumns({"first_batches": F.lit(batches[0]), "second_batches": F.lit(batches[1]), "third_batches": F.lit(batches[2]), "refused": F.lit(refused)})
+
+
+@query
+def protocol_differences(spark, d):
+    """Documents of how events were made against those they should equal: differences by path and kind."""
+    e = W.table(spark, d, "events").select("event_id", "event_type", (F.col("event_id") % 8).alias("m"))
+    text = lambda limit, operator, rest: F.concat(F.lit('{"kind":"'), F.col("event_type"), F.lit('","limits":{"top_k":'), limit, operator, F.lit('},"steps":["sort",'), rest, F.lit("}"))
+    wanted = e.select("event_id", text(F.lit("100"), F.lit(',"operator":">"'), F.lit('["cut"]],"none":{}')).alias("value"))
+    limit = F.when(F.col("m") == 1, "100.0").when(F.col("m") == 2, "50").otherwise("100")
+    operator = F.when(F.col("m") == 3, "").when(F.col("m") == 4, ',"operator":">","nms":false').otherwise(',"operator":">"')
+    rest = F.when(F.col("m") == 5, '"cut"],"none":{}').when(F.col("m") == 6, '["cut"]],"none":[1]').otherwise('["cut"]],"none":{}')
+    found = e.select("event_id", F.when(F.col("m") == 7, F.lit('{"kind":')).otherwise(text(limit, operator, rest)).alias("value"))
+    out = audit.document_differences(wanted, found, "event_id", "value")
+    return out.groupBy("path", "problem").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.max("actual").alias("actual"))
+
+
+@query
+def footprint_csv_files(spark, d):
+    """Footprints as compressed CSV files with quoted line ends and rows of another width: records, physical lines, geometry."""
+    import csv
+    import gzip
+    import io
+
+    import pyarrow as pa
+
+    from ..sources import files
+    from ..sources.publish import _fs
+
+    folder = _shared(spark, "csv")
+    fs, path = _fs(spark, folder)
+    fs.mkdirs(path)
+    n = F.col("p_partkey").cast("string")
+    wkt = F.when(F.col("p_partkey") % 9 == 4, F.concat(F.lit("POLYGON (("), n, F.lit(" 0, 1 x))"))).otherwise(F.concat(F.lit("POLYGON (("), n, F.lit(" 0, "), n, F.lit(" 1, -2 1, "), n, F.lit(" 0))")))
+    rows = W.table(spark, d, "part").select(F.pmod("p_partkey", F.lit(5)).alias("part"), "p_partkey", "p_name", wkt.alias("wkt"))
+
+    def write(some: pa.Table) -> pa.Table:
+        some = some.sort_by("p_partkey")
+        with gzip.open(f"{folder}/{some['part'][0].as_py()}.csv.gz", "wb") as raw, io.TextIOWrapper(raw, encoding="utf-8", newline="") as f:
+            out = csv.writer(f)
+            out.writerow(["key", "name", "geometry"])
+            for r in some.to_pylist():
+                name = f"{r['p_name']}\n\"é\"" if r["p_partkey"] % 7 == 2 else r["p_name"]
+                out.writerow([r["p_partkey"], name, r["wkt"]][: 2 if r["p_partkey"] % 13 == 5 else 3])
+        return pa.table({"part": some["part"][:1]})
+
+    rows.groupBy("part").applyInArrow(write, "part long").count()
+    back = files.footprints_csv(spark, folder).withColumn("g", reader.parse_geometry(F.col("wkt"), "wkt"))
+    outcome = F.when(F.col("fields").isNull(), "malformed_record").when(F.col("g.geometry_error").isNotNull(), "malformed_geometry").otherwise("read")
+    two = F.col("fields")["name"].contains('\n"é"')
+    out = back.groupBy("source_file", outcome.alias("outcome")).agg(F.count("*").alias("n"), F.sum(F.col("fields")["key"].cast("long")).alias("keys"), F.count_if(two).alias("two_lines"), F.max("line").alias("last_line"), F.max("record").alias("last_record"))
+    out = materialized(out, "csv-rows")
+    _dropped(spark, folder)
+    return out
+
+
+@query
+def image_headers(spark, d):
+    """PNG files of suppliers, some missing, in two places or in two versions: size in pixels and status by supplier."""
+    import struct
+    import zlib
+
+    import pyarrow as pa
+
+    from ..sources import files, publish
+    from ..sources.publish import _fs
+
+    folder = _shared(spark, "images")
+    for name in ("a", "b"):
+        fs, path = _fs(spark, f"{folder}/{name}")
+        fs.mkdirs(path)
+    k = F.col("s_suppkey")
+    rows = W.table(spark, d, "supplier").select(k, (1 + k % 50).cast("int").alias("w"), (1 + k % 37).cast("int").alias("h"), (k % 9).cast("int").alias("m"))
+
+    def write(batches):
+        chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+        for batch in batches:
+            for r in batch.to_pylist():
+                head = struct.pack(">II5B", r["w"], r["h"], 8, 0, 0, 0, 0)
+                for place in {4: "", 5: "ab", 7: "ab"}.get(r["m"], "a"):
+                    shade = 200 if (place, r["m"]) == ("b", 7) else r["s_suppkey"] % 199
+                    pixels = (b"\x00" + bytes([shade]) * r["w"]) * r["h"]
+                    with open(f"{folder}/{place}/{r['s_suppkey']}.png", "wb") as f:
+                        f.write(b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(pixels)) + chunk(b"IEND", b""))
+            yield pa.record_batch([batch.column(0)], names=["s_suppkey"])
+
+    rows.mapInArrow(write, "s_suppkey long").count()
+    wanted = rows.select("s_suppkey", F.concat(k.cast("string"), F.lit(".png")).alias("file_name"))
+    out = materialized(publish.images_table(wanted, files.image_files(spark, folder), "s_suppkey", "file_name").select("s_suppkey", "status", "width", "height"), "image-rows")
+    _dropped(spark, folder)
+    return out
+
+
+@query
+def boundary_files(spark, d):
+    """A boundary file for each region: sound and faulty features, the area of their union, and the customers within it."""
+    from ..functions.geometry import covers
+    from ..sources import files
+
+    n = F.col("n_nationkey")
+    x, y = (n * 3 % 17).cast("int"), (n * 5 % 11).cast("int")
+    ring = lambda *points: F.concat(F.lit("["), F.concat_ws(",", *[F.format_string("[%d,%d]", x + a, y + b) for a, b in points]), F.lit("]"))
+    shell, hole = ring((0, 0), (6, 0), (6, 4), (0, 4), (0, 0)), ring((1, 1), (3, 1), (3, 3), (1, 3), (1, 1))
+    bow, open_ = ring((0, 0), (4, 4), (4, 0), (0, 4), (0, 0)), ring((0, 0), (4, 4), (4, 0))
+    rings = F.when(n % 8 == 3, bow).when(n % 8 == 6, open_).when(n % 6 == 1, F.concat(shell, F.lit(","), hole)).otherwise(shell)
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"n":'), n.cast("string"), F.lit('},"geometry":{"type":"Polygon","coordinates":['), rings, F.lit("]}}"))
+    whole = F.concat(F.lit('{"type":"FeatureCollection",\n"features":['), F.array_join(F.sort_array(F.collect_list(feature)), ",\n"), F.lit("]}"))
+    folder = _shared(spark, "boundaries")
+    W.table(spark, d, "nation").groupBy("n_regionkey").agg(whole.alias("value")).write.partitionBy("n_regionkey").text(folder)
+    rows = materialized(files.boundary_features(spark, folder).withColumn("region", F.regexp_extract("path", r"n_regionkey=(\d+)", 1).cast("int")), "features")
+    _dropped(spark, folder)
+    sound = rows.where("fault is null")
+    areas = union.unions(sound, "region", "parts").select("region", "area")
+    counts = rows.groupBy("region").agg(F.count("*").alias("features"), F.count("fault").alias("faulty"))
+    borders: dict[int, list] = {}
+    for r in sound.select("region", "parts").collect():  # the borders of regions: a feature a nation
+        borders.setdefault(r.region, []).extend([[[(p.x, p.y) for p in ring_] for ring_ in part] for part in r.parts])
+    c = F.col("c_custkey")
+    points = W.table(spark, d, "customer").select((c % 25).cast("double").alias("x") + 0.5, (c * 7 % 17).cast("double").alias("y") + 0.5).toDF("x", "y")
+    inside = points.select(*[covers(b)("x", "y").alias(str(r)) for r, b in borders.items()]).agg(*[F.count_if(F.col(f"`{r}`")).alias(str(r)) for r in borders])
+    inside = inside.select(F.explode(F.array(*[F.struct(F.lit(r).alias("region"), F.col(f"`{r}`").alias("customers")) for r in borders])).alias("e")).select("e.*")
+    return counts.join(areas, "region", "left").join(inside, "region", "left")

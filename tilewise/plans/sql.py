@@ -484,3 +484,45 @@ ORACLES["versioned_groups"] = f"""
 ORACLES["archived_lines"] = """
     WITH p AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 3 THEN 'malformed_record' WHEN p_partkey % 9 = 4 THEN 'malformed_geometry' ELSE 'read' END AS outcome FROM part)
     SELECT outcome, count(*) AS n, CASE outcome WHEN 'malformed_record' THEN 5 WHEN 'malformed_geometry' THEN 3 ELSE 10 END AS files, CAST(sum(CASE WHEN outcome = 'read' THEN k END) AS BIGINT) AS keys, 0 AS misnumbered FROM p GROUP BY outcome"""
+ORACLES["sequence_files"] = """
+    SELECT 'nation ' || s_nationkey AS sequence, CAST(count(*) AS INTEGER) AS frames, CAST(max(l_quantity) AS INTEGER) AS width, CAST(min(l_quantity) AS INTEGER) AS height
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey"""
+ORACLES["tensor_files"] = """
+    SELECT vec_id, CAST(sum(i * CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS BIGINT) AS weighted
+    FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY vec_id HAVING count(*) = 64 AND count(x) = 64 AND bool_and(isfinite(x))"""
+ORACLES["lock_problems"] = """
+    WITH s AS (SELECT s_suppkey % 10 AS m, s_suppkey // 20 AS lock FROM supplier), f AS (
+        SELECT lock, 'source' AS role, m, count(*) FILTER (m = 7) OVER (PARTITION BY lock) AS same FROM s UNION ALL SELECT DISTINCT lock, 'boundary', 0, 0 FROM s
+    )
+    SELECT role, concat_ws(',', CASE WHEN lock % 5 = 4 THEN 'dataset' END, CASE WHEN m = 7 AND same > 1 THEN 'repeated_path' END, CASE m WHEN 1 THEN 'path' WHEN 2 THEN 'path' WHEN 3 THEN 'digest' WHEN 4 THEN 'url' WHEN 5 THEN 'side' WHEN 6 THEN 'format' END) AS problems,
+           count(*) AS n, count(DISTINCT lock) AS locks FROM f GROUP BY ALL"""
+ORACLES["release_gates"] = f"""
+    WITH {_GROUPS}
+    SELECT count(*) AS group_count, CAST(sum(r1_count) AS BIGINT) AS r1_count, CAST(sum(r2_count) AS BIGINT) AS r2_count,
+           count(*) FILTER (r1_count > 0 AND r2_count > 0) AS both_nonempty, count(*) FILTER (r1_count > 0 AND r2_count = 0) AS r1_only, count(*) FILTER (r1_count = 0 AND r2_count > 0) AS r2_only, count(*) FILTER (r1_count = 0 AND r2_count = 0) AS both_empty,
+           (SELECT count(*) FROM kept) AS ledger_retained, 2 AS ledger_sides, (SELECT count(*) FROM q WHERE reason IS NOT NULL) AS excluded, 0 AS changed_before, 1 AS changed_after, true AS documented,
+           true AS same_contract_kept, true AS other_contract_refused, true AS load_refused, true AS document_refused FROM grp"""
+ORACLES["resumed_stream"] = f"""
+    WITH {_BOXES} SELECT count(*) AS n, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, 2 AS first_batches, 2 AS second_batches, 0 AS third_batches, true AS refused FROM kept"""
+ORACLES["protocol_differences"] = """
+    WITH e AS (SELECT event_id, event_id % 8 AS m FROM events), f(m, path, problem, actual) AS (VALUES
+        (1, 'limits.top_k', 'other', '100.0'), (2, 'limits.top_k', 'other', '50'), (3, 'limits.operator', 'missing', NULL), (4, 'limits.nms', 'unexpected', 'false'),
+        (5, 'steps[1][0]', 'missing', NULL), (5, 'steps[1]', 'unexpected', '"cut"'), (6, 'none', 'missing', NULL), (6, 'none[0]', 'unexpected', '1'), (7, '', 'unreadable', NULL),
+        (7, 'kind', 'missing', NULL), (7, 'limits.top_k', 'missing', NULL), (7, 'limits.operator', 'missing', NULL), (7, 'steps[0]', 'missing', NULL), (7, 'steps[1][0]', 'missing', NULL), (7, 'none', 'missing', NULL))
+    SELECT path, problem, count(*) AS n, min(event_id) AS first, max(actual) AS actual FROM e JOIN f USING (m) GROUP BY path, problem"""
+ORACLES["footprint_csv_files"] = """
+    WITH p AS (
+        SELECT p_partkey AS k, p_partkey % 5 AS part, CASE WHEN p_partkey % 13 = 5 THEN 'malformed_record' WHEN p_partkey % 9 = 4 THEN 'malformed_geometry' ELSE 'read' END AS outcome, p_partkey % 7 = 2 AS two,
+               row_number() OVER w AS record, 1 + sum(CASE WHEN p_partkey % 7 = 2 THEN 2 ELSE 1 END) OVER w AS line FROM part WINDOW w AS (PARTITION BY p_partkey % 5 ORDER BY p_partkey)
+    )
+    SELECT part || '.csv.gz' AS source_file, outcome, count(*) AS n, CAST(sum(k) FILTER (outcome <> 'malformed_record') AS BIGINT) AS keys, count(*) FILTER (two AND outcome <> 'malformed_record') AS two_lines, CAST(max(line) AS BIGINT) AS last_line, max(record) AS last_record
+    FROM p GROUP BY part, outcome"""
+ORACLES["image_headers"] = """
+    WITH s AS (SELECT s_suppkey, CASE s_suppkey % 9 WHEN 4 THEN 'missing' WHEN 5 THEN 'repeated' WHEN 7 THEN 'conflict' ELSE 'found' END AS status FROM supplier)
+    SELECT s_suppkey, status, CASE WHEN status <> 'missing' THEN CAST(1 + s_suppkey % 50 AS INTEGER) END AS width, CASE WHEN status <> 'missing' THEN CAST(1 + s_suppkey % 37 AS INTEGER) END AS height FROM s"""
+ORACLES["boundary_files"] = """
+    WITH r AS (SELECT n_nationkey AS n, n_regionkey AS region, n_nationkey * 3 % 17 AS x, n_nationkey * 5 % 11 AS y, n_nationkey % 8 IN (3, 6) AS faulty FROM nation),
+    c AS (SELECT DISTINCT region, x + i AS cx, y + j AS cy FROM (SELECT *, unnest(range(6)) AS i FROM (SELECT *, unnest(range(4)) AS j FROM r)) WHERE NOT faulty AND NOT (n % 6 = 1 AND i IN (1, 2) AND j IN (1, 2))),
+    p AS (SELECT c_custkey % 25 AS cx, c_custkey * 7 % 17 AS cy, count(*) AS n FROM customer GROUP BY ALL)
+    SELECT region, features, faulty, area, customers FROM (SELECT region, count(*) AS features, count(*) FILTER (faulty) AS faulty FROM r GROUP BY region)
+    LEFT JOIN (SELECT region, CAST(count(*) AS DOUBLE) AS area, CAST(coalesce(sum(p.n), 0) AS BIGINT) AS customers FROM c LEFT JOIN p USING (cx, cy) GROUP BY region) USING (region)"""

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import configparser
 import json
+import zipfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions import geometry
+from ..functions import geometry, reader, validity
 from ..functions.identity import HEX_SHA256, file_identity
 from ..functions.quantize import corner_extents, quantize_texts
+from .lines import opened, register
 
 
 def _parsed(rows: DataFrame, value: str, items: str, schema: T.StructType, carry: list[str]) -> DataFrame:
@@ -76,8 +77,6 @@ def tracking_rows(spark: SparkSession, path: str, side: str) -> DataFrame:
 
     ``reason``: malformed_row, gt_invalid_flag, gt_non_pedestrian, nonfinite_score or the box's own.
     """
-    from .lines import register
-
     register(spark)
     rows = spark.read.format("numbered_lines").option("path", path).load()
     f = F.split("value", ",")
@@ -94,21 +93,39 @@ def tracking_rows(spark: SparkSession, path: str, side: str) -> DataFrame:
     return rows.select("source_file", "ordinal", F.get("f", F.lit(0)).try_cast("int").alias("frame"), F.get("f", F.lit(1)).alias("source_id"), "columns", F.get("f", F.lit(6)).alias("score"), "q.box", reason.alias("reason"))
 
 
-def sequence_info(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per sequence file: name, frames, width, height. Files of a few lines each, read on the driver."""
-    out = []
-    for path in paths:
-        conf = configparser.ConfigParser()
-        conf.read_string("\n".join(r.value for r in spark.read.text(path).collect()))
-        s = conf["Sequence"]
-        out.append((s.get("name", ""), int(s["seqLength"]), int(s["imWidth"]), int(s["imHeight"])))
-    return spark.createDataFrame(out, "sequence string, frames int, width int, height int")
+def ini_entries(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, section, key, value) of INI files, one row an entry, each file read whole by one task.
+
+    Keys are in lower case; lines that begin with # or ; are comments; = or : parts key and value. A section without entries
+    has one row without key, a file without sections one without section.
+    """
+    rest = lambda s: F.regexp_replace(s, r"\A[^\n]*(\n|\z)", "")
+    entry = F.lit(r"(?m)^[ \t]*([^\s=:#;][^=:\r\n]*?)[ \t]*[=:][ \t]*([^\r\n]*?)[ \t]*\r?$")
+    cut = F.split("value", r"(?m)^[ \t]*\[(?=[^\]\r\n]*\])")
+    rows = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.explode_outer(F.slice(cut, 2, F.size(cut))).alias("part"))
+    pairs = F.arrays_zip(F.regexp_extract_all(rest(F.col("part")), entry, 1).alias("key"), F.regexp_extract_all(rest(F.col("part")), entry, 2).alias("value"))
+    rows = rows.select("path", F.regexp_extract("part", r"\A([^\]]*)\]", 1).alias("section"), F.explode_outer(pairs).alias("entry"))
+    return rows.select("path", "section", F.lower("entry.key").alias("key"), "entry.value")
+
+
+def sequence_info(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row per sequence file: name, frames, width, height, of its section ``Sequence``.
+
+    A number that is missing, given twice or no whole number raises with the file's path.
+    """
+    entries = ini_entries(spark, paths)
+    of = lambda k: F.when((F.col("section") == "Sequence") & (F.col("key") == k), F.col("value"))
+
+    def number(key: str) -> Column:
+        once = F.when(F.count(of(key)) == 1, F.max(of(key)).try_cast("int"))
+        return F.coalesce(once, F.raise_error(F.concat(F.col("path"), F.lit(f": {key} is not there once as a whole number"))).cast("int"))
+
+    found = entries.groupBy("path").agg(F.coalesce(F.max(of("name")), F.lit("")).alias("sequence"), number("seqlength").alias("frames"), number("imwidth").alias("width"), number("imheight").alias("height"))
+    return found.drop("path")
 
 
 def page_results(spark: SparkSession, path: str) -> DataFrame:
     """Predictions of gzip JSON lines, one page a line: page columns, 1-based line, 0-based ordinal, exact boxes."""
-    from .lines import register
-
     register(spark)
     rows = spark.read.format("numbered_lines").option("path", path).load()
     page = rows.select("source_file", F.col("line").alias("prediction_jsonl_line"), "value", F.get_json_object("value", "$.page_id").alias("page_id"), F.get_json_object("value", "$.status").alias("status"))
@@ -121,11 +138,9 @@ def page_results(spark: SparkSession, path: str) -> DataFrame:
 
 def footprints_geojson(spark: SparkSession, path: str, member: str | None = None) -> DataFrame:
     """GeoJSON lines in a ZIP: record, line, geometry type, parts (each a shell and its holes), properties."""
-    from .lines import register
-
     register(spark)
-    reader = spark.read.format("numbered_lines").option("path", path)
-    rows = (reader.option("member", member) if member else reader).load()
+    source = spark.read.format("numbered_lines").option("path", path)
+    rows = (source.option("member", member) if member else source).load()
     geometry = F.coalesce(F.get_json_object("value", "$.geometry"), F.col("value"))
     rows = rows.withColumns({"kind": F.get_json_object(geometry, "$.type"), "coordinates": F.get_json_object(geometry, "$.coordinates"), "properties": F.get_json_object("value", "$.properties")})
     point = "array<array<double>>"
@@ -137,8 +152,6 @@ def footprints_geojson(spark: SparkSession, path: str, member: str | None = None
 
 def footprints_csv(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFrame:
     """CSV or CSV.gz with a WKT column: record, physical line, wkt, all fields as a map; a row of another width has null."""
-    from .lines import register
-
     register(spark)
     rows = spark.read.format("numbered_lines").option("path", path).option("kind", "csv").load()
     fields = F.from_json("value", "map<string,string>")
@@ -162,6 +175,19 @@ def boundary_polygons(spark: SparkSession, path: str) -> list[list[geometry.Ring
     return geometry.check_polygons(out)
 
 
+def boundary_features(spark: SparkSession, path: str) -> DataFrame:
+    """(path, nth, kind, parts, fault): the features of GeoJSON boundary files (collections, features or geometries).
+
+    ``fault``: why a feature is no sound polygon (its text, its type, or the first fault of its rings), else null.
+    """
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    listed = F.get_json_object("value", "$.features")
+    rows = rows.select("path", F.posexplode(F.coalesce(F.from_json(listed, "array<string>"), F.array("value"))).alias("nth", "text"))
+    rows = rows.withColumn("g", reader.parse_geometry(F.col("text"), "geojson")).select("path", "nth", "g.*")
+    unread = F.coalesce("record_error", "geometry_error", F.when(~F.coalesce(F.upper("kind").isin(*reader.POLYGONS), F.lit(False)), "not a polygon"), F.when(F.size("parts") == 0, "empty"))
+    return rows.select("path", "nth", "kind", "parts", F.coalesce(unread, validity.first_fault("parts")["reason"]).alias("fault"))
+
+
 def image_files(spark: SparkSession, path: str, pattern: str = "*.png") -> DataFrame:
     """Name, size, sha256, crc32 and native dimensions (from the PNG header bytes) of image files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
@@ -171,29 +197,69 @@ def image_files(spark: SparkSession, path: str, pattern: str = "*.png") -> DataF
 
 
 def tensors(spark: SparkSession, paths: list[str], name: str) -> DataFrame:
-    """(path, values): one array of an NPZ file per row, flattened to floats; files are read by the tasks."""
+    """(path, values): one array of an NPZ file per row, flattened to floats; files are read by the tasks.
+
+    For arrays that do not fit a value see ``tensor_rows``.
+    """
 
     def load(batches):
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                with np.load(path, allow_pickle=False) as z:
+                with opened(path) as f, np.load(f, allow_pickle=False) as z:
                     yield pa.RecordBatch.from_pylist([{"path": path, "values": z[name].astype(np.float32).ravel()}], schema=pa.schema([("path", pa.string()), ("values", pa.list_(pa.float32()))]))
 
     return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths))).mapInArrow(load, "path string, values array<float>")
 
 
+#: Bytes of an array that are decoded at a time.
+_TENSOR_BYTES = 4 << 20
+
+
+def tensor_rows(spark: SparkSession, path: str, name: str, kind: str = "float") -> DataFrame:
+    """(path, row, values): the rows of one array of the NPZ files below ``path``, further dimensions flattened.
+
+    Arrays stream through the tasks by blocks of rows, so that their size does not matter; the archive's CRC is checked at the end. A file
+    without the array, or with one that is cut short, in column order or of objects, raises. ``kind``: float, double or long.
+    """
+    to = {"float": np.float32, "double": np.float64, "long": np.int64}[kind]
+
+    def load(batches):
+        for batch in batches:
+            for at in batch.column(0).to_pylist():
+                with opened(at) as f, zipfile.ZipFile(f) as z, z.open(f"{name}.npy") as m:
+                    read = np.lib.format.read_array_header_1_0 if np.lib.format.read_magic(m) == (1, 0) else np.lib.format.read_array_header_2_0
+                    shape, by_column, dtype = read(m)
+                    if dtype.hasobject or (by_column and len(shape) > 1):
+                        raise ValueError(f"{at}: {name} is of objects or in column order")
+                    rows, width = (shape[0] if shape else 1), int(np.prod(shape[1:], dtype=np.int64))
+                    step = max(1, _TENSOR_BYTES // max(1, width * dtype.itemsize))
+                    for lo in range(0, rows, step):
+                        n = min(step, rows - lo)
+                        raw = m.read(n * width * dtype.itemsize)
+                        if len(raw) != n * width * dtype.itemsize:
+                            raise ValueError(f"{at}: {name} ends early")
+                        values = pa.array(np.frombuffer(raw, dtype).astype(to))
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), values)
+                        yield pa.record_batch([pa.array([at] * n), pa.array(np.arange(lo, lo + n)), lists], names=["path", "row", "values"])
+                    if m.read(1):
+                        raise ValueError(f"{at}: {name} is longer than its header says")
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.mapInArrow(load, f"path string, row long, values array<{kind}>")
+
+
 _INPUT = "path:string,sha256:string,url:string,size_bytes:long"
 _LOCK = f"dataset string, crs string, boundary struct<{_INPUT}>, sources array<struct<side:string,format:string,{_INPUT}>>"
 FORMATS = ("geojsonl_zip", "geojsonl.zip", "geojsonl", "csv", "csv_gz", "csv.gz")
 
 
 def lock_entries(spark: SparkSession, path: str, dataset: str | None = None, crs: str | None = None) -> DataFrame:
-    """Inputs of a lock file (``role`` boundary or source), each with every problem it has.
+    """Inputs of one or more lock files (``lock``, ``role`` boundary or source), each with every problem it has.
 
     Of an input: repeated_path, path (absolute, or leaving its root), digest, url (no provenance); of a source also side
     and format; of the lock as a whole, on all its rows: dataset, crs, sides (r1 and r2 are not both there), boundary.
     """
-    lock = spark.read.schema(_LOCK).json(path, multiLine=True)
+    lock = spark.read.schema(_LOCK).json(path, multiLine=True).withColumn("lock", F.col("_metadata.file_path"))
     sides = F.array_distinct(F.transform("sources", lambda s: s["side"]))
     whole = F.array_compact(
         F.array(
@@ -204,10 +270,10 @@ def lock_entries(spark: SparkSession, path: str, dataset: str | None = None, crs
     )
     fields = lambda c, side, format_: F.struct(side.alias("side"), format_.alias("format"), *[F.col(c)[n].alias(n) for n in ("path", "sha256", "url", "size_bytes")])
     none = F.lit(None).cast("string")
-    boundary = lock.where("boundary is not null").select(whole.alias("whole"), F.lit("boundary").alias("role"), fields("boundary", none, none).alias("s"))
-    sources = lock.select(whole.alias("whole"), F.lit("source").alias("role"), F.explode("sources").alias("x")).select("whole", "role", fields("x", F.col("x.side"), F.col("x.format")).alias("s"))
-    rows = sources.unionByName(boundary).select("whole", "role", "s.*")
-    repeated = rows.groupBy("path").agg(F.count("*").alias("n"))
+    boundary = lock.where("boundary is not null").select("lock", whole.alias("whole"), F.lit("boundary").alias("role"), fields("boundary", none, none).alias("s"))
+    sources = lock.select("lock", whole.alias("whole"), F.lit("source").alias("role"), F.explode("sources").alias("x")).select("lock", "whole", "role", fields("x", F.col("x.side"), F.col("x.format")).alias("s"))
+    rows = sources.unionByName(boundary).select("lock", "whole", "role", "s.*")
+    repeated = rows.groupBy("lock", "path").agg(F.count("*").alias("n"))
     source = F.col("role") == "source"
     loose = F.col("path").isNull() | F.col("path").startswith("/") | F.array_contains(F.split("path", "/"), "..")
     problems = F.array_compact(
@@ -220,7 +286,7 @@ def lock_entries(spark: SparkSession, path: str, dataset: str | None = None, crs
             F.when(source & ~F.coalesce(F.col("format").isin(*FORMATS), F.lit(False)), "format"),
         )
     )
-    return rows.join(repeated, "path", "left").withColumn("problems", F.concat("whole", problems)).drop("n", "whole")
+    return rows.join(repeated, ["lock", "path"], "left").withColumn("problems", F.concat("whole", problems)).drop("n", "whole")
 
 
 def verified_lock(entries: DataFrame, found: DataFrame) -> DataFrame:
