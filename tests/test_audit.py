@@ -143,3 +143,25 @@ def test_contract_problems():
     contract = {"top_k": 100, "postprocessing": {"operator": ">", "nms": False}}
     assert audit.contract_problems(contract, {"top_k": 100, "postprocessing": {"operator": ">", "nms": False}}) == []
     assert audit.contract_problems(contract, {"top_k": 100.0, "postprocessing": {"operator": ">="}, "x": 1}) == ["postprocessing.nms: missing", "postprocessing.operator: '>=' instead of '>'", "top_k: 100.0 instead of 100", "x: unexpected"]
+
+
+def test_source_order_across_stretches(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(audit, "ORDER_BLOCK", 7)
+    rng = random.Random(3)
+    rows, f = [], "a"
+    for at in range(300):
+        f = rng.choice(["a", "a", "b", "c", None]) if rng.random() < 0.3 else f
+        rows.append((f, rng.choice([at, at, at, at - 5, None]), at))
+    want: dict = {}
+    last: dict = {}
+    for i, (name, k, _) in enumerate(rows):
+        n, falls, blocks = want.get(name, (0, 0, 0))
+        fell = k is not None and last.get(name) is not None and k <= last[name]
+        want[name] = (n + 1, falls + fell, blocks + (i == 0 or rows[i - 1][0] != name))
+        last[name] = k
+    df = spark.createDataFrame(rows, "f string, k int, at int").repartition(5)
+    got = {r.f: (r.records, r.not_increasing, r.extra_blocks + 1) for r in audit.source_order(df, "f", "k", "at").collect()}
+    assert got == want
+    assert audit.source_order(df.limit(0), "f", "k", "at").count() == 0

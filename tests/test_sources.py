@@ -28,6 +28,9 @@ def test_npy_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == rows
     with pytest.raises(Exception, match="FileExistsError|exists"):
         df.write.format("npy").option("path", out).mode("append").save()
+    df.where("record_id < 9").write.format("npy").option("path", out).mode("overwrite").save()
+    assert spark.read.format("npy").option("path", out).load().count() == df.where("record_id < 9").count()
+    assert [p.name for p in tmp_path.iterdir() if "staging" in p.name] == []
     np.save(tmp_path / "bad.npy", np.zeros((3, 2)))
     with pytest.raises(Exception, match="expected int64"):
         spark.read.format("npy").option("path", str(tmp_path / "bad.npy")).load().collect()

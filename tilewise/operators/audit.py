@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.quantize import area
+from ..scratch import materialized
 
 
 def check_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -100,22 +101,39 @@ def ledger_checks(ledger: DataFrame) -> DataFrame:
     return sides.select("side", "raw", "retained", "excluded", (F.col("raw") == F.col("retained") + F.col("excluded")).alias("balanced"))
 
 
+#: Rows that are looked at together in order of arrival.
+ORDER_BLOCK = 100_000
+
+
 def source_order(rows: DataFrame, file: str, index: str, arrival: str) -> DataFrame:
     """Per file, in order of arrival: repeats or steps back of the index, and blocks beyond the first.
 
-    ``arrival`` is a total order over all files. A row begins a block if the row before it is of another file.
+    ``arrival`` is a total order over all files. A row begins a block if the row before it is of another file. Rows are
+    looked at in stretches of ``ORDER_BLOCK``, however many are of one file; what meets at the seams is a row a stretch and file.
     """
     from .ordering import ordered
 
-    placed = ordered(rows.select(file, index, arrival), [arrival], "__place")
-    previous = placed.select((F.col("__place") + 1).alias("__place"), F.col(file).alias("__before"))
-    joined = placed.join(previous, "__place", "left")
-    w = Window.partitionBy(file).orderBy("__place")
-    seen = joined.withColumn("__last", F.lag(index).over(w))
-    return seen.groupBy(file).agg(
+    placed = ordered(rows.select(file, index, arrival), [arrival], "__place").withColumn("__stretch", F.floor(F.col("__place") / ORDER_BLOCK))
+    line, own = Window.partitionBy("__stretch").orderBy("__place"), Window.partitionBy("__stretch", file).orderBy("__place")
+    here = F.struct(F.col(file).alias("f"))
+    seen = placed.withColumns({"__before": F.lag(here).over(line), "__after": F.lead(here).over(line), "__last": F.lag(index).over(own)})
+    parts = seen.groupBy(file, "__stretch").agg(
         F.count("*").alias("records"),
-        F.count_if(F.col(index) <= F.col("__last")).alias("not_increasing"),
-        (F.count_if(F.col("__before").isNull() | (F.col("__before") != F.col(file))) - 1).alias("extra_blocks"),
+        F.count_if(F.col(index) <= F.col("__last")).alias("falls"),
+        F.count_if(F.col("__before").isNotNull() & ~F.col("__before.f").eqNullSafe(F.col(file))).alias("begun"),
+        F.min_by(index, "__place").alias("head"),
+        F.max_by(index, "__place").alias("tail"),
+        F.count_if(F.col("__before").isNull()).alias("opens"),
+        F.count_if(F.col("__after").isNull()).alias("closes"),
+    )
+    parts = materialized(parts, "stretches")
+    closing = parts.where("closes = 1").select((F.col("__stretch") + 1).alias("__stretch"), here.alias("closed"))
+    parts = parts.join(closing, "__stretch", "left").withColumn("before", F.lag("tail").over(Window.partitionBy(file).orderBy("__stretch")))
+    begins = (F.col("opens") == 1) & (F.col("closed").isNull() | ~F.col("closed.f").eqNullSafe(F.col(file)))
+    return parts.groupBy(file).agg(
+        F.sum("records").alias("records"),
+        (F.sum("falls") + F.count_if(F.col("head") <= F.col("before"))).alias("not_increasing"),
+        (F.sum("begun") + F.count_if(begins) - 1).alias("extra_blocks"),
     )
 
 

@@ -632,7 +632,10 @@ def loader_roundtrip(spark, d):
     records = W.line_records(spark, d, groups)
     path = publish.scratch_release(spark, records, groups)
     loaded = publish.load(spark, path)
-    return loaded["r1"].withColumn("side", F.lit("r1")).unionByName(loaded["r2"].withColumn("side", F.lit("r2"))).groupBy("side").agg(F.count("*").alias("n"), F.sum("x0").cast("long").alias("sum_x0"), F.sum("y1").cast("long").alias("sum_y1"), F.max("record_id").alias("last_id"), F.sum("weight").cast("long").alias("weight"))
+    sums = loaded["r1"].withColumn("side", F.lit("r1")).unionByName(loaded["r2"].withColumn("side", F.lit("r2"))).groupBy("side").agg(F.count("*").alias("n"), F.sum("x0").cast("long").alias("sum_x0"), F.sum("y1").cast("long").alias("sum_y1"), F.max("record_id").alias("last_id"), F.sum("weight").cast("long").alias("weight"))
+    sums = materialized(sums, "release-sums")
+    _dropped(spark, path)
+    return sums
 
 
 @query
@@ -821,7 +824,10 @@ def npy_round_trip(spark, d):
     rows = grouping.relation(W.line_records(spark, d)).where("side = 'r2'").drop("side")
     rows.repartitionByRange("record_id").sortWithinPartitions("record_id").write.format("npy").option("path", out).mode("append").save()
     back = spark.read.format("npy").option("path", out).load()
-    return back.agg(F.count("*").alias("n"), F.max("record_id").alias("last_id"), F.sum("x0").cast("long").alias("sum_x0"), F.sum("y1").cast("long").alias("sum_y1"), F.sum("weight").cast("long").alias("weight"))
+    sums = back.agg(F.count("*").alias("n"), F.max("record_id").alias("last_id"), F.sum("x0").cast("long").alias("sum_x0"), F.sum("y1").cast("long").alias("sum_y1"), F.sum("weight").cast("long").alias("weight"))
+    sums = materialized(sums, "npy-sums")
+    _dropped(spark, out)
+    return sums
 
 
 @query
@@ -841,7 +847,10 @@ def page_results_round_trip(spark, d):
     out = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
     lines.write.option("compression", "gzip").text(out)
     back = files.page_results(spark, out)
-    return back.groupBy(F.coalesce("reason", F.lit("retained")).alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages"), F.sum(F.get("box", F.lit(0))).cast("long").alias("sum_x0"), F.sum(F.get("box", F.lit(3))).cast("long").alias("sum_y1"))
+    sums = back.groupBy(F.coalesce("reason", F.lit("retained")).alias("outcome")).agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages"), F.sum(F.get("box", F.lit(0))).cast("long").alias("sum_x0"), F.sum(F.get("box", F.lit(3))).cast("long").alias("sum_y1"))
+    sums = materialized(sums, "page-sums")
+    _dropped(spark, out)
+    return sums
 
 
 @query

@@ -1,14 +1,17 @@
 """Python data source ``npy``: int64 matrices of relations, read by row ranges and written as parts.
 
 A header is read once on the driver; each input partition maps its own row range, so that no task reads the whole file.
-The writer makes one valid ``.npy`` file per task, named on commit, in a folder that must not exist yet.
+The writer makes one valid ``.npy`` file per task, batch by batch, and names them on commit in a folder that must not exist yet;
+with overwriting, the old folder goes when the new one is complete.
 """
 
 from __future__ import annotations
 
 import glob
+import io
 import os
 import shutil
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,12 +57,19 @@ class NpyReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=COLUMNS)
 
 
+def header(rows: int) -> bytes:
+    """The header of a file of so many rows; numpy pads it, so that its length does not depend on their number."""
+    out = io.BytesIO()
+    np.lib.format.write_array_header_1_0(out, {"descr": "<i8", "fortran_order": False, "shape": (rows, len(COLUMNS))})
+    return out.getvalue()
+
+
 class NpyWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite):
-        self.path = options["path"]
+        self.path = options["path"].rstrip("/")
         if os.path.exists(self.path) and not overwrite:
             raise FileExistsError(self.path)
-        self.staging = f"{self.path}.staging"
+        self.staging = f"{self.path}.staging-{uuid.uuid4().hex}"
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -67,19 +77,27 @@ class NpyWriter(DataSourceArrowWriter):
         context = TaskContext.get()
         os.makedirs(self.staging, exist_ok=True)
         path = os.path.join(self.staging, f"{context.partitionId():05d}-{context.taskAttemptId()}.npy")
-        rows = [np.stack([b.column(c).to_numpy() for c in COLUMNS], axis=1) for b in iterator]
-        np.save(path, np.concatenate(rows).astype("<i8") if rows else np.empty((0, len(COLUMNS)), dtype="<i8"))
-        return Part(path, sum(map(len, rows)))
+        rows = 0
+        with open(path, "wb") as out:
+            out.write(header(0))
+            for batch in iterator:
+                out.write(np.stack([batch.column(c).to_numpy() for c in COLUMNS], axis=1).astype("<i8").tobytes())
+                rows += batch.num_rows
+            out.seek(0)
+            out.write(header(rows))
+        return Part(path, rows)
 
     def commit(self, messages):
-        done = f"{self.path}.done"
+        done, old = f"{self.staging}.done", f"{self.staging}.old"
         os.makedirs(done)
         for m in messages:
             if m is not None:
                 os.rename(m.path, os.path.join(done, os.path.basename(m.path).split("-")[0] + ".npy"))
-        shutil.rmtree(self.staging, ignore_errors=True)
-        shutil.rmtree(self.path, ignore_errors=True)
+        if os.path.exists(self.path):
+            os.rename(self.path, old)
         os.rename(done, self.path)
+        shutil.rmtree(self.staging, ignore_errors=True)
+        shutil.rmtree(old, ignore_errors=True)
 
     def abort(self, messages):
         shutil.rmtree(self.staging, ignore_errors=True)
