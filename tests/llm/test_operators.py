@@ -440,3 +440,14 @@ def test_rows_equal_in_key_and_text_meet_before_they_are_shuffled(spark, drop):
     assert out.where("doc_id = 7").count() == 1 and out.where("doc_id is null").count() == n // 3
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan and "WHO" in plan
+
+
+def test_queries_of_the_codec_are_bounded_by_bytes():
+    from tilewise.llm import bpe_codec
+
+    words = ["\U0001f600" * 16, "a" * 64, "漢" * 8, "b"] * 2000
+    for some in (words, [w.encode() for w in words]):
+        lists = list(bpe_codec._batches(some))
+        assert [w for part in lists for w in part] == some
+        assert max(sum(min(len(w if isinstance(w, bytes) else w.encode()), bpe_codec.BLOCK_BYTES) ** 2 for w in part) for part in lists) <= bpe_codec.ROWS_PER_QUERY
+    assert [len(p) for p in bpe_codec._batches(words)] == [len(p) for p in bpe_codec._batches([w.encode() for w in words])]

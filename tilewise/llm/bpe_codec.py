@@ -100,10 +100,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def _batches(words: list) -> Iterator[list]:
-    """The words in turn, in lists that a query takes together."""
+    """The words (text or bytes) in turn, in lists that a query takes together, by their bytes."""
     lo, rows = 0, 0
     for i, w in enumerate(words):
-        n = min(len(w), BLOCK_BYTES) ** 2
+        n = min(len(w if isinstance(w, bytes) else w.encode()), BLOCK_BYTES) ** 2
         if i > lo and (i - lo == WORDS_PER_QUERY or rows + n > ROWS_PER_QUERY):
             yield words[lo:i]
             lo, rows = i, 0
