@@ -451,3 +451,27 @@ def test_queries_of_the_codec_are_bounded_by_bytes():
         assert [w for part in lists for w in part] == some
         assert max(sum(min(len(w if isinstance(w, bytes) else w.encode()), bpe_codec.BLOCK_BYTES) ** 2 for w in part) for part in lists) <= bpe_codec.ROWS_PER_QUERY
     assert [len(p) for p in bpe_codec._batches(words)] == [len(p) for p in bpe_codec._batches([w.encode() for w in words])]
+
+
+def test_states_of_the_counter_go_within_a_batch(monkeypatch):
+    import random
+
+    import public_tokenizers
+    import sentencepiece
+
+    from tilewise.llm import token_count
+
+    monkeypatch.setattr(token_count, "CACHE_STATES", 50)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefghinorst  ") for _ in range(rng.randrange(1, 400))) for _ in range(60)] + ["ab" * 300, ""]
+    counter, most, reset = token_count.Counter(path), [], token_count.Transducer.reset
+
+    def counted(machine):
+        most.append(len(getattr(machine, "listed", ())))
+        reset(machine)
+
+    monkeypatch.setattr(token_count.Transducer, "reset", counted)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert counter.count(texts).tolist() == [len(library.encode(t)) for t in texts]
+    assert len(most) > 3

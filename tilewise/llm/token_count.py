@@ -203,12 +203,13 @@ class Counter:
     def count(self, texts: list[str]) -> np.ndarray:
         cut = [self.units(t) for t in texts]
         new = self.memo.missing({u for us in cut for u in us})
-        if len(self.machine.listed) > CACHE_STATES or len(self.machine.maps) > CACHE_STATES:
-            self.machine.reset()
         known = self.memo.now
         cut_new = [self.machine.chunks_of(u) for u in new]
         of_chunk = self.chunks
         for x in of_chunk.missing({x for xs in cut_new for x in xs}):
+            # Every chunk is read from the first state, so that states can go between any two.
+            if len(self.machine.listed) > CACHE_STATES or len(self.machine.maps) > CACHE_STATES:
+                self.machine.reset()
             of_chunk.now[x] = self.machine.count_chunk(x)
         for u, xs in zip(new, cut_new, strict=True):
             known[u] = sum(map(of_chunk.now.__getitem__, xs))
