@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, quantize, reader, validity
+from ..scratch import settled
 from .rejects import cascade
 
 Polygon = list[list[tuple[float, float]]]
@@ -44,13 +45,14 @@ def judge(df: DataFrame, text: str, form: Column | str, boundary: list[Polygon])
     rows = rows.withColumn("fault", validity.first_fault("g.parts")).withColumn("whole", geometry.all_finite(F.flatten("g.parts")))
     sound = polygon & ~F.col("g.empty") & F.col("fault").isNull() & F.col("whole")
     rows = rows.withColumn("projected", F.when(sound, geometry.project_parts(F.col("g.parts"))))
-    rows = rows.withColumn("whole_projected", geometry.all_finite(F.flatten("projected")))
+    rows = settled(rows).withColumn("whole_projected", geometry.all_finite(F.flatten("projected")))
     rows = rows.withColumn("projected_fault", validity.first_fault(F.when(F.col("whole_projected"), F.col("projected"))))
     c = geometry.centroid(F.when(F.col("whole_projected") & F.col("projected_fault").isNull(), F.col("projected")))
     rows = rows.withColumns({"cx": c[0], "cy": c[1]})
     inside = F.coalesce(geometry.covers(boundary)("cx", "cy"), F.lit(False))
     q = F.array(*[quantize.quantized_double(v) for v in geometry.bounds(F.flatten("projected"))])
-    rows = rows.withColumn("q", F.when(F.col("whole_projected") & F.col("projected_fault").isNull(), q))
+    # Projected vertices and centroids are looked at in many places and made once.
+    rows = settled(rows.withColumn("q", F.when(F.col("whole_projected") & F.col("projected_fault").isNull(), q)))
     finite = lambda v: F.col(v).isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
     reason = cascade(
         (F.col(text).isNull() | F.col("g.record_error").isNotNull(), "malformed_record"),
