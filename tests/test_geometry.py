@@ -222,3 +222,32 @@ def test_cascade_of_footprints(spark):
     assert got[0].own_id == "7" and got[0].properties == '{"c":0.5}' and [got[0][n] for n in ("x0", "y0", "x1", "y1")] == [got[1][n] for n in ("x0", "y0", "x1", "y1")]
     with pytest.raises(ValueError):
         footprints.judge(df.withColumn("Reason", F.lit(1)), "text", "wkt", boundary)
+
+
+def test_sound_rings_are_settled_together(monkeypatch):
+    """Plain rings make no object each, and the quick look finds no ring sound that has a fault."""
+    random = np.random.default_rng(8)
+    square = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+    rings = [[tuple(map(float, p)) for p in random.integers(0, 5, (k, 2))] for k in random.integers(3, 8, 400)]
+    shapes = [[[[*r, r[0]]]] for r in rings] + [[[square]], None, [], [[square, square]], [[[(np.nan, 0.0), *square[1:]]]]]
+    quick = validity.faults(shapes)
+    with monkeypatch.context() as m:
+        m.setattr(validity, "_plainly_sound", lambda some: np.zeros(len(some), dtype=bool))
+        assert repr(validity.faults(shapes)) == repr(quick)
+    assert sum(f is None for f in quick) > 20 < sum(f is not None for f in quick)
+
+    def none(parts):
+        raise AssertionError("an object was made")
+
+    monkeypatch.setattr(validity, "_Shape", none)
+    assert validity.faults([[[square]]] * 3) == [None] * 3
+
+
+def test_footprints_are_dealt_out_and_judged_once(spark, sf_dir):
+    """One small file was one task, and a filter on the centroid asked for the validity of every polygon again."""
+    from tilewise.plans import queries
+
+    for query in (queries.polygon_centroid, queries.centroid_in_boundary, queries.centroid_audit):
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [first_fault") == 1
+    assert queries._judged(spark, sf_dir).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

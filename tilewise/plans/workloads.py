@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import group_key
 from ..functions.quantize import with_boxes
 from ..operators import grouping
+from ..scratch import settled
 
 #: Rows of lineitem are unique only as a whole: every order ends in all of these columns.
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -23,13 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, *by: str) -> DataFrame:
-    """``rows`` dealt out over all cores, where a table is one file of few row groups; large tables stay as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
+def spread(rows: DataFrame, *by: str, heavy: bool = False) -> DataFrame:
+    """``rows`` dealt out over all cores, where a table is one file of few row groups; large tables stay as they are.
+
+    ``heavy``: narrow rows that ask for far more work than a shuffle are dealt out at any size, as a file may have fewer row groups
+    than the partitions that it is read in.
+    """
+    cores, parts = rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    if parts >= cores and not heavy:
         return rows
-    # A random column, which filters cannot pass, keeps later filters and what they compute from moving into the scan.
-    return rows.repartition(cores, *by).withColumn("__dealt", F.rand(0)).where("__dealt >= 0").drop("__dealt")
+    return settled(rows.repartition(max(parts, 2 * cores) if heavy else cores, *by))
 
 
 def line_boxes(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Intermediate tables in the folder that driver and executors share."""
+"""Intermediate tables in the folder that driver and executors share; columns that are made once."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +34,11 @@ def drop_scratch(spark: SparkSession, keep: Collection[str] = ()) -> None:
         _made.remove(path)
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """A random column, which filters cannot pass, keeps later filters, and with them all that they compute, from moving below."""
+    return rows.withColumn("__settled", F.rand(0)).where("__settled >= 0").drop("__settled")
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, so that what follows neither recomputes it nor depends on its order."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
