@@ -149,3 +149,52 @@ def test_a_release_with_other_counts_is_refused(spark, sf_dir, tmp_path):
     part.with_name(f"part-again-{part.name}").write_bytes(part.read_bytes())
     with pytest.raises(ValueError, match="r2 has"):
         publish.load(spark, out)
+
+
+def test_small_shards_are_one_file_each(spark, tmp_path):
+    out = tmp_path / "shards"
+    shards.write(spark.range(300, numPartitions=3).select(F.col("id").alias("n")), str(out), "n", 100)
+    assert [len(list((out / "rows" / f"shard={k}").glob("part-*"))) for k in range(3)] == [1, 1, 1]
+
+
+def test_files_are_compared_in_pieces(spark, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    for path, body in ((one, b"a" * 1000), (two, b"a" * 999 + b"b")):
+        with open(path, "wb") as f:
+            f.write(body)
+    assert arrays.same_bytes(spark, one, one, 64) and not arrays.same_bytes(spark, one, two, 64)
+    open(two, "ab").close()
+    os.truncate(two, 999)
+    assert not arrays.same_bytes(spark, one, two, 64)
+
+
+def test_tasks_grow_with_the_rows(spark, sf_dir, monkeypatch):
+    """Ranges of a numbered relation were as many as the session's shuffle partitions at any size."""
+    from tilewise.operators import ordering
+    from tilewise.plans import workloads
+
+    expected = sorted(workloads.line_records(spark, sf_dir).select("side", "record_id", "group_id").collect())
+    monkeypatch.setattr(ordering, "TASK_ROWS", 500)
+    assert ordering.tasks_for(spark.range(1), 500) is None and ordering.tasks_for(spark.range(1), 6001) == 13
+    cut = []
+    monkeypatch.setattr(workloads.grouping, "ordered", lambda *a, **k: cut.append(k.get("tasks")) or ordering.ordered(*a, **k))
+    assert sorted(workloads.line_records(spark, sf_dir).select("side", "record_id", "group_id").collect()) == expected
+    assert cut[-1] == -(-len(expected) // 500) > 4
+
+
+def test_weighted_samples_equal_samples_of_copies(spark):
+    """Copies as a weight give the sample of the copies themselves, also where the limit lets too few through."""
+    from tilewise.operators import sampling
+
+    rows = spark.range(400).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"), (1 + F.col("id") % 3).alias("n"))
+    copies = rows.withColumn("c", F.explode(F.sequence(F.lit(1), "n")))
+    for k in (7, 150, 5000):
+        wanted = {(r.g, r.v): r["count"] for r in sampling.bounded_samples(copies, ["g"], k, "s", "v").groupBy("g", "v").count().collect()}
+        for size in (200, 10**9):
+            sizes = spark.createDataFrame([(g, size) for g in (0, 1)], "g long, rows long")
+            got = sampling.weighted_samples(rows, ["g"], k, "s", sizes, "n", "v").collect()
+            assert sum(r.n for r in got) == sum(wanted.values())
+            if k != 7:
+                assert len(got) <= len(wanted) + 2
+            edges = {(r.g, r.v): r.n for r in got}
+            assert edges == wanted

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialized
 from .ordering import ordered
 
 
@@ -33,6 +34,25 @@ def bounded_samples(df: DataFrame, by: list[str], k: int, seed: str, *key: str)
     return first_n(df.withColumn("priority", priority(seed, *keys)), by, ["priority", *keys], k).drop("nth", "priority")
 
 
+def weighted_samples(df: DataFrame, by: list[str], k: int, seed: str, sizes: DataFrame, weight: str, *key: str) -> DataFrame:
+    """``bounded_samples`` of rows that stand for ``weight`` equal ones each; that column says how many of them are in the sample.
+
+    ``sizes``: (by, rows), a bounded table. Few rows have priorities below a limit that the size of their group sets; only these are
+    ranked. Should fewer than k be among them, by chance, all rows are.
+    """
+    head = F.substring("priority", 1, 13)
+    share = F.least(F.lit(1.0), F.lit(1.2 * k + 500) / F.col("rows"))
+    limit = F.when(share >= 1, "g").otherwise(F.lpad(F.lower(F.hex((share * F.lit(float(16**13))).cast("long"))), 13, "0"))
+    ranked = df.withColumn("priority", priority(seed, *[F.col(c) for c in key])).join(F.broadcast(sizes.withColumn("__limit", limit)), by)
+    low = materialized(ranked.where(head < F.col("__limit")), "low-priorities")
+    few = sizes.join(low.groupBy(*by).agg(F.count("*").alias("__n")), by, "left").where(F.coalesce("__n", F.lit(0)) < F.least("rows", F.lit(k)))
+    if not few.isEmpty():
+        low = ranked
+    before = F.coalesce(F.sum(weight).over(Window.partitionBy(*by).orderBy("priority", *key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    low = low.withColumn("__before", before).where(F.col("__before") < k)
+    return low.withColumn(weight, F.least(weight, F.lit(k) - F.col("__before"))).drop("priority", "rows", "__limit", "__before")
+
+
 def evenly_spaced(df: DataFrame, order: list[str], places: int = 3) -> DataFrame:
     """First, evenly spaced and last rows of the order: places i (n - 1) / (places - 1), rounded down."""
     placed = ordered(df, order, "place")
