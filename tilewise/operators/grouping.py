@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import ordered
+from .ordering import ordered, tasks_for
 
 SIDES = ("r1", "r2")
 
@@ -68,10 +68,13 @@ def number_records(kept: DataFrame, groups: DataFrame, key: str, order: list[str
     Slices follow the same order, so that a record lies in its group's slice. The order is made by range partitions,
     which also cut a group that holds most rows.
     """
-    placed = ordered(kept, ["side", key, *order], "__nth")
-    r1_rows = groups.agg(F.coalesce(F.sum("r1_count"), F.lit(0)).alias("n")).scalar()
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    r1_rows, rows = groups.agg(count("r1_count"), count("r1_count") + count("r2_count")).first()
+    tasks = tasks_for(kept, rows)
+    placed = ordered(kept, ["side", key, *order], "__nth", tasks=tasks)
     number = F.when(F.col("side") == "r1", F.col("__nth")).otherwise(F.col("__nth") - r1_rows).cast("long")
-    return placed.withColumn("record_id", number).drop("__nth").join(groups.select(key, "group_id", "dx", "dy"), key)
+    placed = placed.withColumn("record_id", number).drop("__nth")
+    return (placed.repartition(tasks, key) if tasks else placed).join(groups.select(key, "group_id", "dx", "dy"), key)
 
 
 def translate(records: DataFrame, sign: int = 1) -> DataFrame:

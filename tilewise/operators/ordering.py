@@ -37,14 +37,28 @@ def _sums_before(names: list[str]):
     return run
 
 
-def ordered(df: DataFrame, by: list[str | Column], position: str = "position", sums: dict[str, Column] | None = None) -> DataFrame:
-    """Adds the 0-based ``position`` in the order ``by`` and, by name, the sum of each long column over all rows before."""
+#: Rows of a task where the number of rows is known beforehand.
+TASK_ROWS = 1_000_000
+
+
+def tasks_for(df: DataFrame, rows: int) -> int | None:
+    """How many tasks so many rows ask for, or None where the session's number of shuffle partitions is enough."""
+    own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-rows // TASK_ROWS)
+    return wanted if wanted > own else None
+
+
+def ordered(df: DataFrame, by: list[str | Column], position: str = "position", sums: dict[str, Column] | None = None, tasks: int | None = None) -> DataFrame:
+    """Adds the 0-based ``position`` in the order ``by`` and, by name, the sum of each long column over all rows before.
+
+    ``tasks``: into how many ranges the rows are cut, if not into the session's number of shuffle partitions.
+    """
     sums = sums or {}
     keys = [F.col(c) if isinstance(c, str) else c for c in by]
     part = "__part"
     rows = df.withColumns({f"__{n}": F.coalesce(c, F.lit(0)).cast("long") for n, c in sums.items()})
     rows = rows.withColumns({n: F.col(f"__{n}") for n in sums})
-    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*([tasks] if tasks else []), *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id())
     if sums:
         rows = rows.mapInArrow(_sums_before(list(sums)), rows.schema)
     rows = materialized(rows, "ordered").withColumns({part: F.shiftright("__id", 33).cast("int"), position: F.col("__id").bitwiseAND(_LOCAL)}).drop("__id")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.audit import require
 from ..operators.grouping import relation
+from ..operators.ordering import tasks_for
 from ..schema import RELATION, SCHEMA_VERSION, check_schema
 from ..scratch import shared_dir
 
@@ -52,8 +53,10 @@ def publish(spark: SparkSession, out: str, records: DataFrame, groups: DataFrame
         raise FileExistsError(out)
     staging = f"{out}.staging-{uuid.uuid4().hex}"
     rows = relation(records)
+    counts = groups.agg(*[F.coalesce(F.sum(f"{s}_count"), F.lit(0)).alias(s) for s in ("r1", "r2")]).first()
     for side in ("r1", "r2"):
-        one = rows.where(F.col("side") == side).drop("side").repartitionByRange("group_id").sortWithinPartitions("group_id", "record_id")
+        tasks = tasks_for(rows, counts[side])
+        one = rows.where(F.col("side") == side).drop("side").repartitionByRange(*([tasks] if tasks else []), "group_id").sortWithinPartitions("group_id", "record_id")
         one.write.option("compression", "zstd").parquet(f"{staging}/{side}.parquet")
     if overlap_counts is not None:
         groups = groups.join(overlap_counts, [c for c in overlap_counts.columns if c != "overlap_count"], "left").withColumn("overlap_count", F.coalesce("overlap_count", F.lit(0)))
