@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordering import ordered
@@ -84,6 +84,25 @@ def write_array(df: DataFrame, path: str, place: str = "record_id") -> int:
     return n
 
 
+def same_bytes(spark: SparkSession, one: str, two: str, piece: int = 32 << 20) -> bool:
+    """Whether two files, which all executors see, have the same bytes; they are compared piece by piece, a piece a task at a time."""
+    size = os.path.getsize(one)
+    if size != os.path.getsize(two):
+        return False
+
+    def differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with open(one, "rb") as a, open(two, "rb") as b:
+            for batch in batches:
+                for k in batch.column("id").to_pylist():
+                    a.seek(k * piece)
+                    b.seek(k * piece)
+                    if a.read(piece) != b.read(piece):
+                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64())], ["id"])
+
+    pieces = -(-size // piece)
+    return spark.range(pieces, numPartitions=max(1, min(pieces, 10_000))).mapInArrow(differing, "id long").isEmpty()
+
+
 def member(lines: list[str]) -> bytes:
     """Lines as one gzip member whose bytes depend on nothing else."""
     raw = "".join(f"{line}\n" for line in lines).encode()
