@@ -17,6 +17,8 @@ from ..scratch import materialized
 from ..sources.publish import _fs
 from .resume import contract_hash
 
+#: Records of a shard that one task writes to one file.
+FILE_RECORDS = 100_000
 _MANIFEST = "shard long, first long, last long, n long, digest string, chain string"
 
 
@@ -53,11 +55,13 @@ def _schema(rows: DataFrame):
 
 
 def write(rows: DataFrame, out: str, number: str, shard_records: int, only: list[int] | None = None) -> None:
-    """Write (or replace) the folders of shards; each is written by the tasks that hold its records, at most 16."""
+    """Write (or replace) the folders of shards; each is written by the tasks that hold its records: one for every ``FILE_RECORDS``
+    that a shard may have, at most 16."""
     parted = rows.withColumn("shard", (F.col(number) / shard_records).cast("long"))
     if only is not None:
-        parted = parted.where(F.col("shard").isin(only))
-    salt = F.pmod(F.xxhash64(number), F.lit(16))
+        wanted = rows.sparkSession.createDataFrame([(n,) for n in only], "shard long")  # one row a shard
+        parted = parted.join(F.broadcast(wanted), "shard", "left_semi")
+    salt = F.pmod(F.xxhash64(number), F.lit(min(16, -(-shard_records // FILE_RECORDS))))
     mode = parted.repartition("shard", salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard")
     mode.parquet(f"{out}/rows")
 
