@@ -6,6 +6,7 @@ import zipfile
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tilewise.operators import audit
 from tilewise.sources import files
@@ -98,3 +99,21 @@ def test_differences_of_documents(spark):
         (5, ""): ("unexpected", None, "true"),
     }
     assert audit.document_differences(table(), table(), "k", "v").count() == 0
+
+
+def test_differences_of_many_documents(spark, monkeypatch):
+    """Texts move, not their leaves, in tasks that grow in number; equal keys over several batches are one document, in any form of key."""
+    docs = [(k % 40, json.dumps({"a": [k % 3, k], "long": "x" * (1200 * (k % 5 == 0))}) if k % 7 else "{") for k in range(400)]
+    wanted, found = docs[::2], [*docs[:200:2], *docs[1::4]]
+    ids = lambda rows, form: spark.createDataFrame([(None if k == 3 else k, t) for k, t in rows], "k int, v string").select(form, "v")
+    monkeypatch.setattr(audit, "DOCUMENT_BYTES", 2000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for form in ("k", "cast(if(k = 5, 'nan', string(k)) as double) k", "concat('é', k) k", "array(k) k"):
+            sides = [ids(rows, F.expr(form.removesuffix(" k")).alias("k")) for rows in (wanted, found)]
+            result = audit.document_differences(*sides, "k", "v")
+            assert result.rdd.getNumPartitions() > 20
+            rows = lambda df: sorted(map(repr, df.collect()))
+            assert rows(result) == rows(audit._leaf_differences(*sides, "k", "v"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

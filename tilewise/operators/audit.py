@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import json
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.quantize import area
 from ..scratch import materialized
@@ -252,6 +254,23 @@ class _Number:
         self.text = text
 
 
+def _found(text: str) -> list[tuple[str, str | None]]:
+    """Leaves of a text; of one that is not JSON an empty path and no leaf."""
+    try:
+        return _leaves(json.loads(text, parse_int=_Number, parse_float=_Number), "")
+    except (ValueError, RecursionError):
+        return [("", None)]
+
+
+#: Leaves of short texts, of which many are equal: at most so many texts of so many characters in a worker.
+CACHED_TEXTS, CACHED_LENGTH = 1000, 1000
+_found_again = functools.lru_cache(CACHED_TEXTS)(_found)
+
+
+def leaves_of(text: str) -> list[tuple[str, str | None]]:
+    return _found_again(text) if len(text) <= CACHED_LENGTH else _found(text)
+
+
 def document_leaves(docs: DataFrame, key: str, value: str) -> DataFrame:
     """(key, path, leaf) of JSON documents; of a text that is not JSON one row with an empty path and no leaf, of null none."""
 
@@ -261,10 +280,7 @@ def document_leaves(docs: DataFrame, key: str, value: str) -> DataFrame:
             for k, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 if text is None:
                     continue
-                try:
-                    found = _leaves(json.loads(text, parse_int=_Number, parse_float=_Number), "")
-                except (ValueError, RecursionError):
-                    found = [("", None)]
+                found = leaves_of(text)
                 keys += [k.as_py()] * len(found)
                 paths += [p for p, _ in found]
                 leaves += [v for _, v in found]
@@ -273,12 +289,8 @@ def document_leaves(docs: DataFrame, key: str, value: str) -> DataFrame:
     return docs.select(key, value).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, path string, leaf string")
 
 
-def document_differences(expected: DataFrame, actual: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, path, problem, expected, actual): where JSON documents differ from those they should equal.
-
-    ``problem``: missing, unexpected, or other (also where only the way a number is written differs); ``unreadable``
-    where a text is not JSON. Documents with equal or null keys are one document with all their leaves.
-    """
+def _leaf_differences(expected: DataFrame, actual: DataFrame, key: str, value: str) -> DataFrame:
+    """``document_differences`` by rows of leaves, which are combined before they move: for keys with very many documents."""
     sides = [document_leaves(d, key, value).withColumn("side", F.lit(s)) for d, s in ((expected, 0), (actual, 1))]
     of = lambda s: F.array_sort(F.collect_set(F.when(F.col("side") == s, F.col("leaf"))))
     there = lambda s: F.count_if(F.col("side") == s) > 0
@@ -286,3 +298,60 @@ def document_differences(expected: DataFrame, actual: DataFrame, key: str, value
     problem = F.when(F.col("unread") > 0, "unreadable").when(~F.col("a"), "missing").when(~F.col("e"), "unexpected").when(F.col("expected") != F.col("actual"), "other")
     text = lambda c: F.when(F.size(c) > 0, F.array_join(c, " | ")).alias(c)
     return both.withColumn("problem", problem).where("problem is not null").select(key, "path", "problem", text("expected"), text("actual"))
+
+
+def _document_problems(sides: tuple[dict, dict]) -> list[tuple[str, str, str | None, str | None]]:
+    """(path, problem, expected, actual) of one document: leaves by path, expected and actual ones."""
+    out = []
+    for path in {**sides[0], **sides[1]}:
+        e, a = (s.get(path) for s in sides)
+        if None in (e or ()) or None in (a or ()):
+            problem = "unreadable"
+        elif e == a:
+            continue
+        else:
+            problem = "missing" if a is None else "unexpected" if e is None else "other"
+        text = [" | ".join(sorted(v for v in s or () if v is not None)) if s and s != {None} else None for s in (e, a)]
+        out.append((path, problem, *text))
+    return out
+
+
+#: Bytes of documents in a task that compares them.
+DOCUMENT_BYTES = 32 << 20
+
+
+def document_differences(expected: DataFrame, actual: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, path, problem, expected, actual): where JSON documents differ from those they should equal.
+
+    ``problem``: missing, unexpected, or other (also where only the way a number is written differs); ``unreadable``
+    where a text is not JSON. Documents with equal or null keys are one document with all their leaves. Texts are sized up
+    first; then those of a key meet in a task, sorted by key, and only differences leave it.
+    """
+    docs = [d.select(key, value, F.lit(s).cast("byte").alias("__side")).where(F.col(value).isNotNull()) for d, s in ((expected, 0), (actual, 1))]
+    size = docs[0].unionByName(docs[1]).agg(F.coalesce(F.sum(F.octet_length(value) + F.lit(48)), F.lit(0))).first()[0]
+    parts = max(expected.sparkSession.sparkContext.defaultParallelism, -(-size // DOCUMENT_BYTES))
+    sorted_docs = docs[0].unionByName(docs[1]).where(F.col(key).isNotNull()).repartition(parts, key).sortWithinPartitions(key)
+    names = ("path", "problem", "expected", "actual")
+
+    def run(batches):
+        current, sides, kind = None, ({}, {}), None
+
+        def table(rows):
+            columns = [pa.array([r[0] for r in rows], kind), *[pa.array([r[i] for r in rows], pa.string()) for i in range(1, 5)]]
+            return pa.record_batch(columns, names=[key, *names])
+
+        for batch in batches:
+            kind, rows = batch.schema.field(0).type, []
+            for k, text, side in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != current and (k == k or current == current):  # a NaN is the key that it was
+                    rows += [(current, *p) for p in _document_problems(sides)]
+                    current, sides = k, ({}, {})
+                for path, leaf in leaves_of(text):
+                    sides[side].setdefault(path, set()).add(leaf)
+            yield table(rows)
+        if kind is not None:
+            yield table([(current, *p) for p in _document_problems(sides)])
+
+    schema = T.StructType([T.StructField(key, expected.schema[key].dataType), *[T.StructField(n, T.StringType()) for n in names]])
+    unkeyed = _leaf_differences(*[d.where(F.col(key).isNull()) for d in docs], key, value)
+    return sorted_docs.mapInArrow(run, schema).unionByName(unkeyed)
